@@ -1 +1,339 @@
-"""(filled in below)"""
+"""Retail calendar, aggregates, store-filter toggles, hierarchy rollup,
+ranks, retailer comparisons and trend classes."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..functions import blanks as B
+from ..operators import calendar_dim as CD
+from ..operators import measures as M
+from ..operators.rank import global_rank, group_rank, member_at_rank
+from ..operators.report import pooled_member
+from ..sources import retail as R
+from ..sources.tables import Tables
+from . import sqlkit as S
+from .registry import ORACLE, query
+from .retail import N_WEEKS, SEL, W, Y, _anchor_cte, _with
+
+PRODUCT = "BRAND#13"
+RETAILER = "AMERICA"
+CUSTOMERS = ("AMERICA", "EUROPE")
+RANK_KS = (1, 2, 3, 4, 5, 6)
+_NW = 7 * N_WEEKS - 1
+
+
+def _fact_calendar(t: Tables) -> DataFrame:
+    li = t.lineitem
+    bounds = li.agg(F.to_date(F.min("l_shipdate")).alias("lo"), F.to_date(F.max("l_shipdate")).alias("hi"))
+    cal = CD.calendar_attributes(CD.calendar_from_bounds(bounds))
+    return cal, bounds
+
+
+# --------------------------------------------------------------- calendar
+
+@query("calendar_dim")
+def calendar_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cal, _ = _fact_calendar(Tables(spark, sf_dir))
+    return CD.latest_month_label(cal).drop("last_date")
+
+
+_DOW = S.dow("d")
+ORACLE["calendar_dim"] = _with(S.calendar_cte(), """mx AS (SELECT max(d) AS last_date FROM cal)""") + f"""
+SELECT d AS date, CAST(year(d) AS INTEGER) AS year, CAST(month(d) AS INTEGER) AS month,
+       CAST(day(d) AS INTEGER) AS day, wk AS week, strftime(d, '%A') AS weekday_name,
+       CAST({_DOW} AS INTEGER) AS weekday_number, we AS week_ending,
+       strftime(d, '%b') || ' ' || CAST(year(d) AS VARCHAR) AS month_year_label,
+       CAST(year(d) * 10000 + month(d) * 100 AS INTEGER) AS date_key, strftime(d, '%B') AS month_name,
+       CAST(quarter(d) AS INTEGER) AS quarter_no,
+       CASE WHEN month(d) < 4 THEN 'QTR 1' WHEN month(d) < 7 THEN 'QTR 2' WHEN month(d) < 10 THEN 'QTR 3' ELSE 'QTR 4' END AS quarter,
+       (year(d) % 4 = 0 AND (year(d) % 100 <> 0 OR year(d) % 400 = 0)) AS is_leap_year,
+       'WK ' || CAST(wk AS VARCHAR) || ', ' || strftime(we, '%m-%d-%Y') AS week_label,
+       CAST(wk AS VARCHAR) || ' Week' AS week_no_label,
+       CASE WHEN year(d) = year(last_date) AND month(d) = month(last_date) THEN 'Latest '
+            ELSE strftime(d, '%b') || ' ' || CAST(year(d) AS VARCHAR) END AS month_year
+FROM cal, mx"""
+
+
+@query("week_ending_carry")
+def week_ending_carry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cal, _ = _fact_calendar(Tables(spark, sf_dir))
+    return CD.week_ending_carry(cal).select("date", "week", "weekday_number", "week_ending_date")
+
+
+ORACLE["week_ending_carry"] = _with(S.calendar_cte(), """w52 AS (
+  SELECT y + 1 AS y, max(d) AS prev_w52 FROM cal WHERE wk = 52 GROUP BY y)""") + f"""
+SELECT c.d AS date, c.wk AS week, CAST({S.dow('c.d')} AS INTEGER) AS weekday_number,
+       CASE WHEN c.wk = 52 AND {S.dow('c.d')} <> 7 THEN w52.prev_w52 ELSE c.we END AS week_ending_date
+FROM cal c LEFT JOIN w52 ON c.y = w52.y"""
+
+
+# ---------------------------------------------------------- basic measures
+
+@query("store_stats_by_retailer")
+def store_stats_by_retailer(spark: SparkSession, sf_dir: str, product: str = PRODUCT,
+                            sel: M.Selection = SEL) -> DataFrame:
+    """Total sales, one product's sales, distinct stores (BLANK counted),
+    store rows in the TY window, first/last sale date -- whole history."""
+    t = Tables(spark, sf_dir)
+    ty = M.weekly_window(sel, N_WEEKS)
+    pre = (R.sales_lines(t).groupBy("store", "part_key")
+           .agg(F.sum("value").alias("total"),
+                F.count(F.when(ty.contains(F.col("sale_date")), F.col("store"))).alias("rows_ty"),
+                F.min("sale_date").alias("first_d"), F.max("sale_date").alias("last_d")))
+    fact = R.attach_dims(pre, t, ["retailer", "product"])
+    out = fact.groupBy("retailer").agg(
+        F.sum("total").cast("double").alias("total_sales"),
+        F.sum(F.when(F.col("product") == product, F.col("total"))).cast("double").alias("product_sales"),
+        B.distinct_with_blank(F.col("store")).alias("store_count"),
+        F.sum("rows_ty").cast("long").alias("store_rows_ty"),
+        F.min("first_d").alias("first_sale"), F.max("last_d").alias("last_sale"))
+    return out
+
+
+ORACLE["store_stats_by_retailer"] = _with(S.calendar_cte(), S.POS_FACT_CTE, _anchor_cte()) + f"""
+SELECT retailer, CAST(sum(value) AS DOUBLE) AS total_sales,
+       CAST(sum(value) FILTER (WHERE product = '{PRODUCT}') AS DOUBLE) AS product_sales,
+       CAST(count(DISTINCT store) + max(CASE WHEN store IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS store_count,
+       CAST(count(store) FILTER (WHERE sale_date BETWEEN e_ty - {_NW} AND e_ty) AS BIGINT) AS store_rows_ty,
+       min(sale_date) AS first_sale, max(sale_date) AS last_sale
+FROM pos, a GROUP BY retailer"""
+
+
+# --------------------------------------------- store-filter removal toggle
+
+@query("store_total_toggle")
+def store_total_toggle(spark: SparkSession, sf_dir: str, sel: M.Selection = SEL) -> DataFrame:
+    """Per store: the weekly measures as filtered ('Filtered Stores') and
+    with the store filter removed, i.e. the retailer total ('All Stores')."""
+    t = Tables(spark, sf_dir)
+    wins = {"ty": M.weekly_window(sel, N_WEEKS), "ly": M.weekly_window(sel, N_WEEKS, last_year=True)}
+    per_store = M.window_sums(t, wins, ["retailer", "store"])
+    totals = per_store.groupBy("retailer").agg(F.sum("ty").alias("ty_all"), F.sum("ly").alias("ly_all"))
+    j = per_store.join(totals, "retailer", "left")
+    # Both toggle settings as rows (the toggle table has two fixed rows).
+    both = j.select("retailer", "store", F.explode(F.array(
+        F.struct(F.lit("All Stores").alias("custom_total"), F.col("ty_all").alias("ty_sales"),
+                 F.col("ly_all").alias("ly_sales")),
+        F.struct(F.lit("Filtered Stores").alias("custom_total"), F.col("ty").alias("ty_sales"),
+                 F.col("ly").alias("ly_sales")))).alias("x")).select("retailer", "store", "x.*")
+    both = both.withColumn("wk_pct", B.weekly_pct_change(F.col("ty_sales"), F.col("ly_sales")))
+    return M.as_double(both, ["ty_sales", "ly_sales"])
+
+
+ORACLE["store_total_toggle"] = _with(S.calendar_cte(), S.POS_FACT_CTE, _anchor_cte(), f"""ps AS (
+  SELECT retailer, store,
+         sum(value) FILTER (WHERE sale_date BETWEEN e_ty - {_NW} AND e_ty) AS ty,
+         sum(value) FILTER (WHERE sale_date BETWEEN e_ly - {_NW} AND e_ly) AS ly
+  FROM pos, a WHERE sale_date BETWEEN e_ly - {_NW} AND e_ty GROUP BY retailer, store),
+tot AS (SELECT retailer, sum(ty) AS ty_all, sum(ly) AS ly_all FROM ps GROUP BY retailer),
+both_ AS (
+  SELECT ps.retailer, ps.store, 'All Stores' AS custom_total, ty_all AS t, ly_all AS l FROM ps JOIN tot USING (retailer)
+  UNION ALL
+  SELECT retailer, store, 'Filtered Stores', ty, ly FROM ps)""") + f"""
+SELECT retailer, store, custom_total, {S.dbl('t')} AS ty_sales, {S.dbl('l')} AS ly_sales,
+       {S.weekly_pct('t', 'l')} AS wk_pct FROM both_"""
+
+
+# ------------------------------------------------------- hierarchy rollup
+
+@query("hierarchy_rollup")
+def hierarchy_rollup(spark: SparkSession, sf_dir: str, sel: M.Selection = SEL) -> DataFrame:
+    t = Tables(spark, sf_dir)
+    per_store = M.window_sums(t, {"ytd_ty": M.ytd_window(sel)}, ["smm", "ssr", "store"])
+    out = (per_store.rollup("smm", "ssr", "store")
+           .agg(F.sum("ytd_ty").cast("double").alias("ytd_ty"),
+                F.grouping_id("smm", "ssr", "store").cast("long").alias("level"),
+                F.when(F.grouping("ssr") == 0, F.max("ssr")).alias("ssr_name")))
+    return out
+
+
+ORACLE["hierarchy_rollup"] = _with(S.calendar_cte(), S.POS_FACT_CTE, _anchor_cte(), """ps AS (
+  SELECT smm, ssr, store, sum(value) FILTER (WHERE sale_date BETWEEN ys_ty AND ye_ty) AS ytd_ty
+  FROM pos, a WHERE sale_date BETWEEN ys_ty AND ye_ty GROUP BY smm, ssr, store)""") + """
+SELECT smm, ssr, store, CAST(sum(ytd_ty) AS DOUBLE) AS ytd_ty,
+       CAST(GROUPING(smm, ssr, store) AS BIGINT) AS level,
+       CASE WHEN GROUPING(ssr) = 0 THEN max(ssr) END AS ssr_name
+FROM ps GROUP BY ROLLUP (smm, ssr, store)"""
+
+
+# -------------------------------------------------------------------- ranks
+
+@query("store_ytd_rank")
+def store_ytd_rank(spark: SparkSession, sf_dir: str, sel: M.Selection = SEL) -> DataFrame:
+    t = Tables(spark, sf_dir)
+    per_store = M.window_sums(t, {"ytd_ty": M.ytd_window(sel)}, ["store"])
+    ranked = global_rank(per_store, "ytd_ty", "ytd_rank", method="dense")
+    return ranked.select("store", F.col("ytd_ty").cast("double").alias("ytd_ty"), "ytd_rank")
+
+
+ORACLE["store_ytd_rank"] = _with(S.calendar_cte(), S.POS_FACT_CTE, _anchor_cte(), """ps AS (
+  SELECT store, sum(value) AS ytd_ty FROM pos, a WHERE sale_date BETWEEN ys_ty AND ye_ty GROUP BY store)""") + """
+SELECT store, CAST(ytd_ty AS DOUBLE) AS ytd_ty,
+       CASE WHEN ytd_ty IS NOT NULL THEN CAST(dense_rank() OVER (ORDER BY ytd_ty DESC) AS BIGINT) END AS ytd_rank
+FROM ps"""
+
+
+def _ssr_ytd(t: Tables, sel: M.Selection, level: str = "ssr") -> DataFrame:
+    wins = {"ytd_ty": M.ytd_window(sel), "ytd_ly": M.ytd_window(sel, last_year=True)}
+    return M.with_change(M.window_sums(t, wins, [level]), "ytd_ty", "ytd_ly", "ytd", pct="ytd")
+
+
+@query("ssr_pct_rank")
+def ssr_pct_rank(spark: SparkSession, sf_dir: str, sel: M.Selection = SEL) -> DataFrame:
+    t = Tables(spark, sf_dir)
+    df = _ssr_ytd(t, sel)
+    df = global_rank(df, "ytd_pct", "pct_rank", method="dense")
+    return M.as_double(df.select("ssr", "ytd_ty", "ytd_ly", "ytd_pct", "pct_rank"), ["ytd_ty", "ytd_ly"])
+
+
+_SSR_YTD_CTE = """lv AS (
+  SELECT ssr, sum(value) FILTER (WHERE sale_date BETWEEN ys_ty AND ye_ty) AS ytd_ty,
+         sum(value) FILTER (WHERE sale_date BETWEEN ys_ly AND ye_ly) AS ytd_ly
+  FROM pos, a WHERE sale_date BETWEEN ys_ly AND ye_ty GROUP BY ssr)"""
+ORACLE["ssr_pct_rank"] = _with(S.calendar_cte(), S.POS_FACT_CTE, _anchor_cte(), _SSR_YTD_CTE,
+                               f"p AS (SELECT *, {S.ytd_pct('ytd_ty', 'ytd_ly')} AS ytd_pct FROM lv)") + """
+SELECT ssr, CAST(ytd_ty AS DOUBLE) AS ytd_ty, CAST(ytd_ly AS DOUBLE) AS ytd_ly, ytd_pct,
+       CAST(dense_rank() OVER (ORDER BY ytd_pct DESC) AS BIGINT) AS pct_rank FROM p"""
+
+
+@query("rank_dispatch")
+def rank_dispatch(spark: SparkSession, sf_dir: str, sel: M.Selection = SEL, level: str = "ssr") -> DataFrame:
+    """Rank of each member at ``level``: by YTD TY sales when its LY is
+    blank, otherwise by YTD % change (both dense, over all members)."""
+    t = Tables(spark, sf_dir)
+    df = _ssr_ytd(t, sel, level)
+    df = global_rank(df, "ytd_ty", "rank_ty", method="dense")
+    df = global_rank(df, "ytd_pct", "rank_pct", method="dense")
+    df = df.withColumn("ytd_rank", F.when(F.col("ytd_ly").isNull(), F.col("rank_ty")).otherwise(F.col("rank_pct")))
+    return M.as_double(df.select(level, "ytd_ty", "ytd_ly", "ytd_rank"), ["ytd_ty", "ytd_ly"])
+
+
+ORACLE["rank_dispatch"] = _with(S.calendar_cte(), S.POS_FACT_CTE, _anchor_cte(), _SSR_YTD_CTE,
+                                f"p AS (SELECT *, {S.ytd_pct('ytd_ty', 'ytd_ly')} AS ytd_pct FROM lv)",
+                                """r AS (SELECT *, CASE WHEN ytd_ty IS NOT NULL THEN dense_rank() OVER (ORDER BY ytd_ty DESC) END AS rank_ty,
+                 dense_rank() OVER (ORDER BY ytd_pct DESC) AS rank_pct FROM p)""") + """
+SELECT ssr, CAST(ytd_ty AS DOUBLE) AS ytd_ty, CAST(ytd_ly AS DOUBLE) AS ytd_ly,
+       CAST(CASE WHEN ytd_ly IS NULL THEN rank_ty ELSE rank_pct END AS BIGINT) AS ytd_rank FROM r"""
+
+
+def _retailer_product_ty(t: Tables, sel: M.Selection) -> DataFrame:
+    return M.window_sums(t, {"ty_sales": M.weekly_window(sel, N_WEEKS)}, ["product", "retailer"])
+
+
+@query("retailer_rank_by_product")
+def retailer_rank_by_product(spark: SparkSession, sf_dir: str, sel: M.Selection = SEL) -> DataFrame:
+    t = Tables(spark, sf_dir)
+    df = group_rank(_retailer_product_ty(t, sel), ["product"], "ty_sales", "retailer_rank", method="skip")
+    return M.as_double(df, ["ty_sales"])
+
+
+_RP_CTE = f"""rp AS (
+  SELECT product, retailer, sum(value) AS ty_sales FROM pos, a
+  WHERE sale_date BETWEEN e_ty - {_NW} AND e_ty GROUP BY product, retailer)"""
+ORACLE["retailer_rank_by_product"] = _with(S.calendar_cte(), S.POS_FACT_CTE, _anchor_cte(), _RP_CTE) + """
+SELECT product, retailer, CAST(ty_sales AS DOUBLE) AS ty_sales,
+       CAST(rank() OVER (PARTITION BY product ORDER BY ty_sales DESC) AS BIGINT) AS retailer_rank FROM rp"""
+
+
+@query("retailer_at_rank_k")
+def retailer_at_rank_k(spark: SparkSession, sf_dir: str, sel: M.Selection = SEL) -> DataFrame:
+    """Per product and k = 1..6: the retailer ranked k (NULL on a tie or
+    when nobody holds rank k) and the 0/1 flag of the rank-k member."""
+    t = Tables(spark, sf_dir)
+    ranked = group_rank(_retailer_product_ty(t, sel), ["product"], "ty_sales", "retailer_rank", method="skip")
+    return member_at_rank(ranked, ["product"], "retailer_rank", "retailer", RANK_KS)
+
+
+ORACLE["retailer_at_rank_k"] = _with(S.calendar_cte(), S.POS_FACT_CTE, _anchor_cte(), _RP_CTE,
+                                     """rk AS (SELECT product, retailer, rank() OVER (PARTITION BY product ORDER BY ty_sales DESC) AS r FROM rp),
+ks AS (SELECT CAST(k AS BIGINT) AS k FROM (VALUES (1),(2),(3),(4),(5),(6)) v(k)),
+g AS (SELECT DISTINCT product FROM rp),
+hits AS (SELECT product, r AS k, count(*) AS c, min(retailer) AS m FROM rk GROUP BY product, r)""") + """
+SELECT g.product, ks.k, CASE WHEN hits.c = 1 THEN hits.m END AS retailer_at_k
+FROM g CROSS JOIN ks LEFT JOIN hits ON hits.product = g.product AND hits.k = ks.k"""
+
+
+# ------------------------------------------- selected retailer vs the rest
+
+def _side_aggs(ty):
+    def extra(pre: bool):
+        if pre:
+            return [F.count(F.when(ty.contains(F.col("sale_date")), F.col("store"))).alias("store_rows")]
+        return [F.sum("store_rows").cast("long").alias("store_rows")]
+    return extra
+
+
+@query("selected_vs_rest")
+def selected_vs_rest(spark: SparkSession, sf_dir: str, retailer: str = RETAILER,
+                     sel: M.Selection = SEL) -> DataFrame:
+    t = Tables(spark, sf_dir)
+    ty = M.weekly_window(sel, N_WEEKS)
+    wins = {"ty_sales": ty, "ly_sales": M.weekly_window(sel, N_WEEKS, last_year=True)}
+    env = M.envelope(wins.values())
+    lines = R.sales_lines(t, env)
+    pre = lines.groupBy("store").agg(*M._cond_sums(wins), *_side_aggs(ty)(True))
+    fact = R.attach_dims(pre, t, ["retailer"]).withColumn(
+        "side", F.when(F.col("retailer") == retailer, F.lit("selected")).otherwise(F.lit("others")))
+    df = fact.groupBy("side").agg(*[F.sum(n).alias(n) for n in wins], *_side_aggs(ty)(False))
+    df = M.with_change(df, "ty_sales", "ly_sales", "wk", pct="weekly")
+    df = df.withColumn("trend", B.sign_class(F.col("wk_change")))
+    return M.as_double(df, list(wins))
+
+
+ORACLE["selected_vs_rest"] = _with(S.calendar_cte(), S.POS_FACT_CTE, _anchor_cte(), f"""agg AS (
+  SELECT CASE WHEN retailer = '{RETAILER}' THEN 'selected' ELSE 'others' END AS side,
+         sum(value) FILTER (WHERE sale_date BETWEEN e_ty - {_NW} AND e_ty) AS ty,
+         sum(value) FILTER (WHERE sale_date BETWEEN e_ly - {_NW} AND e_ly) AS ly,
+         CAST(count(store) FILTER (WHERE sale_date BETWEEN e_ty - {_NW} AND e_ty) AS BIGINT) AS store_rows
+  FROM pos, a WHERE sale_date BETWEEN e_ly - {_NW} AND e_ty GROUP BY 1)""") + f"""
+SELECT side, {S.dbl('ty')} AS ty_sales, {S.dbl('ly')} AS ly_sales, store_rows,
+       {S.dbl(S.blank_sub('ty', 'ly'))} AS wk_change, {S.weekly_pct('ty', 'ly')} AS wk_pct,
+       CAST(CASE WHEN {S.blank_sub('ty', 'ly')} < 0 THEN -1 WHEN {S.blank_sub('ty', 'ly')} > 0 THEN 1 ELSE 0 END AS INTEGER) AS trend
+FROM agg"""
+
+
+@query("customer_vs_others")
+def customer_vs_others(spark: SparkSession, sf_dir: str, selected=CUSTOMERS, sel: M.Selection = SEL) -> DataFrame:
+    """Axis = selected retailers plus a pooled 'Others' member, stacked by
+    retailer; value = N-week TY sales."""
+    t = Tables(spark, sf_dir)
+    per = M.window_sums(t, {"ty_sales": M.weekly_window(sel, N_WEEKS)}, ["retailer"])
+    out = per.withColumn("axis", pooled_member("retailer", selected))
+    return M.as_double(out.select("axis", "retailer", "ty_sales"), ["ty_sales"])
+
+
+ORACLE["customer_vs_others"] = _with(S.calendar_cte(), S.POS_FACT_CTE, _anchor_cte()) + f"""
+SELECT CASE WHEN retailer IN {tuple(CUSTOMERS)} THEN retailer ELSE 'Others' END AS axis, retailer,
+       CAST(sum(value) AS DOUBLE) AS ty_sales
+FROM pos, a WHERE sale_date BETWEEN e_ty - {_NW} AND e_ty GROUP BY retailer"""
+
+
+@query("trend_class")
+def trend_class(spark: SparkSession, sf_dir: str, sel: M.Selection = SEL) -> DataFrame:
+    """Up / flat / down (1 / 0 / -1) of the MTD and YTD $ change per SSR;
+    flat covers both 0 and BLANK."""
+    t = Tables(spark, sf_dir)
+    wins = {"mtd_ty": M.mtd_window(sel), "mtd_ly": M.mtd_window(sel, last_year=True),
+            "ytd_ty": M.ytd_window(sel), "ytd_ly": M.ytd_window(sel, last_year=True)}
+    df = M.window_sums(t, wins, ["ssr"])
+    df = df.select("ssr", B.sign_class(B.blank_sub(F.col("mtd_ty"), F.col("mtd_ly"))).alias("mtd_trend"),
+                   B.sign_class(B.blank_sub(F.col("ytd_ty"), F.col("ytd_ly"))).alias("ytd_trend"))
+    return df
+
+
+ORACLE["trend_class"] = _with(S.calendar_cte(), S.POS_FACT_CTE, _anchor_cte(), """b AS (
+  SELECT *, CAST(last_d - INTERVAL 12 MONTH AS DATE) AS last_ly FROM a),
+agg AS (
+  SELECT ssr,
+    sum(value) FILTER (WHERE sale_date BETWEEN date_trunc('month', last_d) AND last_d) AS mtd_ty,
+    sum(value) FILTER (WHERE sale_date BETWEEN date_trunc('month', last_ly) AND last_ly) AS mtd_ly,
+    sum(value) FILTER (WHERE sale_date BETWEEN ys_ty AND ye_ty) AS ytd_ty,
+    sum(value) FILTER (WHERE sale_date BETWEEN ys_ly AND ye_ly) AS ytd_ly
+  FROM pos, b WHERE sale_date BETWEEN least(ys_ly, date_trunc('month', last_ly)) AND greatest(ye_ty, last_d)
+  GROUP BY ssr)""") + f"""
+SELECT ssr,
+  CAST(CASE WHEN {S.blank_sub('mtd_ty', 'mtd_ly')} < 0 THEN -1 WHEN {S.blank_sub('mtd_ty', 'mtd_ly')} > 0 THEN 1 ELSE 0 END AS INTEGER) AS mtd_trend,
+  CAST(CASE WHEN {S.blank_sub('ytd_ty', 'ytd_ly')} < 0 THEN -1 WHEN {S.blank_sub('ytd_ty', 'ytd_ly')} > 0 THEN 1 ELSE 0 END AS INTEGER) AS ytd_trend
+FROM agg"""
