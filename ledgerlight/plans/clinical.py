@@ -1 +1,370 @@
-"""(filled in below)"""
+"""Clinical queries: change windows, watermarks, visit resolution, the
+outcome-log MERGE, the sync orchestration and the JSON page ingest."""
+
+from __future__ import annotations
+
+import datetime as _dt
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..operators import resolve as RV
+from ..operators import state as ST
+from ..operators.joins import first_per_key, join_dim
+from ..sources import clinical as C
+from ..sources.tables import Tables
+from . import clinical_sql as Q
+from .registry import ORACLE, query
+
+# Fixed run parameters of the registered queries (deterministic results).
+RUN_TIME = _dt.datetime(2024, 2, 1)
+PREVIOUS_RUN = _dt.datetime(2024, 1, 15)
+WINDOW_END = _dt.datetime(2024, 1, 20)
+ADVANCED_TABLE = "i_click"
+SYNC_NAME = "subject_visits"
+
+_WM_SQL = "(SELECT CAST(CAST(min(ts) AS DATE) + 15 AS TIMESTAMP) FROM events)"
+
+
+def _watermark(t: Tables) -> _dt.datetime:
+    """The stored last-sync time (a scalar read, like any job parameter)."""
+    return ST.read_watermark(C.sync_watermark(t), SYNC_NAME, C.DEFAULT_WATERMARK).first()["watermark"]
+
+
+def _since(t: Tables):
+    return C.ntz_literal(_watermark(t))
+
+
+# ---------------------------------------------------------- change windows
+
+def _windows(t: Tables) -> DataFrame:
+    return ST.extraction_windows(C.table_watermarks(t), C.ntz_literal(WINDOW_END))
+
+
+@query("change_window")
+def change_window(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per-table extraction windows from the watermark config (tables
+    without a parsable date are skipped), applied to the visits with the
+    strict (lo, hi) created-or-modified test."""
+    t = Tables(spark, sf_dir)
+    win = _windows(t).select("table_name", "min_ts", "max_ts", "filter")
+    v = C.visits(t).withColumn("table_name", F.concat(F.lit("i_"), F.col("studyKey")))
+    j = join_dim(v, win, "table_name", "inner")
+    j = j.where(ST.in_change_window(F.col("dateCreated"), F.col("dateModified"), F.col("min_ts"), F.col("max_ts")))
+    return j.groupBy("table_name", "filter").agg(
+        F.count(F.lit(1)).alias("n_changed"), F.min("dateCreated").alias("first_created"),
+        F.max("dateModified").alias("last_modified"))
+
+
+_CFG_SQL = """cfg AS (
+  SELECT 'i_' || event_type AS table_name,
+         CASE WHEN event_type = 'signup' THEN 'not a date' ELSE strftime(min(ts), '%Y-%m-%dT%H:%M:%S') END AS latest
+  FROM events GROUP BY event_type),
+win AS (
+  SELECT table_name, TRY_CAST(latest AS TIMESTAMP) AS min_ts, TIMESTAMP '""" + str(WINDOW_END) + """' AS max_ts
+  FROM cfg WHERE TRY_CAST(latest AS TIMESTAMP) IS NOT NULL),
+winf AS (
+  SELECT *, 'dateCreated>' || strftime(min_ts, '%Y-%m-%dT%H:%M:%SZ') || ' and dateCreated<' || strftime(max_ts, '%Y-%m-%dT%H:%M:%SZ')
+         || ' or dateModified>' || strftime(min_ts, '%Y-%m-%dT%H:%M:%SZ') || ' and dateModified<' || strftime(max_ts, '%Y-%m-%dT%H:%M:%SZ') AS filter
+  FROM win)"""
+
+ORACLE["change_window"] = Q.with_([Q.VISITS, _CFG_SQL]) + """
+SELECT w.table_name, w.filter, count(*) AS n_changed, min(v.dateCreated) AS first_created, max(v.dateModified) AS last_modified
+FROM visits v JOIN winf w ON w.table_name = 'i_' || v.studyKey
+WHERE (v.dateCreated > w.min_ts AND v.dateCreated < w.max_ts) OR (v.dateModified > w.min_ts AND v.dateModified < w.max_ts)
+GROUP BY w.table_name, w.filter"""
+
+
+@query("change_window_excl")
+def change_window_excl(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records in the change window, minus catalog records and new records
+    (a NULL type is not the excluded value and is kept)."""
+    t = Tables(spark, sf_dir)
+    win = _windows(t).select("table_name", "min_ts", "max_ts")
+    r = C.records(t).withColumn("table_name", F.concat(F.lit("i_"), F.col("studyKey")))
+    j = join_dim(r, win, "table_name", "inner")
+    keep = (ST.in_change_window(F.col("dateCreated"), F.col("dateModified"), F.col("min_ts"), F.col("max_ts"))
+            & ~F.col("recordType").eqNullSafe(F.lit("CATALOG"))
+            & ~F.col("recordStatus").eqNullSafe(F.lit("New Record")))
+    return j.where(keep).groupBy("table_name").agg(
+        F.count(F.lit(1)).alias("n_kept"),
+        F.count(F.when(F.col("recordType").isNull(), F.lit(1))).alias("n_null_type"))
+
+
+ORACLE["change_window_excl"] = Q.with_([_CFG_SQL, """rec AS (
+  SELECT event_type AS studyKey, CASE WHEN event_id % 9 = 0 THEN 'CATALOG' WHEN event_id % 9 = 1 THEN NULL ELSE 'FORM' END AS recordType,
+         CASE WHEN event_id % 4 = 0 THEN 'New Record' ELSE 'Record Complete' END AS recordStatus,
+         ts AS dateCreated, ts + to_days(CAST(event_id % 5 AS INTEGER)) AS dateModified FROM events)"""]) + """
+SELECT w.table_name, count(*) AS n_kept, count(*) FILTER (WHERE r.recordType IS NULL) AS n_null_type
+FROM rec r JOIN win w ON w.table_name = 'i_' || r.studyKey
+WHERE ((r.dateCreated > w.min_ts AND r.dateCreated < w.max_ts) OR (r.dateModified > w.min_ts AND r.dateModified < w.max_ts))
+  AND r.recordType IS DISTINCT FROM 'CATALOG' AND r.recordStatus IS DISTINCT FROM 'New Record'
+GROUP BY w.table_name"""
+
+
+@query("since_watermark")
+def since_watermark(spark: SparkSession, sf_dir: str, study: str | None = None) -> DataFrame:
+    """Visits created or modified at/after the stored last-sync time."""
+    t = Tables(spark, sf_dir)
+    since = _since(t)
+    v = C.visits(t).where(ST.changed_since(F.col("dateCreated"), F.col("dateModified"), since))
+    if study is not None:
+        v = v.where(F.col("studyKey") == study)
+    return v.groupBy("studyKey").agg(F.count(F.lit(1)).alias("n_changed"),
+                                     F.min("dateCreated").alias("first_created"),
+                                     F.max("dateModified").alias("last_modified"))
+
+
+ORACLE["since_watermark"] = Q.with_([Q.VISITS]) + f"""
+SELECT studyKey, count(*) AS n_changed, min(dateCreated) AS first_created, max(dateModified) AS last_modified
+FROM visits WHERE dateCreated >= {_WM_SQL} OR dateModified >= {_WM_SQL} GROUP BY studyKey"""
+
+
+@query("study_key_union")
+def study_key_union(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct, non-null study keys across the visit, subject and study
+    tables."""
+    t = Tables(spark, sf_dir)
+    a = C.visits(t).select(F.col("studyKey").alias("study_key"))
+    b = C.subject_dim(t).select(F.col("studyKey").alias("study_key"))
+    c = C.study_ref(t).select(F.col("external_id").alias("study_key"))
+    return a.union(b).union(c).distinct().where(F.col("study_key").isNotNull())
+
+
+ORACLE["study_key_union"] = Q.with_([Q.VISITS, Q.SUBJECT_DIM, Q.STUDY]) + """
+SELECT study_key FROM (SELECT studyKey AS study_key FROM visits UNION SELECT studyKey FROM sdim
+                       UNION SELECT external_id FROM study) WHERE study_key IS NOT NULL"""
+
+
+@query("visit_site_enrich")
+def visit_site_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = Tables(spark, sf_dir)
+    e = RV.enrich_site(RV.extract_changed_visits(C.visits(t)), C.subject_dim(t))
+    return e.groupBy("study_key").agg(F.count(F.lit(1)).alias("n_visits"),
+                                      F.count("site_name").alias("n_with_site"))
+
+
+ORACLE["visit_site_enrich"] = Q.with_([Q.VISITS, Q.SUBJECT_DIM]) + """
+SELECT v.studyKey AS study_key, count(*) AS n_visits, count(d.siteName) AS n_with_site
+FROM visits v LEFT JOIN sdim d ON v.studyKey = d.studyKey AND v.subjectId = d.subjectId GROUP BY v.studyKey"""
+
+
+# ------------------------------------------------------------ retry source
+
+def retry_source(t: Tables, log: DataFrame) -> DataFrame:
+    """Failed visit outcomes of the log, resolved back to their latest
+    source row and site: the retry batch, as an extract."""
+    failed = (log.where((F.col("responsestatus") == "FAILURE") & (F.col("type") == "SubjectVisit"))
+                 .select("study_key", "visit_instance_id", "method", "subjectKey"))
+    src_keys = C.visits(t).select(F.col("studyKey").alias("study_key"),
+                                  F.col("visitid_instanceid").alias("visit_instance_id"),
+                                  F.col("subjectId").alias("subj_id")).distinct()
+    f = failed.join(src_keys, ["study_key", "visit_instance_id"], "left")
+    f = RV.enrich_site(f, C.subject_dim(t)).select("study_key", "visit_instance_id", "site_name").distinct()
+    src = C.visits(t).select(F.col("studyKey").alias("study_key"), F.col("visitid_instanceid").alias("visit_instance_id"),
+                             "dateModified", "subjectId", "intervalName", "visitDate", "deleted", "subjectKey",
+                             "visitType", "ieyn", "source")
+    src = first_per_key(src, ["study_key", "visit_instance_id"], ["dateModified"], latest=True)
+    j = f.join(src, ["study_key", "visit_instance_id"], "inner")
+    return j.select("study_key", F.col("subjectId").alias("subj_id"), F.col("intervalName").alias("interval_name"),
+                    F.col("visit_instance_id").alias("visitid_instanceid"), F.col("visitDate").alias("visit_date"),
+                    F.col("deleted").alias("is_deleted"), "subjectKey", F.col("visitType").alias("visit_type"),
+                    "ieyn", "source", "site_name")
+
+
+@query("failed_retry_source")
+def failed_retry_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = Tables(spark, sf_dir)
+    return retry_source(t, C.previous_log(t, PREVIOUS_RUN))
+
+
+_PREV_LOG_SQL = f"""plog AS (
+  SELECT v.subjectKey, v.studyKey AS study_key, d.siteName AS site_name,
+         CASE WHEN CAST(v.visitid_instanceid AS BIGINT) % 4 = 0 THEN 'FAILURE' ELSE 'SUCCESSFUL' END AS responsestatus,
+         'insert' AS method,
+         CASE WHEN CAST(v.visitid_instanceid AS BIGINT) % 4 = 0 THEN 'earlier failure' END AS error_message,
+         TIMESTAMP '{PREVIOUS_RUN}' AS inserted_date, 'SubjectVisit' AS type, v.visitid_instanceid AS visit_instance_id
+  FROM visits v LEFT JOIN sdim d ON v.studyKey = d.studyKey AND v.subjectId = d.subjectId)"""
+
+_RETRY_SQL = """fl AS (SELECT study_key, visit_instance_id FROM plog WHERE responsestatus = 'FAILURE' AND type = 'SubjectVisit'),
+fk AS (
+  SELECT DISTINCT fl.study_key, fl.visit_instance_id, d.siteName AS site_name
+  FROM fl LEFT JOIN (SELECT DISTINCT studyKey, visitid_instanceid, subjectId FROM visits) k
+       ON k.studyKey = fl.study_key AND k.visitid_instanceid = fl.visit_instance_id
+  LEFT JOIN sdim d ON d.studyKey = fl.study_key AND d.subjectId = k.subjectId),
+srcl AS (
+  SELECT studyKey, visitid_instanceid, arg_max(subjectId, dateModified) AS subjectId,
+         arg_max(intervalName, dateModified) AS intervalName, arg_max(visitDate, dateModified) AS visitDate,
+         arg_max(deleted, dateModified) AS deleted, arg_max(subjectKey, dateModified) AS subjectKey,
+         arg_max(visitType, dateModified) AS visitType, arg_max(ieyn, dateModified) AS ieyn,
+         arg_max(source, dateModified) AS source
+  FROM visits GROUP BY studyKey, visitid_instanceid),
+retry AS (
+  SELECT fk.study_key, s.subjectId AS subj_id, s.intervalName AS interval_name, fk.visit_instance_id AS visitid_instanceid,
+         s.visitDate AS visit_date, s.deleted AS is_deleted, s.subjectKey, s.visitType AS visit_type, s.ieyn, s.source,
+         fk.site_name
+  FROM fk JOIN srcl s ON s.studyKey = fk.study_key AND s.visitid_instanceid = fk.visit_instance_id)"""
+
+ORACLE["failed_retry_source"] = Q.with_([Q.VISITS, Q.SUBJECT_DIM, _PREV_LOG_SQL, _RETRY_SQL]) + "SELECT * FROM retry"
+
+
+# ------------------------------------------------------------- resolution
+
+def changed_batch(t: Tables) -> DataFrame:
+    """The changed visits since the watermark, enriched with the site."""
+    ext = RV.extract_changed_visits(C.visits(t), since=_since(t))
+    return RV.enrich_site(ext, C.subject_dim(t))
+
+
+def resolve(t: Tables, batch: DataFrame) -> DataFrame:
+    return RV.resolve_visits(batch, C.study_ref(t), C.site_ref(t), C.subject_ref(t), C.visit_def_ref(t),
+                             C.visit_ref(t))
+
+
+RESOLVE_COLS = ["study_key", "visitid_instanceid", "study_id", "study_ext", "external_id", "site_id", "country_id",
+                "subject_id", "category", "visitdef_id", "vault_visit_id", "visit_date_iso", "visit_status",
+                "method", "responsestatus", "error_message"]
+
+
+@query("visit_resolve")
+def visit_resolve(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = Tables(spark, sf_dir)
+    return resolve(t, changed_batch(t)).select(*RESOLVE_COLS)
+
+
+_BATCH_WHERE = f"dateCreated >= {_WM_SQL} OR dateModified >= {_WM_SQL}"
+ORACLE["visit_resolve"] = Q.with_(Q.resolve_ctes(_BATCH_WHERE)) + "SELECT " + ", ".join(RESOLVE_COLS) + " FROM res"
+
+
+@query("visit_errors")
+def visit_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """First failing validation per visit, counted per study and message."""
+    t = Tables(spark, sf_dir)
+    r = resolve(t, changed_batch(t)).where(F.col("error_message").isNotNull())
+    return r.groupBy("study_key", "error_message").agg(F.count(F.lit(1)).alias("n_visits"))
+
+
+ORACLE["visit_errors"] = Q.with_(Q.resolve_ctes(_BATCH_WHERE)) + """
+SELECT study_key, error_message, count(*) AS n_visits FROM res WHERE error_message IS NOT NULL
+GROUP BY study_key, error_message"""
+
+
+@query("visit_upsert_split")
+def visit_upsert_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Outbound payloads: the insert set (nine fields) and the update set
+    (three fields and the target id), counted per status."""
+    t = Tables(spark, sf_dir)
+    r = resolve(t, changed_batch(t))
+    ins = RV.insert_payload(r).select(F.lit("insert").alias("method"), F.col("visit_status__v").alias("visit_status"),
+                                      F.col("external_id__v").alias("k"))
+    upd = RV.update_payload(r).select(F.lit("update").alias("method"), F.col("visit_status__v").alias("visit_status"),
+                                      F.col("id").alias("k"))
+    return ins.unionByName(upd).groupBy("method", "visit_status").agg(
+        F.count(F.lit(1)).alias("n_payloads"), F.count_distinct("k").alias("n_targets"))
+
+
+ORACLE["visit_upsert_split"] = Q.with_(Q.resolve_ctes(_BATCH_WHERE)) + """
+SELECT method, visit_status, count(*) AS n_payloads,
+       count(DISTINCT CASE WHEN method = 'insert' THEN external_id ELSE vault_visit_id END) AS n_targets
+FROM res WHERE responsestatus = 'SUCCESSFUL' GROUP BY method, visit_status"""
+
+
+# ----------------------------------------------------------- outcome log
+
+LOG_KEYS = ["subjectKey", "study_key", "visit_instance_id", "method"]
+LOG_UPDATES = ["responsestatus", "error_message", "inserted_date"]
+
+
+@query("log_merge")
+def log_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """MERGE the batch's outcome rows into the previous log on (subject,
+    study, visit, method), NULL-safe."""
+    t = Tables(spark, sf_dir)
+    batch = RV.outcome_rows(resolve(t, changed_batch(t)), C.ntz_literal(RUN_TIME))
+    return ST.merge_upsert(C.previous_log(t, PREVIOUS_RUN), batch, LOG_KEYS, LOG_UPDATES)
+
+
+def _merge_sql(src: str) -> str:
+    keys = " AND ".join(f"t.{k} IS NOT DISTINCT FROM s.{k}" for k in LOG_KEYS)
+    cols = ["subjectKey", "study_key", "site_name", "responsestatus", "method", "error_message", "inserted_date",
+            "type", "visit_instance_id"]
+    sel = ", ".join((f"CASE WHEN s._in IS NOT NULL THEN s.{c} ELSE t.{c} END AS {c}" if c in LOG_UPDATES else
+                     f"CASE WHEN t._in IS NOT NULL THEN t.{c} ELSE s.{c} END AS {c}") for c in cols)
+    return (f"SELECT {sel} FROM (SELECT *, TRUE AS _in FROM plog) t "
+            f"FULL OUTER JOIN (SELECT *, TRUE AS _in FROM {src}) s ON {keys}")
+
+
+_OUTCOME_SQL = f"""outc AS (
+  SELECT subjectKey, study_key, site_name, responsestatus, method, error_message,
+         TIMESTAMP '{RUN_TIME}' AS inserted_date, 'SubjectVisit' AS type, visitid_instanceid AS visit_instance_id FROM res)"""
+ORACLE["log_merge"] = Q.with_(Q.resolve_ctes(_BATCH_WHERE) + [_PREV_LOG_SQL, _OUTCOME_SQL]) + _merge_sql("outc")
+
+
+@query("sync_visits_log")
+def sync_visits_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The incremental sync: retry the failed visits of the log, then the
+    visits changed since the watermark; all outcomes are MERGEd into the
+    log (for a visit in both sets the later, changed-batch outcome wins)."""
+    t = Tables(spark, sf_dir)
+    log = C.previous_log(t, PREVIOUS_RUN)
+    run = C.ntz_literal(RUN_TIME)
+    retry = RV.outcome_rows(resolve(t, retry_source(t, log)), run).withColumn("_seq", F.lit(0))
+    batch = RV.outcome_rows(resolve(t, changed_batch(t)), run).withColumn("_seq", F.lit(1))
+    outcomes = first_per_key(retry.unionByName(batch), LOG_KEYS, ["_seq"], latest=True).drop("_seq")
+    return ST.merge_upsert(log, outcomes.select(*log.columns), LOG_KEYS, LOG_UPDATES)
+
+
+@query("watermark_advance")
+def watermark_advance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Advance one table's watermark to the batch's last modification,
+    only when the batch had at least one successful visit."""
+    t = Tables(spark, sf_dir)
+    r = resolve(t, changed_batch(t))
+    stats = r.agg(F.count(F.when(F.col("responsestatus") == "SUCCESSFUL", F.lit(1))).alias("ok")).first()
+    last = (C.visits(t).where(ST.changed_since(F.col("dateCreated"), F.col("dateModified"), _since(t)))
+            .agg(F.date_format(F.max("dateModified"), "yyyy-MM-dd HH:mm:ss").alias("m")).first()["m"])
+    return ST.advance_table_watermark(C.table_watermarks(t), ADVANCED_TABLE, F.lit(last),
+                                      success_count=F.lit(int(stats["ok"])))
+
+
+ORACLE["watermark_advance"] = Q.with_(Q.resolve_ctes(_BATCH_WHERE) + ["""cfg AS (
+  SELECT 'i_' || event_type AS "Table",
+         CASE WHEN event_type = 'signup' THEN 'not a date' ELSE strftime(min(ts), '%Y-%m-%dT%H:%M:%S') END AS latest
+  FROM events GROUP BY event_type)""", f"""st2 AS (
+  SELECT (SELECT count(*) FROM res WHERE responsestatus = 'SUCCESSFUL') AS ok,
+         (SELECT strftime(max(dateModified), '%Y-%m-%d %H:%M:%S') FROM visits WHERE {_BATCH_WHERE}) AS m)"""]) + f"""
+SELECT "Table", CASE WHEN "Table" = '{ADVANCED_TABLE}' AND ok >= 1 THEN m ELSE latest END AS "Latest_Date" FROM cfg, st2"""
+
+
+@query("run_log")
+def run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Execution-log rows, one per study table loaded by the batch."""
+    t = Tables(spark, sf_dir)
+    v = C.visits(t).where(ST.changed_since(F.col("dateCreated"), F.col("dateModified"), _since(t)))
+    per = v.groupBy(F.concat(F.lit("i_"), F.col("studyKey")).alias("table")).agg(
+        F.count(F.lit(1)).alias("row_count"), F.min("dateCreated").alias("start_time"),
+        F.max("dateModified").alias("end_time"))
+    return ST.run_log(per, layer="bronze", data_source="visits")
+
+
+ORACLE["run_log"] = Q.with_([Q.VISITS]) + f"""
+SELECT 'i_' || studyKey AS "table", 'ETL' AS log_type, 'Succeeded' AS etl_status, 'bronze' AS layer,
+       'visits' AS data_source, CAST(NULL AS VARCHAR) AS error, CAST(200 AS INTEGER) AS status_code,
+       count(*) AS row_count, min(dateCreated) AS start_time, max(dateModified) AS end_time,
+       'loaded ' || CAST(count(*) AS VARCHAR) || ' rows' AS custom_description
+FROM visits WHERE {_BATCH_WHERE} GROUP BY studyKey"""
+
+
+def _sync_oracle() -> str:
+    keys = ", ".join(LOG_KEYS)
+    ctes = (Q.resolve_ctes(_BATCH_WHERE) + [_PREV_LOG_SQL, _OUTCOME_SQL, _RETRY_SQL] + Q.resolve_chain("r_", "retry")
+            + [f"""routc AS (
+  SELECT subjectKey, study_key, site_name, responsestatus, method, error_message,
+         TIMESTAMP '{RUN_TIME}' AS inserted_date, 'SubjectVisit' AS type, visitid_instanceid AS visit_instance_id FROM r_res)""",
+               f"""allo AS (SELECT *, 0 AS seq FROM routc UNION ALL SELECT *, 1 AS seq FROM outc)""",
+               f"""pick AS (SELECT * EXCLUDE (seq) FROM allo
+  QUALIFY row_number() OVER (PARTITION BY {keys} ORDER BY seq DESC) = 1)"""])
+    return Q.with_(ctes) + _merge_sql("pick")
+
+
+ORACLE["sync_visits_log"] = _sync_oracle()
