@@ -1,11 +1,19 @@
-"""Join helpers with an explicit size check before any broadcast.
-
-``broadcast()`` overrides Spark's own size estimate, so it is only applied
-when the small side is proven small: either it is a fixed code table
-(``bounded=True`` by construction, e.g. five regions, a literal parameter
-table) or a bounded count shows it holds at most ``max_rows`` rows.  Past
-that bound the join is left to the planner (sort-merge, or a broadcast
-chosen by AQE from runtime statistics).
+"""Join helpers with a size check before any broadcast.
+
+``broadcast()`` overrides Spark's own size estimate, so the hint is only
+applied when the small side is proven small:
+
+* ``bounded=True``: a fixed code table (five regions, 25 nations, a literal
+  parameter table) -- small by construction;
+* ``max_rows=n``: a bounded count (``limit(n + 1).count()``) shows at most
+  n rows.  Worth it only for plain scans, where the count stops early; for
+  a derived (aggregated) side it would compute the side twice.
+
+Every other dimension join carries no hint: the planner broadcasts it when
+its statistics are under ``spark.sql.autoBroadcastJoinThreshold``, and AQE
+converts a sort-merge join to a broadcast join at runtime once the
+materialised side is known to be small.  Past those bounds it stays a
+shuffle join, so nothing large is ever shipped to every executor.
 """
 
 from __future__ import annotations
@@ -32,15 +40,14 @@ def has_at_most(df: DataFrame, max_rows: int) -> bool:
     return ok
 
 
-def maybe_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
-                    bounded: bool = False) -> DataFrame:
-    if bounded or has_at_most(df, max_rows):
+def maybe_broadcast(df: DataFrame, max_rows: int | None = None, bounded: bool = False) -> DataFrame:
+    if bounded or (max_rows is not None and has_at_most(df, max_rows)):
         return F.broadcast(df)
     return df
 
 
 def join_dim(fact: DataFrame, dim: DataFrame, on, how: str = "left",
-             max_rows: int = DEFAULT_MAX_BROADCAST_ROWS, bounded: bool = False) -> DataFrame:
+             max_rows: int | None = None, bounded: bool = False) -> DataFrame:
     """Many-to-one join of a fact to a dimension (left by default, so fact
     rows without a dimension match keep a blank member)."""
     return fact.join(maybe_broadcast(dim, max_rows, bounded), on, how)

@@ -45,7 +45,12 @@ DEFAULT_WATERMARK = _dt.datetime(2023, 10, 2)
 
 
 def visits(t: Tables) -> DataFrame:
-    e = t.events
+    return visits_from_events(t.events)
+
+
+def visits_from_events(e: DataFrame) -> DataFrame:
+    """The visit derivation on any frame with the events columns (a table
+    or a streaming micro-batch)."""
     eid = F.col("event_id")
     m3, m20, m7, m11 = eid % 3, eid % 20, eid % 7, eid % 11
     return e.select(
