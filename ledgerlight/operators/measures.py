@@ -174,6 +174,15 @@ def monday_dispatch_window(sel: Selection, order: int) -> DateRange:
 
 # ------------------------------------------------------------- evaluation
 
+def week_end_date(sel: Selection) -> _dt.date | None:
+    """Last date of the selected week; blank for week 53."""
+    return None if sel.week == 53 else sel.last_date
+
+
+GROUPABLE = ("retailer", "retailer_order", "smm", "ssr", "store", "store_name", "in_coverage", "product",
+             "part_key", "sale_date")
+
+
 def _cond_sums(windows: dict[str, DateRange], date_col: str = "sale_date", value_col: str = "value"):
     return [F.sum(F.when(r.contains(F.col(date_col)), F.col(value_col))).alias(n) for n, r in windows.items()]
 
@@ -183,7 +192,8 @@ def window_sums(t: Tables, windows: dict[str, DateRange], by, where: Column | No
     """All windows of the POS fact, grouped by ``by`` (dimension or fact
     columns), evaluated in one scan.  ``where`` filters on dimension
     columns listed in ``where_cols`` (a report selection)."""
-    by = list(by)
+    from ..sources.params import check_group_cols
+    by = check_group_cols(by, GROUPABLE)
     needed = set(by) | set(where_cols)
     env = envelope(windows.values())
     lines = R.sales_lines(t, env)

@@ -32,7 +32,9 @@ def long_metric_report(spark: SparkSession, wide: DataFrame, id_cols, metrics, w
                             F.col("sort").alias("window_sort"))
         out = out.join(F.broadcast(wt), window_key, "left")
     lead = id_cols + (["window_label", "window_sort"] if windows is not None else [])
-    return out.select(*lead, "metric", "metric_ord", "category", F.col("value").cast("double").alias("value"))
+    order = (["window_sort"] if windows is not None else []) + ["metric_ord"] + id_cols
+    return (out.select(*lead, "metric", "metric_ord", "category", F.col("value").cast("double").alias("value"))
+               .orderBy(*order))
 
 
 def pooled_member(col: str, selected) -> F.Column:

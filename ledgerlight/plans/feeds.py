@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..operators import feeds_etl as FE
 from ..operators import quality as Q
+from ..sources import params as P
 from ..sources import retail as R
 from ..sources.tables import Tables
 from .registry import ORACLE, query
@@ -67,11 +68,18 @@ FROM k GROUP BY feed"""
 
 # ------------------------------------------------------- coverage file
 
+# Source column names of the coverage file -> library names.
+COVERAGE_RENAMES = {"Master_Chain": "master_chain", "Store_Num": "store_num_text", "Store_Name": "store_name",
+                    "SMM": "smm", "SSR": "ssr"}
+
+
 def coverage_source(t: Tables) -> DataFrame:
-    """The coverage file: stores with a non-negative balance."""
+    """The coverage file (stores with a non-negative balance), delivered
+    with its own column names and renamed on load."""
     sd = R.store_dim(t).where(F.col("in_coverage"))
-    return sd.select(F.col("retailer").alias("master_chain"), F.col("store").cast("string").alias("store_num_text"),
-                     "store_name", "smm", "ssr")
+    raw = sd.select(F.col("retailer").alias("Master_Chain"), F.col("store").cast("string").alias("Store_Num"),
+                    F.col("store_name").alias("Store_Name"), F.col("smm").alias("SMM"), F.col("ssr").alias("SSR"))
+    return P.rename_columns(raw, COVERAGE_RENAMES)
 
 
 def coverage_dim(t: Tables) -> DataFrame:

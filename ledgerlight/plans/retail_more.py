@@ -276,7 +276,9 @@ def selected_vs_rest(spark: SparkSession, sf_dir: str, retailer: str = RETAILER,
     pre = lines.groupBy("store").agg(*M._cond_sums(wins), *_side_aggs(ty)(True))
     fact = R.attach_dims(pre, t, ["retailer"]).withColumn(
         "side", F.when(F.col("retailer") == retailer, F.lit("selected")).otherwise(F.lit("others")))
-    df = fact.groupBy("side").agg(*[F.sum(n).alias(n) for n in wins], *_side_aggs(ty)(False))
+    sums = [F.sum(n).alias(n) for n in wins] + _side_aggs(ty)(False)
+    # One pass: per side, plus the grand total with every filter cleared.
+    df = fact.rollup("side").agg(*sums).withColumn("side", F.coalesce(F.col("side"), F.lit("all")))
     df = M.with_change(df, "ty_sales", "ly_sales", "wk", pct="weekly")
     df = df.withColumn("trend", B.sign_class(F.col("wk_change")))
     return M.as_double(df, list(wins))
@@ -287,8 +289,8 @@ ORACLE["selected_vs_rest"] = _with(S.calendar_cte(), S.POS_FACT_CTE, _anchor_cte
          sum(value) FILTER (WHERE sale_date BETWEEN e_ty - {_NW} AND e_ty) AS ty,
          sum(value) FILTER (WHERE sale_date BETWEEN e_ly - {_NW} AND e_ly) AS ly,
          CAST(count(store) FILTER (WHERE sale_date BETWEEN e_ty - {_NW} AND e_ty) AS BIGINT) AS store_rows
-  FROM pos, a WHERE sale_date BETWEEN e_ly - {_NW} AND e_ty GROUP BY 1)""") + f"""
-SELECT side, {S.dbl('ty')} AS ty_sales, {S.dbl('ly')} AS ly_sales, store_rows,
+  FROM pos, a WHERE sale_date BETWEEN e_ly - {_NW} AND e_ty GROUP BY GROUPING SETS ((1), ()))""") + f"""
+SELECT coalesce(side, 'all') AS side, {S.dbl('ty')} AS ty_sales, {S.dbl('ly')} AS ly_sales, store_rows,
        {S.dbl(S.blank_sub('ty', 'ly'))} AS wk_change, {S.weekly_pct('ty', 'ly')} AS wk_pct,
        CAST(CASE WHEN {S.blank_sub('ty', 'ly')} < 0 THEN -1 WHEN {S.blank_sub('ty', 'ly')} > 0 THEN 1 ELSE 0 END AS INTEGER) AS trend
 FROM agg"""
@@ -337,3 +339,95 @@ SELECT ssr,
   CAST(CASE WHEN {S.blank_sub('mtd_ty', 'mtd_ly')} < 0 THEN -1 WHEN {S.blank_sub('mtd_ty', 'mtd_ly')} > 0 THEN 1 ELSE 0 END AS INTEGER) AS mtd_trend,
   CAST(CASE WHEN {S.blank_sub('ytd_ty', 'ytd_ly')} < 0 THEN -1 WHEN {S.blank_sub('ytd_ty', 'ytd_ly')} > 0 THEN 1 ELSE 0 END AS INTEGER) AS ytd_trend
 FROM agg"""
+
+
+# ------------------------------------------------- SQL API: top-k stores
+
+TOP_K = 10
+
+
+@query("top_stores_sql")
+def top_stores_sql(spark: SparkSession, sf_dir: str, k: int = TOP_K) -> DataFrame:
+    """Top-k stores by sales in calendar year 2000, written with the SQL
+    API over a temp view (the limit is the feature: a top-k report)."""
+    Tables(spark, sf_dir).lineitem.createOrReplaceTempView("ll_lineitem")
+    return spark.sql(f"""
+        SELECT l_suppkey AS store, CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS sales
+        FROM ll_lineitem
+        WHERE l_shipdate >= TIMESTAMP_NTZ '2000-01-01 00:00:00' AND l_shipdate < TIMESTAMP_NTZ '2001-01-01 00:00:00'
+        GROUP BY l_suppkey ORDER BY sales DESC, store LIMIT {k}""")
+
+
+ORACLE["top_stores_sql"] = f"""SELECT l_suppkey AS store, CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS sales
+FROM lineitem WHERE l_shipdate >= TIMESTAMP '2000-01-01 00:00:00' AND l_shipdate < TIMESTAMP '2001-01-01 00:00:00'
+GROUP BY l_suppkey ORDER BY sales DESC, store LIMIT {TOP_K}"""
+
+
+# ------------------------------------------ last-N-months parameter sweep
+
+SWEEP_MAX = 13
+
+
+@query("last_n_months_sweep")
+def last_n_months_sweep(spark: SparkSession, sf_dir: str, sel: M.Selection = SEL) -> DataFrame:
+    """Sales in the last N months for every N of the parameter series
+    1..13 at once (one scan, one conditional sum per N)."""
+    from ..sources.params import number_series
+    t = Tables(spark, sf_dir)
+    wins = {f"n_{n}": M.last_n_months_window(sel, n) for n in range(1, SWEEP_MAX + 1)}
+    wide = M.window_sums(t, wins, ["retailer"])
+    long = wide.unpivot(["retailer"], list(wins), "param", "sales").withColumn(
+        "n_months", F.regexp_extract("param", r"(\d+)", 1).cast("long")).drop("param")
+    series = F.broadcast(number_series(spark, 1, SWEEP_MAX, name="n_months"))   # 13 rows
+    return long.join(series, "n_months", "inner").select("retailer", "n_months",
+                                                         F.col("sales").cast("double").alias("sales"))
+
+
+def _sweep_sql() -> str:
+    cols = ", ".join(
+        f"sum(value) FILTER (WHERE sale_date BETWEEN date_trunc('month', last_d - INTERVAL {n - 1} MONTH) AND last_d) AS n_{n}"
+        for n in range(1, SWEEP_MAX + 1))
+    rows = " UNION ALL ".join(f"SELECT retailer, CAST({n} AS BIGINT) AS n_months, CAST(n_{n} AS DOUBLE) AS sales FROM w"
+                              for n in range(1, SWEEP_MAX + 1))
+    return _with(S.calendar_cte(), S.POS_FACT_CTE, _anchor_cte(),
+                 f"w AS (SELECT retailer, {cols} FROM pos, a WHERE sale_date BETWEEN "
+                 f"date_trunc('month', last_d - INTERVAL {SWEEP_MAX - 1} MONTH) AND last_d GROUP BY retailer)") + rows
+
+
+ORACLE["last_n_months_sweep"] = _sweep_sql()
+
+
+# ------------------------------------- products with sales (semi join)
+
+@query("active_products")
+def active_products(spark: SparkSession, sf_dir: str, sel: M.Selection = SEL) -> DataFrame:
+    """Product members that have sales in the year-to-week window: the
+    product dimension filtered by the fact (a semi join on the distinct
+    part keys of the window, reduced map-side before the shuffle)."""
+    t = Tables(spark, sf_dir)
+    sold = R.sales_lines(t, M.ytd_window(sel)).select("part_key").distinct()
+    parts = R.product_dim(t).join(sold, "part_key", "left_semi")
+    return parts.groupBy("product").agg(F.count(F.lit(1)).alias("n_parts_sold"))
+
+
+ORACLE["active_products"] = _with(S.calendar_cte(), _anchor_cte()) + """
+SELECT upper(trim(p_brand)) AS product, count(*) AS n_parts_sold FROM part
+WHERE p_partkey IN (SELECT l_partkey FROM lineitem, a WHERE CAST(l_shipdate AS DATE) BETWEEN ys_ty AND ye_ty)
+GROUP BY 1"""
+
+
+# ------------------------------------------ product-filtered N-week sales
+
+@query("product_filtered_nweek")
+def product_filtered_nweek(spark: SparkSession, sf_dir: str, product: str = PRODUCT,
+                           sel: M.Selection = SEL) -> DataFrame:
+    t = Tables(spark, sf_dir)
+    wins = {"ty_4w": M.weekly_window(sel, 4), "ty_13w": M.weekly_window(sel, 13)}
+    df = M.window_sums(t, wins, ["retailer"], where=F.col("product") == product, where_cols=["product"])
+    return M.as_double(df, list(wins))
+
+
+ORACLE["product_filtered_nweek"] = _with(S.calendar_cte(), S.POS_FACT_CTE, _anchor_cte()) + f"""
+SELECT retailer, CAST(sum(value) FILTER (WHERE sale_date BETWEEN e_ty - 27 AND e_ty) AS DOUBLE) AS ty_4w,
+       CAST(sum(value) FILTER (WHERE sale_date BETWEEN e_ty - 90 AND e_ty) AS DOUBLE) AS ty_13w
+FROM pos, a WHERE product = '{PRODUCT}' AND sale_date BETWEEN e_ty - 90 AND e_ty GROUP BY retailer"""
