@@ -11,8 +11,11 @@ SF_SMALL = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
+    import tempfile
+
     from ledgerlight.session import build_session
-    s = build_session("local[4]", shuffle_partitions=4)
+    wh = tempfile.mkdtemp(prefix="ll-warehouse-")
+    s = build_session("local[4]", shuffle_partitions=4, extra={"spark.sql.warehouse.dir": wh})
     yield s
     s.stop()
 
