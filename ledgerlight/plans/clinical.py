@@ -307,10 +307,12 @@ def sync_visits_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     log (for a visit in both sets the later, changed-batch outcome wins)."""
     t = Tables(spark, sf_dir)
     log = C.previous_log(t, PREVIOUS_RUN)
-    run = C.ntz_literal(RUN_TIME)
-    retry = RV.outcome_rows(resolve(t, retry_source(t, log)), run).withColumn("_seq", F.lit(0))
-    batch = RV.outcome_rows(resolve(t, changed_batch(t)), run).withColumn("_seq", F.lit(1))
-    outcomes = first_per_key(retry.unionByName(batch), LOG_KEYS, ["_seq"], latest=True).drop("_seq")
+    # Resolution is row by row independent: both batches go through it once.
+    retry = retry_source(t, log).withColumn("_seq", F.lit(0))
+    batch = changed_batch(t).withColumn("_seq", F.lit(1))
+    resolved = resolve(t, retry.unionByName(batch))
+    rows = RV.outcome_rows(resolved, C.ntz_literal(RUN_TIME), keep=("_seq",))
+    outcomes = first_per_key(rows, LOG_KEYS, ["_seq"], latest=True).drop("_seq")
     return ST.merge_upsert(log, outcomes.select(*log.columns), LOG_KEYS, LOG_UPDATES)
 
 

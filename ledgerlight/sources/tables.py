@@ -28,6 +28,8 @@ class Tables:
         return self.spark.read.parquet(self.path(name))
 
     def __getattr__(self, name: str) -> DataFrame:
+        if name.startswith("__") or name == "fact_path":
+            raise AttributeError(name)
         if name in TABLES:
             return self.read(name)
         raise AttributeError(name)
