@@ -23,7 +23,7 @@ WINDOW_END = _dt.datetime(2024, 1, 20)
 ADVANCED_TABLE = "i_click"
 SYNC_NAME = "subject_visits"
 
-_WM_SQL = "(SELECT CAST(CAST(min(ts) AS DATE) + 15 AS TIMESTAMP) FROM events)"
+_WM_SQL = Q.WM
 
 
 def _watermark(t: Tables) -> _dt.datetime:
@@ -175,16 +175,18 @@ def retry_source(t: Tables, log: DataFrame) -> DataFrame:
 @query("failed_retry_source")
 def failed_retry_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = Tables(spark, sf_dir)
-    return retry_source(t, C.previous_log(t, PREVIOUS_RUN))
+    return retry_source(t, C.previous_log(t, PREVIOUS_RUN, _since(t)))
 
 
+_SITE_MISSING_SQL = Q._msg("Site name missing for study '", ("v.studyKey",), "' and subject '", ("v.subjectKey",), "'")
 _PREV_LOG_SQL = f"""plog AS (
   SELECT v.subjectKey, v.studyKey AS study_key, d.siteName AS site_name,
-         CASE WHEN CAST(v.visitid_instanceid AS BIGINT) % 4 = 0 THEN 'FAILURE' ELSE 'SUCCESSFUL' END AS responsestatus,
+         CASE WHEN coalesce(d.siteName, '') = '' THEN 'FAILURE' ELSE 'SUCCESSFUL' END AS responsestatus,
          'insert' AS method,
-         CASE WHEN CAST(v.visitid_instanceid AS BIGINT) % 4 = 0 THEN 'earlier failure' END AS error_message,
+         CASE WHEN coalesce(d.siteName, '') = '' THEN {_SITE_MISSING_SQL} END AS error_message,
          TIMESTAMP '{PREVIOUS_RUN}' AS inserted_date, 'SubjectVisit' AS type, v.visitid_instanceid AS visit_instance_id
-  FROM visits v LEFT JOIN sdim d ON v.studyKey = d.studyKey AND v.subjectId = d.subjectId)"""
+  FROM visits v LEFT JOIN sdim d ON v.studyKey = d.studyKey AND v.subjectId = d.subjectId
+  WHERE v.dateCreated < {_WM_SQL})"""
 
 _RETRY_SQL = """fl AS (SELECT study_key, visit_instance_id FROM plog WHERE responsestatus = 'FAILURE' AND type = 'SubjectVisit'),
 fk AS (
@@ -217,8 +219,9 @@ def changed_batch(t: Tables) -> DataFrame:
 
 
 def resolve(t: Tables, batch: DataFrame) -> DataFrame:
-    return RV.resolve_visits(batch, C.study_ref(t), C.site_ref(t), C.subject_ref(t), C.visit_def_ref(t),
-                             C.visit_ref(t))
+    since = _since(t)
+    return RV.resolve_visits(batch, C.study_ref(t), C.site_ref(t), C.subject_ref(t, since), C.visit_def_ref(t),
+                             C.visit_ref(t, since))
 
 
 RESOLVE_COLS = ["study_key", "visitid_instanceid", "study_id", "study_ext", "external_id", "site_id", "country_id",
@@ -281,7 +284,7 @@ def log_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     study, visit, method), NULL-safe."""
     t = Tables(spark, sf_dir)
     batch = RV.outcome_rows(resolve(t, changed_batch(t)), C.ntz_literal(RUN_TIME))
-    return ST.merge_upsert(C.previous_log(t, PREVIOUS_RUN), batch, LOG_KEYS, LOG_UPDATES)
+    return ST.merge_upsert(C.previous_log(t, PREVIOUS_RUN, _since(t)), batch, LOG_KEYS, LOG_UPDATES)
 
 
 def _merge_sql(src: str) -> str:
@@ -306,7 +309,7 @@ def sync_visits_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     visits changed since the watermark; all outcomes are MERGEd into the
     log (for a visit in both sets the later, changed-batch outcome wins)."""
     t = Tables(spark, sf_dir)
-    log = C.previous_log(t, PREVIOUS_RUN)
+    log = C.previous_log(t, PREVIOUS_RUN, _since(t))
     # Resolution is row by row independent: both batches go through it once.
     retry = retry_source(t, log).withColumn("_seq", F.lit(0))
     batch = changed_batch(t).withColumn("_seq", F.lit(1))

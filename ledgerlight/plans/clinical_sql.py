@@ -5,6 +5,10 @@ from __future__ import annotations
 from ..sources import clinical as C
 
 
+# The stored last-sync time (midnight 15 days after the first visit).
+WM = "(SELECT CAST(CAST(min(ts) AS DATE) + 15 AS TIMESTAMP) FROM events)"
+
+
 def _in(values) -> str:
     return "(" + ", ".join(f"'{v}'" for v in values) + ")"
 
@@ -43,12 +47,14 @@ SITE = f"""site AS (
          substring(d.siteName, 1, 50) AS external_id,
          CASE WHEN c.c_nationkey <> {C.NO_COUNTRY_NATION} THEN 'CTRY-' || n.n_name END AS study_country
   FROM sdim d LEFT JOIN customer c ON d.subjectId = CAST(c.c_custkey AS VARCHAR)
-  LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey WHERE d.siteName IS NOT NULL)"""
+  LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey
+  WHERE d.siteName IS NOT NULL AND c.c_nationkey IS DISTINCT FROM {C.UNSET_SITE_NATION})"""
 
 SUBJECT = f"""subj AS (
   SELECT 'SUB-' || event_type || '-' || CAST(user_id AS VARCHAR) AS id,
          {study_ext('event_type')} || '-' || 'S-' || lpad(CAST(user_id AS VARCHAR), 4, '0') AS external_id
-  FROM (SELECT DISTINCT event_type, user_id FROM events) WHERE user_id % 30 <> 29)"""
+  FROM (SELECT DISTINCT event_type, user_id FROM events WHERE ts < {WM})
+  WHERE user_id NOT IN (SELECT c_custkey FROM customer WHERE c_nationkey = {C.UNREGISTERED_NATION}))"""
 
 VISIT_DEF = f"""vdef AS (
   SELECT 'VD-' || studyKey || '-' || replace(intervalName, ' ', '') AS id, 'STU-' || upper(studyKey) AS study,
@@ -59,7 +65,7 @@ VISIT_DEF = f"""vdef AS (
 VISIT = f"""vis AS (
   SELECT 'VIS-' || visitid_instanceid AS id,
          concat_ws('-', {study_ext('studyKey')}, subjectKey, visitid_instanceid) AS external_id
-  FROM visits WHERE CAST(visitid_instanceid AS BIGINT) % 2 = 0)"""
+  FROM visits WHERE dateCreated < {WM})"""
 
 REFS = [VISITS, SUBJECT_DIM, STUDY, SITE, SUBJECT, VISIT_DEF, VISIT]
 

@@ -15,12 +15,15 @@ Mapping (fixed for the whole library):
                 name is a long descriptive name (over 50 characters), NULL
                 for customers with a negative balance
   resolver      study / site / subject / visit-definition / visit reference
-                tables derived from the same rows, with deliberate gaps: the
-                'purchase' study only exists with a '(Prod)' suffix, 'signup'
-                does not exist, nation 7 sites lack a country, every subject
-                with user_id % 30 = 29 is missing, 'Visit 6' has no
-                definition by name, even visit instances already exist
-  outcome log   an earlier run's log: every fourth visit failed
+                tables derived from the same rows: the 'purchase' study only
+                exists with a '(Prod)' suffix, 'signup' does not exist, sites
+                of nation 7 lack a country, sites of nation 13 are not set
+                up, customers of nation 11 are not registered as subjects,
+                'Visit 6' has no definition by name; subjects and visits exist in the target system when
+                they were created before the last sync (an earlier run pushed
+                them), so later ones are inserts or missing subjects
+  outcome log   the earlier run's log over the visits created before the
+                last sync: those without a site failed
   config        per-table and single-row watermark tables
 
 All tables are lazy DataFrames over the given parquet files, so their
@@ -40,6 +43,8 @@ MEDIDATA_STUDIES = ("click", "view", "purchase")
 PROD_SUFFIX_STUDIES = ("purchase",)
 ABSENT_STUDIES = ("signup",)
 NO_COUNTRY_NATION = 7
+UNSET_SITE_NATION = 13          # sites there are not set up in the target
+UNREGISTERED_NATION = 11        # subjects of customers there are not registered
 UNDEFINED_INTERVAL = "Visit 6"
 DEFAULT_WATERMARK = _dt.datetime(2023, 10, 2)
 
@@ -96,6 +101,7 @@ def site_ref(t: Tables) -> DataFrame:
     cust = t.customer.select(F.col("c_custkey").cast("string").alias("subjectId"), "c_nationkey")
     nat = t.nation.select(F.col("n_nationkey").alias("c_nationkey"), "n_name")
     x = d.join(cust, "subjectId", "left").join(F.broadcast(nat), "c_nationkey", "left")
+    x = x.where(~F.col("c_nationkey").eqNullSafe(F.lit(UNSET_SITE_NATION)))
     return x.select(F.concat(F.lit("SITE-"), F.col("studyKey"), F.lit("-"), F.col("subjectId")).alias("id"),
                     F.concat(F.lit("STU-"), F.upper("studyKey")).alias("study"),
                     F.substring("siteName", 1, 50).alias("external_id"),
@@ -103,8 +109,13 @@ def site_ref(t: Tables) -> DataFrame:
                      .alias("study_country"))
 
 
-def subject_ref(t: Tables) -> DataFrame:
-    v = t.events.select("event_type", "user_id").distinct().where(F.col("user_id") % 30 != 29)
+def subject_ref(t: Tables, cutoff: F.Column) -> DataFrame:
+    """Subjects pushed by earlier runs: those with a visit created before
+    ``cutoff``."""
+    v = t.events.where(F.col("ts") < cutoff).select("event_type", "user_id").distinct()
+    unregistered = t.customer.where(F.col("c_nationkey") == UNREGISTERED_NATION).select(
+        F.col("c_custkey").alias("user_id"))
+    v = v.join(unregistered, "user_id", "left_anti")
     key = F.concat(F.lit("S-"), F.lpad(F.col("user_id").cast("string"), 4, "0"))
     return v.select(F.concat(F.lit("SUB-"), F.col("event_type"), F.lit("-"), F.col("user_id").cast("string")).alias("id"),
                     F.concat(_study_ext(F.col("event_type")), F.lit("-"), key).alias("external_id"))
@@ -119,8 +130,9 @@ def visit_def_ref(t: Tables) -> DataFrame:
         F.concat(_study_ext(F.col("studyKey")), F.lit("-"), F.col("intervalName"), F.lit("-SF")).alias("external_id"))
 
 
-def visit_ref(t: Tables) -> DataFrame:
-    v = visits(t).where(F.col("visitid_instanceid").cast("long") % 2 == 0)
+def visit_ref(t: Tables, cutoff: F.Column) -> DataFrame:
+    """Visits pushed by earlier runs: those created before ``cutoff``."""
+    v = visits(t).where(F.col("dateCreated") < cutoff)
     return v.select(F.concat(F.lit("VIS-"), F.col("visitid_instanceid")).alias("id"),
                     F.concat_ws("-", _study_ext(F.col("studyKey")), F.col("subjectKey"),
                                 F.col("visitid_instanceid")).alias("external_id"))
@@ -130,15 +142,17 @@ LOG_SCHEMA = ("subjectKey string, study_key string, site_name string, responsest
               "error_message string, inserted_date timestamp_ntz, type string, visit_instance_id string")
 
 
-def previous_log(t: Tables, run_time: _dt.datetime) -> DataFrame:
-    """An earlier run's outcome log: every fourth visit failed."""
-    v = visits(t).join(subject_dim(t), ["studyKey", "subjectId"], "left")
-    failed = F.col("visitid_instanceid").cast("long") % 4 == 0
+def previous_log(t: Tables, run_time: _dt.datetime, cutoff: F.Column) -> DataFrame:
+    """The earlier run's outcome log over the visits created before
+    ``cutoff``: a visit without a site name failed, the others succeeded."""
+    from ..operators.resolve import msg_site_missing
+    v = visits(t).where(F.col("dateCreated") < cutoff).join(subject_dim(t), ["studyKey", "subjectId"], "left")
+    failed = F.coalesce(F.col("siteName"), F.lit("")) == ""
     return v.select(
         "subjectKey", F.col("studyKey").alias("study_key"), F.col("siteName").alias("site_name"),
         F.when(failed, "FAILURE").otherwise("SUCCESSFUL").alias("responsestatus"),
         F.lit("insert").alias("method"),
-        F.when(failed, F.lit("earlier failure")).alias("error_message"),
+        F.when(failed, msg_site_missing(F.col("studyKey"), F.col("subjectKey"))).alias("error_message"),
         ntz_literal(run_time).alias("inserted_date"),
         F.lit("SubjectVisit").alias("type"),
         F.col("visitid_instanceid").alias("visit_instance_id"))

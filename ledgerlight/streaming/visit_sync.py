@@ -26,12 +26,15 @@ EVENTS_SCHEMA = ("event_id long, ts timestamp_ntz, user_id long, event_type stri
 
 
 def start_visit_sync(spark: SparkSession, events_dir: str, ref_dir: str, out_dir: str, checkpoint: str,
-                     run_time: _dt.datetime, file_glob: str = "events*.parquet", max_files_per_trigger: int = 64):
+                     run_time: _dt.datetime, pushed_before: _dt.datetime, file_glob: str = "events*.parquet",
+                     max_files_per_trigger: int = 64):
     """Start the stream; returns the StreamingQuery (call
-    ``awaitTermination()`` or ``processAllAvailable()``)."""
+    ``awaitTermination()`` or ``processAllAvailable()``).  Subjects and
+    visits created before ``pushed_before`` already exist in the target."""
     refs = Tables(spark, ref_dir)
-    study, site, subject = C.study_ref(refs), C.site_ref(refs), C.subject_ref(refs)
-    visit_def, visit, sdim = C.visit_def_ref(refs), C.visit_ref(refs), C.subject_dim(refs)
+    cutoff = C.ntz_literal(pushed_before)
+    study, site, subject = C.study_ref(refs), C.site_ref(refs), C.subject_ref(refs, cutoff)
+    visit_def, visit, sdim = C.visit_def_ref(refs), C.visit_ref(refs, cutoff), C.subject_dim(refs)
     run = C.ntz_literal(run_time)
 
     def process(batch: DataFrame, epoch_id: int) -> None:

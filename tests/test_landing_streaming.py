@@ -46,7 +46,7 @@ def test_streaming_visit_sync(spark, tmp_out):
     from ledgerlight.streaming.visit_sync import read_sync_log, start_visit_sync
     sf = "/root/testdata/sf0.001"
     q = start_visit_sync(spark, sf, sf, tmp_out + "/out", tmp_out + "/ckpt", dt.datetime(2024, 2, 1),
-                         file_glob="events.parquet")
+                         dt.datetime(2024, 1, 16), file_glob="events.parquet")
     q.awaitTermination(300)
     n_events = spark.read.parquet(f"{sf}/events.parquet").count()
     log = read_sync_log(spark, tmp_out + "/out")
@@ -54,6 +54,6 @@ def test_streaming_visit_sync(spark, tmp_out):
     assert set(r.responsestatus for r in log.select("responsestatus").distinct().collect()) <= {"SUCCESSFUL", "FAILURE"}
     # A second run finds nothing new (the checkpoint is the watermark).
     q2 = start_visit_sync(spark, sf, sf, tmp_out + "/out", tmp_out + "/ckpt", dt.datetime(2024, 2, 1),
-                          file_glob="events.parquet")
+                          dt.datetime(2024, 1, 16), file_glob="events.parquet")
     q2.awaitTermination(300)
     assert read_sync_log(spark, tmp_out + "/out").count() == n_events
