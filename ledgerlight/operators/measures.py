@@ -135,16 +135,17 @@ def rolling_7d_window(sel: Selection) -> DateRange:
     return DateRange(last - _dt.timedelta(days=6), last)
 
 
-# Monday-aligned week family.  Days before the week start for the LY
-# windows of 1, 4, 26 and 52 weeks.
-MONDAY_LY_OFFSETS = {1: 0, 4: 21, 26: 175, 52: 357}
+# Monday-aligned week family: last-year windows exist for these lengths.
+MONDAY_LY_WEEKS = (1, 4, 26, 52)
 
 
 def monday_ly_window(sel: Selection, n_weeks: int) -> DateRange:
-    if n_weeks not in MONDAY_LY_OFFSETS or (n_weeks == 1 and sel.week == 53):
+    """N whole weeks ending with the selected Monday-aligned week of last
+    year (starts 7 * (N - 1) days before that week)."""
+    if n_weeks not in MONDAY_LY_WEEKS or (n_weeks == 1 and sel.week == 53):
         return EMPTY
     start = monday_start_py(sel.year - 1, sel.week)
-    return DateRange(start - _dt.timedelta(days=MONDAY_LY_OFFSETS[n_weeks]), start + _dt.timedelta(days=6))
+    return DateRange(start - _dt.timedelta(days=7 * (n_weeks - 1)), start + _dt.timedelta(days=6))
 
 
 def monday_prev13_window(sel: Selection) -> DateRange:
@@ -161,7 +162,7 @@ def monday_forward_window(sel: Selection, n_weeks: int) -> DateRange:
     return DateRange(start, start + _dt.timedelta(days=7 * n_weeks - 1))
 
 
-# Selector order 0..4 of the "last N weeks" parameter.
+# Selector order 0..4 of the "last N weeks" parameter -> N.
 MONDAY_DISPATCH = {0: 1, 1: 4, 2: 13, 3: 26, 4: 52}
 
 

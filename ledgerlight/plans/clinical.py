@@ -225,7 +225,7 @@ def resolve(t: Tables, batch: DataFrame) -> DataFrame:
 
 
 RESOLVE_COLS = ["study_key", "visitid_instanceid", "study_id", "study_ext", "external_id", "site_id", "country_id",
-                "subject_id", "category", "visitdef_id", "vault_visit_id", "visit_date_iso", "visit_status",
+                "subject_id", "category", "visitdef_id", "target_visit_id", "visit_date_iso", "visit_status",
                 "method", "responsestatus", "error_message"]
 
 
@@ -268,7 +268,7 @@ def visit_upsert_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 ORACLE["visit_upsert_split"] = Q.with_(Q.resolve_ctes(_BATCH_WHERE)) + """
 SELECT method, visit_status, count(*) AS n_payloads,
-       count(DISTINCT CASE WHEN method = 'insert' THEN external_id ELSE vault_visit_id END) AS n_targets
+       count(DISTINCT CASE WHEN method = 'insert' THEN external_id ELSE target_visit_id END) AS n_targets
 FROM res WHERE responsestatus = 'SUCCESSFUL' GROUP BY method, visit_status"""
 
 

@@ -85,7 +85,7 @@ REF_LOOKUPS = [
     "su AS (SELECT external_id, min(id) AS subject_id FROM subj GROUP BY external_id)",
     "vdn AS (SELECT study, name, min(id) AS vd FROM vdef WHERE name IS NOT NULL GROUP BY study, name)",
     "vde AS (SELECT external_id, min(id) AS vd FROM vdef GROUP BY external_id)",
-    "vi AS (SELECT external_id, min(id) AS vault_visit_id FROM vis GROUP BY external_id)",
+    "vi AS (SELECT external_id, min(id) AS target_visit_id FROM vis GROUP BY external_id)",
 ]
 
 
@@ -153,7 +153,7 @@ def resolve_chain(p: str, src: str) -> list[str]:
           "WHEN (CASE WHEN coalesce(ieyn, '') <> '' THEN lower(trim(ieyn)) END) = 'no' THEN 'Screenfail visit' "
           f"ELSE 'Standard visit' END AS category FROM {p}v2 x)")
     v4 = (f"{p}v4 AS (SELECT v3.*, si.site_id, si.country_id, su.subject_id, "
-          "CASE WHEN v3.category = 'Screenfail visit' THEN vde.vd ELSE vdn.vd END AS visitdef_id, vi.vault_visit_id, "
+          "CASE WHEN v3.category = 'Screenfail visit' THEN vde.vd ELSE vdn.vd END AS visitdef_id, vi.target_visit_id, "
           "CASE WHEN v3.is_deleted IN ('1', 'true', 'True') THEN 'deleted_in_cdms__v' "
           "WHEN v3.visit_date_iso IS NOT NULL THEN 'submitted__v' ELSE 'in_progress__v' END AS visit_status "
           f"FROM {p}v3 v3 "
@@ -164,7 +164,7 @@ def resolve_chain(p: str, src: str) -> list[str]:
           "LEFT JOIN vi ON vi.external_id = v3.external_id)")
     v5 = f"{p}v5 AS (SELECT v4.*, {_errors()} AS error_message FROM {p}v4 v4)"
     res = (f"{p}res AS (SELECT v5.*, CASE WHEN error_message IS NULL THEN 'SUCCESSFUL' ELSE 'FAILURE' END "
-           "AS responsestatus, CASE WHEN error_message IS NULL AND vault_visit_id IS NOT NULL THEN 'update' "
+           "AS responsestatus, CASE WHEN error_message IS NULL AND target_visit_id IS NOT NULL THEN 'update' "
            f"ELSE 'insert' END AS method FROM {p}v5 v5)")
     return [w1, v2, v3, v4, v5, res]
 

@@ -51,7 +51,7 @@ def test_outcomes(spark):
     ]
     r = _resolve(spark, rows)
     a = r["7"]
-    assert (a.study_id, a.site_id, a.subject_id, a.visitdef_id, a.vault_visit_id) == ("S1", "SI1", "SU1", "VD1", "VIS7")
+    assert (a.study_id, a.site_id, a.subject_id, a.visitdef_id, a.target_visit_id) == ("S1", "SI1", "SU1", "VD1", "VIS7")
     assert (a.method, a.responsestatus, a.visit_status, a.visit_date_iso) == ("update", "SUCCESSFUL", "submitted__v",
                                                                               "2024-01-05")
     assert a.external_id == "ST1-K1-7" and a.category == RV.STANDARD
