@@ -27,8 +27,13 @@ _WM_SQL = Q.WM
 
 
 def _watermark(t: Tables) -> _dt.datetime:
-    """The stored last-sync time (a scalar read, like any job parameter)."""
-    return ST.read_watermark(C.sync_watermark(t), SYNC_NAME, C.DEFAULT_WATERMARK).first()["watermark"]
+    """The stored last-sync time (a scalar read, like any job parameter),
+    read once per query build."""
+    wm = getattr(t, "_watermark", None)
+    if wm is None:
+        wm = ST.read_watermark(C.sync_watermark(t), SYNC_NAME, C.DEFAULT_WATERMARK).first()["watermark"]
+        t._watermark = wm
+    return wm
 
 
 def _since(t: Tables):

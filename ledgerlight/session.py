@@ -58,3 +58,25 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     intermediate tables (lineage cuts, merge outputs)."""
     base = ensure_checkpoint_dir(spark)
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def cluster_conf(input_bytes: int, executors: int, cores_per_executor: int,
+                 target_partition_bytes: int = 256 << 20) -> dict:
+    """Settings for a cluster run sized from the bytes a job reads.
+
+    The initial shuffle partition count follows the data (one partition per
+    ``target_partition_bytes`` of input, at least two waves of tasks); AQE
+    then coalesces small partitions and splits skewed ones, so the count is
+    an upper bound rather than a guess that must be right."""
+    slots = executors * cores_per_executor
+    parts = max(2 * slots, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 << 20),
+    }
