@@ -65,11 +65,13 @@ def cluster_conf(input_bytes: int, executors: int, cores_per_executor: int,
     """Settings for a cluster run sized from the bytes a job reads.
 
     The initial shuffle partition count follows the data (one partition per
-    ``target_partition_bytes`` of input, at least two waves of tasks); AQE
-    then coalesces small partitions and splits skewed ones, so the count is
-    an upper bound rather than a guess that must be right."""
+    ``target_partition_bytes`` of input, at least two waves of tasks, at most
+    sixteen: shuffles carry projected, pre-aggregated rows, far fewer bytes
+    than the scan, and maps x reducers shuffle blocks must stay manageable);
+    AQE then coalesces small partitions and splits skewed ones, so the count
+    is an upper bound rather than a guess that must be right."""
     slots = executors * cores_per_executor
-    parts = max(2 * slots, -(-input_bytes // target_partition_bytes))
+    parts = max(2 * slots, min(16 * slots, -(-input_bytes // target_partition_bytes)))
     return {
         "spark.sql.shuffle.partitions": str(parts),
         "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts),
