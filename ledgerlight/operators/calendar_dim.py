@@ -34,6 +34,7 @@ def calendar_attributes(days: DataFrame) -> DataFrame:
         F.quarter(d).alias("quarter_no"),
         C.quarter_label(F.month(d)).alias("quarter"),
         C.leap_year(F.year(d)).alias("is_leap_year"),
+        F.last_day(d).alias("month_end"),
     )
     out = out.withColumn("week_label", F.concat(F.lit("WK "), F.col("week").cast("string"), F.lit(", "),
                                                 F.date_format("week_ending", "MM-dd-yyyy")))
@@ -41,6 +42,12 @@ def calendar_attributes(days: DataFrame) -> DataFrame:
     return out
 
 
+def padded_bounds(bounds: DataFrame, lo: str = "lo", hi: str = "hi") -> DataFrame:
+    """Widen (lo, hi) to whole years: Jan 1 of lo's year to Dec 31 of hi's."""
+    return bounds.select(F.make_date(F.year(lo), F.lit(1), F.lit(1)).alias(lo),
+                         F.make_date(F.year(hi), F.lit(12), F.lit(31)).alias(hi))
+
+
 def latest_month_label(cal: DataFrame, last_date_col: str = "last_date") -> DataFrame:
     """'Latest ' for the newest month, else 'Mon YYYY' (``last_date_col``
     holds the calendar's maximum date, attached by a one-row join)."""

@@ -15,7 +15,7 @@ from ..sources import retail as R
 from ..sources.tables import Tables
 from . import sqlkit as S
 from .registry import ORACLE, query
-from .retail import N_WEEKS, SEL, W, Y, _anchor_cte, _with
+from .retail import N_WEEKS, SEL, _anchor_cte, _with
 
 PRODUCT = "BRAND#13"
 RETAILER = "AMERICA"
@@ -52,7 +52,8 @@ SELECT d AS date, CAST(year(d) AS INTEGER) AS year, CAST(month(d) AS INTEGER) AS
        'WK ' || CAST(wk AS VARCHAR) || ', ' || strftime(we, '%m-%d-%Y') AS week_label,
        CAST(wk AS VARCHAR) || ' Week' AS week_no_label,
        CASE WHEN year(d) = year(last_date) AND month(d) = month(last_date) THEN 'Latest '
-            ELSE strftime(d, '%b') || ' ' || CAST(year(d) AS VARCHAR) END AS month_year
+            ELSE strftime(d, '%b') || ' ' || CAST(year(d) AS VARCHAR) END AS month_year,
+       last_day(d) AS month_end
 FROM cal, mx"""
 
 
@@ -431,3 +432,33 @@ ORACLE["product_filtered_nweek"] = _with(S.calendar_cte(), S.POS_FACT_CTE, _anch
 SELECT retailer, CAST(sum(value) FILTER (WHERE sale_date BETWEEN e_ty - 27 AND e_ty) AS DOUBLE) AS ty_4w,
        CAST(sum(value) FILTER (WHERE sale_date BETWEEN e_ty - 90 AND e_ty) AS DOUBLE) AS ty_13w
 FROM pos, a WHERE product = '{PRODUCT}' AND sale_date BETWEEN e_ty - 90 AND e_ty GROUP BY retailer"""
+
+
+# ------------------------------------- calendar levels: year > quarter > month
+
+@query("sales_by_calendar_levels")
+def sales_by_calendar_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sales over the whole history on a calendar padded to whole years,
+    rolled up Year > Quarter > Month (days without sales count as 0 rows;
+    months without sales keep a row with BLANK sales)."""
+    t = Tables(spark, sf_dir)
+    per_day = R.sales_lines(t).groupBy("sale_date").agg(F.sum("value").alias("v"), F.count(F.lit(1)).alias("n"))
+    bounds = t.lineitem.agg(F.to_date(F.min("l_shipdate")).alias("lo"), F.to_date(F.max("l_shipdate")).alias("hi"))
+    cal = CD.calendar_attributes(CD.calendar_from_bounds(CD.padded_bounds(bounds)))
+    j = cal.join(per_day.withColumnRenamed("sale_date", "date"), "date", "left")   # one row per day on both sides
+    return (j.rollup("year", "quarter_no", "month")
+             .agg(F.sum("v").cast("double").alias("sales"), F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("n_lines"),
+                  F.count(F.lit(1)).cast("long").alias("n_days"),
+                  F.grouping_id("year", "quarter_no", "month").cast("long").alias("level")))
+
+
+ORACLE["sales_by_calendar_levels"] = _with(
+    S.calendar_cte("(SELECT make_date(year(min(l_shipdate)), 1, 1) FROM lineitem)",
+                   "(SELECT make_date(year(max(l_shipdate)), 12, 31) FROM lineitem)"),
+    """pd AS (SELECT CAST(l_shipdate AS DATE) AS d, sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS v, count(*) AS n
+               FROM lineitem GROUP BY 1)""") + """
+SELECT CAST(year(c.d) AS INTEGER) AS year, CAST(quarter(c.d) AS INTEGER) AS quarter_no, CAST(month(c.d) AS INTEGER) AS month,
+       CAST(sum(pd.v) AS DOUBLE) AS sales, CAST(coalesce(sum(pd.n), 0) AS BIGINT) AS n_lines, count(*) AS n_days,
+       CAST(GROUPING(year(c.d), quarter(c.d), month(c.d)) AS BIGINT) AS level
+FROM cal c LEFT JOIN pd ON pd.d = c.d
+GROUP BY ROLLUP (year(c.d), quarter(c.d), month(c.d))"""

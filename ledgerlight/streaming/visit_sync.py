@@ -16,7 +16,6 @@ from __future__ import annotations
 import datetime as _dt
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ..operators import resolve as RV
 from ..sources import clinical as C
