@@ -378,3 +378,26 @@ def _sync_oracle() -> str:
 
 
 ORACLE["sync_visits_log"] = _sync_oracle()
+
+
+# ------------------------------------------------- the sync as a stream
+
+@query("streaming_visit_sync")
+def streaming_visit_sync(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Run the Structured Streaming sync over the landed events file
+    (availableNow: drain and stop) and return the outcome log it wrote."""
+    from ..session import scratch_path
+    from ..streaming.visit_sync import read_sync_log, start_visit_sync
+    t = Tables(spark, sf_dir)
+    out = scratch_path(spark, "visit-sync-out")
+    q = start_visit_sync(spark, sf_dir, sf_dir, out, scratch_path(spark, "visit-sync-ckpt"), RUN_TIME,
+                         pushed_before=_watermark(t), file_glob="events.parquet")
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+    return read_sync_log(spark, out).drop("epoch")
+
+
+ORACLE["streaming_visit_sync"] = Q.with_(Q.resolve_ctes("TRUE")) + f"""
+SELECT subjectKey, study_key, site_name, responsestatus, method, error_message,
+       TIMESTAMP '{RUN_TIME}' AS inserted_date, 'SubjectVisit' AS type, visitid_instanceid AS visit_instance_id FROM res"""
