@@ -50,7 +50,7 @@ DEFAULT_WATERMARK = _dt.datetime(2023, 10, 2)
 
 
 def visits(t: Tables) -> DataFrame:
-    return visits_from_events(t.events)
+    return t.memo("visits", lambda: visits_from_events(t.events))
 
 
 def visits_from_events(e: DataFrame) -> DataFrame:
@@ -77,6 +77,10 @@ def visits_from_events(e: DataFrame) -> DataFrame:
 
 
 def subject_dim(t: Tables) -> DataFrame:
+    return t.memo("subject_dim", lambda: _subject_dim(t))
+
+
+def _subject_dim(t: Tables) -> DataFrame:
     pairs = t.events.select(F.col("event_type").alias("studyKey"), F.col("user_id").alias("uid")).distinct()
     cust = t.customer.select(F.col("c_custkey").alias("uid"), "c_name", "c_mktsegment", "c_acctbal", "c_nationkey")
     nat = t.nation.select(F.col("n_nationkey").alias("c_nationkey"), "n_name")

@@ -121,6 +121,10 @@ def retailer_order(t: Tables, exclude=()) -> DataFrame:
 
 def store_dim(t: Tables) -> DataFrame:
     """One row per store with its chain and territory hierarchy."""
+    return t.memo("store_dim", lambda: _store_dim(t))
+
+
+def _store_dim(t: Tables) -> DataFrame:
     nat = t.nation.select(F.col("n_nationkey").alias("nation_key"), F.col("n_name").alias("ssr"),
                           F.col("n_regionkey").alias("region_key"))
     geo = nat.join(F.broadcast(region_dim(t)), "region_key", "left")
@@ -136,8 +140,8 @@ def store_dim(t: Tables) -> DataFrame:
 
 
 def product_dim(t: Tables) -> DataFrame:
-    return t.part.select(F.col("p_partkey").alias("part_key"),
-                         F.upper(F.trim(F.col("p_brand"))).alias("product"))
+    return t.memo("product_dim", lambda: t.part.select(F.col("p_partkey").alias("part_key"),
+                         F.upper(F.trim(F.col("p_brand"))).alias("product")))
 
 
 STORE_ATTRS = ("store_name", "retailer", "retailer_order", "smm", "ssr", "in_coverage")
