@@ -47,6 +47,11 @@ def ytd_pct_change(ty: Column, ly: Column) -> Column:
     return divide_alt(ch, F.abs(ly.cast("double")), 0.0)
 
 
+def abs_ratio_change(x: Column, y: Column) -> Column:
+    """DIVIDE(x - y, ABS(y)): BLANK when y is 0/BLANK (month-to-date %)."""
+    return safe_div(blank_sub(x, y), F.abs(y.cast("double")))
+
+
 def ratio_change(x: Column, y: Column) -> Column:
     """DIVIDE(x - y, y): BLANK when y is 0/BLANK."""
     return safe_div(blank_sub(x, y), y)

@@ -229,10 +229,10 @@ def with_change(df: DataFrame, ty: str, ly: str, prefix: str, pct: str = "weekly
         df = df.withColumn(f"{prefix}_pct", B.weekly_pct_change(t, l))
     elif pct == "ytd":
         df = df.withColumn(f"{prefix}_pct", B.ytd_pct_change(t, l))
+    elif pct == "mtd":
+        df = df.withColumn(f"{prefix}_pct", B.abs_ratio_change(t, l))
     elif pct == "ratio":
         df = df.withColumn(f"{prefix}_pct", B.ratio_change(t, l))
-    elif pct == "ratio0":
-        df = df.withColumn(f"{prefix}_pct", B.divide_alt(B.blank_sub(t, l), l, 0.0))
     return df
 
 

@@ -146,8 +146,8 @@ def mtd_ytd_calendar_ly(spark: SparkSession, sf_dir: str, sel: M.Selection = SEL
     wins = {"mtd_ty": M.mtd_window(sel), "mtd_ly": M.mtd_window(sel, last_year=True),
             "cytd_ty": M.calendar_ytd_window(sel), "cytd_ly": M.calendar_ytd_window(sel, last_year=True)}
     df = M.window_sums(t, wins, ["retailer"])
-    df = M.with_change(df, "mtd_ty", "mtd_ly", "mtd", pct="ratio")
-    df = M.with_change(df, "cytd_ty", "cytd_ly", "cytd", pct="ratio0")
+    df = M.with_change(df, "mtd_ty", "mtd_ly", "mtd", pct="mtd")
+    df = M.with_change(df, "cytd_ty", "cytd_ly", "cytd", pct="ytd")
     return M.as_double(df, list(wins))
 
 
@@ -162,8 +162,8 @@ agg AS (
   FROM pos, b WHERE sale_date BETWEEN date_trunc('year', last_ly) AND last_d GROUP BY retailer)""") + f"""
 SELECT retailer, {S.dbl('mtd_ty')} AS mtd_ty, {S.dbl('mtd_ly')} AS mtd_ly, {S.dbl('cytd_ty')} AS cytd_ty,
        {S.dbl('cytd_ly')} AS cytd_ly, {S.dbl(S.blank_sub('mtd_ty', 'mtd_ly'))} AS mtd_change,
-       {S.ratio_pct('mtd_ty', 'mtd_ly')} AS mtd_pct, {S.dbl(S.blank_sub('cytd_ty', 'cytd_ly'))} AS cytd_change,
-       {S.ratio_pct0('cytd_ty', 'cytd_ly')} AS cytd_pct FROM agg"""
+       {S.abs_ratio_pct('mtd_ty', 'mtd_ly')} AS mtd_pct, {S.dbl(S.blank_sub('cytd_ty', 'cytd_ly'))} AS cytd_change,
+       {S.ytd_pct('cytd_ty', 'cytd_ly')} AS cytd_pct FROM agg"""
 
 
 # ----------------------------------------------------- category fact change
@@ -174,8 +174,8 @@ def category_change(spark: SparkSession, sf_dir: str, sel: M.Selection = SEL) ->
     wins = {"mtd_ty": M.mtd_window(sel), "mtd_ly": M.mtd_window(sel, last_year=True),
             "ytd_ty": M.calendar_ytd_window(sel), "ytd_ly": M.calendar_ytd_window(sel, last_year=True)}
     df = M.category_window_sums(t, wins)
-    df = M.with_change(df, "mtd_ty", "mtd_ly", "mtd", pct="ratio")
-    df = M.with_change(df, "ytd_ty", "ytd_ly", "ytd", pct="ratio0")
+    df = M.with_change(df, "mtd_ty", "mtd_ly", "mtd", pct="mtd")
+    df = M.with_change(df, "ytd_ty", "ytd_ly", "ytd", pct="ytd")
     return M.as_double(df, list(wins))
 
 
@@ -192,8 +192,8 @@ agg AS (
   FROM cat, b WHERE sale_date BETWEEN date_trunc('year', last_ly) AND last_d GROUP BY category)""") + f"""
 SELECT category, {S.dbl('mtd_ty')} AS mtd_ty, {S.dbl('mtd_ly')} AS mtd_ly, {S.dbl('ytd_ty')} AS ytd_ty,
        {S.dbl('ytd_ly')} AS ytd_ly, {S.dbl(S.blank_sub('mtd_ty', 'mtd_ly'))} AS mtd_change,
-       {S.ratio_pct('mtd_ty', 'mtd_ly')} AS mtd_pct, {S.dbl(S.blank_sub('ytd_ty', 'ytd_ly'))} AS ytd_change,
-       {S.ratio_pct0('ytd_ty', 'ytd_ly')} AS ytd_pct FROM agg"""
+       {S.abs_ratio_pct('mtd_ty', 'mtd_ly')} AS mtd_pct, {S.dbl(S.blank_sub('ytd_ty', 'ytd_ly'))} AS ytd_change,
+       {S.ytd_pct('ytd_ty', 'ytd_ly')} AS ytd_pct FROM agg"""
 
 
 # ------------------------------------------------ last / prior N months

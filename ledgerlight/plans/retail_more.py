@@ -163,14 +163,18 @@ FROM ps GROUP BY ROLLUP (smm, ssr, store)"""
 
 @query("store_ytd_rank")
 def store_ytd_rank(spark: SparkSession, sf_dir: str, sel: M.Selection = SEL) -> DataFrame:
+    """Dense rank (descending) of the coverage-file stores by YTD sales;
+    stores with blank sales get no rank."""
     t = Tables(spark, sf_dir)
-    per_store = M.window_sums(t, {"ytd_ty": M.ytd_window(sel)}, ["store"])
+    per_store = M.window_sums(t, {"ytd_ty": M.ytd_window(sel)}, ["store", "in_coverage"])
+    per_store = per_store.where(F.col("in_coverage")).drop("in_coverage")
     ranked = global_rank(per_store, "ytd_ty", "ytd_rank", method="dense")
     return ranked.select("store", F.col("ytd_ty").cast("double").alias("ytd_ty"), "ytd_rank")
 
 
 ORACLE["store_ytd_rank"] = _with(S.calendar_cte(), S.POS_FACT_CTE, _anchor_cte(), """ps AS (
-  SELECT store, sum(value) AS ytd_ty FROM pos, a WHERE sale_date BETWEEN ys_ty AND ye_ty GROUP BY store)""") + """
+  SELECT store, sum(value) AS ytd_ty FROM pos, a WHERE sale_date BETWEEN ys_ty AND ye_ty AND in_coverage
+  GROUP BY store)""") + """
 SELECT store, CAST(ytd_ty AS DOUBLE) AS ytd_ty,
        CASE WHEN ytd_ty IS NOT NULL THEN CAST(dense_rank() OVER (ORDER BY ytd_ty DESC) AS BIGINT) END AS ytd_rank
 FROM ps"""
@@ -281,7 +285,7 @@ def selected_vs_rest(spark: SparkSession, sf_dir: str, retailer: str = RETAILER,
     # One pass: per side, plus the grand total with every filter cleared.
     df = fact.rollup("side").agg(*sums).withColumn("side", F.coalesce(F.col("side"), F.lit("all")))
     df = M.with_change(df, "ty_sales", "ly_sales", "wk", pct="weekly")
-    df = df.withColumn("trend", B.sign_class(F.col("wk_change")))
+    df = df.withColumn("trend", B.sign_class(F.col("wk_pct")))
     return M.as_double(df, list(wins))
 
 
@@ -293,7 +297,7 @@ ORACLE["selected_vs_rest"] = _with(S.calendar_cte(), S.POS_FACT_CTE, _anchor_cte
   FROM pos, a WHERE sale_date BETWEEN e_ly - {_NW} AND e_ty GROUP BY GROUPING SETS ((1), ()))""") + f"""
 SELECT coalesce(side, 'all') AS side, {S.dbl('ty')} AS ty_sales, {S.dbl('ly')} AS ly_sales, store_rows,
        {S.dbl(S.blank_sub('ty', 'ly'))} AS wk_change, {S.weekly_pct('ty', 'ly')} AS wk_pct,
-       CAST(CASE WHEN {S.blank_sub('ty', 'ly')} < 0 THEN -1 WHEN {S.blank_sub('ty', 'ly')} > 0 THEN 1 ELSE 0 END AS INTEGER) AS trend
+       {S.sign(S.weekly_pct('ty', 'ly'))} AS trend
 FROM agg"""
 
 
@@ -315,30 +319,27 @@ FROM pos, a WHERE sale_date BETWEEN e_ty - {_NW} AND e_ty GROUP BY retailer"""
 
 @query("trend_class")
 def trend_class(spark: SparkSession, sf_dir: str, sel: M.Selection = SEL) -> DataFrame:
-    """Up / flat / down (1 / 0 / -1) of the MTD and YTD $ change per SSR;
-    flat covers both 0 and BLANK."""
+    """Up / flat / down (1 / 0 / -1) per SSR, driven by the weekly % change
+    (the arrow shown in the month-to-date column, labelled here by what it
+    computes) and by the YTD % change; a BLANK or zero change is flat."""
     t = Tables(spark, sf_dir)
-    wins = {"mtd_ty": M.mtd_window(sel), "mtd_ly": M.mtd_window(sel, last_year=True),
+    wins = {"ty": M.weekly_window(sel, N_WEEKS), "ly": M.weekly_window(sel, N_WEEKS, last_year=True),
             "ytd_ty": M.ytd_window(sel), "ytd_ly": M.ytd_window(sel, last_year=True)}
     df = M.window_sums(t, wins, ["ssr"])
-    df = df.select("ssr", B.sign_class(B.blank_sub(F.col("mtd_ty"), F.col("mtd_ly"))).alias("mtd_trend"),
-                   B.sign_class(B.blank_sub(F.col("ytd_ty"), F.col("ytd_ly"))).alias("ytd_trend"))
-    return df
+    return df.select("ssr",
+                     B.sign_class(B.weekly_pct_change(F.col("ty"), F.col("ly"))).alias("weekly_trend"),
+                     B.sign_class(B.ytd_pct_change(F.col("ytd_ty"), F.col("ytd_ly"))).alias("ytd_trend"))
 
 
-ORACLE["trend_class"] = _with(S.calendar_cte(), S.POS_FACT_CTE, _anchor_cte(), """b AS (
-  SELECT *, CAST(last_d - INTERVAL 12 MONTH AS DATE) AS last_ly FROM a),
-agg AS (
+ORACLE["trend_class"] = _with(S.calendar_cte(), S.POS_FACT_CTE, _anchor_cte(), f"""agg AS (
   SELECT ssr,
-    sum(value) FILTER (WHERE sale_date BETWEEN date_trunc('month', last_d) AND last_d) AS mtd_ty,
-    sum(value) FILTER (WHERE sale_date BETWEEN date_trunc('month', last_ly) AND last_ly) AS mtd_ly,
+    sum(value) FILTER (WHERE sale_date BETWEEN e_ty - {_NW} AND e_ty) AS ty,
+    sum(value) FILTER (WHERE sale_date BETWEEN e_ly - {_NW} AND e_ly) AS ly,
     sum(value) FILTER (WHERE sale_date BETWEEN ys_ty AND ye_ty) AS ytd_ty,
     sum(value) FILTER (WHERE sale_date BETWEEN ys_ly AND ye_ly) AS ytd_ly
-  FROM pos, b WHERE sale_date BETWEEN least(ys_ly, date_trunc('month', last_ly)) AND greatest(ye_ty, last_d)
+  FROM pos, a WHERE sale_date BETWEEN least(ys_ly, e_ly - {_NW}) AND greatest(ye_ty, e_ty)
   GROUP BY ssr)""") + f"""
-SELECT ssr,
-  CAST(CASE WHEN {S.blank_sub('mtd_ty', 'mtd_ly')} < 0 THEN -1 WHEN {S.blank_sub('mtd_ty', 'mtd_ly')} > 0 THEN 1 ELSE 0 END AS INTEGER) AS mtd_trend,
-  CAST(CASE WHEN {S.blank_sub('ytd_ty', 'ytd_ly')} < 0 THEN -1 WHEN {S.blank_sub('ytd_ty', 'ytd_ly')} > 0 THEN 1 ELSE 0 END AS INTEGER) AS ytd_trend
+SELECT ssr, {S.sign(S.weekly_pct('ty', 'ly'))} AS weekly_trend, {S.sign(S.ytd_pct('ytd_ty', 'ytd_ly'))} AS ytd_trend
 FROM agg"""
 
 

@@ -66,9 +66,14 @@ def ratio_pct(x: str, y: str) -> str:
             f"ELSE CAST({blank_sub(x, y)} AS DOUBLE) / CAST({y} AS DOUBLE) END)")
 
 
-def ratio_pct0(x: str, y: str) -> str:
-    return (f"(CASE WHEN {y} IS NULL OR {y} = 0 THEN 0.0 "
-            f"ELSE CAST({blank_sub(x, y)} AS DOUBLE) / CAST({y} AS DOUBLE) END)")
+def abs_ratio_pct(x: str, y: str) -> str:
+    return (f"(CASE WHEN {y} IS NULL OR {y} = 0 THEN NULL "
+            f"ELSE CAST({blank_sub(x, y)} AS DOUBLE) / abs(CAST({y} AS DOUBLE)) END)")
+
+
+def sign(x: str) -> str:
+    """-1 / 0 / 1, with BLANK counted as flat (0)."""
+    return f"CAST(CASE WHEN {x} < 0 THEN -1 WHEN {x} > 0 THEN 1 ELSE 0 END AS INTEGER)"
 
 
 def dbl(x: str) -> str:

@@ -36,3 +36,15 @@ def test_distinct_with_blank_and_selected_value(spark):
     assert df.agg(B.distinct_with_blank(F.col("k"))).first()[0] == 3
     assert df.where("k = 'a'").agg(B.selected_value(F.col("k"))).first()[0] == "a"
     assert df.agg(B.selected_value(F.col("k"))).first()[0] is None
+
+
+def test_mtd_pct_divides_by_abs_ly(spark):
+    got = _run(spark, B.abs_ratio_change(F.col("ty"), F.col("ly")))
+    assert got[:2] == [None, -1.0] and got[2] is None and got[4] is None
+    assert got[5] == 1.0 and got[7] == 1.5  # (3 - -6) / |-6|
+
+
+def test_trend_from_pct(spark):
+    weekly = B.sign_class(B.weekly_pct_change(F.col("ty"), F.col("ly")))
+    # blank pct (LY blank/0, TY blank/0) is flat; -3 vs 3 -> abs(-1) - 1 = 0 -> flat
+    assert _run(spark, weekly) == [0, 0, 0, 0, 0, 1, 0, -1]
