@@ -49,6 +49,21 @@ class Selection:
 
 # ----------------------------------------------------------- window rules
 
+def selected_week_window(sel: Selection) -> DateRange:
+    """The days the slicer itself selects: year Y, week W."""
+    from ..functions.calendar import py_week_no
+    last = sel.last_date
+    if last is None:
+        return EMPTY
+    first = last
+    while first.day > 1 or first.month > 1:
+        prev = first - _dt.timedelta(days=1)
+        if py_week_no(prev) != sel.week:
+            break
+        first = prev
+    return DateRange(first, last)
+
+
 def weekly_window(sel: Selection, n_weeks: int, last_year: bool = False) -> DateRange:
     """N weeks ending on the selected week's week-ending (TY) or on the same
     week of the previous year (LY).  9999 means year-to-week."""

@@ -31,6 +31,7 @@ def _anchor_cte() -> str:
       max(we) FILTER (WHERE y = {Y} AND wk = {W}) AS e_ty,
       max(we) FILTER (WHERE y = {Y - 1} AND wk = {W}) AS e_ly,
       max(d) FILTER (WHERE y = {Y} AND wk = {W}) AS last_d,
+      min(d) FILTER (WHERE y = {Y} AND wk = {W}) AS first_d,
       min(d) FILTER (WHERE y = {Y} AND wk <= {W}) AS ys_ty, max(d) FILTER (WHERE y = {Y} AND wk <= {W}) AS ye_ty,
       min(d) FILTER (WHERE y = {Y - 1} AND wk <= {W}) AS ys_ly, max(d) FILTER (WHERE y = {Y - 1} AND wk <= {W}) AS ye_ly
     FROM cal)"""

@@ -76,19 +76,20 @@ FROM cal c LEFT JOIN w52 ON c.y = w52.y"""
 def store_stats_by_retailer(spark: SparkSession, sf_dir: str, product: str = PRODUCT,
                             sel: M.Selection = SEL) -> DataFrame:
     """Total sales, one product's sales, distinct stores (BLANK counted),
-    store rows in the TY window, first/last sale date -- whole history."""
+    first/last sale date over the whole history, and the store rows of the
+    selected week."""
     t = Tables(spark, sf_dir)
-    ty = M.weekly_window(sel, N_WEEKS)
+    week = M.selected_week_window(sel)
     pre = (R.sales_lines(t).groupBy("store", "part_key")
            .agg(F.sum("value").alias("total"),
-                F.count(F.when(ty.contains(F.col("sale_date")), F.col("store"))).alias("rows_ty"),
+                F.count(F.when(week.contains(F.col("sale_date")), F.col("store"))).alias("rows_week"),
                 F.min("sale_date").alias("first_d"), F.max("sale_date").alias("last_d")))
     fact = R.attach_dims(pre, t, ["retailer", "product"])
     out = fact.groupBy("retailer").agg(
         F.sum("total").cast("double").alias("total_sales"),
         F.sum(F.when(F.col("product") == product, F.col("total"))).cast("double").alias("product_sales"),
         B.distinct_with_blank(F.col("store")).alias("store_count"),
-        F.sum("rows_ty").cast("long").alias("store_rows_ty"),
+        F.sum("rows_week").cast("long").alias("store_rows_week"),
         F.min("first_d").alias("first_sale"), F.max("last_d").alias("last_sale"))
     return out
 
@@ -97,7 +98,7 @@ ORACLE["store_stats_by_retailer"] = _with(S.calendar_cte(), S.POS_FACT_CTE, _anc
 SELECT retailer, CAST(sum(value) AS DOUBLE) AS total_sales,
        CAST(sum(value) FILTER (WHERE product = '{PRODUCT}') AS DOUBLE) AS product_sales,
        CAST(count(DISTINCT store) + max(CASE WHEN store IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS store_count,
-       CAST(count(store) FILTER (WHERE sale_date BETWEEN e_ty - {_NW} AND e_ty) AS BIGINT) AS store_rows_ty,
+       CAST(count(store) FILTER (WHERE sale_date BETWEEN first_d AND last_d) AS BIGINT) AS store_rows_week,
        min(sale_date) AS first_sale, max(sale_date) AS last_sale
 FROM pos, a GROUP BY retailer"""
 
@@ -262,10 +263,10 @@ FROM g CROSS JOIN ks LEFT JOIN hits ON hits.product = g.product AND hits.k = ks.
 
 # ------------------------------------------- selected retailer vs the rest
 
-def _side_aggs(ty):
+def _side_aggs(week):
     def extra(pre: bool):
         if pre:
-            return [F.count(F.when(ty.contains(F.col("sale_date")), F.col("store"))).alias("store_rows")]
+            return [F.count(F.when(week.contains(F.col("sale_date")), F.col("store"))).alias("store_rows")]
         return [F.sum("store_rows").cast("long").alias("store_rows")]
     return extra
 
@@ -274,14 +275,14 @@ def _side_aggs(ty):
 def selected_vs_rest(spark: SparkSession, sf_dir: str, retailer: str = RETAILER,
                      sel: M.Selection = SEL) -> DataFrame:
     t = Tables(spark, sf_dir)
-    ty = M.weekly_window(sel, N_WEEKS)
-    wins = {"ty_sales": ty, "ly_sales": M.weekly_window(sel, N_WEEKS, last_year=True)}
-    env = M.envelope(wins.values())
+    week = M.selected_week_window(sel)
+    wins = {"ty_sales": M.weekly_window(sel, N_WEEKS), "ly_sales": M.weekly_window(sel, N_WEEKS, last_year=True)}
+    env = M.envelope(list(wins.values()) + [week])
     lines = R.sales_lines(t, env)
-    pre = lines.groupBy("store").agg(*M._cond_sums(wins), *_side_aggs(ty)(True))
+    pre = lines.groupBy("store").agg(*M._cond_sums(wins), *_side_aggs(week)(True))
     fact = R.attach_dims(pre, t, ["retailer"]).withColumn(
         "side", F.when(F.col("retailer") == retailer, F.lit("selected")).otherwise(F.lit("others")))
-    sums = [F.sum(n).alias(n) for n in wins] + _side_aggs(ty)(False)
+    sums = [F.sum(n).alias(n) for n in wins] + _side_aggs(week)(False)
     # One pass: per side, plus the grand total with every filter cleared.
     df = fact.rollup("side").agg(*sums).withColumn("side", F.coalesce(F.col("side"), F.lit("all")))
     df = M.with_change(df, "ty_sales", "ly_sales", "wk", pct="weekly")
@@ -293,7 +294,7 @@ ORACLE["selected_vs_rest"] = _with(S.calendar_cte(), S.POS_FACT_CTE, _anchor_cte
   SELECT CASE WHEN retailer = '{RETAILER}' THEN 'selected' ELSE 'others' END AS side,
          sum(value) FILTER (WHERE sale_date BETWEEN e_ty - {_NW} AND e_ty) AS ty,
          sum(value) FILTER (WHERE sale_date BETWEEN e_ly - {_NW} AND e_ly) AS ly,
-         CAST(count(store) FILTER (WHERE sale_date BETWEEN e_ty - {_NW} AND e_ty) AS BIGINT) AS store_rows
+         CAST(count(store) FILTER (WHERE sale_date BETWEEN first_d AND last_d) AS BIGINT) AS store_rows
   FROM pos, a WHERE sale_date BETWEEN e_ly - {_NW} AND e_ty GROUP BY GROUPING SETS ((1), ()))""") + f"""
 SELECT coalesce(side, 'all') AS side, {S.dbl('ty')} AS ty_sales, {S.dbl('ly')} AS ly_sales, store_rows,
        {S.dbl(S.blank_sub('ty', 'ly'))} AS wk_change, {S.weekly_pct('ty', 'ly')} AS wk_pct,

@@ -75,3 +75,13 @@ def test_week_ending_carry(spark):
     assert got[dt.date(2022, 12, 24)] == dt.date(2022, 12, 24)  # Saturday keeps its own date
     # Week 52 days of 2021 have no 2020 in the calendar: blank.
     assert got[dt.date(2021, 12, 20)] is None
+
+
+def test_selected_week_window():
+    w = M.selected_week_window(M.Selection(2000, 40))
+    assert (w.end - w.start).days == 6 and C.py_week_no(w.start) == 40 and C.py_week_no(w.end) == 40
+    jan1 = M.selected_week_window(M.Selection(2022, 0))
+    assert jan1.start == jan1.end == dt.date(2022, 1, 1)
+    first = M.selected_week_window(M.Selection(2023, 1))  # Jan 1 2023 is a Sunday: a full week
+    assert first.start == dt.date(2023, 1, 1) and first.end == dt.date(2023, 1, 7)
+    assert M.selected_week_window(M.Selection(2023, 60)).empty
