@@ -109,20 +109,23 @@ def truncate(df: DataFrame) -> DataFrame:
 
 # -------------------------------------------------------------- run log
 
-def run_log(per_table: DataFrame, layer: str, data_source: str, log_type: str = "ETL",
-            table_col: str = "table", rows_col: str = "row_count", start_col: str = "start_time",
-            end_col: str = "end_time", expected_col: str | None = None) -> DataFrame:
-    """Execution-log rows from per-table run facts: a table with rows (and,
-    when ``expected_col`` is given, no missing pages) succeeded."""
-    ok = F.col(rows_col) > 0
-    if expected_col is not None:
-        ok = ok & (F.col(expected_col) <= F.col("pages_found"))
+def run_log(per_table: DataFrame, layer: str, data_source: str, table_col: str = "table",
+            rows_col: str = "row_count", start_col: str = "start_time", end_col: str = "end_time",
+            error_col: str | None = None) -> DataFrame:
+    """Execution-log rows from per-table run facts.  A table whose
+    ``error_col`` is set failed; every other table succeeded, with or without
+    rows (fixed values below are the log's status vocabulary)."""
+    failed = F.col(error_col).isNotNull() if error_col is not None else F.lit(False)
+    rows = F.coalesce(F.col(rows_col), F.lit(0))
+    err = F.col(error_col) if error_col is not None else F.lit(None).cast("string")
     return per_table.select(
-        F.col(table_col).alias("table"), F.lit(log_type).alias("log_type"),
-        F.when(ok, F.lit("Succeeded")).otherwise(F.lit("Failed")).alias("etl_status"),
+        F.col(table_col).alias("table"),
+        F.when(failed, F.lit("Error")).otherwise(F.lit("ETL")).alias("log_type"),
+        F.when(failed, F.lit("Fail")).otherwise(F.lit("Success")).alias("etl_status"),
         F.lit(layer).alias("layer"), F.lit(data_source).alias("data_source"),
-        F.when(~ok, F.lit("no rows loaded")).alias("error"),
-        F.when(ok, F.lit(200)).otherwise(F.lit(204)).cast("int").alias("status_code"),
-        F.col(rows_col).cast("long").alias("row_count"),
+        F.when(failed, err).alias("error"),
+        F.when(failed, F.lit(500)).otherwise(F.lit(200)).cast("int").alias("status_code"),
+        rows.cast("long").alias("row_count"),
         F.col(start_col).alias("start_time"), F.col(end_col).alias("end_time"),
-        F.concat(F.lit("loaded "), F.col(rows_col).cast("string"), F.lit(" rows")).alias("custom_description"))
+        F.when(failed, F.concat(F.lit("Exception occurred: "), err))
+         .when(rows > 0, F.lit("API Execution")).otherwise(F.lit("No data available")).alias("custom_description"))

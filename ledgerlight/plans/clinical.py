@@ -354,14 +354,14 @@ def run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     per = v.groupBy(F.concat(F.lit("i_"), F.col("studyKey")).alias("table")).agg(
         F.count(F.lit(1)).alias("row_count"), F.min("dateCreated").alias("start_time"),
         F.max("dateModified").alias("end_time"))
-    return ST.run_log(per, layer="bronze", data_source="visits")
+    return ST.run_log(per, layer="Bronze", data_source="visits")
 
 
 ORACLE["run_log"] = Q.with_([Q.VISITS]) + f"""
-SELECT 'i_' || studyKey AS "table", 'ETL' AS log_type, 'Succeeded' AS etl_status, 'bronze' AS layer,
+SELECT 'i_' || studyKey AS "table", 'ETL' AS log_type, 'Success' AS etl_status, 'Bronze' AS layer,
        'visits' AS data_source, CAST(NULL AS VARCHAR) AS error, CAST(200 AS INTEGER) AS status_code,
        count(*) AS row_count, min(dateCreated) AS start_time, max(dateModified) AS end_time,
-       'loaded ' || CAST(count(*) AS VARCHAR) || ' rows' AS custom_description
+       CASE WHEN count(*) > 0 THEN 'API Execution' ELSE 'No data available' END AS custom_description
 FROM visits WHERE {_BATCH_WHERE} GROUP BY studyKey"""
 
 

@@ -85,3 +85,18 @@ def test_change_window_bounds(spark):
     assert strict == [(1, 5), (3, 3), (5, 1)]
     half = sorted((r.c, r.m) for r in df.where(ST.in_change_window(F.col("c"), F.col("m"), lo, hi, strict=False)).collect())
     assert half == [(1, 5), (3, 3), (5, 1), (10, 10)]
+
+
+def test_run_log_statuses(spark):
+    import datetime as dt
+    t0, t1 = dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 2)
+    per = spark.createDataFrame([("sites", 5, t0, t1, None), ("visits", 0, t0, t1, None),
+                                 ("records", 3, t0, t1, "page 2 of 3 missing")],
+                                "table string, row_count long, start_time timestamp_ntz, end_time timestamp_ntz, err string")
+    rows = {r.table: r for r in ST.run_log(per, "Bronze", "api", error_col="err").collect()}
+    ok = rows["sites"]
+    assert (ok.etl_status, ok.status_code, ok.custom_description) == ("Success", 200, "API Execution")
+    assert rows["visits"].custom_description == "No data available" and rows["visits"].log_type == "ETL"
+    r = rows["records"]
+    assert (r.log_type, r.etl_status, r.status_code, r.error) == ("Error", "Fail", 500, "page 2 of 3 missing")
+    assert r.custom_description == "Exception occurred: page 2 of 3 missing"
