@@ -68,6 +68,17 @@ def advance_table_watermark(config: DataFrame, table: str, new_value: Column, su
     return config.withColumn(date_col, F.when(cond, new_value).otherwise(F.col(date_col)))
 
 
+def advance_sync_watermark(config: DataFrame, name: str, new_time: Column, success_count: Column,
+                           name_col: str = "table_name", value_col: str = "last_sync") -> DataFrame:
+    """The next version of the single-row last-sync table: the run's start
+    time when it had at least one success, else the stored value.  (The
+    caller writes it as a new version; the table is never edited in place.)"""
+    old = config.where(F.col(name_col) == name).agg(F.max(value_col).alias("_old"))
+    return old.select(F.lit(name).alias(name_col),
+                      F.when(success_count >= 1, new_time.cast("timestamp_ntz"))
+                       .otherwise(F.col("_old").cast("timestamp_ntz")).alias(value_col))
+
+
 # ---------------------------------------------------------------- merge
 
 def merge_upsert(target: DataFrame, source: DataFrame, keys, update_cols, null_safe: bool = True,

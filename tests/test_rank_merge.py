@@ -100,3 +100,11 @@ def test_run_log_statuses(spark):
     r = rows["records"]
     assert (r.log_type, r.etl_status, r.status_code, r.error) == ("Error", "Fail", 500, "page 2 of 3 missing")
     assert r.custom_description == "Exception occurred: page 2 of 3 missing"
+
+
+def test_advance_sync_watermark(spark):
+    import datetime as dt
+    cfg = spark.createDataFrame([("subject_visits", dt.datetime(2024, 1, 1))], "table_name string, last_sync timestamp_ntz")
+    new = F.lit("2024-02-01 00:00:00").cast("timestamp_ntz")
+    assert ST.advance_sync_watermark(cfg, "subject_visits", new, F.lit(0)).first().last_sync == dt.datetime(2024, 1, 1)
+    assert ST.advance_sync_watermark(cfg, "subject_visits", new, F.lit(3)).first().last_sync == dt.datetime(2024, 2, 1)
