@@ -206,13 +206,24 @@ def _cond_sums(windows: dict[str, DateRange], date_col: str = "sale_date", value
 def window_sums(t: Tables, windows: dict[str, DateRange], by, where: Column | None = None,
                 where_cols=(), extra_aggs=None) -> DataFrame:
     """All windows of the POS fact, grouped by ``by`` (dimension or fact
-    columns), evaluated in one scan.  ``where`` filters on dimension
-    columns listed in ``where_cols`` (a report selection)."""
+    columns), evaluated in one scan.  ``where`` is a selection on dimension
+    columns (listed in ``where_cols``).  When it touches one dimension only,
+    it is applied to that dimension and reaches the fact as a semi join on
+    the fact's key, below the pre-aggregation, so only the selected lines
+    are aggregated and shuffled."""
     from ..sources.params import check_group_cols
     by = check_group_cols(by, GROUPABLE)
-    needed = set(by) | set(where_cols)
+    where_cols = set(where_cols)
     env = envelope(windows.values())
     lines = R.sales_lines(t, env)
+    post_filter = None
+    if where is not None and where_cols and where_cols <= set(R.PRODUCT_ATTRS):
+        lines = lines.join(R.product_dim(t).where(where).select("part_key"), "part_key", "left_semi")
+    elif where is not None and where_cols and where_cols <= set(R.STORE_ATTRS):
+        lines = lines.join(R.store_dim(t).where(where).select("store"), "store", "left_semi")
+    elif where is not None:
+        post_filter = where
+    needed = set(by) | (where_cols if post_filter is not None else set())
     grain = ["store"]
     if needed & set(R.PRODUCT_ATTRS) or "part_key" in needed:
         grain.append("part_key")
@@ -223,8 +234,8 @@ def window_sums(t: Tables, windows: dict[str, DateRange], by, where: Column | No
         aggs += extra_aggs(pre=True)
     pre = lines.groupBy(*grain).agg(*aggs)
     fact = R.attach_dims(pre, t, needed)
-    if where is not None:
-        fact = fact.where(where)
+    if post_filter is not None:
+        fact = fact.where(post_filter)
     final = [F.sum(n).alias(n) for n in windows]
     if extra_aggs:
         final += extra_aggs(pre=False)
