@@ -7,6 +7,13 @@ per range, so bounded by the partition count) are added back.  This is
 the DataFrame form of a distributed sort-and-number and holds however many
 rows are ranked.
 
+The range-partitioned values feed two consumers (local ranks and range
+totals).  Range bounds come from sampling, and after a shuffle the row
+order -- hence the sample -- may differ between two evaluations, so the
+partitioned values are materialised once with a reliable ``checkpoint()``
+in the shared checkpoint folder; both consumers then read the same ranges
+(and a lost executor re-reads them instead of re-sampling).
+
 Ranks inside a group (``partition_by``) use an ordinary window; callers
 only use that on already-aggregated rows (one per member), where a group
 is bounded by the dimension's size.
