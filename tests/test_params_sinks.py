@@ -63,3 +63,16 @@ def test_table_or_default_and_overwrite(spark):
     assert K.table_or_default(spark, name, default).count() == 1
     K.overwrite_table(default.withColumn("last_sync", F.lit(dt.datetime(2024, 1, 1)).cast("timestamp_ntz")), name)
     assert spark.table(name).first().last_sync == dt.datetime(2024, 1, 1)
+
+
+def test_refresh_time_and_metric_choice(spark):
+    from ledgerlight.operators.report import choose_metric, long_metric_report
+    df = spark.createDataFrame([("A", 1.0, 2.0, "MTD"), ("B", 3.0, 4.0, "YTD"), ("C", 5.0, 6.0, "bogus")],
+                               "r string, mtd double, ytd double, pick string")
+    assert P.with_refresh_time(df).where("refreshed_at IS NULL").count() == 0
+    got = {r.r: r.v for r in df.select("r", choose_metric(df, "pick", {"MTD": "mtd", "YTD": "ytd"}).alias("v")).collect()}
+    assert got == {"A": 1.0, "B": 4.0, "C": None}
+    long = long_metric_report(spark, df.drop("pick"), ["r"], [("MTD sales", "mtd", 1, "Sales"), ("YTD sales", "ytd", 2, "Sales")])
+    rows = [(r.r, r.metric, r.metric_ord, r.value) for r in long.collect()]
+    assert rows[:3] == [("A", "MTD sales", 1, 1.0), ("B", "MTD sales", 1, 3.0), ("C", "MTD sales", 1, 5.0)]
+    assert len(rows) == 6
