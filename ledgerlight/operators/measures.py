@@ -243,8 +243,12 @@ def window_sums(t: Tables, windows: dict[str, DateRange], by, where: Column | No
 
 
 def category_window_sums(t: Tables, windows: dict[str, DateRange], by=("category",)) -> DataFrame:
+    """Windows of the category fact: pre-aggregated per customer, then the
+    segment is attached and the windows summed per ``by``."""
     env = envelope(windows.values())
-    return R.category_fact(t, env).groupBy(*by).agg(*_cond_sums(windows))
+    pre = R.category_lines(t, env).groupBy("store").agg(*_cond_sums(windows))
+    fact = R.join_dim(pre, R.category_dim(t), "store")
+    return fact.groupBy(*by).agg(*[F.sum(n).alias(n) for n in windows])
 
 
 def with_change(df: DataFrame, ty: str, ly: str, prefix: str, pct: str = "weekly") -> DataFrame:

@@ -163,12 +163,19 @@ def pos_fact(t: Tables, dates: DateRange | None = None, cols=STORE_ATTRS + PRODU
     return attach_dims(sales_lines(t, dates), t, cols)
 
 
-def category_fact(t: Tables, dates: DateRange | None = None) -> DataFrame:
+def category_lines(t: Tables, dates: DateRange | None = None) -> DataFrame:
+    """Category fact lines (orders) at their natural grain."""
     o = t.orders.where(ts_bounds("o_orderdate", dates)) if dates is not None else t.orders
-    o = o.select(F.col("o_custkey").alias("store"), F.to_date("o_orderdate").alias("sale_date"),
-                 money(F.col("o_totalprice")).alias("value"))
-    cust = t.customer.select(F.col("c_custkey").alias("store"), F.col("c_mktsegment").alias("category"))
-    return join_dim(o, cust, "store")
+    return o.select(F.col("o_custkey").alias("store"), F.to_date("o_orderdate").alias("sale_date"),
+                    money(F.col("o_totalprice")).alias("value"))
+
+
+def category_dim(t: Tables) -> DataFrame:
+    return t.customer.select(F.col("c_custkey").alias("store"), F.col("c_mktsegment").alias("category"))
+
+
+def category_fact(t: Tables, dates: DateRange | None = None) -> DataFrame:
+    return join_dim(category_lines(t, dates), category_dim(t), "store")
 
 
 def feeds(t: Tables) -> list[DataFrame]:
