@@ -156,27 +156,50 @@ FROM visits v LEFT JOIN sdim d ON v.studyKey = d.studyKey AND v.subjectId = d.su
 
 # ------------------------------------------------------------ retry source
 
-def retry_source(t: Tables, log: DataFrame) -> DataFrame:
-    """Failed visit outcomes of the log, resolved back to their latest
-    source row and site: the retry batch, as an extract."""
-    failed = (log.where((F.col("responsestatus") == "FAILURE") & (F.col("type") == "SubjectVisit"))
-                 .select("study_key", "visit_instance_id", "method", "subjectKey"))
-    src_keys = C.visits(t).select(F.col("studyKey").alias("study_key"),
-                                  F.col("visitid_instanceid").alias("visit_instance_id"),
-                                  F.col("subjectId").alias("subj_id")).distinct()
-    f = failed.join(src_keys, ["study_key", "visit_instance_id"], "left")
-    f = RV.enrich_site(f, C.subject_dim(t)).select("study_key", "visit_instance_id", "site_name").distinct()
+RETRY_KEYS = ["study_key", "visit_instance_id"]
+# Fixed value: the outcome message of a failed visit whose source row is gone.
+MSG_NO_SOURCE = "Source data not found for failed record."
+
+
+def retry_failures(log: DataFrame) -> DataFrame:
+    """One row per failed visit of the log (with the log's subject key)."""
+    return (log.where((F.col("responsestatus") == "FAILURE") & (F.col("type") == "SubjectVisit"))
+               .groupBy(*RETRY_KEYS).agg(F.min("subjectKey").alias("log_subjectKey")))
+
+
+def _retry_joined(t: Tables, log: DataFrame) -> DataFrame:
+    """Failed visits left-joined to their latest source row.  The source is
+    first reduced to the failed visits (a semi join), so only those rows
+    are deduplicated, not the whole visit history."""
+    failed = retry_failures(log)
     src = C.visits(t).select(F.col("studyKey").alias("study_key"), F.col("visitid_instanceid").alias("visit_instance_id"),
                              "dateModified", "subjectId", "intervalName", "visitDate", "deleted", "subjectKey",
                              "visitType", "ieyn", "source")
-    src = first_per_key(src, ["study_key", "visit_instance_id"], ["dateModified"], latest=True)
-    j = f.join(src, ["study_key", "visit_instance_id"], "inner")
-    return j.select("study_key", F.col("subjectId").alias("subj_id"), F.col("intervalName").alias("interval_name"),
+    src = src.join(failed.select(*RETRY_KEYS), RETRY_KEYS, "left_semi")
+    latest = first_per_key(src, RETRY_KEYS, ["dateModified"], latest=True)
+    return failed.join(latest, RETRY_KEYS, "left")
+
+
+def retry_source(t: Tables, log: DataFrame) -> DataFrame:
+    """The retry batch as an extract: failed visits with their latest
+    source row and the site of that row's subject."""
+    j = _retry_joined(t, log).where(F.col("dateModified").isNotNull())
+    j = RV.enrich_site(j.withColumnRenamed("subjectId", "subj_id"), C.subject_dim(t))
+    return j.select("study_key", "subj_id", F.col("intervalName").alias("interval_name"),
                     F.col("visit_instance_id").alias("visitid_instanceid"), F.col("visitDate").alias("visit_date"),
                     F.col("deleted").alias("is_deleted"), "subjectKey", F.col("visitType").alias("visit_type"),
                     "ieyn", "source", "site_name")
 
 
+def retry_without_source(t: Tables, log: DataFrame, run_time) -> DataFrame:
+    """Outcome rows for failed visits whose source row no longer exists."""
+    j = _retry_joined(t, log).where(F.col("dateModified").isNull())
+    return j.select(F.col("log_subjectKey").alias("subjectKey"), "study_key", F.lit(None).cast("string").alias("site_name"),
+                    F.lit("FAILURE").alias("responsestatus"), F.lit("insert").alias("method"),
+                    F.lit(MSG_NO_SOURCE).alias("error_message"), run_time.alias("inserted_date"),
+                    F.lit("SubjectVisit").alias("type"), "visit_instance_id")
+
+
 @query("failed_retry_source")
 def failed_retry_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = Tables(spark, sf_dir)
@@ -193,24 +216,29 @@ _PREV_LOG_SQL = f"""plog AS (
   FROM visits v LEFT JOIN sdim d ON v.studyKey = d.studyKey AND v.subjectId = d.subjectId
   WHERE v.dateCreated < {_WM_SQL})"""
 
-_RETRY_SQL = """fl AS (SELECT study_key, visit_instance_id FROM plog WHERE responsestatus = 'FAILURE' AND type = 'SubjectVisit'),
-fk AS (
-  SELECT DISTINCT fl.study_key, fl.visit_instance_id, d.siteName AS site_name
-  FROM fl LEFT JOIN (SELECT DISTINCT studyKey, visitid_instanceid, subjectId FROM visits) k
-       ON k.studyKey = fl.study_key AND k.visitid_instanceid = fl.visit_instance_id
-  LEFT JOIN sdim d ON d.studyKey = fl.study_key AND d.subjectId = k.subjectId),
+_RETRY_SQL = """fl AS (
+  SELECT study_key, visit_instance_id, min(subjectKey) AS log_subjectKey FROM plog
+  WHERE responsestatus = 'FAILURE' AND type = 'SubjectVisit' GROUP BY study_key, visit_instance_id),
 srcl AS (
   SELECT studyKey, visitid_instanceid, arg_max(subjectId, dateModified) AS subjectId,
          arg_max(intervalName, dateModified) AS intervalName, arg_max(visitDate, dateModified) AS visitDate,
          arg_max(deleted, dateModified) AS deleted, arg_max(subjectKey, dateModified) AS subjectKey,
          arg_max(visitType, dateModified) AS visitType, arg_max(ieyn, dateModified) AS ieyn,
          arg_max(source, dateModified) AS source
-  FROM visits GROUP BY studyKey, visitid_instanceid),
+  FROM visits WHERE (studyKey, visitid_instanceid) IN (SELECT study_key, visit_instance_id FROM fl)
+  GROUP BY studyKey, visitid_instanceid),
 retry AS (
-  SELECT fk.study_key, s.subjectId AS subj_id, s.intervalName AS interval_name, fk.visit_instance_id AS visitid_instanceid,
+  SELECT fl.study_key, s.subjectId AS subj_id, s.intervalName AS interval_name, fl.visit_instance_id AS visitid_instanceid,
          s.visitDate AS visit_date, s.deleted AS is_deleted, s.subjectKey, s.visitType AS visit_type, s.ieyn, s.source,
-         fk.site_name
-  FROM fk JOIN srcl s ON s.studyKey = fk.study_key AND s.visitid_instanceid = fk.visit_instance_id)"""
+         d.siteName AS site_name
+  FROM fl JOIN srcl s ON s.studyKey = fl.study_key AND s.visitid_instanceid = fl.visit_instance_id
+  LEFT JOIN sdim d ON d.studyKey = fl.study_key AND d.subjectId = s.subjectId),
+retry_missing AS (
+  SELECT fl.log_subjectKey AS subjectKey, fl.study_key, CAST(NULL AS VARCHAR) AS site_name, 'FAILURE' AS responsestatus,
+         'insert' AS method, 'Source data not found for failed record.' AS error_message,
+         TIMESTAMP '""" + str(RUN_TIME) + """' AS inserted_date, 'SubjectVisit' AS type, fl.visit_instance_id
+  FROM fl LEFT JOIN srcl s ON s.studyKey = fl.study_key AND s.visitid_instanceid = fl.visit_instance_id
+  WHERE s.studyKey IS NULL)"""
 
 ORACLE["failed_retry_source"] = Q.with_([Q.VISITS, Q.SUBJECT_DIM, _PREV_LOG_SQL, _RETRY_SQL]) + "SELECT * FROM retry"
 
@@ -316,10 +344,12 @@ def sync_visits_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = Tables(spark, sf_dir)
     log = C.previous_log(t, PREVIOUS_RUN, _since(t))
     # Resolution is row by row independent: both batches go through it once.
+    run = C.ntz_literal(RUN_TIME)
     retry = retry_source(t, log).withColumn("_seq", F.lit(0))
     batch = changed_batch(t).withColumn("_seq", F.lit(1))
     resolved = resolve(t, retry.unionByName(batch))
-    rows = RV.outcome_rows(resolved, C.ntz_literal(RUN_TIME), keep=("_seq",))
+    rows = RV.outcome_rows(resolved, run, keep=("_seq",))
+    rows = rows.unionByName(retry_without_source(t, log, run).withColumn("_seq", F.lit(0)))
     outcomes = first_per_key(rows, LOG_KEYS, ["_seq"], latest=True).drop("_seq")
     return ST.merge_upsert(log, outcomes.select(*log.columns), LOG_KEYS, LOG_UPDATES)
 
@@ -371,7 +401,8 @@ def _sync_oracle() -> str:
             + [f"""routc AS (
   SELECT subjectKey, study_key, site_name, responsestatus, method, error_message,
          TIMESTAMP '{RUN_TIME}' AS inserted_date, 'SubjectVisit' AS type, visitid_instanceid AS visit_instance_id FROM r_res)""",
-               f"""allo AS (SELECT *, 0 AS seq FROM routc UNION ALL SELECT *, 1 AS seq FROM outc)""",
+               f"""allo AS (SELECT *, 0 AS seq FROM routc UNION ALL SELECT *, 0 AS seq FROM retry_missing
+                 UNION ALL SELECT *, 1 AS seq FROM outc)""",
                f"""pick AS (SELECT * EXCLUDE (seq) FROM allo
   QUALIFY row_number() OVER (PARTITION BY {keys} ORDER BY seq DESC) = 1)"""])
     return Q.with_(ctes) + _merge_sql("pick")

@@ -88,3 +88,21 @@ def test_payloads_and_log(spark):
     log = RV.outcome_rows(res, F.lit("2024-02-01 00:00:00").cast("timestamp_ntz")).collect()
     assert {(r.visit_instance_id, r.method, r.responsestatus) for r in log} == {("7", "update", "SUCCESSFUL"),
                                                                                  ("8", "insert", "SUCCESSFUL")}
+
+
+def test_retry_of_a_visit_without_source(spark):
+    import datetime as dt
+
+    from ledgerlight.plans import clinical as PC
+    from ledgerlight.sources import clinical as C
+    from ledgerlight.sources.tables import Tables
+    t = Tables(spark, "/root/testdata/sf0.001")
+    log = spark.createDataFrame([("S-0001", "click", None, "FAILURE", "insert", "x", dt.datetime(2024, 1, 1),
+                                  "SubjectVisit", "no-such-visit"),
+                                 ("S-0001", "click", None, "SUCCESSFUL", "insert", None, dt.datetime(2024, 1, 1),
+                                  "SubjectVisit", "0")], C.LOG_SCHEMA)
+    run = C.ntz_literal(dt.datetime(2024, 2, 1))
+    missing = PC.retry_without_source(t, log, run).collect()
+    assert [(r.visit_instance_id, r.error_message, r.method) for r in missing] == [
+        ("no-such-visit", PC.MSG_NO_SOURCE, "insert")]
+    assert PC.retry_source(t, log).count() == 0  # the successful row is not retried
