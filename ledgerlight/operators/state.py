@@ -89,12 +89,25 @@ def merge_upsert(target: DataFrame, source: DataFrame, keys, update_cols, null_s
     The source is first reduced to one row per key (the latest by
     ``order_col`` when given), so no target row is matched twice.  With
     ``null_safe`` NULL key parts match each other (``<=>``); without it a
-    NULL key never matches and the source row is inserted again."""
+    NULL key never matches and the source row is inserted again.
+
+    Only target rows whose key occurs in the source can change: the target
+    is split by a semi / anti join on the source keys (a broadcast when the
+    batch is small, so the untouched history is only scanned, not
+    shuffled), and the full outer join runs on the touched part alone."""
     keys = list(keys)
     cols = target.columns
     if order_col is not None:
         source = first_per_key(source, keys, [order_col], latest=True)
-    t = target.select(*[F.col(c).alias(f"t_{c}") for c in cols], F.lit(True).alias("_in_t"))
+    src_keys = source.select(*[F.col(k).alias(f"k_{k}") for k in keys]).distinct()
+
+    def on_keys(df):
+        conds = [(df[k].eqNullSafe(src_keys[f"k_{k}"]) if null_safe else (df[k] == src_keys[f"k_{k}"])) for k in keys]
+        return reduce(lambda a, b: a & b, conds)
+
+    untouched = target.join(src_keys, on_keys(target), "left_anti")
+    touched = target.join(src_keys, on_keys(target), "left_semi")
+    t = touched.select(*[F.col(c).alias(f"t_{c}") for c in cols], F.lit(True).alias("_in_t"))
     s = source.select(*[F.col(c).alias(f"s_{c}") for c in cols], F.lit(True).alias("_in_s"))
     conds = [(t[f"t_{k}"].eqNullSafe(s[f"s_{k}"]) if null_safe else (t[f"t_{k}"] == s[f"s_{k}"])) for k in keys]
     j = t.join(s, reduce(lambda a, b: a & b, conds), "full_outer")
@@ -104,7 +117,7 @@ def merge_upsert(target: DataFrame, source: DataFrame, keys, update_cols, null_s
             out.append(F.when(F.col("_in_s").isNotNull(), F.col(f"s_{c}")).otherwise(F.col(f"t_{c}")).alias(c))
         else:
             out.append(F.when(F.col("_in_t").isNotNull(), F.col(f"t_{c}")).otherwise(F.col(f"s_{c}")).alias(c))
-    return j.select(*out)
+    return untouched.select(*cols).unionByName(j.select(*out))
 
 
 def delete_where(df: DataFrame, predicate: Column) -> DataFrame:
