@@ -432,3 +432,36 @@ def streaming_visit_sync(spark: SparkSession, sf_dir: str) -> DataFrame:
 ORACLE["streaming_visit_sync"] = Q.with_(Q.resolve_ctes("TRUE")) + f"""
 SELECT subjectKey, study_key, site_name, responsestatus, method, error_message,
        TIMESTAMP '{RUN_TIME}' AS inserted_date, 'SubjectVisit' AS type, visitid_instanceid AS visit_instance_id FROM res"""
+
+
+# ------------------------------------------- delete by predicate, paging
+
+PURGED_STUDY = "error"
+PAGE_LIMIT, PAGE_OFFSET = 1000, 1000
+
+
+@query("log_purge_study")
+def log_purge_study(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The earlier log without one study's rows: a DELETE ... WHERE as a
+    filtered rewrite (the caller writes it as a new version)."""
+    t = Tables(spark, sf_dir)
+    return ST.delete_where(C.previous_log(t, PREVIOUS_RUN, _since(t)), F.col("study_key") == PURGED_STUDY)
+
+
+ORACLE["log_purge_study"] = Q.with_([Q.VISITS, Q.SUBJECT_DIM, _PREV_LOG_SQL]) + f"""
+SELECT * FROM plog WHERE NOT coalesce(study_key = '{PURGED_STUDY}', FALSE)"""
+
+
+@query("visit_page")
+def visit_page(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One page (limit/offset over a total order) of the resolved batch --
+    the paged listing of a lookup API; the limit is the feature."""
+    from ..sources.params import page_of
+    t = Tables(spark, sf_dir)
+    r = resolve(t, changed_batch(t)).select("study_key", "visitid_instanceid", "external_id", "responsestatus")
+    return page_of(r, ["study_key", F.col("visitid_instanceid").cast("long")], PAGE_LIMIT, PAGE_OFFSET)
+
+
+ORACLE["visit_page"] = Q.with_(Q.resolve_ctes(_BATCH_WHERE)) + f"""
+SELECT study_key, visitid_instanceid, external_id, responsestatus FROM res
+ORDER BY study_key, CAST(visitid_instanceid AS BIGINT) LIMIT {PAGE_LIMIT} OFFSET {PAGE_OFFSET}"""

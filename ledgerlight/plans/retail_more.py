@@ -464,3 +464,67 @@ SELECT CAST(year(c.d) AS INTEGER) AS year, CAST(quarter(c.d) AS INTEGER) AS quar
        CAST(GROUPING(year(c.d), quarter(c.d), month(c.d)) AS BIGINT) AS level
 FROM cal c LEFT JOIN pd ON pd.d = c.d
 GROUP BY ROLLUP (year(c.d), quarter(c.d), month(c.d))"""
+
+
+# -------------------------------------------- last date of every week
+
+@query("week_end_dates")
+def week_end_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For every (year, week) of the calendar: its last date as text
+    (MM-dd-yyyy), blank for week 53."""
+    cal, _ = _fact_calendar(Tables(spark, sf_dir))
+    return (cal.where(F.col("week") != 53).groupBy("year", "week")
+               .agg(F.date_format(F.max("date"), "MM-dd-yyyy").alias("week_end_date")))
+
+
+ORACLE["week_end_dates"] = _with(S.calendar_cte()) + """
+SELECT y AS year, wk AS week, strftime(max(d), '%m-%d-%Y') AS week_end_date FROM cal WHERE wk <> 53 GROUP BY y, wk"""
+
+
+# ------------------------------------------------------ metric selector
+
+# Selector rows of the metric choice table (label, order).
+METRIC_SELECTOR = [("MTD Sales", 1), ("YTD Sales", 2), ("Yearly % Change", 3), ("Weekly % Change", 4)]
+
+
+@query("metric_selector")
+def metric_selector(spark: SparkSession, sf_dir: str, sel: M.Selection = SEL) -> DataFrame:
+    """Every selector row of the metric choice table per retailer: the
+    chosen metric's value, the selector's remapped column order and its
+    category by contained text."""
+    from ..operators.report import choose_metric
+    from ..sources.params import cascade_remap, contains_category
+    t = Tables(spark, sf_dir)
+    wins = {"mtd_ty": M.mtd_window(sel), "ytd_ty": M.ytd_window(sel), "ytd_ly": M.ytd_window(sel, last_year=True),
+            "ty": M.weekly_window(sel, N_WEEKS), "ly": M.weekly_window(sel, N_WEEKS, last_year=True)}
+    df = M.window_sums(t, wins, ["retailer"])
+    df = df.select("retailer", F.col("mtd_ty").cast("double").alias("mtd_ty"), F.col("ytd_ty").cast("double").alias("ytd_ty"),
+                   B.ytd_pct_change(F.col("ytd_ty"), F.col("ytd_ly")).alias("ytd_pct"),
+                   B.weekly_pct_change(F.col("ty"), F.col("ly")).alias("wk_pct"))
+    rows = df.select("*", F.explode(F.array(*[F.struct(F.lit(l).alias("selector"), F.lit(o).alias("sel_order"))
+                                              for l, o in METRIC_SELECTOR])).alias("s")).select("*", "s.*").drop("s")
+    options = {"MTD Sales": "mtd_ty", "YTD Sales": "ytd_ty", "Yearly % Change": "ytd_pct", "Weekly % Change": "wk_pct"}
+    return rows.select("retailer", "selector", choose_metric(rows, "selector", options).alias("value"),
+                       cascade_remap(F.col("sel_order")).alias("column_order"),
+                       contains_category(F.col("selector"), [("%", "Change"), ("Sales", "Sales")]).alias("category"))
+
+
+def _selector_sql() -> str:
+    vals = {"MTD Sales": "CAST(mtd_ty AS DOUBLE)", "YTD Sales": "CAST(ytd_ty AS DOUBLE)",
+            "Yearly % Change": S.ytd_pct("ytd_ty", "ytd_ly"), "Weekly % Change": S.weekly_pct("ty", "ly")}
+    remap = "CAST(CASE WHEN o = 1 THEN 10 WHEN o = 2 THEN 1 WHEN o BETWEEN 3 AND 11 THEN o - 1 ELSE o END AS INTEGER)"
+    rows = " UNION ALL ".join(
+        f"SELECT retailer, '{l}' AS selector, {vals[l]} AS value, {remap.replace('o', str(o))} AS column_order, "
+        f"'{'Change' if '%' in l else 'Sales'}' AS category FROM agg" for l, o in METRIC_SELECTOR)
+    return _with(S.calendar_cte(), S.POS_FACT_CTE, _anchor_cte(), f"""agg AS (
+  SELECT retailer,
+    sum(value) FILTER (WHERE sale_date BETWEEN date_trunc('month', last_d) AND last_d) AS mtd_ty,
+    sum(value) FILTER (WHERE sale_date BETWEEN ys_ty AND ye_ty) AS ytd_ty,
+    sum(value) FILTER (WHERE sale_date BETWEEN ys_ly AND ye_ly) AS ytd_ly,
+    sum(value) FILTER (WHERE sale_date BETWEEN e_ty - {_NW} AND e_ty) AS ty,
+    sum(value) FILTER (WHERE sale_date BETWEEN e_ly - {_NW} AND e_ly) AS ly
+  FROM pos, a WHERE sale_date BETWEEN least(ys_ly, e_ly - {_NW}) AND greatest(ye_ty, e_ty, last_d)
+  GROUP BY retailer)""") + rows
+
+
+ORACLE["metric_selector"] = _selector_sql()
