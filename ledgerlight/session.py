@@ -49,7 +49,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not current:
         current = os.path.join(os.environ.get("TMPDIR", "/tmp"), "ledgerlight-ckpt-" + uuid.uuid4().hex[:8])
         spark.conf.set("spark.checkpoint.dir", current)
-    spark.sparkContext.setCheckpointDir(current)
+    try:
+        spark.sparkContext.setCheckpointDir(current)
+    except Exception:  # noqa: BLE001 - sessions without a local SparkContext handle
+        pass
     return current
 
 
