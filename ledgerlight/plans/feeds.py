@@ -31,18 +31,23 @@ _RO_SQL = (f"ro AS (SELECT r_name AS retailer, CAST(r_regionkey + 1 AS BIGINT) A
 def feed_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Union the separate feeds by name, keep rows with a product and a
     date on/after the floor, attach the retailer order and the join key;
-    summarised per feed."""
+    summarised per feed.  The date floor is a line filter; everything else
+    depends on (store, part) only, so lines are pre-aggregated to that grain
+    before the dimensions and keys are attached."""
     t = Tables(spark, sf_dir)
-    u = FE.union_feeds(R.feeds(t))
-    u = R.attach_dims(u.withColumn("store", F.col("store_text").try_cast("bigint")), t, ["product", "retailer"])
-    u = FE.keep_valid_sales(u, floor=SALES_FLOOR)
-    u = u.drop("retailer_order").join(F.broadcast(R.retailer_order(t, EXCLUDED_RETAILERS)), "retailer", "left")
-    u = FE.with_fact_join_key(u)
-    return u.groupBy("feed").agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        F.count(F.when(F.col("inserted_date").isNull(), F.lit(1))).alias("n_without_inserted_date"),
-        F.sum("value").cast("double").alias("sales"),
-        F.count(F.when(F.col("join_key").isNull(), F.lit(1))).alias("n_null_key"),
+    u = FE.union_feeds(R.feeds(t)).where(F.col("sale_date") >= F.lit(SALES_FLOOR))
+    pre = u.groupBy("feed", "store_text", "part_key").agg(
+        F.count(F.lit(1)).alias("n"), F.count(F.when(F.col("inserted_date").isNull(), F.lit(1))).alias("n_noins"),
+        F.sum("value").alias("v"))
+    pre = R.attach_dims(pre.withColumn("store", F.col("store_text").try_cast("bigint")), t, ["product", "retailer"])
+    pre = pre.where(F.col("product").isNotNull())
+    pre = pre.drop("retailer_order").join(F.broadcast(R.retailer_order(t, EXCLUDED_RETAILERS)), "retailer", "left")
+    pre = FE.with_fact_join_key(pre)
+    return pre.groupBy("feed").agg(
+        F.sum("n").cast("long").alias("n_rows"),
+        F.sum("n_noins").cast("long").alias("n_without_inserted_date"),
+        F.sum("v").cast("double").alias("sales"),
+        F.sum(F.when(F.col("join_key").isNull(), F.col("n")).otherwise(0)).cast("long").alias("n_null_key"),
         F.min("join_key").alias("min_key"), F.max("join_key").alias("max_key"))
 
 
