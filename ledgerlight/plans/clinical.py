@@ -465,3 +465,19 @@ def visit_page(spark: SparkSession, sf_dir: str) -> DataFrame:
 ORACLE["visit_page"] = Q.with_(Q.resolve_ctes(_BATCH_WHERE)) + f"""
 SELECT study_key, visitid_instanceid, external_id, responsestatus FROM res
 ORDER BY study_key, CAST(visitid_instanceid AS BIGINT) LIMIT {PAGE_LIMIT} OFFSET {PAGE_OFFSET}"""
+
+
+@query("visit_date_parse")
+def visit_date_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Visit-date text in either accepted layout -> ISO date; empty or
+    unparsable text -> NULL."""
+    from ..functions.dates import iso_date_from_two_formats
+    v = C.visits(Tables(spark, sf_dir))
+    return v.select(F.col("studyKey").alias("study_key"), "visitid_instanceid", F.col("visitDate").alias("visit_date"),
+                    iso_date_from_two_formats(F.col("visitDate")).alias("visit_date_iso"))
+
+
+ORACLE["visit_date_parse"] = Q.with_([Q.VISITS]) + f"""
+SELECT studyKey AS study_key, visitid_instanceid, visitDate AS visit_date,
+       CASE WHEN coalesce(visitDate, '') <> '' THEN {Q.ISO_DATE.replace('visit_date', 'visitDate')} END AS visit_date_iso
+FROM visits"""
