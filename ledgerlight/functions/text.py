@@ -51,6 +51,16 @@ def split_part(c: Column, delim: str, idx: int) -> Column:
     return F.try_element_at(parts, F.lit(idx))
 
 
+def feed_store_number(store_text: Column) -> Column:
+    """Feed side: split on every '#', keep the first two parts as integers
+    (unconvertible parts become NULL), concatenate them and read the result
+    as a number ('011#00045' -> 1145, '12#34#56' -> 1234)."""
+    parts = F.split(store_text, F.lit("#"))
+    p1 = F.try_element_at(parts, F.lit(1)).try_cast("bigint")
+    p2 = F.try_element_at(parts, F.lit(2)).try_cast("bigint")
+    return F.nullif(F.concat_ws("", p1.cast("string"), p2.cast("string")), F.lit("")).try_cast("double")
+
+
 def fact_store_part(store_number: Column) -> Column:
     """Fact side: store number -> text, split on '.', each part as an
     integer, parts concatenated (nulls skipped)."""

@@ -26,8 +26,9 @@ def keep_valid_sales(df: DataFrame, product_col: str = "product", date_col: str
 
 def with_fact_join_key(df: DataFrame, store_col: str = "store_text", order_col: str = "retailer_order",
                        out: str = "join_key") -> DataFrame:
-    """Store (as a number) -> digits (split on '.') ++ retailer order."""
-    part = X.fact_store_part(F.col(store_col).try_cast("double"))
+    """Feed store text -> store number ('#' parts) -> digits (split on '.')
+    ++ retailer order."""
+    part = X.fact_store_part(X.feed_store_number(F.col(store_col)))
     return df.withColumn(out, X.join_key(part, F.col(order_col)))
 
 

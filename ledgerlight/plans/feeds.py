@@ -7,6 +7,7 @@ import datetime as _dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import text as X
 from ..operators import feeds_etl as FE
 from ..operators import quality as Q
 from ..sources import params as P
@@ -39,7 +40,8 @@ def feed_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     pre = u.groupBy("feed", "store_text", "part_key").agg(
         F.count(F.lit(1)).alias("n"), F.count(F.when(F.col("inserted_date").isNull(), F.lit(1))).alias("n_noins"),
         F.sum("value").alias("v"))
-    pre = R.attach_dims(pre.withColumn("store", F.col("store_text").try_cast("bigint")), t, ["product", "retailer"])
+    pre = R.attach_dims(pre.withColumn("store", X.feed_store_number(F.col("store_text")).cast("bigint")), t,
+                        ["product", "retailer"])
     pre = pre.where(F.col("product").isNotNull())
     pre = pre.drop("retailer_order").join(F.broadcast(R.retailer_order(t, EXCLUDED_RETAILERS)), "retailer", "left")
     pre = FE.with_fact_join_key(pre)

@@ -10,10 +10,19 @@ def test_number_text(spark):
     assert got == ["123", "123.5", "12345678", "100", None]
 
 
+def test_feed_store_number(spark):
+    vals = ["011#00045", "12#34#56", "12", "12#x", "abc", None, "12#"]
+    df = spark.createDataFrame([(v,) for v in vals], "s string")
+    got = [r[0] for r in df.select(X.feed_store_number(F.col("s"))).collect()]
+    assert got == [1145.0, 1234.0, 12.0, 12.0, None, None, 12.0]
+
+
 def test_fact_join_key(spark):
-    df = spark.createDataFrame([("12",), ("12.5",), ("12345678",), (None,), ("abc",)], "store_text string")
+    df = spark.createDataFrame([("12",), ("12#5",), ("12345678",), (None,), ("abc",)], "store_text string")
     df = FE.with_fact_join_key(df.withColumn("retailer_order", F.lit(3)))
     assert [r.join_key for r in df.collect()] == [123, 1253, 123456783, None, None]
+    num = spark.createDataFrame([(12.5,), (123.0,)], "x double")
+    assert [r[0] for r in num.select(X.join_key(X.fact_store_part(F.col("x")), F.lit(3))).collect()] == [1253, 1233]
 
 
 def test_coverage_join_key(spark):
