@@ -12,17 +12,18 @@ from .rank import global_rank
 
 
 def type_mismatch_quarantine(raw: DataFrame, target: dict, order_key: str) -> DataFrame:
-    """Keep only rows with at least one cell that is present but does not
-    convert to its target type; number the kept rows by ``order_key`` and
-    list the failing columns.  (Failed conversions become NULL, never an
-    error, as in a load that returns error values as null.)"""
+    """Number every row by ``order_key`` (its position in the whole table),
+    then keep only rows with at least one cell that is present but does not
+    convert to its target type, row number first, with the failing columns
+    listed.  (Failed conversions become NULL, never an error, as in a load
+    that returns error values as null.)"""
     failed = {c: F.col(c).isNotNull() & F.col(c).try_cast(t).isNull() for c, t in target.items()}
     any_failed = reduce(lambda a, b: a | b, failed.values())
-    bad = raw.where(any_failed).select(
-        *raw.columns,
-        F.concat_ws(",", *[F.when(cond, F.lit(c)) for c, cond in failed.items()]).alias("bad_columns"))
     # Row number over an explicit key, computed without a single-partition window.
-    return global_rank(bad, order_key, "row_no", method="skip", ascending=True)
+    numbered = global_rank(raw, order_key, "row_no", method="skip", ascending=True)
+    bad = numbered.where(any_failed)
+    return bad.select("row_no", *raw.columns,
+                      F.concat_ws(",", *[F.when(cond, F.lit(c)) for c, cond in failed.items()]).alias("bad_columns"))
 
 
 def key_checks(df: DataFrame, key: str) -> DataFrame:

@@ -193,12 +193,12 @@ ORACLE["type_error_quarantine"] = """WITH raw AS (
   SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CAST(o_custkey AS VARCHAR) AS o_custkey,
          CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR) AS o_totalprice,
          strftime(o_orderdate, '%Y-%m-%d') AS o_orderdate, o_orderpriority FROM orders),
+numbered AS (SELECT *, CAST(rank() OVER (ORDER BY TRY_CAST(o_orderkey AS BIGINT)) AS BIGINT) AS row_no FROM raw),
 bad AS (
   SELECT *, concat_ws(',',
            CASE WHEN o_orderkey IS NOT NULL AND TRY_CAST(o_orderkey AS BIGINT) IS NULL THEN 'o_orderkey' END,
            CASE WHEN o_custkey IS NOT NULL AND TRY_CAST(o_custkey AS BIGINT) IS NULL THEN 'o_custkey' END,
            CASE WHEN o_totalprice IS NOT NULL AND TRY_CAST(o_totalprice AS DECIMAL(7,2)) IS NULL THEN 'o_totalprice' END,
            CASE WHEN o_orderdate IS NOT NULL AND TRY_CAST(o_orderdate AS DATE) IS NULL THEN 'o_orderdate' END) AS bad_columns
-  FROM raw)
-SELECT CAST(rank() OVER (ORDER BY TRY_CAST(o_orderkey AS BIGINT)) AS BIGINT) AS row_no, o_orderkey, o_totalprice, bad_columns
-FROM bad WHERE bad_columns <> ''"""
+  FROM numbered)
+SELECT row_no, o_orderkey, o_totalprice, bad_columns FROM bad WHERE bad_columns <> ''"""
