@@ -51,7 +51,7 @@ ORACLE["envelope_explode"] = """WITH v AS (
          event_id // """ + str(PAGE_SIZE) + """ AS page
   FROM events)
 SELECT studyKey, visitId, intervalName, subjectId, subjectKey, visitDate, deleted, dateCreated, dateModified,
-       max(strftime(dateModified, '%Y-%m-%dT%H:%M:%S.%f')) OVER (PARTITION BY studyKey, page) AS page_timestamp
+       max(strftime(dateModified, '%Y-%m-%dT%H:%M:%S.%f')) OVER (PARTITION BY studyKey, page) AS "timestamp"
 FROM v"""
 
 

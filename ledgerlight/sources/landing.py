@@ -47,7 +47,7 @@ def read_envelopes(spark: SparkSession, path: str, data_fields) -> DataFrame:
     """One row per landed page, with the study key from the file path."""
     raw = (spark.read.schema(envelope_schema(data_fields)).option("recursiveFileLookup", "true").json(path)
            .select("*", F.col("_metadata.file_path").alias("_path")))
-    return raw.select("data", F.col("metadata.timestamp").alias("page_timestamp"),
+    return raw.select("data", F.col("metadata.timestamp").alias("timestamp"),
                       F.col("pagination.totalPages").alias("total_pages"),
                       F.regexp_extract("_path", STUDY_FROM_PATH, 1).alias("studyKey"))
 
@@ -56,8 +56,8 @@ def read_pages(spark: SparkSession, path: str, data_fields) -> DataFrame:
     """All landed pages -> one row per data element, with the page
     timestamp, the page count and the study key."""
     env = read_envelopes(spark, path, data_fields)
-    return (env.select("studyKey", F.explode("data").alias("r"), "page_timestamp", "total_pages")
-               .select("studyKey", "r.*", "page_timestamp", "total_pages"))
+    return (env.select("studyKey", F.explode("data").alias("r"), "timestamp", "total_pages")
+               .select("studyKey", "r.*", "timestamp", "total_pages"))
 
 
 def cast_to_schema(df: DataFrame, schema: dict) -> DataFrame:
