@@ -39,6 +39,13 @@ def week_no(d: Column) -> Column:
     return F.when(jan1_dow == 7, raw - 1).otherwise(raw).cast("int")
 
 
+def plain_weeknum(d: Column) -> Column:
+    """Sunday-start week number with week 1 holding January 1st, without the
+    Saturday shift (the plain WEEKNUM some measures compare against)."""
+    jan1_dow = F.dayofweek(F.make_date(F.year(d), F.lit(1), F.lit(1)))
+    return (F.floor((F.dayofyear(d) + jan1_dow - F.lit(2)) / F.lit(7)).cast("int") + F.lit(1)).cast("int")
+
+
 def week_ending(d: Column) -> Column:
     """The Saturday closing the Sunday-start week of ``d``."""
     return F.date_add(d, (F.lit(7) - F.dayofweek(d)).cast("int"))

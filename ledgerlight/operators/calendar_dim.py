@@ -25,6 +25,7 @@ def calendar_attributes(days: DataFrame) -> DataFrame:
         F.month(d).alias("month"),
         F.dayofmonth(d).alias("day"),
         C.week_no(d).alias("week"),
+        C.plain_weeknum(d).alias("weeknum"),
         F.date_format(d, "EEEE").alias("weekday_name"),
         C.dow(d).alias("weekday_number"),
         C.week_ending(d).alias("week_ending"),

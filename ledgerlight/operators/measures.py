@@ -191,8 +191,18 @@ def monday_dispatch_window(sel: Selection, order: int) -> DateRange:
 # ------------------------------------------------------------- evaluation
 
 def week_end_date(sel: Selection) -> _dt.date | None:
-    """Last date of the selected week; blank for week 53."""
-    return None if sel.week == 53 else sel.last_date
+    """Last date of the selected year whose plain WEEKNUM is the selected
+    week and whose retail week is not 53 (None when there is none)."""
+    from ..functions.calendar import py_week_no
+    days = []
+    d = _dt.date(sel.year, 1, 1)
+    jan1_dow = (d.isoweekday() % 7) + 1
+    while d.year == sel.year:
+        plain = (d.timetuple().tm_yday + jan1_dow - 2) // 7 + 1
+        if plain == sel.week and py_week_no(d) != 53:
+            days.append(d)
+        d += _dt.timedelta(days=1)
+    return max(days) if days else None
 
 
 GROUPABLE = ("retailer", "retailer_order", "smm", "ssr", "store", "store_name", "in_coverage", "product",

@@ -42,7 +42,9 @@ def calendar_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
 _DOW = S.dow("d")
 ORACLE["calendar_dim"] = _with(S.calendar_cte(), """mx AS (SELECT max(d) AS last_date FROM cal)""") + f"""
 SELECT d AS date, CAST(year(d) AS INTEGER) AS year, CAST(month(d) AS INTEGER) AS month,
-       CAST(day(d) AS INTEGER) AS day, wk AS week, strftime(d, '%A') AS weekday_name,
+       CAST(day(d) AS INTEGER) AS day, wk AS week,
+       CAST(floor((dayofyear(d) + (dayofweek(make_date(year(d), 1, 1)) + 1) - 2) / 7) AS INTEGER) + 1 AS weeknum,
+       strftime(d, '%A') AS weekday_name,
        CAST({_DOW} AS INTEGER) AS weekday_number, we AS week_ending,
        strftime(d, '%b') || ' ' || CAST(year(d) AS VARCHAR) AS month_year_label,
        CAST(year(d) * 10000 + month(d) * 100 AS INTEGER) AS date_key, strftime(d, '%B') AS month_name,
@@ -470,15 +472,21 @@ GROUP BY ROLLUP (year(c.d), quarter(c.d), month(c.d))"""
 
 @query("week_end_dates")
 def week_end_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """For every (year, week) of the calendar: its last date as text
-    (MM-dd-yyyy), blank for week 53."""
+    """For every (year, week) selection of the calendar: the last date of
+    that year whose plain WEEKNUM equals the selected week and whose week is
+    not 53, as MM-dd-yyyy text (BLANK when none)."""
     cal, _ = _fact_calendar(Tables(spark, sf_dir))
-    return (cal.where(F.col("week") != 53).groupBy("year", "week")
+    axis = cal.select("year", "week").distinct()
+    last = (cal.where(F.col("week") != 53).groupBy("year", F.col("weeknum").alias("week"))
                .agg(F.date_format(F.max("date"), "MM-dd-yyyy").alias("week_end_date")))
+    return axis.join(last, ["year", "week"], "left")
 
 
-ORACLE["week_end_dates"] = _with(S.calendar_cte()) + """
-SELECT y AS year, wk AS week, strftime(max(d), '%m-%d-%Y') AS week_end_date FROM cal WHERE wk <> 53 GROUP BY y, wk"""
+ORACLE["week_end_dates"] = _with(S.calendar_cte()) + f"""
+, c2 AS (SELECT *, CAST(floor((dayofyear(d) + {S.dow("make_date(year(d), 1, 1)")} - 2) / 7) AS INTEGER) + 1 AS weeknum FROM cal),
+last AS (SELECT y, weeknum, strftime(max(d), '%m-%d-%Y') AS week_end_date FROM c2 WHERE wk <> 53 GROUP BY y, weeknum)
+SELECT a.y AS year, a.wk AS week, last.week_end_date
+FROM (SELECT DISTINCT y, wk FROM cal) a LEFT JOIN last ON last.y = a.y AND last.weeknum = a.wk"""
 
 
 # ------------------------------------------------------ metric selector

@@ -42,6 +42,8 @@ def test_axis_remap_contains_groups(spark):
 def test_week_end_date():
     assert M.week_end_date(M.Selection(2023, 53)) is None
     assert M.week_end_date(M.Selection(2023, 52)) == dt.date(2023, 12, 30)
+    # 2022 starts on a Saturday: plain WEEKNUM 52 is retail week 51.
+    assert M.week_end_date(M.Selection(2022, 52)) == dt.date(2022, 12, 24)
 
 
 def test_versioned_write_and_schema_evolution(spark, tmp_out):
