@@ -245,9 +245,10 @@ ORACLE["failed_retry_source"] = Q.with_([Q.VISITS, Q.SUBJECT_DIM, _PREV_LOG_SQL,
 
 # ------------------------------------------------------------- resolution
 
-def changed_batch(t: Tables) -> DataFrame:
-    """The changed visits since the watermark, enriched with the site."""
-    ext = RV.extract_changed_visits(C.visits(t), since=_since(t))
+def changed_batch(t: Tables, study: str | None = None) -> DataFrame:
+    """The changed visits since the watermark (optionally of one study),
+    enriched with the site."""
+    ext = RV.extract_changed_visits(C.visits(t), since=_since(t), study=study)
     return RV.enrich_site(ext, C.subject_dim(t))
 
 
