@@ -49,8 +49,9 @@ def global_rank(df: DataFrame, value_col: str, out_col: str = "rank", method: st
              .withColumn("_lc", F.coalesce(F.sum("_n").over(w_local.rowsBetween(Window.unboundedPreceding, -1)),
                                            F.lit(0))))
     per_part = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_pd"), F.sum("_n").alias("_pn"))
-    # One row per range partition: bounded by ``partitions``.
-    w_off = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    # One row per range partition (at most ``partitions`` rows), so a single
+    # explicit group is bounded; the prefix sums give each range its offset.
+    w_off = Window.partitionBy(F.lit(0)).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (per_part.withColumn("_od", F.coalesce(F.sum("_pd").over(w_off), F.lit(0)))
                        .withColumn("_on", F.coalesce(F.sum("_pn").over(w_off), F.lit(0)))
                        .select("_pid", "_od", "_on"))
