@@ -55,7 +55,10 @@ def coverage_pipeline(cov: DataFrame, retailer_order: DataFrame, first_smm=(), s
             .withColumn("smm_sort", smm_sort(F.col("smm"), first_smm, second_smm))
             .withColumn("smm_territory", smm_territory(F.col("smm")))
             .withColumn("store_num", X.coverage_store_part(F.col("store_num_text"))))
-    ro = F.broadcast(retailer_order.select(F.col("retailer").alias("chain_r"), "retailer_order"))
+    # Right outer join: the preserved (right) side cannot be the broadcast
+    # build side, so no hint; the planner broadcasts the coverage side when
+    # it is small enough.
+    ro = retailer_order.select(F.col("retailer").alias("chain_r"), "retailer_order")
     j = c.join(ro, c["chain"] == ro["chain_r"], "right")
     j = j.withColumn("join_key", X.join_key(F.col("store_num"), F.col("retailer_order")))
     j = j.withColumn("chain", F.coalesce(F.col("chain"), F.col("chain_r"))).drop("chain_r")

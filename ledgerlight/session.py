@@ -29,6 +29,7 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
     builder = SparkSession.builder.master(master).appName(app_name)
     conf = dict(BASE_CONF)
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    conf.setdefault("spark.driver.memory", "4g")     # local runs: the driver is the executor
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
