@@ -63,7 +63,7 @@ def global_rank(df: DataFrame, value_col: str, out_col: str = "rank", method: st
     else:
         raise ValueError(method)
     ranks = ranked.select(value_col, r.cast("long").alias(out_col))
-    return df.join(ranks, value_col, "left")
+    return df.join(ranks, value_col, "left").select(*df.columns, out_col)
 
 
 def group_rank(df: DataFrame, partition_by, value_col: str, out_col: str = "rank", method: str = "skip",
