@@ -78,3 +78,21 @@ def test_refresh_time_and_metric_choice(spark):
     rows = [(r.r, r.metric, r.metric_ord, r.value) for r in long.collect()]
     assert rows[:3] == [("A", "MTD sales", 1, 1.0), ("B", "MTD sales", 1, 3.0), ("C", "MTD sales", 1, 5.0)]
     assert len(rows) == 6
+
+
+def test_bucketed_tables_join_without_shuffle(spark):
+    log = spark.createDataFrame([(f"S{i % 7}", str(i), "FAILURE") for i in range(200)],
+                                "study_key string, visit_instance_id string, responsestatus string")
+    hist = spark.createDataFrame([(f"S{i % 7}", str(i), f"VIS-{i}") for i in range(0, 200, 2)],
+                                 "study_key string, visit_instance_id string, target_visit_id string")
+    keys = ["study_key", "visit_instance_id"]
+    K.write_bucketed(log, "bk_log", keys, 8)
+    K.write_bucketed(hist, "bk_hist", keys, 8)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        j = spark.table("bk_log").join(spark.table("bk_hist"), keys, "left")
+        plan = j._jdf.queryExecution().executedPlan().toString()
+        assert j.where("target_visit_id IS NOT NULL").count() == 100
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(10 << 20))
+    assert "SortMergeJoin" in plan and "Exchange" not in plan, plan
