@@ -24,7 +24,8 @@ RANK_KS = (1, 2, 3, 4, 5, 6)
 _NW = 7 * N_WEEKS - 1
 
 
-def _fact_calendar(t: Tables) -> DataFrame:
+def _fact_calendar(t: Tables) -> tuple[DataFrame, DataFrame]:
+    """The calendar over the fact's date span (one row per day) and its (lo, hi) bounds row."""
     li = t.lineitem
     bounds = li.agg(F.to_date(F.min("l_shipdate")).alias("lo"), F.to_date(F.max("l_shipdate")).alias("hi"))
     cal = CD.calendar_attributes(CD.calendar_from_bounds(bounds))
