@@ -36,14 +36,19 @@ def global_rank(df: DataFrame, value_col: str, out_col: str = "rank", method: st
     method: 'dense' (1,2,2,3) or 'skip' (1,2,2,4).  Rows whose value is NULL
     get a NULL rank (a blank measure is not ranked).
     """
+    from ..session import ensure_checkpoint_dir
     spark = df.sparkSession
-    if partitions is None:
-        partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     vals = (df.where(F.col(value_col).isNotNull())
               .groupBy(value_col).agg(F.count(F.lit(1)).alias("_n")))
-    ranged = (vals.repartitionByRange(partitions, _order(value_col, ascending))
-                  .withColumn("_pid", F.spark_partition_id()))
-    w_local = Window.partitionBy("_pid").orderBy(_order(value_col, ascending))
+    order = _order(value_col, ascending)
+    # Without an explicit count AQE may merge small adjacent ranges (merging
+    # keeps their order, which is all the offsets need).
+    parted = vals.repartitionByRange(partitions, order) if partitions else vals.repartitionByRange(order)
+    # Materialise the ranges once (see the module docstring): both consumers
+    # below must see the same sampled range bounds.
+    ensure_checkpoint_dir(spark)
+    ranged = parted.withColumn("_pid", F.spark_partition_id()).checkpoint(eager=True)
+    w_local = Window.partitionBy("_pid").orderBy(order)
     local = (ranged
              .withColumn("_ld", F.row_number().over(w_local))
              .withColumn("_lc", F.coalesce(F.sum("_n").over(w_local.rowsBetween(Window.unboundedPreceding, -1)),
