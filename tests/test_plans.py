@@ -45,3 +45,13 @@ def test_dimension_joined_after_reduction(spark):
     join_at = plan.find("Join")
     agg_on_store = plan.find("keys=[store")
     assert join_at != -1 and agg_on_store != -1 and agg_on_store > join_at  # aggregate sits below the join
+
+
+def test_rank_consumers_share_materialised_ranges(spark):
+    """Both rank consumers read the checkpointed ranges: the final plan has
+    no range-partitioning exchange left (it ran once, in the checkpoint)."""
+    df = E.queries()["store_ytd_rank"](spark, SF)
+    df.write.format("noop").mode("overwrite").save()
+    plan = _plan(df)
+    assert "rangepartitioning" not in plan, plan
+    assert "ExistingRDD" in plan or "LogicalRDD" in plan or "Scan" in plan
