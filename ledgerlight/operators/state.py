@@ -120,6 +120,31 @@ def merge_upsert(target: DataFrame, source: DataFrame, keys, update_cols, null_s
     return untouched.select(*cols).unionByName(j.select(*out))
 
 
+def merge_into_partitioned(spark, path: str, source: DataFrame, keys, update_cols, partition_col: str,
+                           null_safe: bool = True) -> list:
+    """MERGE ``source`` into the parquet table at ``path`` partitioned by
+    ``partition_col``, rewriting only the partitions the source touches.
+
+    The touched partition values are read on the driver (one value per
+    touched partition, bounded by the partitioning); the touched slice of
+    the table is merged, checkpointed (so the write never reads the files it
+    replaces, and a lost executor re-reads the checkpoint), and written back
+    with dynamic partition overwrite: untouched partitions keep their files.
+    Returns the partition values rewritten."""
+    from ..session import ensure_checkpoint_dir
+    touched = [r[0] for r in source.select(partition_col).distinct().collect()]
+    if not touched:
+        return []
+    current = spark.read.parquet(path)
+    part = current.where(F.col(partition_col).isin(touched))
+    merged = merge_upsert(part, source.select(*current.columns), keys, update_cols, null_safe=null_safe)
+    ensure_checkpoint_dir(spark)
+    merged = merged.checkpoint(eager=True)
+    (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+           .partitionBy(partition_col).parquet(path))
+    return touched
+
+
 def delete_where(df: DataFrame, predicate: Column) -> DataFrame:
     """Rows that survive a DELETE ... WHERE predicate (NULL predicate keeps
     the row)."""

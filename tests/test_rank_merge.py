@@ -108,3 +108,22 @@ def test_advance_sync_watermark(spark):
     new = F.lit("2024-02-01 00:00:00").cast("timestamp_ntz")
     assert ST.advance_sync_watermark(cfg, "subject_visits", new, F.lit(0)).first().last_sync == dt.datetime(2024, 1, 1)
     assert ST.advance_sync_watermark(cfg, "subject_visits", new, F.lit(3)).first().last_sync == dt.datetime(2024, 2, 1)
+
+
+def test_merge_into_partitioned_rewrites_touched_partitions_only(spark, tmp_out):
+    import glob
+    import os
+    path = tmp_out + "/log"
+    schema = "subjectKey string, study_key string, visit_instance_id string, method string, responsestatus string"
+    log = spark.createDataFrame([("K1", "A", "1", "insert", "FAILURE"), ("K2", "A", "2", "insert", "SUCCESSFUL"),
+                                 ("K3", "B", "3", "insert", "FAILURE")], schema)
+    log.write.partitionBy("study_key").parquet(path)
+    before_b = sorted((f, os.path.getmtime(f)) for f in glob.glob(path + "/study_key=B/*.parquet"))
+    batch = spark.createDataFrame([("K1", "A", "1", "insert", "SUCCESSFUL"), ("K4", "A", "4", "update", "SUCCESSFUL")],
+                                  schema)
+    keys = ["subjectKey", "study_key", "visit_instance_id", "method"]
+    assert ST.merge_into_partitioned(spark, path, batch, keys, ["responsestatus"], "study_key") == ["A"]
+    after = sorted(tuple(r) for r in spark.read.parquet(path).select(*[c for c in log.columns]).collect())
+    assert after == sorted([("K1", "A", "1", "insert", "SUCCESSFUL"), ("K2", "A", "2", "insert", "SUCCESSFUL"),
+                            ("K4", "A", "4", "update", "SUCCESSFUL"), ("K3", "B", "3", "insert", "FAILURE")])
+    assert sorted((f, os.path.getmtime(f)) for f in glob.glob(path + "/study_key=B/*.parquet")) == before_b
