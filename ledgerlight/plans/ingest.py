@@ -73,3 +73,41 @@ def sheet_load(spark: SparkSession, sf_dir: str) -> DataFrame:
 ORACLE["sheet_load"] = """SELECT c_mktsegment AS segment, count(*) AS n_rows,
        count(*) FILTER (WHERE c_acctbal < 0 OR c_acctbal IS NULL) AS n_missing_balance
 FROM customer GROUP BY c_mktsegment"""
+
+
+@query("bronze_incremental_load")
+def bronze_incremental_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The bronze ingest end to end: landed pages of every study read in
+    one plan, typed, and cut to each table's extraction window from the
+    watermark config (strict (lo, hi) on created or modified)."""
+    from ..operators import state as ST
+    from ..operators.joins import join_dim
+    from .clinical import WINDOW_END
+    t = Tables(spark, sf_dir)
+    out = scratch_path(spark, "landed-visits")
+    L.land_pages(landed_visit_rows(t), "studyKey", "page", "dateModified", VISIT_FIELDS, out)
+    rows = L.cast_to_schema(L.read_pages(spark, out, VISIT_FIELDS),
+                            {"dateCreated": "timestamp_ntz", "dateModified": "timestamp_ntz"})
+    win = ST.extraction_windows(C.table_watermarks(t), C.ntz_literal(WINDOW_END)).select("table_name", "min_ts", "max_ts")
+    j = join_dim(rows.withColumn("table_name", F.concat(F.lit("i_"), F.col("studyKey"))), win, "table_name", "inner")
+    j = j.where(ST.in_change_window(F.col("dateCreated"), F.col("dateModified"), F.col("min_ts"), F.col("max_ts")))
+    return j.select("table_name", "studyKey", "visitId", "subjectKey", "visitDate", "dateCreated", "dateModified",
+                    "timestamp")
+
+
+def _bronze_sql() -> str:
+    from .clinical import WINDOW_END
+    base = ORACLE["envelope_explode"]
+    return f"""WITH env AS ({base}),
+cfg AS (
+  SELECT 'i_' || event_type AS table_name,
+         CASE WHEN event_type = 'signup' THEN 'not a date' ELSE strftime(min(ts), '%Y-%m-%dT%H:%M:%S') END AS latest
+  FROM events GROUP BY event_type),
+win AS (SELECT table_name, TRY_CAST(latest AS TIMESTAMP) AS min_ts, TIMESTAMP '{WINDOW_END}' AS max_ts
+        FROM cfg WHERE TRY_CAST(latest AS TIMESTAMP) IS NOT NULL)
+SELECT w.table_name, e.studyKey, e.visitId, e.subjectKey, e.visitDate, e.dateCreated, e.dateModified, e."timestamp"
+FROM env e JOIN win w ON w.table_name = 'i_' || e.studyKey
+WHERE (e.dateCreated > w.min_ts AND e.dateCreated < w.max_ts) OR (e.dateModified > w.min_ts AND e.dateModified < w.max_ts)"""
+
+
+ORACLE["bronze_incremental_load"] = _bronze_sql()
