@@ -482,3 +482,32 @@ ORACLE["visit_date_parse"] = Q.with_([Q.VISITS]) + f"""
 SELECT studyKey AS study_key, visitid_instanceid, visitDate AS visit_date,
        CASE WHEN coalesce(visitDate, '') <> '' THEN {Q.ISO_DATE.replace('visit_date', 'visitDate')} END AS visit_date_iso
 FROM visits"""
+
+
+# ----------------------------------------------------- the sync as a job
+
+def run_sync(spark: SparkSession, sf_dir: str, run_time: _dt.datetime = RUN_TIME) -> dict:
+    """Run one incremental sync and write its outputs as new versions under
+    the shared checkpoint folder: the insert / update payload tables, the
+    merged outcome log, and the next last-sync table (advanced to the run's
+    start only when at least one visit succeeded).  Returns the paths and
+    the success count.  Every output is a fresh folder; nothing is
+    overwritten in place."""
+    from ..sources import sinks as K
+    t = Tables(spark, sf_dir)
+    log = C.previous_log(t, PREVIOUS_RUN, _since(t))
+    run = C.ntz_literal(run_time)
+    retry = retry_source(t, log).withColumn("_seq", F.lit(0))
+    batch = changed_batch(t).withColumn("_seq", F.lit(1))
+    # Resolved once, used by four writes and one count: cut the lineage.
+    resolved = resolve(t, retry.unionByName(batch)).checkpoint(eager=True)
+    payloads = K.write_payloads(RV.insert_payload(resolved), RV.update_payload(resolved), spark)
+    rows = RV.outcome_rows(resolved, run, keep=("_seq",)).unionByName(
+        retry_without_source(t, log, run).withColumn("_seq", F.lit(0)))
+    outcomes = first_per_key(rows, LOG_KEYS, ["_seq"], latest=True).drop("_seq")
+    log_path = K.write_version(ST.merge_upsert(log, outcomes.select(*log.columns), LOG_KEYS, LOG_UPDATES),
+                               spark, "outcome-log")
+    ok = resolved.where(F.col("responsestatus") == "SUCCESSFUL").count()
+    nxt = ST.advance_sync_watermark(C.sync_watermark(t), SYNC_NAME, run, F.lit(ok))
+    wm_path = K.write_version(nxt, spark, "last-sync")
+    return {"payloads": payloads, "log": log_path, "last_sync": wm_path, "successes": ok}

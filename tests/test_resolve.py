@@ -106,3 +106,17 @@ def test_retry_of_a_visit_without_source(spark):
     assert [(r.visit_instance_id, r.error_message, r.method) for r in missing] == [
         ("no-such-visit", PC.MSG_NO_SOURCE, "insert")]
     assert PC.retry_source(t, log).count() == 0  # the successful row is not retried
+
+
+def test_run_sync_job_writes_versions(spark):
+    import datetime as dt
+
+    from ledgerlight.plans import clinical as PC
+    out = PC.run_sync(spark, "/root/testdata/sf0.001")
+    assert out["successes"] > 0
+    log = spark.read.parquet(out["log"])
+    assert log.count() == PC.sync_visits_log(spark, "/root/testdata/sf0.001").count()
+    ins = spark.read.parquet(out["payloads"] + "/method=insert")
+    upd = spark.read.parquet(out["payloads"] + "/method=update")
+    assert ins.count() + upd.count() == out["successes"]
+    assert spark.read.parquet(out["last_sync"]).first().last_sync == dt.datetime(2024, 2, 1)
