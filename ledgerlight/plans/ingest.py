@@ -111,3 +111,30 @@ WHERE (e.dateCreated > w.min_ts AND e.dateCreated < w.max_ts) OR (e.dateModified
 
 
 ORACLE["bronze_incremental_load"] = _bronze_sql()
+
+
+def run_bronze(spark: SparkSession, sf_dir: str) -> dict:
+    """The bronze ingest as a job: every landed page of every study in one
+    read, cut to the per-table windows, written once as a new bronze version
+    partitioned by study (no per-page or per-study writes); each loaded
+    table's watermark advanced to the window end (SQL timestamp text); one
+    execution-log row per table.  Returns the written paths."""
+    from ..functions.dates import SQL_TS
+    from ..operators import state as ST
+    from ..sources import sinks as K
+    from .clinical import WINDOW_END
+    rows = bronze_incremental_load(spark, sf_dir).checkpoint(eager=True)   # used by three writes
+    bronze = K.write_version(rows, spark, "bronze-visits", partition_by=("studyKey",))
+    t = Tables(spark, sf_dir)
+    cfg = C.table_watermarks(t)
+    loaded = rows.groupBy("table_name").agg(F.count(F.lit(1)).alias("row_count"),
+                                            F.min("dateCreated").alias("start_time"),
+                                            F.max("dateModified").alias("end_time"))
+    end_text = C.ntz_literal(WINDOW_END)
+    nxt = (cfg.join(loaded.select(F.col("table_name").alias("Table"), "row_count"), "Table", "left")
+              .withColumn("Latest_Date", F.when(F.col("row_count") > 0, F.date_format(end_text, SQL_TS))
+                          .otherwise(F.col("Latest_Date"))).drop("row_count"))
+    config = K.write_version(nxt, spark, "config-table")
+    log = K.write_version(ST.run_log(loaded.withColumnRenamed("table_name", "table"), "Bronze", "visits"),
+                          spark, "execution-log")
+    return {"bronze": bronze, "config": config, "log": log}

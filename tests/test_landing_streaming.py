@@ -57,3 +57,15 @@ def test_streaming_visit_sync(spark, tmp_out):
                           dt.datetime(2024, 1, 16), file_glob="events.parquet")
     q2.awaitTermination(300)
     assert read_sync_log(spark, tmp_out + "/out").count() == n_events
+
+
+def test_run_bronze_job(spark):
+    from ledgerlight.plans import ingest as I
+    out = I.run_bronze(spark, "/root/testdata/sf0.001")
+    bronze = spark.read.parquet(out["bronze"])
+    assert bronze.count() == I.bronze_incremental_load(spark, "/root/testdata/sf0.001").count()
+    cfg = {r.Table: r.Latest_Date for r in spark.read.parquet(out["config"]).collect()}
+    assert cfg["i_signup"] == "not a date"            # unparsable watermark: table skipped, value kept
+    assert any(v == "2024-01-20 00:00:00" for v in cfg.values())
+    log = spark.read.parquet(out["log"]).collect()
+    assert log and all(r.etl_status == "Success" for r in log)
