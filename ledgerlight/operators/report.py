@@ -26,6 +26,7 @@ def long_metric_report(spark: SparkSession, wide: DataFrame, id_cols, metrics, w
     id_cols = list(id_cols)
     value_cols = [m[1] for m in metrics]
     long = wide.unpivot(id_cols, value_cols, "metric_col", "value")
+    # Catalogue and week table are literal code tables: bounded by construction.
     out = long.join(F.broadcast(metric_catalogue(spark, metrics)), "metric_col").drop("metric_col")
     if windows is not None:
         wt = windows.select(F.col("weeks").alias(window_key), F.col("label").alias("window_label"),

@@ -43,6 +43,7 @@ def feed_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     pre = R.attach_dims(pre.withColumn("store", X.feed_store_number(F.col("store_text")).cast("bigint")), t,
                         ["product", "retailer"])
     pre = pre.where(F.col("product").isNotNull())
+    # Retailer order: one row per region (five) -- bounded by construction.
     pre = pre.drop("retailer_order").join(F.broadcast(R.retailer_order(t, EXCLUDED_RETAILERS)), "retailer", "left")
     pre = FE.with_fact_join_key(pre)
     return pre.groupBy("feed").agg(
@@ -128,7 +129,7 @@ def coverage_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = Tables(spark, sf_dir)
     per_store = R.sales_lines(t).groupBy("store").agg(F.count(F.lit(1)).alias("n"), F.sum("value").alias("v"))
     f = R.attach_dims(per_store, t, ["retailer"]).drop("retailer_order")
-    f = f.join(F.broadcast(R.retailer_order(t, EXCLUDED_RETAILERS)), "retailer", "left")
+    f = f.join(F.broadcast(R.retailer_order(t, EXCLUDED_RETAILERS)), "retailer", "left")   # five rows
     f = FE.with_fact_join_key(f.withColumn("store_text", F.col("store").cast("string")))
     keys = coverage_dim(t).where(F.col("join_key").isNotNull()).select(
         "join_key", F.col("join_key").alias("matched")).distinct()

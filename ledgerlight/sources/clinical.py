@@ -85,6 +85,7 @@ def _subject_dim(t: Tables) -> DataFrame:
     cust = t.customer.select(F.col("c_custkey").alias("uid"), "c_name", "c_mktsegment", "c_acctbal", "c_nationkey")
     nat = t.nation.select(F.col("n_nationkey").alias("c_nationkey"), "n_name")
     site = F.concat_ws(" ", "c_name", F.lit("clinical research site"), "c_mktsegment", F.lit("nation"), "n_name")
+    # nation: 25 rows (code table); customer grows with the data -> no hint.
     return (pairs.join(cust, "uid", "left").join(F.broadcast(nat), "c_nationkey", "left")
             .select("studyKey", F.col("uid").cast("string").alias("subjectId"),
                     F.when(F.col("c_acctbal") >= 0, site).alias("siteName")))
@@ -104,7 +105,7 @@ def site_ref(t: Tables) -> DataFrame:
     d = subject_dim(t).where(F.col("siteName").isNotNull())
     cust = t.customer.select(F.col("c_custkey").cast("string").alias("subjectId"), "c_nationkey")
     nat = t.nation.select(F.col("n_nationkey").alias("c_nationkey"), "n_name")
-    x = d.join(cust, "subjectId", "left").join(F.broadcast(nat), "c_nationkey", "left")
+    x = d.join(cust, "subjectId", "left").join(F.broadcast(nat), "c_nationkey", "left")   # 25 nations
     x = x.where(~F.col("c_nationkey").eqNullSafe(F.lit(UNSET_SITE_NATION)))
     return x.select(F.concat(F.lit("SITE-"), F.col("studyKey"), F.lit("-"), F.col("subjectId")).alias("id"),
                     F.concat(F.lit("STU-"), F.upper("studyKey")).alias("study"),
