@@ -234,7 +234,11 @@ def window_sums(t: Tables, windows: dict[str, DateRange], by, where: Column | No
     elif where is not None:
         post_filter = where
     needed = set(by) | (where_cols if post_filter is not None else set())
-    grain = ["store"]
+    # Pre-aggregation grain: exactly the fact keys the requested attributes
+    # hang off (store for store attributes, part for product attributes).
+    grain = []
+    if needed & set(R.STORE_ATTRS) or "store" in needed:
+        grain.append("store")
     if needed & set(R.PRODUCT_ATTRS) or "part_key" in needed:
         grain.append("part_key")
     if "sale_date" in needed:
