@@ -25,7 +25,7 @@ N_MONTHS = 13
 Y, W = SEL.year, SEL.week
 
 
-def _anchor_cte() -> str:
+def _anchor_cte(Y: int = Y, W: int = W) -> str:
     """Window bounds derived in SQL from the calendar."""
     return f"""a AS (SELECT
       max(we) FILTER (WHERE y = {Y} AND wk = {W}) AS e_ty,
@@ -53,15 +53,30 @@ def nweek_ty_ly_by_retailer(spark: SparkSession, sf_dir: str, sel: M.Selection =
 
 
 _NW = 7 * N_WEEKS - 1
-NWEEK_SQL = _with(S.calendar_cte(), S.POS_FACT_CTE, _anchor_cte(), f"""agg AS (
+
+
+def nweek_sql(y: int = Y, w: int = W, n: int = N_WEEKS) -> str:
+    """Oracle of the N-week TY/LY report for any selection (9999 = YTD;
+    other N outside the week choices give BLANK windows)."""
+    if n == 9999:
+        (tlo, thi), (llo, lhi) = ("ys_ty", "ye_ty"), ("ys_ly", "ye_ly")
+    elif n in M.WEEK_CHOICES:
+        (tlo, thi), (llo, lhi) = (f"e_ty - {7 * n - 1}", "e_ty"), (f"e_ly - {7 * n - 1}", "e_ly")
+    else:
+        (tlo, thi), (llo, lhi) = ("NULL", "NULL"), ("NULL", "NULL")
+    # The scan envelope (least start .. greatest end) decides which groups exist.
+    return _with(S.calendar_cte(), S.POS_FACT_CTE, _anchor_cte(y, w), f"""agg AS (
   SELECT retailer,
-         sum(value) FILTER (WHERE sale_date BETWEEN e_ty - {_NW} AND e_ty) AS ty,
-         sum(value) FILTER (WHERE sale_date BETWEEN e_ly - {_NW} AND e_ly) AS ly
-  FROM pos, a WHERE sale_date BETWEEN e_ly - {_NW} AND e_ty GROUP BY retailer)""") + f"""
+         sum(value) FILTER (WHERE sale_date BETWEEN {tlo} AND {thi}) AS ty,
+         sum(value) FILTER (WHERE sale_date BETWEEN {llo} AND {lhi}) AS ly
+  FROM pos, a WHERE sale_date BETWEEN least({tlo}, {llo}) AND greatest({thi}, {lhi}) GROUP BY retailer)""") + f"""
 SELECT retailer, {S.dbl('ty')} AS ty_sales, {S.dbl('ly')} AS ly_sales,
        {S.dbl(S.blank_sub('ty', 'ly'))} AS wk_change, {S.weekly_pct('ty', 'ly')} AS wk_pct
 FROM agg"""
 
+
+NWEEK_SQL = nweek_sql()
+
 query("nweek_ty_ly_by_retailer", NWEEK_SQL)(nweek_ty_ly_by_retailer)
 
 
