@@ -167,19 +167,23 @@ def mtd_ytd_calendar_ly(spark: SparkSession, sf_dir: str, sel: M.Selection = SEL
     return M.as_double(df, list(wins))
 
 
-_ORACLE["mtd_ytd_calendar_ly"] = _with(S.calendar_cte(), S.POS_FACT_CTE, _anchor_cte(), """b AS (
-  SELECT last_d, CAST(last_d - INTERVAL 12 MONTH AS DATE) AS last_ly FROM a),
-agg AS (
-  SELECT retailer,
-    sum(value) FILTER (WHERE sale_date BETWEEN date_trunc('month', last_d) AND last_d) AS mtd_ty,
-    sum(value) FILTER (WHERE sale_date BETWEEN date_trunc('month', last_ly) AND last_ly) AS mtd_ly,
-    sum(value) FILTER (WHERE sale_date BETWEEN date_trunc('year', last_d) AND last_d) AS cytd_ty,
-    sum(value) FILTER (WHERE sale_date BETWEEN date_trunc('year', last_ly) AND last_ly) AS cytd_ly
-  FROM pos, b WHERE sale_date BETWEEN date_trunc('year', last_ly) AND last_d GROUP BY retailer)""") + f"""
-SELECT retailer, {S.dbl('mtd_ty')} AS mtd_ty, {S.dbl('mtd_ly')} AS mtd_ly, {S.dbl('cytd_ty')} AS cytd_ty,
-       {S.dbl('cytd_ly')} AS cytd_ly, {S.dbl(S.blank_sub('mtd_ty', 'mtd_ly'))} AS mtd_change,
-       {S.abs_ratio_pct('mtd_ty', 'mtd_ly')} AS mtd_pct, {S.dbl(S.blank_sub('cytd_ty', 'cytd_ly'))} AS cytd_change,
-       {S.ytd_pct('cytd_ty', 'cytd_ly')} AS cytd_pct FROM agg"""
+def mtd_ytd_sql(y: int = Y, w: int = W) -> str:
+    return _with(S.calendar_cte(), S.POS_FACT_CTE, _anchor_cte(y, w), """b AS (
+      SELECT last_d, CAST(last_d - INTERVAL 12 MONTH AS DATE) AS last_ly FROM a),
+    agg AS (
+      SELECT retailer,
+        sum(value) FILTER (WHERE sale_date BETWEEN date_trunc('month', last_d) AND last_d) AS mtd_ty,
+        sum(value) FILTER (WHERE sale_date BETWEEN date_trunc('month', last_ly) AND last_ly) AS mtd_ly,
+        sum(value) FILTER (WHERE sale_date BETWEEN date_trunc('year', last_d) AND last_d) AS cytd_ty,
+        sum(value) FILTER (WHERE sale_date BETWEEN date_trunc('year', last_ly) AND last_ly) AS cytd_ly
+      FROM pos, b WHERE sale_date BETWEEN date_trunc('year', last_ly) AND last_d GROUP BY retailer)""") + f"""
+    SELECT retailer, {S.dbl('mtd_ty')} AS mtd_ty, {S.dbl('mtd_ly')} AS mtd_ly, {S.dbl('cytd_ty')} AS cytd_ty,
+           {S.dbl('cytd_ly')} AS cytd_ly, {S.dbl(S.blank_sub('mtd_ty', 'mtd_ly'))} AS mtd_change,
+           {S.abs_ratio_pct('mtd_ty', 'mtd_ly')} AS mtd_pct, {S.dbl(S.blank_sub('cytd_ty', 'cytd_ly'))} AS cytd_change,
+           {S.ytd_pct('cytd_ty', 'cytd_ly')} AS cytd_pct FROM agg"""
+
+
+_ORACLE["mtd_ytd_calendar_ly"] = mtd_ytd_sql()
 
 
 # ----------------------------------------------------- category fact change
@@ -197,19 +201,23 @@ def category_change(spark: SparkSession, sf_dir: str, sel: M.Selection = SEL) ->
 
 _CAT_CAL = S.calendar_cte("(SELECT CAST(min(l_shipdate) AS DATE) FROM lineitem)",
                           "(SELECT CAST(max(l_shipdate) AS DATE) FROM lineitem)")
-_ORACLE["category_change"] = _with(_CAT_CAL, S.CATEGORY_FACT_CTE, _anchor_cte(), """b AS (
-  SELECT last_d, CAST(last_d - INTERVAL 12 MONTH AS DATE) AS last_ly FROM a),
-agg AS (
-  SELECT category,
-    sum(value) FILTER (WHERE sale_date BETWEEN date_trunc('month', last_d) AND last_d) AS mtd_ty,
-    sum(value) FILTER (WHERE sale_date BETWEEN date_trunc('month', last_ly) AND last_ly) AS mtd_ly,
-    sum(value) FILTER (WHERE sale_date BETWEEN date_trunc('year', last_d) AND last_d) AS ytd_ty,
-    sum(value) FILTER (WHERE sale_date BETWEEN date_trunc('year', last_ly) AND last_ly) AS ytd_ly
-  FROM cat, b WHERE sale_date BETWEEN date_trunc('year', last_ly) AND last_d GROUP BY category)""") + f"""
-SELECT category, {S.dbl('mtd_ty')} AS mtd_ty, {S.dbl('mtd_ly')} AS mtd_ly, {S.dbl('ytd_ty')} AS ytd_ty,
-       {S.dbl('ytd_ly')} AS ytd_ly, {S.dbl(S.blank_sub('mtd_ty', 'mtd_ly'))} AS mtd_change,
-       {S.abs_ratio_pct('mtd_ty', 'mtd_ly')} AS mtd_pct, {S.dbl(S.blank_sub('ytd_ty', 'ytd_ly'))} AS ytd_change,
-       {S.ytd_pct('ytd_ty', 'ytd_ly')} AS ytd_pct FROM agg"""
+def category_change_sql(y: int = Y, w: int = W) -> str:
+    return _with(_CAT_CAL, S.CATEGORY_FACT_CTE, _anchor_cte(y, w), """b AS (
+      SELECT last_d, CAST(last_d - INTERVAL 12 MONTH AS DATE) AS last_ly FROM a),
+    agg AS (
+      SELECT category,
+        sum(value) FILTER (WHERE sale_date BETWEEN date_trunc('month', last_d) AND last_d) AS mtd_ty,
+        sum(value) FILTER (WHERE sale_date BETWEEN date_trunc('month', last_ly) AND last_ly) AS mtd_ly,
+        sum(value) FILTER (WHERE sale_date BETWEEN date_trunc('year', last_d) AND last_d) AS ytd_ty,
+        sum(value) FILTER (WHERE sale_date BETWEEN date_trunc('year', last_ly) AND last_ly) AS ytd_ly
+      FROM cat, b WHERE sale_date BETWEEN date_trunc('year', last_ly) AND last_d GROUP BY category)""") + f"""
+    SELECT category, {S.dbl('mtd_ty')} AS mtd_ty, {S.dbl('mtd_ly')} AS mtd_ly, {S.dbl('ytd_ty')} AS ytd_ty,
+           {S.dbl('ytd_ly')} AS ytd_ly, {S.dbl(S.blank_sub('mtd_ty', 'mtd_ly'))} AS mtd_change,
+           {S.abs_ratio_pct('mtd_ty', 'mtd_ly')} AS mtd_pct, {S.dbl(S.blank_sub('ytd_ty', 'ytd_ly'))} AS ytd_change,
+           {S.ytd_pct('ytd_ty', 'ytd_ly')} AS ytd_pct FROM agg"""
+
+
+_ORACLE["category_change"] = category_change_sql()
 
 
 # ------------------------------------------------ last / prior N months
@@ -224,17 +232,21 @@ def last_prior_n_months(spark: SparkSession, sf_dir: str, sel: M.Selection = SEL
     return M.as_double(df, list(wins))
 
 
-_ORACLE["last_prior_n_months"] = _with(S.calendar_cte(), S.POS_FACT_CTE, _anchor_cte(), f"""b AS (
-  SELECT last_d, date_trunc('month', last_d - INTERVAL {N_MONTHS - 1} MONTH) AS l_start,
-         CAST(last_d - INTERVAL 12 MONTH AS DATE) AS p_end,
-         date_trunc('month', last_d - INTERVAL {12 + N_MONTHS - 1} MONTH) AS p_start FROM a),
-agg AS (
-  SELECT retailer, ssr,
-    sum(value) FILTER (WHERE sale_date BETWEEN l_start AND last_d) AS last_n,
-    sum(value) FILTER (WHERE sale_date BETWEEN p_start AND p_end) AS prior_n
-  FROM pos, b WHERE sale_date BETWEEN p_start AND last_d GROUP BY retailer, ssr)""") + f"""
-SELECT retailer, ssr, {S.dbl('last_n')} AS last_n, {S.dbl('prior_n')} AS prior_n,
-       {S.ratio_pct('last_n', 'prior_n')} AS n_pct FROM agg"""
+def last_prior_sql(y: int = Y, w: int = W) -> str:
+    return _with(S.calendar_cte(), S.POS_FACT_CTE, _anchor_cte(y, w), f"""b AS (
+      SELECT last_d, date_trunc('month', last_d - INTERVAL {N_MONTHS - 1} MONTH) AS l_start,
+             CAST(last_d - INTERVAL 12 MONTH AS DATE) AS p_end,
+             date_trunc('month', last_d - INTERVAL {12 + N_MONTHS - 1} MONTH) AS p_start FROM a),
+    agg AS (
+      SELECT retailer, ssr,
+        sum(value) FILTER (WHERE sale_date BETWEEN l_start AND last_d) AS last_n,
+        sum(value) FILTER (WHERE sale_date BETWEEN p_start AND p_end) AS prior_n
+      FROM pos, b WHERE sale_date BETWEEN p_start AND last_d GROUP BY retailer, ssr)""") + f"""
+    SELECT retailer, ssr, {S.dbl('last_n')} AS last_n, {S.dbl('prior_n')} AS prior_n,
+           {S.ratio_pct('last_n', 'prior_n')} AS n_pct FROM agg"""
+
+
+_ORACLE["last_prior_n_months"] = last_prior_sql()
 
 
 # ------------------------------------- week-ending / prior / last-days / 7d
@@ -250,18 +262,22 @@ def alt_week_windows(spark: SparkSession, sf_dir: str, sel: M.Selection = SEL,
     return M.as_double(df, list(wins))
 
 
-_ORACLE["alt_week_windows"] = _with(S.calendar_cte(), S.POS_FACT_CTE, _anchor_cte(), f"""agg AS (
-  SELECT p.retailer,
-    sum(p.value) FILTER (WHERE c.we BETWEEN e_ty - {7 * N_WEEKS} AND e_ty) AS we_last_n,
-    sum(p.value) FILTER (WHERE p.sale_date BETWEEN last_d - 365 - {7 * (N_WEEKS - 1)} AND last_d - 365) AS prior_n_weeks,
-    sum(p.value) FILTER (WHERE p.sale_date BETWEEN last_d - {7 * N_WEEKS} AND last_d) AS last_n_days,
-    sum(p.value) FILTER (WHERE p.sale_date BETWEEN last_d - 6 AND last_d) AS rolling_7d
-  FROM pos p JOIN cal c ON c.d = p.sale_date, a
-  WHERE p.sale_date BETWEEN least(e_ty - {7 * N_WEEKS + 6}, last_d - 365 - {7 * (N_WEEKS - 1)}) AND e_ty
-  GROUP BY p.retailer)""") + f"""
-SELECT retailer, {S.dbl('we_last_n')} AS we_last_n, {S.dbl('prior_n_weeks')} AS prior_n_weeks,
-       {S.dbl('last_n_days')} AS last_n_days, {S.dbl('rolling_7d')} AS rolling_7d,
-       {S.weekly_pct('we_last_n', 'prior_n_weeks')} AS we_pct FROM agg"""
+def alt_week_sql(y: int = Y, w: int = W) -> str:
+    return _with(S.calendar_cte(), S.POS_FACT_CTE, _anchor_cte(y, w), f"""agg AS (
+      SELECT p.retailer,
+        sum(p.value) FILTER (WHERE c.we BETWEEN e_ty - {7 * N_WEEKS} AND e_ty) AS we_last_n,
+        sum(p.value) FILTER (WHERE p.sale_date BETWEEN last_d - 365 - {7 * (N_WEEKS - 1)} AND last_d - 365) AS prior_n_weeks,
+        sum(p.value) FILTER (WHERE p.sale_date BETWEEN last_d - {7 * N_WEEKS} AND last_d) AS last_n_days,
+        sum(p.value) FILTER (WHERE p.sale_date BETWEEN last_d - 6 AND last_d) AS rolling_7d
+      FROM pos p JOIN cal c ON c.d = p.sale_date, a
+      WHERE p.sale_date BETWEEN least(e_ty - {7 * N_WEEKS + 6}, last_d - 365 - {7 * (N_WEEKS - 1)}) AND e_ty
+      GROUP BY p.retailer)""") + f"""
+    SELECT retailer, {S.dbl('we_last_n')} AS we_last_n, {S.dbl('prior_n_weeks')} AS prior_n_weeks,
+           {S.dbl('last_n_days')} AS last_n_days, {S.dbl('rolling_7d')} AS rolling_7d,
+           {S.weekly_pct('we_last_n', 'prior_n_weeks')} AS we_pct FROM agg"""
+
+
+_ORACLE["alt_week_windows"] = alt_week_sql()
 
 
 # --------------------------------------------- Monday-aligned week family
@@ -277,19 +293,19 @@ def monday_week_windows(spark: SparkSession, sf_dir: str, sel: M.Selection = SEL
     return M.as_double(df, list(wins))
 
 
-def _monday_sql() -> str:
-    ws = f"(make_date({Y}, 1, 1) + {7 * (W - 1)})"
-    ws_ly = f"(make_date({Y - 1}, 1, 1) + {7 * (W - 1)})"
+def _monday_sql(y: int = Y, w: int = W) -> str:
+    ws = f"(make_date({y}, 1, 1) + {7 * (w - 1)})"
+    ws_ly = f"(make_date({y - 1}, 1, 1) + {7 * (w - 1)})"
     # isodow: Monday = 1 .. Sunday = 7
     st = f"CAST({ws} - CAST(isodow({ws}) - 1 AS INTEGER) AS DATE)"
     st_ly = f"CAST({ws_ly} - CAST(isodow({ws_ly}) - 1 AS INTEGER) AS DATE)"
     cols = []
     for n, off in ((1, 0), (4, 21), (26, 175), (52, 357)):
-        guard = f"{W} <> 53 AND " if n == 1 else ""
+        guard = f"{w} <> 53 AND " if n == 1 else ""
         cols.append(f"sum(value) FILTER (WHERE {guard}sale_date BETWEEN sl - {off} AND sl + 6) AS ly_{n}w")
     cols.append("sum(value) FILTER (WHERE sale_date BETWEEN st - 91 AND st - 1) AS prev_13w")
     for n in (1, 4, 13, 26, 52):
-        cols.append(f"sum(value) FILTER (WHERE {W} <> 53 AND sale_date BETWEEN st AND st + {7 * n - 1}) AS fwd_{n}w")
+        cols.append(f"sum(value) FILTER (WHERE {w} <> 53 AND sale_date BETWEEN st AND st + {7 * n - 1}) AS fwd_{n}w")
     cols.append("sum(value) FILTER (WHERE sale_date BETWEEN st - 91 AND st - 1) AS dispatch_13w")
     names = ["ly_1w", "ly_4w", "ly_26w", "ly_52w", "prev_13w", "fwd_1w", "fwd_4w", "fwd_13w", "fwd_26w",
              "fwd_52w", "dispatch_13w"]

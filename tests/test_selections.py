@@ -28,3 +28,21 @@ def test_nweek_report_matches_sql(spark, con, y, w, n):
     cols = [d[0] for d in cur.description]
     exp = _rows([dict(zip(cols, r)) for r in cur.fetchall()], cols)
     assert got == exp
+
+
+FAMILY_CASES = [(2000, 9), (2000, 1), (1996, 9), (2001, 44), (1997, 53), (1996, 0), (1999, 26), (1998, 1)]
+FAMILIES = [("mtd_ytd_calendar_ly", "mtd_ytd_sql"), ("category_change", "category_change_sql"),
+            ("last_prior_n_months", "last_prior_sql"), ("alt_week_windows", "alt_week_sql"),
+            ("monday_week_windows", "_monday_sql")]
+
+
+@pytest.mark.parametrize("query,sql_fn", FAMILIES)
+def test_window_families_match_sql(spark, con, query, sql_fn):
+    fn = getattr(PR, query)
+    for y, w in FAMILY_CASES:
+        df = fn(spark, SF, sel=M.Selection(y, w))
+        got = _rows([r.asDict() for r in df.collect()], df.columns)
+        cur = con.execute(getattr(PR, sql_fn)(y, w))
+        cols = [d[0] for d in cur.description]
+        exp = _rows([dict(zip(cols, r)) for r in cur.fetchall()], cols)
+        assert got == exp, (query, y, w)
