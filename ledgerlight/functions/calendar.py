@@ -113,6 +113,18 @@ def add_months(d: _dt.date, n: int) -> _dt.date:
     raise ValueError(d)
 
 
+def same_period_last_year(d: _dt.date) -> _dt.date:
+    """Shift a range end back one year the way a same-period-last-year
+    shift does: a month's last day maps to that month's last day a year
+    earlier (Feb 28, 2001 -> Feb 29, 2000); other days keep the day,
+    clamped to the month (unlike ``add_months`` for the first rule)."""
+    nxt = d + _dt.timedelta(days=1)
+    if nxt.month != d.month:                      # d is the last day of its month
+        first_next = _dt.date(d.year - 1 + (d.month // 12), d.month % 12 + 1, 1)
+        return first_next - _dt.timedelta(days=1)
+    return add_months(d, -12)
+
+
 @dataclass(frozen=True)
 class DateRange:
     """Closed date interval; ``start`` None means the window is empty."""

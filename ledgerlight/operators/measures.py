@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from ..functions import blanks as B
 from ..functions.calendar import (EMPTY, DateRange, add_months, anchor_week_ending, envelope,
-                                  last_day_of_week, monday_start_py, year_to_week)
+                                  last_day_of_week, monday_start_py, same_period_last_year, year_to_week)
 from ..sources import retail as R
 from ..sources.tables import Tables
 
@@ -87,7 +87,7 @@ def mtd_window(sel: Selection, last_year: bool = False) -> DateRange:
     if end is None:
         return EMPTY
     if last_year:
-        end = add_months(end, -12)
+        end = same_period_last_year(end)
     return DateRange(end.replace(day=1), end)
 
 
@@ -96,7 +96,7 @@ def calendar_ytd_window(sel: Selection, last_year: bool = False) -> DateRange:
     if end is None:
         return EMPTY
     if last_year:
-        end = add_months(end, -12)
+        end = same_period_last_year(end)
     return DateRange(_dt.date(end.year, 1, 1), end)
 
 

@@ -169,7 +169,7 @@ def mtd_ytd_calendar_ly(spark: SparkSession, sf_dir: str, sel: M.Selection = SEL
 
 def mtd_ytd_sql(y: int = Y, w: int = W) -> str:
     return _with(S.calendar_cte(), S.POS_FACT_CTE, _anchor_cte(y, w), """b AS (
-      SELECT last_d, CAST(last_d - INTERVAL 12 MONTH AS DATE) AS last_ly FROM a),
+      SELECT last_d, CASE WHEN last_d = last_day(last_d) THEN last_day(CAST(last_d - INTERVAL 12 MONTH AS DATE)) ELSE CAST(last_d - INTERVAL 12 MONTH AS DATE) END AS last_ly FROM a),
     agg AS (
       SELECT retailer,
         sum(value) FILTER (WHERE sale_date BETWEEN date_trunc('month', last_d) AND last_d) AS mtd_ty,
@@ -203,7 +203,7 @@ _CAT_CAL = S.calendar_cte("(SELECT CAST(min(l_shipdate) AS DATE) FROM lineitem)"
                           "(SELECT CAST(max(l_shipdate) AS DATE) FROM lineitem)")
 def category_change_sql(y: int = Y, w: int = W) -> str:
     return _with(_CAT_CAL, S.CATEGORY_FACT_CTE, _anchor_cte(y, w), """b AS (
-      SELECT last_d, CAST(last_d - INTERVAL 12 MONTH AS DATE) AS last_ly FROM a),
+      SELECT last_d, CASE WHEN last_d = last_day(last_d) THEN last_day(CAST(last_d - INTERVAL 12 MONTH AS DATE)) ELSE CAST(last_d - INTERVAL 12 MONTH AS DATE) END AS last_ly FROM a),
     agg AS (
       SELECT category,
         sum(value) FILTER (WHERE sale_date BETWEEN date_trunc('month', last_d) AND last_d) AS mtd_ty,

@@ -85,3 +85,15 @@ def test_selected_week_window():
     first = M.selected_week_window(M.Selection(2023, 1))  # Jan 1 2023 is a Sunday: a full week
     assert first.start == dt.date(2023, 1, 1) and first.end == dt.date(2023, 1, 7)
     assert M.selected_week_window(M.Selection(2023, 60)).empty
+
+
+def test_same_period_last_year_month_end_rule():
+    assert C.same_period_last_year(dt.date(2001, 2, 28)) == dt.date(2000, 2, 29)
+    assert C.same_period_last_year(dt.date(2000, 2, 29)) == dt.date(1999, 2, 28)
+    assert C.same_period_last_year(dt.date(2000, 1, 15)) == dt.date(1999, 1, 15)
+    sel = M.Selection(2009, 9)                 # the selected week ends Saturday, Feb 28 2009
+    assert sel.last_date == dt.date(2009, 2, 28)
+    ly = M.mtd_window(sel, last_year=True)
+    assert (ly.start, ly.end) == (dt.date(2008, 2, 1), dt.date(2008, 2, 29))
+    # EDATE-style month arithmetic (N-month windows) keeps clamping instead.
+    assert M.prior_n_months_window(sel, 1).end == dt.date(2008, 2, 28)
