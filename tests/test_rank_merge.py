@@ -127,3 +127,15 @@ def test_merge_into_partitioned_rewrites_touched_partitions_only(spark, tmp_out)
     assert after == sorted([("K1", "A", "1", "insert", "SUCCESSFUL"), ("K2", "A", "2", "insert", "SUCCESSFUL"),
                             ("K4", "A", "4", "update", "SUCCESSFUL"), ("K3", "B", "3", "insert", "FAILURE")])
     assert sorted((f, os.path.getmtime(f)) for f in glob.glob(path + "/study_key=B/*.parquet")) == before_b
+
+
+def test_read_watermark_default(spark):
+    import datetime as dt
+
+    from ledgerlight.sources.clinical import DEFAULT_WATERMARK
+    empty = spark.createDataFrame([], "table_name string, last_sync timestamp_ntz")
+    assert ST.read_watermark(empty, "subject_visits", DEFAULT_WATERMARK).first().watermark == dt.datetime(2023, 10, 2)
+    null_row = spark.createDataFrame([("subject_visits", None)], "table_name string, last_sync timestamp_ntz")
+    assert ST.read_watermark(null_row, "subject_visits", DEFAULT_WATERMARK).first().watermark == dt.datetime(2023, 10, 2)
+    other = spark.createDataFrame([("other", dt.datetime(2024, 1, 1))], "table_name string, last_sync timestamp_ntz")
+    assert ST.read_watermark(other, "subject_visits", DEFAULT_WATERMARK).first().watermark == dt.datetime(2023, 10, 2)
