@@ -13,6 +13,9 @@ from pyspark.sql import SparkSession
 BASE_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # Coalesce to the advisory size, not to maximal parallelism (the setting
+    # the Spark docs recommend for clusters; also avoids tiny local tasks).
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.files.maxPartitionBytes": "128m",
