@@ -60,3 +60,17 @@ def test_coverage_pipeline_right_join(spark):
         ("CVS", 12341, 1), ("Target", None, None), ("Walgreens", 55, 2), ("Walgreens", 55, 2)]
     assert {r.smm_sort for r in rows if r.chain != "Target"} == {1}
     assert rows[0].smm_territory == "Covered"
+
+
+def test_coverage_pipeline_cleanups_and_key_checks(spark):
+    from ledgerlight.operators import quality as Q
+    cov = spark.createDataFrame([
+        ("CVS Corp", "12", "West", "  ", "nan"), ("CVS Corp", "12", "West", "Ann nan", "North"),
+        ("CVS Corp", None, "West", None, None)],
+        "master_chain string, store_num_text string, smm string, district_manager string, region string")
+    ro = spark.createDataFrame([("CVS", 1)], "retailer string, retailer_order long")
+    out = FE.coverage_pipeline(cov, ro).orderBy("district_manager").collect()
+    assert sorted(str(r.district_manager) for r in out) == ["", "Ann ", "None"]
+    assert sorted(str(r.region_new) for r in out) == ["None", "None", "North"]
+    checks = Q.key_checks(FE.coverage_pipeline(cov, ro), "join_key").first()
+    assert (checks.n_rows, checks.null_keys, checks.dup_keys, checks.max_occurrence) == (3, 1, 1, 2)
