@@ -64,3 +64,13 @@ def test_new_year_weeks():
     assert weeks[dt.date(2029, 1, 1)] == 1
     # The same Saturday closes week 53 of one year and week 1 of the next.
     assert C.py_week_ending(dt.date(2023, 12, 31)) == C.py_week_ending(dt.date(2024, 1, 1)) == dt.date(2024, 1, 6)
+
+
+def test_iso_text_conversions(spark):
+    from ledgerlight.functions import dates as D
+    df = spark.createDataFrame([("2024-01-02T03:04:05Z", "2024-01-05 10:00:00.123456"), ("garbage", "2024-01-05 10:00:00"),
+                                (None, "")], "iso string, visit string")
+    got = [tuple(r) for r in df.select(D.iso_z_to_sql(F.col("iso")), D.iso_date_from_two_formats(F.col("visit"))).collect()]
+    assert got == [("2024-01-02 03:04:05", "2024-01-05"), (None, "2024-01-05"), (None, None)]
+    ntz = df.select(D.to_ntz(F.lit("2024-01-02 03:04:05")).alias("t")).first().t
+    assert ntz == dt.datetime(2024, 1, 2, 3, 4, 5)
