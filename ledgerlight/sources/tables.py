@@ -11,6 +11,10 @@ from pyspark.sql import DataFrame, SparkSession
 TABLES = ("region nation customer supplier part orders lineitem events documents "
           "embeddings pages benchmark labels conversations").split()
 
+# Schema of each table path, inferred once per process: later reads declare
+# it, which skips the footer-based inference (and its file reads).
+_SCHEMAS: dict = {}
+
 
 class Tables:
     """Named access to the tables of one scale-factor directory."""
@@ -30,7 +34,14 @@ class Tables:
         if name not in TABLES:
             raise KeyError(name)
         if name not in self._frames:
-            self._frames[name] = self.spark.read.parquet(self.path(name))
+            path = self.path(name)
+            known = _SCHEMAS.get(path)
+            if known is not None:
+                df = self.spark.read.schema(known).parquet(path)
+            else:
+                df = self.spark.read.parquet(path)
+                _SCHEMAS[path] = df.schema
+            self._frames[name] = df
         return self._frames[name]
 
     def memo(self, key: str, build) -> DataFrame:
