@@ -282,3 +282,23 @@ def with_change(df: DataFrame, ty: str, ly: str, prefix: str, pct: str = "weekly
 
 def as_double(df: DataFrame, cols) -> DataFrame:
     return df.select(*[F.col(c).cast("double").alias(c) if c in cols else F.col(c) for c in df.columns])
+
+
+def weekly_anchored_sums(t: Tables, anchors_from, anchors_to, n_weeks: int, by) -> DataFrame:
+    """Sum of the N weeks ending on every Saturday anchor in
+    [anchors_from, anchors_to], per ``by``, in one pass: lines are
+    pre-aggregated to (store, week ending), and each weekly row is exploded
+    into the N anchors whose window contains it (a bounded fan-out on
+    already-weekly rows, no join of windows against lines)."""
+    from ..functions.calendar import week_ending
+    by = list(by)
+    env = DateRange(anchors_from - _dt.timedelta(days=7 * n_weeks - 1), anchors_to)
+    lines = R.sales_lines(t, env)
+    weekly = lines.groupBy("store", week_ending(F.col("sale_date")).alias("we")).agg(F.sum("value").alias("v"))
+    anchored = weekly.select(
+        "store", "v",
+        F.explode(F.transform(F.sequence(F.lit(0), F.lit(n_weeks - 1)),
+                              lambda k: F.date_add(F.col("we"), k * 7))).alias("anchor"))
+    anchored = anchored.where(F.col("anchor").between(F.lit(anchors_from), F.lit(anchors_to)))
+    fact = R.attach_dims(anchored, t, set(by))
+    return fact.groupBy(*by, "anchor").agg(F.sum("v").alias("sales"))

@@ -537,3 +537,48 @@ def _selector_sql() -> str:
 
 
 ORACLE["metric_selector"] = _selector_sql()
+
+
+# ------------------------------------- N-week TY / LY for every week of a year
+
+@query("weekly_ty_ly_by_week")
+def weekly_ty_ly_by_week(spark: SparkSession, sf_dir: str, year: int = SEL.year, n_weeks: int = N_WEEKS) -> DataFrame:
+    """The N-week TY and LY sales for every week of ``year`` by retailer --
+    a report with weeks on the axis, where each row has its own anchor."""
+    import datetime as _dt
+    from ..functions import calendar as C
+    weeks = sorted({C.py_week_no(_dt.date(year, 1, 1) + _dt.timedelta(days=i))
+                    for i in range((_dt.date(year + 1, 1, 1) - _dt.date(year, 1, 1)).days)})
+    sel = [(w, C.anchor_week_ending(year, w), C.anchor_week_ending(year - 1, w)) for w in weeks]
+    anchors = [a for _, ty, ly in sel for a in (ty, ly) if a is not None]
+    sums = M.weekly_anchored_sums(Tables(spark, sf_dir), min(anchors), max(anchors), n_weeks, ["retailer"])
+    # One row per week of the year: a parameter table of at most 54 rows.
+    axis = F.broadcast(spark.createDataFrame(sel, "week int, e_ty date, e_ly date"))
+    ty = axis.join(sums.withColumnRenamed("anchor", "e_ty").withColumnRenamed("sales", "ty_sales"), "e_ty")
+    ly = axis.join(sums.withColumnRenamed("anchor", "e_ly").withColumnRenamed("sales", "ly_sales"), "e_ly")
+    out = (ty.select("week", "retailer", "ty_sales")
+             .join(ly.select("week", "retailer", "ly_sales"), ["week", "retailer"], "full_outer"))
+    out = M.with_change(out, "ty_sales", "ly_sales", "wk", pct="weekly")
+    return M.as_double(out, ["ty_sales", "ly_sales"])
+
+
+def _weekly_by_week_sql(year: int = SEL.year, n: int = N_WEEKS) -> str:
+    return _with(S.calendar_cte(), S.POS_FACT_CTE, f"""ys AS (SELECT DISTINCT CAST(strftime(d, '%Y') AS INTEGER) AS y, d FROM
+         (SELECT CAST(gs AS DATE) AS d FROM generate_series(DATE '{year}-01-01', DATE '{year}-12-31', INTERVAL 1 DAY) g(gs))),
+wk AS (SELECT DISTINCT {S.week_no('d')} AS week FROM ys),
+e AS (SELECT y, wk, max(we) AS e FROM (SELECT CAST(year(d) AS INTEGER) AS y, {S.week_no('d')} AS wk, {S.week_ending('d')} AS we
+       FROM (SELECT CAST(gs AS DATE) AS d FROM generate_series(DATE '{year - 1}-01-01', DATE '{year}-12-31', INTERVAL 1 DAY) g(gs)))
+       GROUP BY y, wk),
+sel AS (SELECT wk.week, t.e AS e_ty, l.e AS e_ly FROM wk LEFT JOIN e t ON t.y = {year} AND t.wk = wk.week
+        LEFT JOIN e l ON l.y = {year - 1} AND l.wk = wk.week),
+ty AS (SELECT s.week, p.retailer, sum(p.value) AS ty FROM sel s JOIN pos p ON p.sale_date BETWEEN s.e_ty - {7 * n - 1} AND s.e_ty
+       GROUP BY s.week, p.retailer),
+ly AS (SELECT s.week, p.retailer, sum(p.value) AS ly FROM sel s JOIN pos p ON p.sale_date BETWEEN s.e_ly - {7 * n - 1} AND s.e_ly
+       GROUP BY s.week, p.retailer),
+j AS (SELECT coalesce(ty.week, ly.week) AS week, coalesce(ty.retailer, ly.retailer) AS retailer, ty.ty, ly.ly
+      FROM ty FULL OUTER JOIN ly ON ty.week = ly.week AND ty.retailer IS NOT DISTINCT FROM ly.retailer)""") + f"""
+SELECT CAST(week AS INTEGER) AS week, retailer, {S.dbl('ty')} AS ty_sales, {S.dbl('ly')} AS ly_sales,
+       {S.dbl(S.blank_sub('ty', 'ly'))} AS wk_change, {S.weekly_pct('ty', 'ly')} AS wk_pct FROM j"""
+
+
+ORACLE["weekly_ty_ly_by_week"] = _weekly_by_week_sql()
