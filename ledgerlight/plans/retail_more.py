@@ -582,3 +582,61 @@ SELECT CAST(week AS INTEGER) AS week, retailer, {S.dbl('ty')} AS ty_sales, {S.db
 
 
 ORACLE["weekly_ty_ly_by_week"] = _weekly_by_week_sql()
+
+
+@query("ytd_by_week")
+def ytd_by_week(spark: SparkSession, sf_dir: str, year: int = SEL.year) -> DataFrame:
+    """Year-to-week TY and LY sales for every week of ``year`` by retailer.
+    Weekly sales are pre-aggregated (per store and retail week, then per
+    retailer); each retailer gets its axis of weeks (a bounded explode);
+    the axis and the TY / LY weekly rows are summed per (retailer, week) and
+    running sums over each retailer's rows (at most two years of weeks)
+    give both YTD values.  Weeks where both are BLANK are not shown."""
+    import datetime as _dt
+
+    from pyspark.sql import Window
+
+    from ..functions import calendar as C
+    t = Tables(spark, sf_dir)
+    days = [_dt.date(year, 1, 1) + _dt.timedelta(days=i) for i in range((_dt.date(year + 1, 1, 1) - _dt.date(year, 1, 1)).days)]
+    weeks = sorted({C.py_week_no(d) for d in days})
+    lines = R.sales_lines(t, M.DateRange(_dt.date(year - 1, 1, 1), _dt.date(year, 12, 31)))
+    weekly = (lines.groupBy("store", F.year("sale_date").alias("year"), C.week_no(F.col("sale_date")).alias("week"))
+                   .agg(F.sum("value").alias("v")))
+    per = R.attach_dims(weekly, t, ["retailer"]).groupBy("retailer", "year", "week").agg(F.sum("v").alias("v"))
+    axis = (per.select("retailer").distinct()
+               .select("retailer", F.explode(F.array(*[F.lit(w) for w in weeks])).alias("week"))
+               .select("retailer", "week", F.lit(None).cast("decimal(28,2)").alias("v_ty"),
+                       F.lit(None).cast("decimal(28,2)").alias("v_ly"), F.lit(True).alias("on_axis")))
+    ty = per.where(F.col("year") == year).select("retailer", "week", F.col("v").alias("v_ty"),
+                                                 F.lit(None).cast("decimal(28,2)").alias("v_ly"), F.lit(False).alias("on_axis"))
+    ly = per.where(F.col("year") == year - 1).select("retailer", "week", F.lit(None).cast("decimal(28,2)").alias("v_ty"),
+                                                     F.col("v").alias("v_ly"), F.lit(False).alias("on_axis"))
+    timeline = (axis.unionByName(ty).unionByName(ly)
+                    .groupBy("retailer", "week").agg(F.sum("v_ty").alias("v_ty"), F.sum("v_ly").alias("v_ly"),
+                                                    F.max("on_axis").alias("on_axis")))
+    w = Window.partitionBy("retailer").orderBy("week").rowsBetween(Window.unboundedPreceding, 0)
+    run = timeline.select("retailer", "week", "on_axis", F.sum("v_ty").over(w).alias("ytd_ty"),
+                          F.sum("v_ly").over(w).alias("ytd_ly"))
+    run = run.where(F.col("on_axis") & (F.col("ytd_ty").isNotNull() | F.col("ytd_ly").isNotNull())).drop("on_axis")
+    run = M.with_change(run.withColumn("week", F.col("week").cast("int")), "ytd_ty", "ytd_ly", "ytd", pct="ytd")
+    return M.as_double(run, ["ytd_ty", "ytd_ly"])
+
+
+def _ytd_by_week_sql(year: int = SEL.year) -> str:
+    return _with(S.POS_FACT_CTE, f"""days AS (SELECT CAST(gs AS DATE) AS d FROM generate_series(DATE '{year}-01-01', DATE '{year}-12-31', INTERVAL 1 DAY) g(gs)),
+wks AS (SELECT DISTINCT {S.week_no('d')} AS week FROM days),
+f AS (SELECT retailer, CAST(year(sale_date) AS INTEGER) AS y, {S.week_no('sale_date')} AS week, value FROM pos
+      WHERE sale_date BETWEEN DATE '{year - 1}-01-01' AND DATE '{year}-12-31'),
+r AS (SELECT DISTINCT retailer FROM f),
+axis AS (SELECT r.retailer, wks.week FROM r CROSS JOIN wks),
+v AS (SELECT a.retailer, a.week,
+             (SELECT sum(value) FROM f WHERE f.retailer IS NOT DISTINCT FROM a.retailer AND f.y = {year} AND f.week <= a.week) AS ty,
+             (SELECT sum(value) FROM f WHERE f.retailer IS NOT DISTINCT FROM a.retailer AND f.y = {year - 1} AND f.week <= a.week) AS ly
+      FROM axis a)""") + f"""
+SELECT retailer, CAST(week AS INTEGER) AS week, {S.dbl('ty')} AS ytd_ty, {S.dbl('ly')} AS ytd_ly,
+       {S.dbl(S.blank_sub('ty', 'ly'))} AS ytd_change, {S.ytd_pct('ty', 'ly')} AS ytd_pct
+FROM v WHERE ty IS NOT NULL OR ly IS NOT NULL"""
+
+
+ORACLE["ytd_by_week"] = _ytd_by_week_sql()
