@@ -640,3 +640,41 @@ FROM v WHERE ty IS NOT NULL OR ly IS NOT NULL"""
 
 
 ORACLE["ytd_by_week"] = _ytd_by_week_sql()
+
+
+# ------------------------------------- every choice of the dynamic x-axis
+
+AXIS_CHOICES = ("smm", "ssr", "retailer")
+
+
+@query("axis_choice_report")
+def axis_choice_report(spark: SparkSession, sf_dir: str, sel: M.Selection = SEL) -> DataFrame:
+    """The N-week TY / LY report for every choice of the switchable x-axis
+    (SMM, SSR, retailer) at once: one aggregation over the per-store rows
+    with grouping sets, labelled by the axis each row belongs to."""
+    t = Tables(spark, sf_dir)
+    wins = {"ty": M.weekly_window(sel, N_WEEKS), "ly": M.weekly_window(sel, N_WEEKS, last_year=True)}
+    per_store = M.window_sums(t, wins, ["store", *AXIS_CHOICES])
+    g = per_store.groupingSets([[c] for c in AXIS_CHOICES], *AXIS_CHOICES).agg(
+        F.sum("ty").alias("ty_sales"), F.sum("ly").alias("ly_sales"),
+        *[F.grouping(c).alias(f"_g_{c}") for c in AXIS_CHOICES])
+    axis = None
+    value = None
+    for c in AXIS_CHOICES:
+        cond = F.col(f"_g_{c}") == 0
+        axis = F.when(cond, F.lit(c)) if axis is None else axis.when(cond, F.lit(c))
+        value = F.when(cond, F.col(c)) if value is None else value.when(cond, F.col(c))
+    out = g.select(axis.alias("axis"), value.alias("axis_value"), "ty_sales", "ly_sales")
+    out = M.with_change(out, "ty_sales", "ly_sales", "wk", pct="weekly")
+    return M.as_double(out, ["ty_sales", "ly_sales"])
+
+
+ORACLE["axis_choice_report"] = _with(S.calendar_cte(), S.POS_FACT_CTE, _anchor_cte(), f"""g AS (
+  SELECT CASE WHEN GROUPING(smm) = 0 THEN 'smm' WHEN GROUPING(ssr) = 0 THEN 'ssr' ELSE 'retailer' END AS axis,
+         CASE WHEN GROUPING(smm) = 0 THEN smm WHEN GROUPING(ssr) = 0 THEN ssr ELSE retailer END AS axis_value,
+         sum(value) FILTER (WHERE sale_date BETWEEN e_ty - {_NW} AND e_ty) AS ty,
+         sum(value) FILTER (WHERE sale_date BETWEEN e_ly - {_NW} AND e_ly) AS ly
+  FROM pos, a WHERE sale_date BETWEEN e_ly - {_NW} AND e_ty
+  GROUP BY GROUPING SETS ((smm), (ssr), (retailer)))""") + f"""
+SELECT axis, axis_value, {S.dbl('ty')} AS ty_sales, {S.dbl('ly')} AS ly_sales,
+       {S.dbl(S.blank_sub('ty', 'ly'))} AS wk_change, {S.weekly_pct('ty', 'ly')} AS wk_pct FROM g"""
