@@ -143,6 +143,8 @@ SELECT study_key FROM (SELECT studyKey AS study_key FROM visits UNION SELECT stu
 
 @query("visit_site_enrich")
 def visit_site_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Visits per study and how many found their site through the subject
+    dimension."""
     t = Tables(spark, sf_dir)
     e = RV.enrich_site(RV.extract_changed_visits(C.visits(t)), C.subject_dim(t))
     return e.groupBy("study_key").agg(F.count(F.lit(1)).alias("n_visits"),
@@ -202,6 +204,8 @@ def retry_without_source(t: Tables, log: DataFrame, run_time) -> DataFrame:
 
 @query("failed_retry_source")
 def failed_retry_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The retry batch: failed log visits with their latest source row and
+    site."""
     t = Tables(spark, sf_dir)
     return retry_source(t, C.previous_log(t, PREVIOUS_RUN, _since(t)))
 
@@ -265,6 +269,8 @@ RESOLVE_COLS = ["study_key", "visitid_instanceid", "study_id", "study_ext", "ext
 
 @query("visit_resolve")
 def visit_resolve(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The changed batch resolved: ids, category, status, first failing
+    validation and insert/update method."""
     t = Tables(spark, sf_dir)
     return resolve(t, changed_batch(t)).select(*RESOLVE_COLS)
 

@@ -91,12 +91,16 @@ def coverage_source(t: Tables) -> DataFrame:
 
 
 def coverage_dim(t: Tables) -> DataFrame:
+    """The coverage file cleaned and keyed like the fact, right-joined to the
+    retailer order, with rows per key."""
     return FE.coverage_pipeline(coverage_source(t), R.retailer_order(t, EXCLUDED_RETAILERS),
                                 FIRST_SMM, SECOND_SMM)
 
 
 @query("coverage_dim")
 def coverage_dim_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The coverage file cleaned and keyed like the fact, right-joined to
+    the retailer order, with rows per key."""
     c = coverage_dim(Tables(spark, sf_dir))
     return c.select("chain", "store_num", "store_name", "smm", "ssr", "smm_sort", "smm_territory",
                     "retailer_order", "join_key", "occurrence")
@@ -155,6 +159,8 @@ FROM fk LEFT JOIN keys ON fk.join_key = keys.join_key GROUP BY 1, 2"""
 
 @query("key_quality")
 def key_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Key checks of the coverage dimension: rows, NULL keys, duplicated keys,
+    largest occurrence."""
     return Q.key_checks(coverage_dim(Tables(spark, sf_dir)), "join_key")
 
 
@@ -184,6 +190,8 @@ def order_extract_strings(t: Tables) -> DataFrame:
 
 @query("type_error_quarantine")
 def type_error_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order rows with a cell that does not convert to its declared type,
+    numbered by position in the table."""
     raw = order_extract_strings(Tables(spark, sf_dir))
     raw = raw.withColumn("o_orderkey_n", F.col("o_orderkey").try_cast("bigint"))
     q = Q.type_mismatch_quarantine(raw, ORDER_TYPES, "o_orderkey_n")

@@ -45,6 +45,8 @@ def _with(*ctes: str) -> str:
 
 def nweek_ty_ly_by_retailer(spark: SparkSession, sf_dir: str, sel: M.Selection = SEL,
                             n_weeks: int = N_WEEKS) -> DataFrame:
+    """N-week sales this year and last year by retailer, with the $ change and
+    the weekly % change (the flagship)."""
     t = Tables(spark, sf_dir)
     wins = {"ty_sales": M.weekly_window(sel, n_weeks), "ly_sales": M.weekly_window(sel, n_weeks, last_year=True)}
     df = M.window_sums(t, wins, ["retailer"])
@@ -91,6 +93,8 @@ METRICS = [("TY Sales", "ty_sales", 1, "Sales"), ("LY Sales", "ly_sales", 2, "Sa
 
 @query("nweek_all_windows_long")
 def nweek_all_windows_long(spark: SparkSession, sf_dir: str, sel: M.Selection = SEL) -> DataFrame:
+    """Every week window (1, 4, 13, 26, 52 weeks, YTD) x every metric, as
+    labelled long rows sorted for display."""
     t = Tables(spark, sf_dir)
     wins = {}
     for n, _, _ in WINDOW_KEYS:
@@ -139,6 +143,8 @@ _ORACLE["nweek_all_windows_long"] = _long_sql()
 
 @query("ytd_ty_ly_by_product")
 def ytd_ty_ly_by_product(spark: SparkSession, sf_dir: str, sel: M.Selection = SEL) -> DataFrame:
+    """Year-to-week sales TY and LY by product, with $ and % change (0 when LY
+    is blank)."""
     t = Tables(spark, sf_dir)
     wins = {"ytd_ty": M.ytd_window(sel), "ytd_ly": M.ytd_window(sel, last_year=True)}
     df = M.with_change(M.window_sums(t, wins, ["product"]), "ytd_ty", "ytd_ly", "ytd", pct="ytd")
@@ -158,6 +164,8 @@ SELECT product, {S.dbl('ty')} AS ytd_ty, {S.dbl('ly')} AS ytd_ly,
 
 @query("mtd_ytd_calendar_ly")
 def mtd_ytd_calendar_ly(spark: SparkSession, sf_dir: str, sel: M.Selection = SEL) -> DataFrame:
+    """Calendar month-to-date and year-to-date sales with their
+    same-period-last-year values by retailer."""
     t = Tables(spark, sf_dir)
     wins = {"mtd_ty": M.mtd_window(sel), "mtd_ly": M.mtd_window(sel, last_year=True),
             "cytd_ty": M.calendar_ytd_window(sel), "cytd_ly": M.calendar_ytd_window(sel, last_year=True)}
@@ -190,6 +198,8 @@ _ORACLE["mtd_ytd_calendar_ly"] = mtd_ytd_sql()
 
 @query("category_change")
 def category_change(spark: SparkSession, sf_dir: str, sel: M.Selection = SEL) -> DataFrame:
+    """Category-fact MTD / YTD sales, LY values, $ and % change by market
+    segment."""
     t = Tables(spark, sf_dir)
     wins = {"mtd_ty": M.mtd_window(sel), "mtd_ly": M.mtd_window(sel, last_year=True),
             "ytd_ty": M.calendar_ytd_window(sel), "ytd_ly": M.calendar_ytd_window(sel, last_year=True)}
@@ -225,6 +235,8 @@ _ORACLE["category_change"] = category_change_sql()
 @query("last_prior_n_months")
 def last_prior_n_months(spark: SparkSession, sf_dir: str, sel: M.Selection = SEL,
                         n_months: int = N_MONTHS) -> DataFrame:
+    """Sales in the last N months and in the same N months a year earlier, with
+    % change, by retailer and SSR."""
     t = Tables(spark, sf_dir)
     wins = {"last_n": M.last_n_months_window(sel, n_months), "prior_n": M.prior_n_months_window(sel, n_months)}
     df = M.window_sums(t, wins, ["retailer", "ssr"])
@@ -254,6 +266,8 @@ _ORACLE["last_prior_n_months"] = last_prior_sql()
 @query("alt_week_windows")
 def alt_week_windows(spark: SparkSession, sf_dir: str, sel: M.Selection = SEL,
                      n_weeks: int = N_WEEKS) -> DataFrame:
+    """The week-ending, prior-N-weeks, last-7N-days and rolling-7-day windows
+    by retailer."""
     t = Tables(spark, sf_dir)
     wins = {"we_last_n": M.week_ending_window(sel, n_weeks), "prior_n_weeks": M.prior_n_weeks_window(sel, n_weeks),
             "last_n_days": M.last_n_days_window(sel, n_weeks), "rolling_7d": M.rolling_7d_window(sel)}
@@ -284,6 +298,8 @@ _ORACLE["alt_week_windows"] = alt_week_sql()
 
 @query("monday_week_windows")
 def monday_week_windows(spark: SparkSession, sf_dir: str, sel: M.Selection = SEL) -> DataFrame:
+    """The Monday-aligned week windows (last year, the 13 weeks before, forward
+    from the week, dispatch) by retailer."""
     t = Tables(spark, sf_dir)
     wins = {f"ly_{n}w": M.monday_ly_window(sel, n) for n in (1, 4, 26, 52)}
     wins["prev_13w"] = M.monday_prev13_window(sel)

@@ -36,6 +36,8 @@ def _fact_calendar(t: Tables) -> tuple[DataFrame, DataFrame]:
 
 @query("calendar_dim")
 def calendar_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The calendar dimension over the fact's date span with every label
+    column."""
     cal, _ = _fact_calendar(Tables(spark, sf_dir))
     return CD.latest_month_label(cal).drop("last_date")
 
@@ -62,6 +64,8 @@ FROM cal, mx"""
 
 @query("week_ending_carry")
 def week_ending_carry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Week-ending dates with the week-52 carry to the previous year's last
+    week-52 day."""
     cal, _ = _fact_calendar(Tables(spark, sf_dir))
     return CD.week_ending_carry(cal).select("date", "week", "weekday_number", "week_ending_date")
 
@@ -145,6 +149,8 @@ SELECT retailer, store, custom_total, {S.dbl('t')} AS ty_sales, {S.dbl('l')} AS
 
 @query("hierarchy_rollup")
 def hierarchy_rollup(spark: SparkSession, sf_dir: str, sel: M.Selection = SEL) -> DataFrame:
+    """YTD sales rolled up SMM > SSR > store with grouping levels and the
+    in-scope SSR name."""
     t = Tables(spark, sf_dir)
     per_store = M.window_sums(t, {"ytd_ty": M.ytd_window(sel)}, ["smm", "ssr", "store"])
     out = (per_store.rollup("smm", "ssr", "store")
@@ -191,6 +197,7 @@ def _ssr_ytd(t: Tables, sel: M.Selection, level: str = "ssr") -> DataFrame:
 
 @query("ssr_pct_rank")
 def ssr_pct_rank(spark: SparkSession, sf_dir: str, sel: M.Selection = SEL) -> DataFrame:
+    """Dense rank of the SSRs by YTD % change."""
     t = Tables(spark, sf_dir)
     df = _ssr_ytd(t, sel)
     df = global_rank(df, "ytd_pct", "pct_rank", method="dense")
@@ -233,6 +240,7 @@ def _retailer_product_ty(t: Tables, sel: M.Selection) -> DataFrame:
 
 @query("retailer_rank_by_product")
 def retailer_rank_by_product(spark: SparkSession, sf_dir: str, sel: M.Selection = SEL) -> DataFrame:
+    """Skip rank of the retailers by N-week sales within each product."""
     t = Tables(spark, sf_dir)
     df = group_rank(_retailer_product_ty(t, sel), ["product"], "ty_sales", "retailer_rank", method="skip")
     return M.as_double(df, ["ty_sales"])
@@ -277,6 +285,8 @@ def _side_aggs(week):
 @query("selected_vs_rest")
 def selected_vs_rest(spark: SparkSession, sf_dir: str, retailer: str = RETAILER,
                      sel: M.Selection = SEL) -> DataFrame:
+    """The selected retailer against all others (and everything): sales,
+    changes, store rows and trend."""
     t = Tables(spark, sf_dir)
     week = M.selected_week_window(sel)
     wins = {"ty_sales": M.weekly_window(sel, N_WEEKS), "ly_sales": M.weekly_window(sel, N_WEEKS, last_year=True)}
@@ -427,6 +437,8 @@ GROUP BY 1"""
 @query("product_filtered_nweek")
 def product_filtered_nweek(spark: SparkSession, sf_dir: str, product: str = PRODUCT,
                            sel: M.Selection = SEL) -> DataFrame:
+    """4- and 13-week sales of one product by retailer (the product selection
+    reaches the fact as a semi join)."""
     t = Tables(spark, sf_dir)
     wins = {"ty_4w": M.weekly_window(sel, 4), "ty_13w": M.weekly_window(sel, 13)}
     df = M.window_sums(t, wins, ["retailer"], where=F.col("product") == product, where_cols=["product"])
