@@ -18,18 +18,28 @@ import datetime as _dt
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import resolve as RV
+from ..operators import state as ST
 from ..sources import clinical as C
 from ..sources.tables import Tables
 
 EVENTS_SCHEMA = ("event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string")
 
 
+LOG_KEYS = ["subjectKey", "study_key", "visit_instance_id", "method"]
+LOG_UPDATES = ["responsestatus", "error_message", "inserted_date"]
+
+
 def start_visit_sync(spark: SparkSession, events_dir: str, ref_dir: str, out_dir: str, checkpoint: str,
                      run_time: _dt.datetime, pushed_before: _dt.datetime, file_glob: str = "events*.parquet",
-                     max_files_per_trigger: int = 64):
+                     max_files_per_trigger: int = 64, log_path: str | None = None):
     """Start the stream; returns the StreamingQuery (call
     ``awaitTermination()`` or ``processAllAvailable()``).  Subjects and
-    visits created before ``pushed_before`` already exist in the target."""
+    visits created before ``pushed_before`` already exist in the target.
+
+    With ``log_path`` (a parquet outcome log partitioned by ``study_key``)
+    every micro-batch's outcomes are also MERGEd into it, rewriting only
+    the study partitions the batch touches.  Replaying a micro-batch merges
+    the same rows again, which leaves the log unchanged."""
     refs = Tables(spark, ref_dir)
     cutoff = C.ntz_literal(pushed_before)
     study, site, subject = C.study_ref(refs), C.site_ref(refs), C.subject_ref(refs, cutoff)
@@ -42,9 +52,13 @@ def start_visit_sync(spark: SparkSession, events_dir: str, ref_dir: str, out_dir
         resolved = resolved.persist()          # feeds three writes of this micro-batch
         try:
             target = f"{out_dir}/epoch={epoch_id}"
-            RV.outcome_rows(resolved, run).write.mode("overwrite").parquet(f"{target}/log")
+            outcomes = RV.outcome_rows(resolved, run)
+            outcomes.write.mode("overwrite").parquet(f"{target}/log")
             RV.insert_payload(resolved).write.mode("overwrite").parquet(f"{target}/insert")
             RV.update_payload(resolved).write.mode("overwrite").parquet(f"{target}/update")
+            if log_path is not None:
+                ST.merge_into_partitioned(spark, log_path, spark.read.parquet(f"{target}/log"), LOG_KEYS,
+                                          LOG_UPDATES, "study_key")
         finally:
             resolved.unpersist()
 
