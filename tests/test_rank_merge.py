@@ -139,3 +139,20 @@ def test_read_watermark_default(spark):
     assert ST.read_watermark(null_row, "subject_visits", DEFAULT_WATERMARK).first().watermark == dt.datetime(2023, 10, 2)
     other = spark.createDataFrame([("other", dt.datetime(2024, 1, 1))], "table_name string, last_sync timestamp_ntz")
     assert ST.read_watermark(other, "subject_visits", DEFAULT_WATERMARK).first().watermark == dt.datetime(2023, 10, 2)
+
+
+def test_join_dim_bounded_count_broadcast(spark):
+    from ledgerlight.operators.joins import join_dim
+    fact = spark.range(1000).select((F.col("id") % 50).alias("k"), F.col("id").alias("v"))
+    small = spark.range(50).select(F.col("id").alias("k"), (F.col("id") * 2).alias("a"))
+    big = spark.range(5000).select((F.col("id") % 50).alias("k"), F.col("id").alias("a"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        hinted = join_dim(fact, small, "k", max_rows=100)._jdf.queryExecution().executedPlan().toString()
+        unhinted = join_dim(fact, big, "k", max_rows=100)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(10 << 20))
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+    assert "BroadcastHashJoin" in hinted
+    assert "BroadcastHashJoin" not in unhinted
