@@ -690,3 +690,21 @@ ORACLE["axis_choice_report"] = _with(S.calendar_cte(), S.POS_FACT_CTE, _anchor_c
   GROUP BY GROUPING SETS ((smm), (ssr), (retailer)))""") + f"""
 SELECT axis, axis_value, {S.dbl('ty')} AS ty_sales, {S.dbl('ly')} AS ly_sales,
        {S.dbl(S.blank_sub('ty', 'ly'))} AS wk_change, {S.weekly_pct('ty', 'ly')} AS wk_pct FROM g"""
+
+
+@query("category_store_rank")
+def category_store_rank(spark: SparkSession, sf_dir: str, sel: M.Selection = SEL) -> DataFrame:
+    """Dense rank of the category fact's stores (customers) by calendar
+    year-to-date category sales; blank sales get no rank."""
+    t = Tables(spark, sf_dir)
+    per_store = M.category_window_sums(t, {"cytd": M.calendar_ytd_window(sel)}, by=("store",))
+    ranked = global_rank(per_store, "cytd", "cytd_rank", method="dense")
+    return ranked.select("store", F.col("cytd").cast("double").alias("cytd"), "cytd_rank")
+
+
+ORACLE["category_store_rank"] = _with(S.calendar_cte(), S.CATEGORY_FACT_CTE, _anchor_cte(), """ps AS (
+  SELECT store, sum(value) AS cytd FROM cat, a
+  WHERE sale_date BETWEEN date_trunc('year', last_d) AND last_d GROUP BY store)""") + """
+SELECT store, CAST(cytd AS DOUBLE) AS cytd,
+       CASE WHEN cytd IS NOT NULL THEN CAST(dense_rank() OVER (ORDER BY cytd DESC) AS BIGINT) END AS cytd_rank
+FROM ps"""
