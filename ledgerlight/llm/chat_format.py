@@ -80,15 +80,22 @@ def format_conversations(turns: DataFrame) -> DataFrame:
     def bare(t: Column) -> Column:
         return _render_turn(t["role"], t["text"])
 
+    def content(turns: str) -> Column:
+        return F.transform(turns, lambda t: F.struct(t["role"], t["text"]))
+
     def safe(t: Column) -> Column:
-        back = F.get(parse(bare(t)), F.lit(0))
-        same = (back["text"] == t["text"]) & (back["role"] == t["role"]) & (F.size(parse(bare(t))) == 1)
+        back = parse(bare(t))
+        same = back == F.array(F.struct(t["role"].alias("role"), t["text"].alias("text"),
+                                        (F.length(_role_out(t["role"])) + F.lit(len(HEAD) + 2)).alias("start"), F.length(t["text"]).alias("length")))
         return F.when(F.coalesce(same, F.lit(False)), bare(t)).otherwise(_render_turn(t["role"], _escape(t["text"])))
 
-    done = whole.withColumn("formatted", F.array_join(F.transform("source", safe), ""))
-    done = done.withColumn("turns", parse(F.col("formatted")))
-    same = F.transform("turns", lambda t: F.struct(t["role"], t["text"])) == F.transform("source", lambda t: F.struct(t["role"], t["text"]))
-    checked = F.when(same, F.col("formatted")).otherwise(F.raise_error(F.lit("a conversation does not survive its round trip")))
+    done = (whole.withColumn("first", F.array_join(F.transform("source", bare), ""))
+            .withColumn("back", parse(F.col("first")))
+            .withColumn("same", F.coalesce(content("back") == content("source"), F.lit(False)))
+            .withColumn("formatted", F.when(F.col("same"), F.col("first")).otherwise(F.array_join(F.transform("source", safe), "")))
+            .withColumn("turns", F.when(F.col("same"), F.col("back")).otherwise(parse(F.col("formatted")))))
+    checked = (F.when(F.col("same") | F.coalesce(content("turns") == content("source"), F.lit(False)), F.col("formatted"))
+               .otherwise(F.raise_error(F.lit("a conversation does not survive its round trip"))))
     return done.select("conv_id", checked.alias("formatted"), "turns")
 
 

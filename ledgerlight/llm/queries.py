@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, mixing, url_filter
+from . import chat_format, langid, minhash_dedup, mixing, quality, topk_search, url_filter, warc
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -83,3 +83,66 @@ def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
     hard = spark.createDataFrame(HARD_TURNS, turns.schema)
     return chat_format.digests(chat_format.format_conversations(turns.unionByName(hard)))
+
+
+@query("op9_minhash_dedup")
+def op9_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components of all documents: 3-word shingles, similarity 0.85."""
+    return minhash_dedup.near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"), 3, (85, 100))
+
+
+@query("op5_topk_search", """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS t FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id AS vec_id, CAST(list_dot_product(q.t, c.t) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rk FROM s)
+SELECT query_id, CAST(rk AS INTEGER) AS rank, vec_id, score FROM r WHERE rk <= 20""")
+def op5_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best rows for every row whose vec_id is divisible by 20."""
+    return topk_search.search(table(spark, sf_dir, "embeddings", "vec_id", "embedding"), F.col("vec_id") % 20 == 0)
+
+
+@query("op8_warc", """
+WITH p AS (
+  SELECT page_id, encode(coalesce(html, '')) AS body FROM pages),
+h AS (SELECT page_id, octet_length(body) AS payload_bytes, sha1(body) AS hex FROM p),
+d AS (
+  SELECT page_id, payload_bytes, array_to_string(list_transform(range(32), lambda i:
+    substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+      1 + CAST((CAST('0x' || substr(hex, CAST(1 + 5 * (i // 4) AS BIGINT), 5) AS BIGINT) >> CAST(15 - 5 * (i % 4) AS INTEGER)) & 31 AS BIGINT), 1)), '') AS payload_digest
+  FROM h)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN page_id = min(page_id) OVER w THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> min(page_id) OVER w THEN min(page_id) OVER w END AS refers_to
+FROM d WINDOW w AS (PARTITION BY payload_digest)""")
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages as legacy archives, converted to WARC and read back."""
+    return warc.page_records(table(spark, sf_dir, "pages", "page_id", "url", "html"))
+
+
+def learn() -> Column:
+    """Rows that a classifier may learn from."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 != 2
+
+
+def held_out() -> Column:
+    return F.coalesce(~learn(), F.lit(False)).alias("held_out")
+
+
+@query("op10_langid")
+def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The predicted language of every document."""
+    docs = table(spark, sf_dir, "documents", "doc_id", "text", "lang")
+    found = langid.identify(docs, langid.fit(docs, learn()))
+    return found.select("doc_id", held_out(), "lang_pred", "score")
+
+
+@query("op6_quality")
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quality of every document as the labels mark it."""
+    docs, labels = table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "labels", "doc_id", "quality")
+    found = quality.scored(docs, quality.fit(docs, labels, learn()), keep=["doc_id"])
+    return found.select("doc_id", held_out(), F.col("quality_score").alias("score"), F.col("quality_pred").alias("predicted"))
