@@ -11,6 +11,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 U64 = np.uint64
 #: Bytes of text that a task hashes at a time (a longer single text is hashed alone).
@@ -48,6 +49,19 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Rows of the broadcast that keeps most rows out of a shuffle.
+CELLS = 1 << 20
+
+
+def split_by_ids(df: DataFrame, ids: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
+    """(rows whose key may be among ``ids``, rows whose key surely is not). Keys
+    are told apart by one of ``CELLS`` hash cells, so the broadcast is bounded."""
+    cell = F.pmod(F.xxhash64(key), F.lit(CELLS))
+    cells = F.broadcast(ids.select(cell.alias("_cell")).distinct())
+    marked = df.withColumn("_cell", cell)
+    return (marked.join(cells, "_cell", "left_semi").drop("_cell"), marked.join(cells, "_cell", "left_anti").drop("_cell"))
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a scratch folder, in whatever store it is."""
     hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, langid, minhash_dedup, mixing, quality, topk_search, url_filter, warc
+from . import chat_format, decontam, langid, minhash_dedup, mixing, pii, quality, topk_search, url_filter, warc
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -146,3 +146,15 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "labels", "doc_id", "quality")
     found = quality.scored(docs, quality.fit(docs, labels, learn()), keep=["doc_id"])
     return found.select("doc_id", held_out(), F.col("quality_score").alias("score"), F.col("quality_pred").alias("predicted"))
+
+
+@query("op2_decontamination")
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every pair of document and test item that the document holds."""
+    return decontam.contaminated(table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "benchmark", "item_id", "text"))
+
+
+@query("op7_pii")
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents with surrogates for personal data and secrets."""
+    return pii.pseudonymise(table(spark, sf_dir, "documents", "doc_id", "text"))

@@ -32,10 +32,9 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import remove, scratch, written
+from .common import remove, scratch, split_by_ids, written
 
 FILE_BYTES = 16 << 20
-CELLS = 1 << 20
 #: The field lines that close the version block of the two ARC versions.
 FIELDS = {
     1: "URL IP-address Archive-date Content-type Archive-length",
@@ -224,13 +223,10 @@ def convert(spark: SparkSession, arc_path: str, warc_path: str) -> None:
                       "warc-payloads")
     n_bytes, n_records = several.agg(F.sum(F.col("b") + 700 * F.col("n")), F.sum("n")).first()
     copied = several.where("n > 1").select("sha", F.col("f.key").alias("first"), F.col("f.id").alias("first_id"))
-    # At most CELLS rows are broadcast: they tell payloads that surely have no copy,
-    # so that only the others are shuffled to their copies.
-    cell = F.pmod(F.xxhash64("sha"), F.lit(CELLS))
-    cells = F.broadcast(copied.select(cell.alias("cell")).distinct())
-    rows = rows.withColumn("cell", cell)
-    alone = rows.join(cells, "cell", "left_anti").withColumns({"first": F.col("key"), "first_id": F.col("id")})
-    shared = (rows.join(cells, "cell", "left_semi").join(copied.hint("merge"), "sha", "left")
+    # Payloads that surely have no copy need no shuffle to their copies.
+    shared, alone = split_by_ids(rows, copied, "sha")
+    alone = alone.withColumns({"first": F.col("key"), "first_id": F.col("id")})
+    shared = (shared.join(copied.hint("merge"), "sha", "left")
               .withColumns({"first": F.coalesce("first", "key"), "first_id": F.coalesce("first_id", "id")}))
     records = alone.unionByName(shared).select(_warc_record().alias("record"))
     info = "software: llm archive converter\r\nformat: WARC File Format 1.1\r\n"
