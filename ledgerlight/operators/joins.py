@@ -22,21 +22,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-_size_cache: dict = {}
-
-
 def has_at_most(df: DataFrame, max_rows: int) -> bool:
-    """Bounded size check: reads at most ``max_rows + 1`` rows per task."""
-    try:
-        key = (df.semanticHash(), max_rows)
-    except Exception:          # pragma: no cover - plans without a hash
-        key = None
-    if key is not None and key in _size_cache:
-        return _size_cache[key]
-    ok = df.limit(max_rows + 1).count() <= max_rows
-    if key is not None:
-        _size_cache[key] = ok
-    return ok
+    """Bounded size check, made anew for every plan: reads at most
+    ``max_rows + 1`` rows per task."""
+    return df.limit(max_rows + 1).count() <= max_rows
 
 
 def maybe_broadcast(df: DataFrame, max_rows: int | None = None, bounded: bool = False) -> DataFrame:

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-import os
+import atexit
+import shutil
+import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
-# Settings every job relies on.  Partition counts are sized for local
-# tests; on a cluster the caller passes ``shuffle_partitions`` sized to
-# roughly (shuffled bytes / 128 MB) and AQE coalesces or splits from there.
+# Settings every job relies on.  The shuffle partition count is not among
+# them: a cluster keeps its own (see ``cluster_conf``), local runs get one
+# for their few cores.
 BASE_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -27,12 +29,15 @@ BASE_CONF = {
 }
 
 
-def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
+def build_session(master: str = "local[*]", shuffle_partitions: int | None = None,
                   app_name: str = "ledgerlight", extra: dict | None = None) -> SparkSession:
     builder = SparkSession.builder.master(master).appName(app_name)
     conf = dict(BASE_CONF)
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
-    conf.setdefault("spark.driver.memory", "4g")     # local runs: the driver is the executor
+    if master.startswith("local["):
+        conf["spark.driver.memory"] = "4g"           # the driver is the executor
+        conf["spark.sql.shuffle.partitions"] = "8"
+    if shuffle_partitions is not None:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
@@ -45,18 +50,18 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this setting points at shared storage and is taken as is.
-    Only when it is unset (local tests) a folder under the local temp dir
-    is chosen.
+    On a cluster this setting points at shared storage and is taken as is;
+    a cluster without it is an error.  Only a local master (tests) gets a
+    temporary folder of its own, removed when the process ends.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
-        current = os.path.join(os.environ.get("TMPDIR", "/tmp"), "ledgerlight-ckpt-" + uuid.uuid4().hex[:8])
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        current = tempfile.mkdtemp(prefix="ledgerlight-ckpt-")
+        atexit.register(shutil.rmtree, current, True)
         spark.conf.set("spark.checkpoint.dir", current)
-    try:
-        spark.sparkContext.setCheckpointDir(current)
-    except Exception:  # noqa: BLE001 - sessions without a local SparkContext handle
-        pass
+    spark.sparkContext.setCheckpointDir(current)
     return current
 
 
@@ -72,13 +77,12 @@ def cluster_conf(input_bytes: int, executors: int, cores_per_executor: int,
     """Settings for a cluster run sized from the bytes a job reads.
 
     The initial shuffle partition count follows the data (one partition per
-    ``target_partition_bytes`` of input, at least two waves of tasks, at most
-    sixteen: shuffles carry projected, pre-aggregated rows, far fewer bytes
-    than the scan, and maps x reducers shuffle blocks must stay manageable);
-    AQE then coalesces small partitions and splits skewed ones, so the count
-    is an upper bound rather than a guess that must be right."""
+    ``target_partition_bytes`` of input, at least two waves of tasks, no
+    upper limit: an aggregate's partitions cannot be split later); AQE then
+    coalesces the small ones, so the count is an upper bound rather than a
+    guess that must be right."""
     slots = executors * cores_per_executor
-    parts = max(2 * slots, min(16 * slots, -(-input_bytes // target_partition_bytes)))
+    parts = max(2 * slots, -(-input_bytes // target_partition_bytes))
     return {
         "spark.sql.shuffle.partitions": str(parts),
         "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts),
