@@ -8,19 +8,19 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .rank import global_rank
+from .rank import global_row_number
 
 
-def type_mismatch_quarantine(raw: DataFrame, target: dict, order_key: str) -> DataFrame:
-    """Number every row by ``order_key`` (its position in the whole table),
-    then keep only rows with at least one cell that is present but does not
-    convert to its target type, row number first, with the failing columns
-    listed.  (Failed conversions become NULL, never an error, as in a load
-    that returns error values as null.)"""
+def type_mismatch_quarantine(raw: DataFrame, target: dict, order_cols) -> DataFrame:
+    """Number every row by ``order_cols`` (its position in the whole table;
+    NULLs last, rows alike in all of them in any order, every row its own
+    number), then keep only rows with at least one cell that is present but
+    does not convert to its target type, row number first, with the failing
+    columns listed.  (Failed conversions become NULL, never an error, as in
+    a load that returns error values as null.)"""
     failed = {c: F.col(c).isNotNull() & F.col(c).try_cast(t).isNull() for c, t in target.items()}
     any_failed = reduce(lambda a, b: a | b, failed.values())
-    # Row number over an explicit key, computed without a single-partition window.
-    numbered = global_rank(raw, order_key, "row_no", method="skip", ascending=True)
+    numbered = global_row_number(raw, order_cols, "row_no")
     bad = numbered.where(any_failed)
     return bad.select("row_no", *raw.columns,
                       F.concat_ws(",", *[F.when(cond, F.lit(c)) for c, cond in failed.items()]).alias("bad_columns"))

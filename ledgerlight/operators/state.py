@@ -29,14 +29,16 @@ def extraction_windows(config: DataFrame, max_ts: Column, table_col: str = "Tabl
     c = config.select(F.col(table_col).alias("table_name"), lo.alias("min_ts")).where(F.col("min_ts").isNotNull())
     c = c.withColumn("max_ts", max_ts.cast("timestamp_ntz"))
     c = c.withColumn("min_date", iso_z(F.col("min_ts"))).withColumn("max_date", iso_z(F.col("max_ts")))
+    # Fixed value: the filter syntax of the source's API.
     return c.withColumn("filter", F.concat(
         F.lit("dateCreated>"), F.col("min_date"), F.lit(" and dateCreated<"), F.col("max_date"),
         F.lit(" or dateModified>"), F.col("min_date"), F.lit(" and dateModified<"), F.col("max_date")))
 
 
-def in_change_window(created: Column, modified: Column, lo: Column, hi: Column, strict: bool = True) -> Column:
-    """(created in window) or (modified in window).  ``strict`` keeps the
-    open interval (lo, hi); otherwise the half-open (lo, hi]."""
+def in_change_window(created: Column, modified: Column, lo: Column, hi: Column, strict: bool = False) -> Column:
+    """(created in window) or (modified in window), half-open (lo, hi]: a
+    row stamped exactly on a bound is in one of two consecutive windows.
+    ``strict`` is the source job's open interval (lo, hi), which loses it."""
     if strict:
         inside = lambda c: (c > lo) & (c < hi)
     else:
@@ -82,7 +84,7 @@ def advance_sync_watermark(config: DataFrame, name: str, new_time: Column, succe
 # ---------------------------------------------------------------- merge
 
 def merge_upsert(target: DataFrame, source: DataFrame, keys, update_cols, null_safe: bool = True,
-                 order_col: str | None = None) -> DataFrame:
+                 order_col: str | None = None, close_on=None) -> DataFrame:
     """MERGE: matched target rows take ``update_cols`` from the source,
     unmatched source rows are inserted, other target rows stay.
 
@@ -94,11 +96,19 @@ def merge_upsert(target: DataFrame, source: DataFrame, keys, update_cols, null_s
     Only target rows whose key occurs in the source can change: the target
     is split by a semi / anti join on the source keys (a broadcast when the
     batch is small, so the untouched history is only scanned, not
-    shuffled), and the full outer join runs on the touched part alone."""
+    shuffled), and the full outer join runs on the touched part alone.
+
+    ``close_on``: keys of a visit.  A visit that succeeds in the source
+    closes its failed target rows of every method (they take the update
+    columns of the success), so no old failure is retried again.
+
+    The source is used several times: pass a materialised one."""
     keys = list(keys)
     cols = target.columns
     if order_col is not None:
         source = first_per_key(source, keys, [order_col], latest=True)
+    if close_on is not None:
+        target = _closed(target, source, close_on, update_cols)
     src_keys = source.select(*[F.col(k).alias(f"k_{k}") for k in keys]).distinct()
 
     def on_keys(df):
@@ -120,29 +130,37 @@ def merge_upsert(target: DataFrame, source: DataFrame, keys, update_cols, null_s
     return untouched.select(*cols).unionByName(j.select(*out))
 
 
-def merge_into_partitioned(spark, path: str, source: DataFrame, keys, update_cols, partition_col: str,
-                           null_safe: bool = True) -> list:
-    """MERGE ``source`` into the parquet table at ``path`` partitioned by
-    ``partition_col``, rewriting only the partitions the source touches.
-
-    The touched partition values are read on the driver (one value per
-    touched partition, bounded by the partitioning); the touched slice of
-    the table is merged, checkpointed (so the write never reads the files it
-    replaces, and a lost executor re-reads the checkpoint), and written back
-    with dynamic partition overwrite: untouched partitions keep their files.
-    Returns the partition values rewritten."""
+def _closed(target: DataFrame, source: DataFrame, visit_keys, update_cols, status: str = "responsestatus",
+            done: str = "SUCCESSFUL", failed: str = "FAILURE") -> DataFrame:
+    """``target`` with the failed rows of visits that ``source`` completed
+    brought up to date."""
+    visit_keys, update_cols = list(visit_keys), list(update_cols)
+    won = first_per_key(source.where(F.col(status) == done).select(*visit_keys, *update_cols), visit_keys, update_cols, latest=True)
+    won = won.select(*[F.col(k).alias(f"v_{k}") for k in visit_keys], *[F.col(c).alias(f"v_{c}") for c in update_cols], F.lit(True).alias("_won"))
+    on = reduce(lambda a, b: a & b, [target[k].eqNullSafe(won[f"v_{k}"]) for k in visit_keys])
+    close = F.col("_won") & (F.col(status) == failed)
+    j = target.join(won, on, "left").withColumn("_close", F.coalesce(close, F.lit(False)))
+    return j.select(*[(F.when(F.col("_close"), F.col(f"v_{c}")).otherwise(F.col(c)).alias(c) if c in update_cols else F.col(c))
+                      for c in target.columns])
+
+
+def merge_to_next_version(current: DataFrame, source: DataFrame, next_path: str, keys, update_cols, partition_col: str,
+                          null_safe: bool = True, close_on=None) -> DataFrame:
+    """MERGE ``source`` into the table version ``current`` and write the
+    result as a new version to ``next_path``, partitioned by
+    ``partition_col``; readers of ``current`` keep their files.
+
+    The source is reduced to one row per key (the greatest of the other
+    columns), so a key repeated in the batch is not inserted twice.
+    Writing the same version again (a replayed batch) replaces it."""
     from ..session import ensure_checkpoint_dir
-    touched = [r[0] for r in source.select(partition_col).distinct().collect()]
-    if not touched:
-        return []
-    current = spark.read.parquet(path)
-    part = current.where(F.col(partition_col).isin(touched))
-    merged = merge_upsert(part, source.select(*current.columns), keys, update_cols, null_safe=null_safe)
-    ensure_checkpoint_dir(spark)
-    merged = merged.checkpoint(eager=True)
-    (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-           .partitionBy(partition_col).parquet(path))
-    return touched
+    ensure_checkpoint_dir(current.sparkSession)
+    keys = list(keys)
+    one = first_per_key(source.select(*current.columns), keys, [c for c in current.columns if c not in keys], latest=True)
+    one = one.select(*current.columns).checkpoint(eager=True)      # used several times
+    merged = merge_upsert(current, one, keys, update_cols, null_safe=null_safe, close_on=close_on)
+    merged.write.mode("overwrite").partitionBy(partition_col).parquet(next_path)
+    return current.sparkSession.read.schema(current.schema).parquet(next_path)
 
 
 def delete_where(df: DataFrame, predicate: Column) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ..operators import resolve as RV
 from ..operators import state as ST
 from ..operators.joins import first_per_key, join_dim
+from ..operators.rank import materialised
 from ..sources import clinical as C
 from ..sources.tables import Tables
 from . import clinical_sql as Q
@@ -50,11 +51,11 @@ def _windows(t: Tables) -> DataFrame:
 def change_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per-table extraction windows from the watermark config (tables
     without a parsable date are skipped), applied to the visits with the
-    strict (lo, hi) created-or-modified test."""
+    half-open (lo, hi] created-or-modified test."""
     t = Tables(spark, sf_dir)
     win = _windows(t).select("table_name", "min_ts", "max_ts", "filter")
     v = C.visits(t).withColumn("table_name", F.concat(F.lit("i_"), F.col("studyKey")))
-    j = join_dim(v, win, "table_name", "inner")
+    j = join_dim(v, win, "table_name", "inner", bounded=True)      # config: one row per source table
     j = j.where(ST.in_change_window(F.col("dateCreated"), F.col("dateModified"), F.col("min_ts"), F.col("max_ts")))
     return j.groupBy("table_name", "filter").agg(
         F.count(F.lit(1)).alias("n_changed"), F.min("dateCreated").alias("first_created"),
@@ -76,7 +77,7 @@ winf AS (
 ORACLE["change_window"] = Q.with_([Q.VISITS, _CFG_SQL]) + """
 SELECT w.table_name, w.filter, count(*) AS n_changed, min(v.dateCreated) AS first_created, max(v.dateModified) AS last_modified
 FROM visits v JOIN winf w ON w.table_name = 'i_' || v.studyKey
-WHERE (v.dateCreated > w.min_ts AND v.dateCreated < w.max_ts) OR (v.dateModified > w.min_ts AND v.dateModified < w.max_ts)
+WHERE (v.dateCreated > w.min_ts AND v.dateCreated <= w.max_ts) OR (v.dateModified > w.min_ts AND v.dateModified <= w.max_ts)
 GROUP BY w.table_name, w.filter"""
 
 
@@ -87,7 +88,7 @@ def change_window_excl(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = Tables(spark, sf_dir)
     win = _windows(t).select("table_name", "min_ts", "max_ts")
     r = C.records(t).withColumn("table_name", F.concat(F.lit("i_"), F.col("studyKey")))
-    j = join_dim(r, win, "table_name", "inner")
+    j = join_dim(r, win, "table_name", "inner", bounded=True)      # config: one row per source table
     keep = (ST.in_change_window(F.col("dateCreated"), F.col("dateModified"), F.col("min_ts"), F.col("max_ts"))
             & ~F.col("recordType").eqNullSafe(F.lit("CATALOG"))
             & ~F.col("recordStatus").eqNullSafe(F.lit("New Record")))
@@ -102,7 +103,7 @@ ORACLE["change_window_excl"] = Q.with_([_CFG_SQL, """rec AS (
          ts AS dateCreated, ts + to_days(CAST(event_id % 5 AS INTEGER)) AS dateModified FROM events)"""]) + """
 SELECT w.table_name, count(*) AS n_kept, count(*) FILTER (WHERE r.recordType IS NULL) AS n_null_type
 FROM rec r JOIN win w ON w.table_name = 'i_' || r.studyKey
-WHERE ((r.dateCreated > w.min_ts AND r.dateCreated < w.max_ts) OR (r.dateModified > w.min_ts AND r.dateModified < w.max_ts))
+WHERE ((r.dateCreated > w.min_ts AND r.dateCreated <= w.max_ts) OR (r.dateModified > w.min_ts AND r.dateModified <= w.max_ts))
   AND r.recordType IS DISTINCT FROM 'CATALOG' AND r.recordStatus IS DISTINCT FROM 'New Record'
 GROUP BY w.table_name"""
 
@@ -257,9 +258,20 @@ def changed_batch(t: Tables, study: str | None = None) -> DataFrame:
 
 
 def resolve(t: Tables, batch: DataFrame) -> DataFrame:
-    since = _since(t)
-    return RV.resolve_visits(batch, C.study_ref(t), C.site_ref(t), C.subject_ref(t, since), C.visit_def_ref(t),
-                             C.visit_ref(t, since))
+    _, study, site, subject, visit_def, visit = C.reference_versions(t, _since(t))
+    return RV.resolve_visits(batch, study, site, subject, visit_def, visit)
+
+
+def resolved_batch(t: Tables) -> DataFrame:
+    """The changed batch resolved, over written visits and references."""
+    C.reference_versions(t, _since(t))
+    return resolve(t, changed_batch(t))
+
+
+def earlier_log(t: Tables) -> DataFrame:
+    """The earlier run's log, materialised: a merge uses it several times."""
+    C.reference_versions(t, _since(t))
+    return t.memo("earlier_log", lambda: materialised(C.previous_log(t, PREVIOUS_RUN, _since(t))))
 
 
 RESOLVE_COLS = ["study_key", "visitid_instanceid", "study_id", "study_ext", "external_id", "site_id", "country_id",
@@ -271,8 +283,7 @@ RESOLVE_COLS = ["study_key", "visitid_instanceid", "study_id", "study_ext", "ext
 def visit_resolve(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The changed batch resolved: ids, category, status, first failing
     validation and insert/update method."""
-    t = Tables(spark, sf_dir)
-    return resolve(t, changed_batch(t)).select(*RESOLVE_COLS)
+    return resolved_batch(Tables(spark, sf_dir)).select(*RESOLVE_COLS)
 
 
 _BATCH_WHERE = f"dateCreated >= {_WM_SQL} OR dateModified >= {_WM_SQL}"
@@ -282,8 +293,7 @@ ORACLE["visit_resolve"] = Q.with_(Q.resolve_ctes(_BATCH_WHERE)) + "SELECT " + ",
 @query("visit_errors")
 def visit_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """First failing validation per visit, counted per study and message."""
-    t = Tables(spark, sf_dir)
-    r = resolve(t, changed_batch(t)).where(F.col("error_message").isNotNull())
+    r = resolved_batch(Tables(spark, sf_dir)).where(F.col("error_message").isNotNull())
     return r.groupBy("study_key", "error_message").agg(F.count(F.lit(1)).alias("n_visits"))
 
 
@@ -296,8 +306,7 @@ GROUP BY study_key, error_message"""
 def visit_upsert_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Outbound payloads: the insert set (nine fields) and the update set
     (three fields and the target id), counted per status."""
-    t = Tables(spark, sf_dir)
-    r = resolve(t, changed_batch(t))
+    r = materialised(resolved_batch(Tables(spark, sf_dir)))
     ins = RV.insert_payload(r).select(F.lit("insert").alias("method"), F.col("visit_status__v").alias("visit_status"),
                                       F.col("external_id__v").alias("k"))
     upd = RV.update_payload(r).select(F.lit("update").alias("method"), F.col("visit_status__v").alias("visit_status"),
@@ -312,19 +321,39 @@ SELECT method, visit_status, count(*) AS n_payloads,
 FROM res WHERE responsestatus = 'SUCCESSFUL' GROUP BY method, visit_status"""
 
 
+@query("visit_insert_payload", Q.with_(Q.resolve_ctes(_BATCH_WHERE)) + """
+SELECT external_id AS external_id__v, study_id AS study__v, site_id AS site__v, subject_id AS subject__v,
+       country_id AS study_country__v, visit_date_iso AS visit_date__v, visitdef_id AS visit_def__v,
+       visit_status AS visit_status__v, 'active__c' AS reporting_status__c
+FROM res WHERE responsestatus = 'SUCCESSFUL' AND method = 'insert'""")
+def visit_insert_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The nine fields of every visit to insert."""
+    return RV.insert_payload(resolved_batch(Tables(spark, sf_dir)))
+
+
+@query("visit_update_payload", Q.with_(Q.resolve_ctes(_BATCH_WHERE)) + """
+SELECT target_visit_id AS id, visit_date_iso AS visit_date__v, visitdef_id AS visit_def__v, visit_status AS visit_status__v
+FROM res WHERE responsestatus = 'SUCCESSFUL' AND method = 'update'""")
+def visit_update_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fields of every visit to update, with its target id."""
+    return RV.update_payload(resolved_batch(Tables(spark, sf_dir)))
+
+
 # ----------------------------------------------------------- outcome log
 
 LOG_KEYS = ["subjectKey", "study_key", "visit_instance_id", "method"]
 LOG_UPDATES = ["responsestatus", "error_message", "inserted_date"]
+VISIT_KEYS = LOG_KEYS[:3]
 
 
 @query("log_merge")
 def log_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     """MERGE the batch's outcome rows into the previous log on (subject,
-    study, visit, method), NULL-safe."""
+    study, visit, method), NULL-safe; a success closes the visit's failures
+    of every method."""
     t = Tables(spark, sf_dir)
-    batch = RV.outcome_rows(resolve(t, changed_batch(t)), C.ntz_literal(RUN_TIME))
-    return ST.merge_upsert(C.previous_log(t, PREVIOUS_RUN, _since(t)), batch, LOG_KEYS, LOG_UPDATES)
+    batch = materialised(RV.outcome_rows(resolved_batch(t), C.ntz_literal(RUN_TIME)))
+    return ST.merge_upsert(earlier_log(t), batch, LOG_KEYS, LOG_UPDATES, close_on=VISIT_KEYS)
 
 
 def _merge_sql(src: str) -> str:
@@ -333,7 +362,13 @@ def _merge_sql(src: str) -> str:
             "type", "visit_instance_id"]
     sel = ", ".join((f"CASE WHEN s._in IS NOT NULL THEN s.{c} ELSE t.{c} END AS {c}" if c in LOG_UPDATES else
                      f"CASE WHEN t._in IS NOT NULL THEN t.{c} ELSE s.{c} END AS {c}") for c in cols)
-    return (f"SELECT {sel} FROM (SELECT *, TRUE AS _in FROM plog) t "
+    visit = " AND ".join(f"p.{k} IS NOT DISTINCT FROM w.{k}" for k in VISIT_KEYS)
+    closed = "w.won AND p.responsestatus = 'FAILURE'"
+    plog = (f"SELECT p.* REPLACE (CASE WHEN {closed} THEN 'SUCCESSFUL' ELSE p.responsestatus END AS responsestatus, "
+            f"CASE WHEN {closed} THEN NULL ELSE p.error_message END AS error_message, "
+            f"CASE WHEN {closed} THEN TIMESTAMP '{RUN_TIME}' ELSE p.inserted_date END AS inserted_date), TRUE AS _in "
+            f"FROM plog p LEFT JOIN (SELECT DISTINCT {', '.join(VISIT_KEYS)}, TRUE AS won FROM {src} WHERE responsestatus = 'SUCCESSFUL') w ON {visit}")
+    return (f"SELECT {sel} FROM ({plog}) t "
             f"FULL OUTER JOIN (SELECT *, TRUE AS _in FROM {src}) s ON {keys}")
 
 
@@ -349,16 +384,25 @@ def sync_visits_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     visits changed since the watermark; all outcomes are MERGEd into the
     log (for a visit in both sets the later, changed-batch outcome wins)."""
     t = Tables(spark, sf_dir)
-    log = C.previous_log(t, PREVIOUS_RUN, _since(t))
-    # Resolution is row by row independent: both batches go through it once.
-    run = C.ntz_literal(RUN_TIME)
+    log = earlier_log(t)
+    outcomes = _sync_outcomes(t, log, sync_batch(t, log), C.ntz_literal(RUN_TIME))
+    return ST.merge_upsert(log, outcomes, LOG_KEYS, LOG_UPDATES, close_on=VISIT_KEYS)
+
+
+def sync_batch(t: Tables, log: DataFrame) -> DataFrame:
+    """The retried and the changed visits through one resolution (it is row
+    by row independent), materialised; ``_seq`` 0 and 1."""
     retry = retry_source(t, log).withColumn("_seq", F.lit(0))
     batch = changed_batch(t).withColumn("_seq", F.lit(1))
-    resolved = resolve(t, retry.unionByName(batch))
+    return materialised(resolve(t, retry.unionByName(batch)))
+
+
+def _sync_outcomes(t: Tables, log: DataFrame, resolved: DataFrame, run) -> DataFrame:
+    """One materialised outcome row per log key; the changed batch's wins."""
     rows = RV.outcome_rows(resolved, run, keep=("_seq",))
     rows = rows.unionByName(retry_without_source(t, log, run).withColumn("_seq", F.lit(0)))
-    outcomes = first_per_key(rows, LOG_KEYS, ["_seq"], latest=True).drop("_seq")
-    return ST.merge_upsert(log, outcomes.select(*log.columns), LOG_KEYS, LOG_UPDATES)
+    one = first_per_key(rows, LOG_KEYS, ["_seq"], latest=True).drop("_seq")
+    return materialised(one.select(*log.columns))
 
 
 @query("watermark_advance")
@@ -366,7 +410,7 @@ def watermark_advance(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Advance one table's watermark to the batch's last modification,
     only when the batch had at least one successful visit."""
     t = Tables(spark, sf_dir)
-    r = resolve(t, changed_batch(t))
+    r = resolved_batch(t)
     stats = r.agg(F.count(F.when(F.col("responsestatus") == "SUCCESSFUL", F.lit(1))).alias("ok")).first()
     last = (C.visits(t).where(ST.changed_since(F.col("dateCreated"), F.col("dateModified"), _since(t)))
             .agg(F.date_format(F.max("dateModified"), "yyyy-MM-dd HH:mm:ss").alias("m")).first()["m"])
@@ -464,8 +508,7 @@ def visit_page(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One page (limit/offset over a total order) of the resolved batch --
     the paged listing of a lookup API; the limit is the feature."""
     from ..sources.params import page_of
-    t = Tables(spark, sf_dir)
-    r = resolve(t, changed_batch(t)).select("study_key", "visitid_instanceid", "external_id", "responsestatus")
+    r = resolved_batch(Tables(spark, sf_dir)).select("study_key", "visitid_instanceid", "external_id", "responsestatus")
     return page_of(r, ["study_key", F.col("visitid_instanceid").cast("long")], PAGE_LIMIT, PAGE_OFFSET)
 
 
@@ -501,18 +544,13 @@ def run_sync(spark: SparkSession, sf_dir: str, run_time: _dt.datetime = RUN_TIME
     overwritten in place."""
     from ..sources import sinks as K
     t = Tables(spark, sf_dir)
-    log = C.previous_log(t, PREVIOUS_RUN, _since(t))
+    log = earlier_log(t)
     run = C.ntz_literal(run_time)
-    retry = retry_source(t, log).withColumn("_seq", F.lit(0))
-    batch = changed_batch(t).withColumn("_seq", F.lit(1))
-    # Resolved once, used by four writes and one count: cut the lineage.
-    resolved = resolve(t, retry.unionByName(batch)).checkpoint(eager=True)
+    # Resolved once, used by four writes and one count.
+    resolved = sync_batch(t, log)
     payloads = K.write_payloads(RV.insert_payload(resolved), RV.update_payload(resolved), spark)
-    rows = RV.outcome_rows(resolved, run, keep=("_seq",)).unionByName(
-        retry_without_source(t, log, run).withColumn("_seq", F.lit(0)))
-    outcomes = first_per_key(rows, LOG_KEYS, ["_seq"], latest=True).drop("_seq")
-    log_path = K.write_version(ST.merge_upsert(log, outcomes.select(*log.columns), LOG_KEYS, LOG_UPDATES),
-                               spark, "outcome-log")
+    merged = ST.merge_upsert(log, _sync_outcomes(t, log, resolved, run), LOG_KEYS, LOG_UPDATES, close_on=VISIT_KEYS)
+    log_path = K.write_version(merged, spark, "outcome-log")
     ok = resolved.where(F.col("responsestatus") == "SUCCESSFUL").count()
     nxt = ST.advance_sync_watermark(C.sync_watermark(t), SYNC_NAME, run, F.lit(ok))
     wm_path = K.write_version(nxt, spark, "last-sync")

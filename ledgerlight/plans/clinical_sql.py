@@ -146,9 +146,9 @@ def resolve_chain(p: str, src: str) -> list[str]:
           "CASE WHEN s1.id IS NOT NULL THEN w.study_key ELSE s2.external_id END AS study_ext "
           f"FROM {p}w1 w LEFT JOIN st s1 ON s1.external_id = w.study_key "
           "LEFT JOIN st s2 ON s2.external_id = CASE WHEN w.src = 'medidata' THEN w.study_key || '(Prod)' END)")
-    v3 = (f"{p}v3 AS (SELECT x.*, concat_ws('-', study_ext, subjectKey, visitid_instanceid) AS external_id, "
-          "concat_ws('-', study_ext, interval_name, 'SF') AS visit_def_external_id, "
-          "concat_ws('-', study_ext, subjectKey) AS subject_external_id, "
+    v3 = (f"{p}v3 AS (SELECT x.*, study_ext || '-' || subjectKey || '-' || visitid_instanceid AS external_id, "
+          "study_ext || '-' || interval_name || '-SF' AS visit_def_external_id, "
+          "study_ext || '-' || subjectKey AS subject_external_id, "
           "CASE WHEN lower(trim(coalesce(visit_type, ''))) = 'usv' THEN 'Unscheduled visit' "
           "WHEN (CASE WHEN coalesce(ieyn, '') <> '' THEN lower(trim(ieyn)) END) = 'no' THEN 'Screenfail visit' "
           f"ELSE 'Standard visit' END AS category FROM {p}v2 x)")

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
+from ..sources import bronze
 from ..sources import clinical as C
 from ..sources import landing as L
 from ..sources.tables import Tables
@@ -79,7 +80,7 @@ FROM customer GROUP BY c_mktsegment"""
 def bronze_incremental_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The bronze ingest end to end: landed pages of every study read in
     one plan, typed, and cut to each table's extraction window from the
-    watermark config (strict (lo, hi) on created or modified)."""
+    watermark config (half-open (lo, hi] on created or modified)."""
     from ..operators import state as ST
     from ..operators.joins import join_dim
     from .clinical import WINDOW_END
@@ -89,7 +90,7 @@ def bronze_incremental_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = L.cast_to_schema(L.read_pages(spark, out, VISIT_FIELDS),
                             {"dateCreated": "timestamp_ntz", "dateModified": "timestamp_ntz"})
     win = ST.extraction_windows(C.table_watermarks(t), C.ntz_literal(WINDOW_END)).select("table_name", "min_ts", "max_ts")
-    j = join_dim(rows.withColumn("table_name", F.concat(F.lit("i_"), F.col("studyKey"))), win, "table_name", "inner")
+    j = join_dim(rows.withColumn("table_name", F.concat(F.lit("i_"), F.col("studyKey"))), win, "table_name", "inner", bounded=True)   # config rows
     j = j.where(ST.in_change_window(F.col("dateCreated"), F.col("dateModified"), F.col("min_ts"), F.col("max_ts")))
     return j.select("table_name", "studyKey", "visitId", "subjectKey", "visitDate", "dateCreated", "dateModified",
                     "timestamp")
@@ -107,7 +108,7 @@ win AS (SELECT table_name, TRY_CAST(latest AS TIMESTAMP) AS min_ts, TIMESTAMP '{
         FROM cfg WHERE TRY_CAST(latest AS TIMESTAMP) IS NOT NULL)
 SELECT w.table_name, e.studyKey, e.visitId, e.subjectKey, e.visitDate, e.dateCreated, e.dateModified, e."timestamp"
 FROM env e JOIN win w ON w.table_name = 'i_' || e.studyKey
-WHERE (e.dateCreated > w.min_ts AND e.dateCreated < w.max_ts) OR (e.dateModified > w.min_ts AND e.dateModified < w.max_ts)"""
+WHERE (e.dateCreated > w.min_ts AND e.dateCreated <= w.max_ts) OR (e.dateModified > w.min_ts AND e.dateModified <= w.max_ts)"""
 
 
 ORACLE["bronze_incremental_load"] = _bronze_sql()
@@ -138,3 +139,52 @@ def run_bronze(spark: SparkSession, sf_dir: str) -> dict:
     log = K.write_version(ST.run_log(loaded.withColumnRenamed("table_name", "table"), "Bronze", "visits"),
                           spark, "execution-log")
     return {"bronze": bronze, "config": config, "log": log}
+
+
+# ------------------------------------------------- the other bronze tables
+
+def land_bronze(spark: SparkSession, sf_dir: str, name: str) -> str:
+    """A bronze table landed as pages; returns the folder."""
+    out = scratch_path(spark, f"landed-{name}")
+    return L.land_pages(bronze.landed_rows(Tables(spark, sf_dir), name), "studyKey", "page", "dateModified", bronze.BRONZE[name].fields, out)
+
+
+def load_bronze(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """Every page of every study of a bronze table in one read, typed."""
+    fields = bronze.BRONZE[name].fields
+    rows = L.read_pages(spark, land_bronze(spark, sf_dir, name), fields)
+    return L.cast_to_schema(rows, {c: "timestamp_ntz" for c in bronze.DATES}).drop("total_pages")
+
+
+def _bronze_table_sql(name: str) -> str:
+    table = bronze.BRONZE[name]
+    return (f"SELECT studyKey, {', '.join(table.fields)}, "
+            f"max(strftime(dateModified, '%Y-%m-%dT%H:%M:%S.%f')) OVER (PARTITION BY studyKey, page) AS \"timestamp\" "
+            f"FROM ({table.sql.format(events='events')}) x")
+
+
+def _register(name: str) -> None:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return load_bronze(spark, sf_dir, name)
+    run.__doc__ = f"The bronze table {name}: landed pages of every study, read and typed."
+    query(f"bronze_{name}", _bronze_table_sql(name))(run)
+
+
+for _name in bronze.BRONZE:
+    _register(_name)
+
+
+@query("bronze_page_status", f"""SELECT event_type AS studyKey, CAST(count(DISTINCT event_id // {PAGE_SIZE}) AS INTEGER) AS expected_pages,
+       count(DISTINCT event_id // {PAGE_SIZE}) AS pages_found, TRUE AS complete FROM events GROUP BY event_type""")
+def bronze_page_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per study: landed pages against the count that the pages announce."""
+    out = scratch_path(spark, "landed-visits")
+    L.land_pages(landed_visit_rows(Tables(spark, sf_dir)), "studyKey", "page", "dateModified", VISIT_FIELDS, out)
+    return L.page_status(L.read_envelopes(spark, out, VISIT_FIELDS))
+
+
+@query("bronze_visits_full", f"""WITH env AS ({ORACLE["envelope_explode"]})
+SELECT 'i_' || studyKey AS table_name, * FROM env""")
+def bronze_visits_full(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The visits reloaded in full: every landed row, whatever the watermark."""
+    return envelope_explode(spark, sf_dir).withColumn("table_name", F.concat(F.lit("i_"), F.col("studyKey")))

@@ -53,6 +53,34 @@ def visits(t: Tables) -> DataFrame:
     return t.memo("visits", lambda: visits_from_events(t.events))
 
 
+def write_visits(t: Tables) -> DataFrame:
+    """The visits as a written version: all further plans of ``t`` read it, and
+    the events only this once."""
+    if "visits_version" not in t._frames:
+        from . import sinks as K
+        path = K.write_version(visits(t), t.spark, "visits")
+        t._frames["visits_version"] = t._frames["visits"] = t.spark.read.schema(visits(t).schema).parquet(path)
+    return t._frames["visits"]
+
+
+def reference_versions(t: Tables, cutoff: F.Column) -> tuple[DataFrame, ...]:
+    """(subject dim, study, site, subject, visit definition, visit reference),
+    each written once and read back: a resolution joins plain tables."""
+    def build():
+        from . import sinks as K
+        write_visits(t)
+
+        def version(df: DataFrame, name: str) -> DataFrame:
+            return t.spark.read.schema(df.schema).parquet(K.write_version(df, t.spark, name))
+
+        t._frames["subject_dim"] = version(_subject_dim(t), "subject-dim")
+        return (t._frames["subject_dim"], version(study_ref(t), "study-ref"), version(site_ref(t), "site-ref"),
+                version(subject_ref(t, cutoff), "subject-ref"), version(visit_def_ref(t), "visit-def-ref"),
+                version(visit_ref(t, cutoff), "visit-ref"))
+
+    return t.memo("reference_versions", build)
+
+
 def visits_from_events(e: DataFrame) -> DataFrame:
     """The visit derivation on any frame with the events columns (a table
     or a streaming micro-batch)."""
@@ -81,7 +109,7 @@ def subject_dim(t: Tables) -> DataFrame:
 
 
 def _subject_dim(t: Tables) -> DataFrame:
-    pairs = t.events.select(F.col("event_type").alias("studyKey"), F.col("user_id").alias("uid")).distinct()
+    pairs = visits(t).select("studyKey", F.col("subjectId").cast("long").alias("uid")).distinct()
     cust = t.customer.select(F.col("c_custkey").alias("uid"), "c_name", "c_mktsegment", "c_acctbal", "c_nationkey")
     nat = t.nation.select(F.col("n_nationkey").alias("c_nationkey"), "n_name")
     site = F.concat_ws(" ", "c_name", F.lit("clinical research site"), "c_mktsegment", F.lit("nation"), "n_name")
@@ -96,7 +124,7 @@ def _study_ext(study: F.Column) -> F.Column:
 
 
 def study_ref(t: Tables) -> DataFrame:
-    s = t.events.select(F.col("event_type").alias("st")).distinct().where(~F.col("st").isin(*ABSENT_STUDIES))
+    s = visits(t).select(F.col("studyKey").alias("st")).distinct().where(~F.col("st").isin(*ABSENT_STUDIES))
     return s.select(F.concat(F.lit("STU-"), F.upper("st")).alias("id"), F.initcap("st").alias("name"),
                     _study_ext(F.col("st")).alias("external_id"))
 
@@ -117,7 +145,8 @@ def site_ref(t: Tables) -> DataFrame:
 def subject_ref(t: Tables, cutoff: F.Column) -> DataFrame:
     """Subjects pushed by earlier runs: those with a visit created before
     ``cutoff``."""
-    v = t.events.where(F.col("ts") < cutoff).select("event_type", "user_id").distinct()
+    v = (visits(t).where(F.col("dateCreated") < cutoff)
+         .select(F.col("studyKey").alias("event_type"), F.col("subjectId").cast("long").alias("user_id")).distinct())
     unregistered = t.customer.where(F.col("c_nationkey") == UNREGISTERED_NATION).select(
         F.col("c_custkey").alias("user_id"))
     v = v.join(unregistered, "user_id", "left_anti")

@@ -27,6 +27,7 @@ EVENTS_SCHEMA = ("event_id long, ts timestamp_ntz, user_id long, event_type stri
 
 LOG_KEYS = ["subjectKey", "study_key", "visit_instance_id", "method"]
 LOG_UPDATES = ["responsestatus", "error_message", "inserted_date"]
+VISIT_KEYS = LOG_KEYS[:3]
 
 
 def start_visit_sync(spark: SparkSession, events_dir: str, ref_dir: str, out_dir: str, checkpoint: str,
@@ -36,14 +37,16 @@ def start_visit_sync(spark: SparkSession, events_dir: str, ref_dir: str, out_dir
     ``awaitTermination()`` or ``processAllAvailable()``).  Subjects and
     visits created before ``pushed_before`` already exist in the target.
 
-    With ``log_path`` (a parquet outcome log partitioned by ``study_key``)
-    every micro-batch's outcomes are also MERGEd into it, rewriting only
-    the study partitions the batch touches.  Replaying a micro-batch merges
-    the same rows again, which leaves the log unchanged."""
+    With ``log_path`` every micro-batch's outcomes are also MERGEd into an
+    outcome log: version ``epoch=<id>`` there is version ``epoch=<id - 1>``
+    (``epoch=-1`` is the log before the stream) with the batch merged in, so a
+    replayed micro-batch writes the same version again and a reader keeps
+    the one it began with.
+
+    The reference tables are built once, before the first micro-batch."""
     refs = Tables(spark, ref_dir)
     cutoff = C.ntz_literal(pushed_before)
-    study, site, subject = C.study_ref(refs), C.site_ref(refs), C.subject_ref(refs, cutoff)
-    visit_def, visit, sdim = C.visit_def_ref(refs), C.visit_ref(refs, cutoff), C.subject_dim(refs)
+    sdim, study, site, subject, visit_def, visit = C.reference_versions(refs, cutoff)
     run = C.ntz_literal(run_time)
 
     def process(batch: DataFrame, epoch_id: int) -> None:
@@ -57,8 +60,9 @@ def start_visit_sync(spark: SparkSession, events_dir: str, ref_dir: str, out_dir
             RV.insert_payload(resolved).write.mode("overwrite").parquet(f"{target}/insert")
             RV.update_payload(resolved).write.mode("overwrite").parquet(f"{target}/update")
             if log_path is not None:
-                ST.merge_into_partitioned(spark, log_path, spark.read.parquet(f"{target}/log"), LOG_KEYS,
-                                          LOG_UPDATES, "study_key")
+                log = spark.read.parquet(f"{log_path}/epoch={epoch_id - 1}")
+                ST.merge_to_next_version(log, spark.read.parquet(f"{target}/log"), f"{log_path}/epoch={epoch_id}",
+                                         LOG_KEYS, LOG_UPDATES, "study_key", close_on=VISIT_KEYS)
         finally:
             resolved.unpersist()
 

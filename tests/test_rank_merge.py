@@ -81,12 +81,20 @@ def test_delete_truncate_watermark(spark):
 def test_change_window_bounds(spark):
     df = spark.createDataFrame([(1, 5), (5, 1), (10, 10), (3, 3)], "c int, m int")
     lo, hi = F.lit(1), F.lit(10)
-    strict = sorted((r.c, r.m) for r in df.where(ST.in_change_window(F.col("c"), F.col("m"), lo, hi)).collect())
+    strict = sorted((r.c, r.m) for r in df.where(ST.in_change_window(F.col("c"), F.col("m"), lo, hi, strict=True)).collect())
     assert strict == [(1, 5), (3, 3), (5, 1)]
-    half = sorted((r.c, r.m) for r in df.where(ST.in_change_window(F.col("c"), F.col("m"), lo, hi, strict=False)).collect())
+    half = sorted((r.c, r.m) for r in df.where(ST.in_change_window(F.col("c"), F.col("m"), lo, hi)).collect())
     assert half == [(1, 5), (3, 3), (5, 1), (10, 10)]
 
 
+def test_consecutive_windows_lose_no_row(spark):
+    df = spark.range(1, 31).select(F.col("id").alias("c"), F.col("id").alias("m"))
+    seen = []
+    for lo, hi in ((0, 10), (10, 20), (20, 30)):
+        seen += [r.c for r in df.where(ST.in_change_window(F.col("c"), F.col("m"), F.lit(lo), F.lit(hi))).collect()]
+    assert sorted(seen) == list(range(1, 31))
+
+
 def test_run_log_statuses(spark):
     import datetime as dt
     t0, t1 = dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 2)
@@ -110,23 +118,34 @@ def test_advance_sync_watermark(spark):
     assert ST.advance_sync_watermark(cfg, "subject_visits", new, F.lit(3)).first().last_sync == dt.datetime(2024, 2, 1)
 
 
-def test_merge_into_partitioned_rewrites_touched_partitions_only(spark, tmp_out):
-    import glob
-    import os
-    path = tmp_out + "/log"
+def test_merge_writes_a_new_version(spark, tmp_out):
     schema = "subjectKey string, study_key string, visit_instance_id string, method string, responsestatus string"
     log = spark.createDataFrame([("K1", "A", "1", "insert", "FAILURE"), ("K2", "A", "2", "insert", "SUCCESSFUL"),
-                                 ("K3", "B", "3", "insert", "FAILURE")], schema)
-    log.write.partitionBy("study_key").parquet(path)
-    before_b = sorted((f, os.path.getmtime(f)) for f in glob.glob(path + "/study_key=B/*.parquet"))
-    batch = spark.createDataFrame([("K1", "A", "1", "insert", "SUCCESSFUL"), ("K4", "A", "4", "update", "SUCCESSFUL")],
-                                  schema)
+                                 ("K3", "B", "3", "insert", "FAILURE"), ("K5", None, "5", "insert", "FAILURE")], schema)
+    log.write.partitionBy("study_key").parquet(tmp_out + "/v0")
+    old = spark.read.parquet(tmp_out + "/v0")
+    # A key that the batch repeats, and a success by another method.
+    batch = spark.createDataFrame([("K1", "A", "1", "update", "SUCCESSFUL"), ("K4", "A", "4", "insert", "FAILURE"),
+                                   ("K4", "A", "4", "insert", "SUCCESSFUL"), ("K5", None, "5", "insert", "SUCCESSFUL")], schema)
     keys = ["subjectKey", "study_key", "visit_instance_id", "method"]
-    assert ST.merge_into_partitioned(spark, path, batch, keys, ["responsestatus"], "study_key") == ["A"]
-    after = sorted(tuple(r) for r in spark.read.parquet(path).select(*[c for c in log.columns]).collect())
-    assert after == sorted([("K1", "A", "1", "insert", "SUCCESSFUL"), ("K2", "A", "2", "insert", "SUCCESSFUL"),
-                            ("K4", "A", "4", "update", "SUCCESSFUL"), ("K3", "B", "3", "insert", "FAILURE")])
-    assert sorted((f, os.path.getmtime(f)) for f in glob.glob(path + "/study_key=B/*.parquet")) == before_b
+    for _ in range(2):                                   # a replayed batch writes the same version
+        new = ST.merge_to_next_version(old, batch, tmp_out + "/v1", keys, ["responsestatus"], "study_key", close_on=keys[:3])
+        assert sorted(map(str, (tuple(r) for r in new.select(*log.columns).collect()))) == sorted(map(str, [
+            ("K1", "A", "1", "insert", "SUCCESSFUL"), ("K1", "A", "1", "update", "SUCCESSFUL"), ("K2", "A", "2", "insert", "SUCCESSFUL"),
+            ("K3", "B", "3", "insert", "FAILURE"), ("K4", "A", "4", "insert", "SUCCESSFUL"), ("K5", None, "5", "insert", "SUCCESSFUL")]))
+    assert old.count() == 4                              # readers keep the version they had
+
+
+def test_row_numbers_with_ties_and_missing_keys(spark):
+    from ledgerlight.operators.quality import type_mismatch_quarantine
+    from ledgerlight.operators.rank import global_row_number
+    rows = [("abc", "1")] + [("5", str(i)) for i in range(40)] + [("7", "x"), (None, "y"), ("3", "1")]
+    raw = spark.createDataFrame(rows, "k string, v string").withColumn("n", F.col("k").try_cast("int")).repartition(5)
+    numbered = global_row_number(raw.select("n"), ["n"]).collect()
+    assert sorted(r.row_no for r in numbered) == list(range(1, 45))
+    assert [r.n for r in sorted(numbered, key=lambda r: r.row_no)] == [3] + [5] * 40 + [7, None, None]
+    bad = {(r.k, r.v): (r.row_no, r.bad_columns) for r in type_mismatch_quarantine(raw, {"k": "int", "v": "int"}, ["n", "k", "v"]).collect()}
+    assert bad == {("7", "x"): (42, "v"), ("abc", "1"): (43, "k"), (None, "y"): (44, "v")}
 
 
 def test_read_watermark_default(spark):
