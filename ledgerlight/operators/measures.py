@@ -6,12 +6,13 @@ in ONE pass over the fact:
 
 1. the fact is read with the envelope of all windows as a pushed-down scan
    filter (row groups outside every window are skipped);
-2. lines are pre-aggregated at the store (and, when product is needed,
-   part) grain with one conditional sum per window -- a hash aggregate with
-   a map-side partial step, so hot keys collapse before the shuffle and the
-   shuffle carries one row per key instead of one per line;
-3. only the dimensions whose columns are asked for are joined (left, so
-   unmatched fact rows keep a blank member), on the already-reduced rows;
+2. lines are pre-aggregated at the store (and, when asked for, product)
+   grain with one conditional sum per window -- a hash aggregate with a
+   map-side partial step, so hot keys collapse before the shuffle and the
+   shuffle carries one row per key instead of one per line.  The product is
+   attached before: grouping by store and part would hardly reduce lines;
+3. the store dimension, if its columns are asked for, is joined (left, so
+   unmatched fact rows keep a blank member) on the already-reduced rows;
 4. a final aggregate by the report's grouping columns.
 
 Sums are exact ``decimal(18,2)``; callers cast to double at the edge.
@@ -205,8 +206,8 @@ def week_end_date(sel: Selection) -> _dt.date | None:
     return max(days) if days else None
 
 
-GROUPABLE = ("retailer", "retailer_order", "smm", "ssr", "store", "store_name", "in_coverage", "product",
-             "part_key", "sale_date")
+GROUPABLE = ("retailer", "retailer_order", "smm", "ssr", "ssr_name", "smm_territory", "store", "store_name",
+             "in_coverage", "product", "part_key", "sale_date")
 
 
 def _cond_sums(windows: dict[str, DateRange], date_col: str = "sale_date", value_col: str = "value"):
@@ -234,20 +235,20 @@ def window_sums(t: Tables, windows: dict[str, DateRange], by, where: Column | No
     elif where is not None:
         post_filter = where
     needed = set(by) | (where_cols if post_filter is not None else set())
-    # Pre-aggregation grain: exactly the fact keys the requested attributes
-    # hang off (store for store attributes, part for product attributes).
-    grain = []
+    # Pre-aggregation grain: the store for store attributes, and the product
+    # attributes themselves.
+    products = sorted(needed & set(R.PRODUCT_ATTRS))
+    if products:
+        lines = R.attach_dims(lines, t, products)
+    grain = list(products)
     if needed & set(R.STORE_ATTRS) or "store" in needed:
         grain.append("store")
-    if needed & set(R.PRODUCT_ATTRS) or "part_key" in needed:
-        grain.append("part_key")
-    if "sale_date" in needed:
-        grain.append("sale_date")
+    grain += [c for c in ("part_key", "sale_date") if c in needed]
     aggs = _cond_sums(windows)
     if extra_aggs:
         aggs += extra_aggs(pre=True)
     pre = lines.groupBy(*grain).agg(*aggs)
-    fact = R.attach_dims(pre, t, needed)
+    fact = R.attach_dims(pre, t, needed & set(R.STORE_ATTRS))
     if post_filter is not None:
         fact = fact.where(post_filter)
     final = [F.sum(n).alias(n) for n in windows]
@@ -287,18 +288,18 @@ def as_double(df: DataFrame, cols) -> DataFrame:
 def weekly_anchored_sums(t: Tables, anchors_from, anchors_to, n_weeks: int, by) -> DataFrame:
     """Sum of the N weeks ending on every Saturday anchor in
     [anchors_from, anchors_to], per ``by``, in one pass: lines are
-    pre-aggregated to (store, week ending), and each weekly row is exploded
-    into the N anchors whose window contains it (a bounded fan-out on
-    already-weekly rows, no join of windows against lines)."""
+    pre-aggregated to (store, week ending), then to (``by``, week ending),
+    and each of those rows is exploded into the N anchors whose window
+    contains it (a bounded fan-out, no join of windows against lines)."""
     from ..functions.calendar import week_ending
     by = list(by)
     env = DateRange(anchors_from - _dt.timedelta(days=7 * n_weeks - 1), anchors_to)
     lines = R.sales_lines(t, env)
     weekly = lines.groupBy("store", week_ending(F.col("sale_date")).alias("we")).agg(F.sum("value").alias("v"))
+    weekly = R.attach_dims(weekly, t, set(by)).groupBy(*by, "we").agg(F.sum("v").alias("v"))
     anchored = weekly.select(
-        "store", "v",
+        *by, "v",
         F.explode(F.transform(F.sequence(F.lit(0), F.lit(n_weeks - 1)),
                               lambda k: F.date_add(F.col("we"), k * 7))).alias("anchor"))
     anchored = anchored.where(F.col("anchor").between(F.lit(anchors_from), F.lit(anchors_to)))
-    fact = R.attach_dims(anchored, t, set(by))
-    return fact.groupBy(*by, "anchor").agg(F.sum("v").alias("sales"))
+    return anchored.groupBy(*by, "anchor").agg(F.sum("v").alias("sales"))

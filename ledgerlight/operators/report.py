@@ -52,3 +52,20 @@ def choose_metric(wide: DataFrame, choice_col: str, options: dict) -> F.Column:
         expr = (F.when(F.col(choice_col) == F.lit(key), F.col(col)) if expr is None
                 else expr.when(F.col(choice_col) == F.lit(key), F.col(col)))
     return expr
+
+
+def store_toggle_rows(per_store: DataFrame, total_by: str, store: str, measures) -> DataFrame:
+    """Two rows per store: its measures ('Filtered Stores') and those of its
+    whole ``total_by`` member, the store filter removed ('All Stores'). The
+    blank member's stores get the blank member's total."""
+    totals = per_store.groupBy(total_by).agg(*[F.sum(m).alias(f"_all_{m}") for m in measures]).withColumnRenamed(total_by, "_total_of")
+    j = per_store.join(totals, F.col(total_by).eqNullSafe(F.col("_total_of")), "left")
+    rows = F.array(F.struct(F.lit("All Stores").alias("custom_total"), *[F.col(f"_all_{m}").alias(m) for m in measures]),
+                   F.struct(F.lit("Filtered Stores").alias("custom_total"), *[F.col(m).cast(totals.schema[f"_all_{m}"].dataType).alias(m) for m in measures]))
+    return j.select(total_by, store, F.explode(rows).alias("x")).select(total_by, store, "x.*")
+
+
+def metric_order(order: F.Column, per_window: int, keys) -> F.Column:
+    """Window key of a metric's order: the first ``per_window`` orders
+    belong to the first key, and so on; blank beyond."""
+    return F.get(F.array(*[F.lit(int(k)).cast("long") for k in keys]), F.floor((order - 1) / per_window).cast("int"))

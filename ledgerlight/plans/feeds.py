@@ -30,19 +30,19 @@ _RO_SQL = (f"ro AS (SELECT r_name AS retailer, CAST(r_regionkey + 1 AS BIGINT) A
 
 @query("feed_union")
 def feed_union(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Union the separate feeds by name, keep rows with a product and a
-    date on/after the floor, attach the retailer order and the join key;
-    summarised per feed.  The date floor is a line filter; everything else
-    depends on (store, part) only, so lines are pre-aggregated to that grain
-    before the dimensions and keys are attached."""
+    """All feeds in one scan (each line tagged with its feed), rows with a
+    product and a date on/after the floor, with the retailer order and the
+    join key; summarised per feed.  The date floor is a line filter, the
+    product one a semi join; everything else depends on the store, so lines
+    are pre-aggregated to it before the dimension and key are attached."""
     t = Tables(spark, sf_dir)
-    u = FE.union_feeds(R.feeds(t)).where(F.col("sale_date") >= F.lit(SALES_FLOOR))
-    pre = u.groupBy("feed", "store_text", "part_key").agg(
+    u = R.feed_lines(t).where(F.col("sale_date") >= F.lit(SALES_FLOOR))
+    u = u.join(R.product_dim(t).where(F.col("product").isNotNull()), "part_key", "left_semi")
+    pre = u.groupBy("feed", "store_text").agg(
         F.count(F.lit(1)).alias("n"), F.count(F.when(F.col("inserted_date").isNull(), F.lit(1))).alias("n_noins"),
         F.sum("value").alias("v"))
     pre = R.attach_dims(pre.withColumn("store", X.feed_store_number(F.col("store_text")).cast("bigint")), t,
-                        ["product", "retailer"])
-    pre = pre.where(F.col("product").isNotNull())
+                        ["retailer"])
     # Retailer order: one row per region (five) -- bounded by construction.
     pre = pre.drop("retailer_order").join(F.broadcast(R.retailer_order(t, EXCLUDED_RETAILERS)), "retailer", "left")
     pre = FE.with_fact_join_key(pre)
@@ -56,9 +56,9 @@ def feed_union(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 ORACLE["feed_union"] = f"""WITH {_RO_SQL},
 f AS (
-  SELECT l.l_returnflag || l.l_linestatus AS feed, l.l_suppkey AS store,
+  SELECT coalesce(l.l_returnflag, '?') || coalesce(l.l_linestatus, '?') AS feed, l.l_suppkey AS store,
          CAST(l.l_shipdate AS DATE) AS sale_date, CAST(l.l_extendedprice AS DECIMAL(18,2)) AS value,
-         CASE WHEN l.l_linestatus = 'F' THEN CAST(l.l_shipdate AS DATE) END AS inserted_date,
+         CASE WHEN l.l_linestatus IS DISTINCT FROM 'O' THEN CAST(l.l_shipdate AS DATE) END AS inserted_date,
          upper(trim(p.p_brand)) AS product, r.r_name AS retailer
   FROM lineitem l LEFT JOIN part p ON l.l_partkey = p.p_partkey
   LEFT JOIN supplier s ON l.l_suppkey = s.s_suppkey LEFT JOIN nation n ON s.s_nationkey = n.n_nationkey
@@ -194,7 +194,7 @@ def type_error_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     numbered by position in the table."""
     raw = order_extract_strings(Tables(spark, sf_dir))
     raw = raw.withColumn("o_orderkey_n", F.col("o_orderkey").try_cast("bigint"))
-    q = Q.type_mismatch_quarantine(raw, ORDER_TYPES, "o_orderkey_n")
+    q = Q.type_mismatch_quarantine(raw, ORDER_TYPES, ["o_orderkey_n", *ORDER_TYPES])
     return q.select("row_no", "o_orderkey", "o_totalprice", "bad_columns")
 
 
@@ -202,7 +202,8 @@ ORACLE["type_error_quarantine"] = """WITH raw AS (
   SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CAST(o_custkey AS VARCHAR) AS o_custkey,
          CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR) AS o_totalprice,
          strftime(o_orderdate, '%Y-%m-%d') AS o_orderdate, o_orderpriority FROM orders),
-numbered AS (SELECT *, CAST(rank() OVER (ORDER BY TRY_CAST(o_orderkey AS BIGINT)) AS BIGINT) AS row_no FROM raw),
+numbered AS (SELECT *, CAST(row_number() OVER (ORDER BY TRY_CAST(o_orderkey AS BIGINT) NULLS LAST, o_orderkey NULLS LAST, o_custkey NULLS LAST,
+                    o_totalprice NULLS LAST, o_orderdate NULLS LAST, o_orderpriority NULLS LAST) AS BIGINT) AS row_no FROM raw),
 bad AS (
   SELECT *, concat_ws(',',
            CASE WHEN o_orderkey IS NOT NULL AND TRY_CAST(o_orderkey AS BIGINT) IS NULL THEN 'o_orderkey' END,

@@ -304,7 +304,7 @@ def monday_week_windows(spark: SparkSession, sf_dir: str, sel: M.Selection = SEL
     wins = {f"ly_{n}w": M.monday_ly_window(sel, n) for n in (1, 4, 26, 52)}
     wins["prev_13w"] = M.monday_prev13_window(sel)
     wins.update({f"fwd_{n}w": M.monday_forward_window(sel, n) for n in (1, 4, 13, 26, 52)})
-    wins["dispatch_13w"] = M.monday_dispatch_window(sel, 2)
+    wins.update({f"dispatch_{order}": M.monday_dispatch_window(sel, order) for order in M.MONDAY_DISPATCH})
     df = M.window_sums(t, wins, ["retailer"])
     return M.as_double(df, list(wins))
 
@@ -322,13 +322,13 @@ def _monday_sql(y: int = Y, w: int = W) -> str:
     cols.append("sum(value) FILTER (WHERE sale_date BETWEEN st - 91 AND st - 1) AS prev_13w")
     for n in (1, 4, 13, 26, 52):
         cols.append(f"sum(value) FILTER (WHERE {w} <> 53 AND sale_date BETWEEN st AND st + {7 * n - 1}) AS fwd_{n}w")
-    cols.append("sum(value) FILTER (WHERE sale_date BETWEEN st - 91 AND st - 1) AS dispatch_13w")
-    names = ["ly_1w", "ly_4w", "ly_26w", "ly_52w", "prev_13w", "fwd_1w", "fwd_4w", "fwd_13w", "fwd_26w",
-             "fwd_52w", "dispatch_13w"]
+    names = ["ly_1w", "ly_4w", "ly_26w", "ly_52w", "prev_13w", "fwd_1w", "fwd_4w", "fwd_13w", "fwd_26w", "fwd_52w"]
+    chosen = dict(enumerate(("ly_1w", "ly_4w", "prev_13w", "ly_26w", "ly_52w")))
     return (_with(S.POS_FACT_CTE, f"b AS (SELECT {st} AS st, {st_ly} AS sl)",
                   f"agg AS (SELECT retailer, {', '.join(cols)} FROM pos, b "
                   f"WHERE sale_date BETWEEN sl - 357 AND st + 363 GROUP BY retailer)")
-            + "SELECT retailer, " + ", ".join(f"{S.dbl(c)} AS {c}" for c in names) + " FROM agg")
+            + "SELECT retailer, " + ", ".join([f"{S.dbl(c)} AS {c}" for c in names]
+                                              + [f"{S.dbl(c)} AS dispatch_{o}" for o, c in chosen.items()]) + " FROM agg")
 
 
 _ORACLE["monday_week_windows"] = _monday_sql()

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from ..functions import blanks as B
 from ..operators import calendar_dim as CD
 from ..operators import measures as M
-from ..operators.rank import global_rank, group_rank, member_at_rank
+from ..functions import text as X
+from ..operators.rank import global_rank, group_rank, level_rank, member_at_rank, rank_flags
 from ..operators.report import pooled_member
 from ..sources import retail as R
 from ..sources.tables import Tables
@@ -82,32 +83,38 @@ FROM cal c LEFT JOIN w52 ON c.y = w52.y"""
 @query("store_stats_by_retailer")
 def store_stats_by_retailer(spark: SparkSession, sf_dir: str, product: str = PRODUCT,
                             sel: M.Selection = SEL) -> DataFrame:
-    """Total sales, one product's sales, distinct stores (BLANK counted),
-    first/last sale date over the whole history, and the store rows of the
-    selected week."""
+    """Total sales, one product's sales, distinct stores and distinct store
+    join keys (BLANK counted), first/last sale date over the whole history,
+    and the store rows of the selected week."""
     t = Tables(spark, sf_dir)
     week = M.selected_week_window(sel)
-    pre = (R.sales_lines(t).groupBy("store", "part_key")
-           .agg(F.sum("value").alias("total"),
+    pre = (R.attach_dims(R.sales_lines(t), t, ["product"]).groupBy("store")
+           .agg(F.sum("value").alias("total"), F.sum(F.when(F.col("product") == product, F.col("value"))).alias("of_product"),
                 F.count(F.when(week.contains(F.col("sale_date")), F.col("store"))).alias("rows_week"),
                 F.min("sale_date").alias("first_d"), F.max("sale_date").alias("last_d")))
-    fact = R.attach_dims(pre, t, ["retailer", "product"])
+    fact = R.attach_dims(pre, t, ["retailer"])
+    fact = fact.withColumn("join_key", X.join_key(F.col("store").cast("string"), F.col("retailer_order")))
+    # One row per store here, so a distinct count is a count.
+    blank = lambda c: F.max(F.when(F.col(c).isNull(), F.lit(1)).otherwise(F.lit(0)))
     out = fact.groupBy("retailer").agg(
         F.sum("total").cast("double").alias("total_sales"),
-        F.sum(F.when(F.col("product") == product, F.col("total"))).cast("double").alias("product_sales"),
-        B.distinct_with_blank(F.col("store")).alias("store_count"),
+        F.sum("of_product").cast("double").alias("product_sales"),
+        (F.count("store") + blank("store")).cast("long").alias("store_count"),
+        (F.count("join_key") + blank("join_key")).cast("long").alias("join_key_count"),
         F.sum("rows_week").cast("long").alias("store_rows_week"),
         F.min("first_d").alias("first_sale"), F.max("last_d").alias("last_sale"))
     return out
 
 
-ORACLE["store_stats_by_retailer"] = _with(S.calendar_cte(), S.POS_FACT_CTE, _anchor_cte()) + f"""
+ORACLE["store_stats_by_retailer"] = _with(S.calendar_cte(), S.POS_FACT_CTE, _anchor_cte(), """k AS (
+  SELECT *, TRY_CAST(CAST(store AS VARCHAR) || coalesce(CAST(retailer_order AS VARCHAR), '') AS BIGINT) AS join_key FROM pos)""") + f"""
 SELECT retailer, CAST(sum(value) AS DOUBLE) AS total_sales,
        CAST(sum(value) FILTER (WHERE product = '{PRODUCT}') AS DOUBLE) AS product_sales,
        CAST(count(DISTINCT store) + max(CASE WHEN store IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS store_count,
+       CAST(count(DISTINCT join_key) + max(CASE WHEN join_key IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS join_key_count,
        CAST(count(store) FILTER (WHERE sale_date BETWEEN first_d AND last_d) AS BIGINT) AS store_rows_week,
        min(sale_date) AS first_sale, max(sale_date) AS last_sale
-FROM pos, a GROUP BY retailer"""
+FROM k, a GROUP BY retailer"""
 
 
 # --------------------------------------------- store-filter removal toggle
@@ -120,7 +127,9 @@ def store_total_toggle(spark: SparkSession, sf_dir: str, sel: M.Selection = SEL)
     wins = {"ty": M.weekly_window(sel, N_WEEKS), "ly": M.weekly_window(sel, N_WEEKS, last_year=True)}
     per_store = M.window_sums(t, wins, ["retailer", "store"])
     totals = per_store.groupBy("retailer").agg(F.sum("ty").alias("ty_all"), F.sum("ly").alias("ly_all"))
-    j = per_store.join(totals, "retailer", "left")
+    # Null-safe: stores without a retailer belong to the blank member's total.
+    totals = totals.withColumnRenamed("retailer", "_total_of")
+    j = per_store.join(totals, F.col("retailer").eqNullSafe(F.col("_total_of")), "left").drop("_total_of")
     # Both toggle settings as rows (the toggle table has two fixed rows).
     both = j.select("retailer", "store", F.explode(F.array(
         F.struct(F.lit("All Stores").alias("custom_total"), F.col("ty_all").alias("ty_sales"),
@@ -138,7 +147,8 @@ ORACLE["store_total_toggle"] = _with(S.calendar_cte(), S.POS_FACT_CTE, _anchor_c
   FROM pos, a WHERE sale_date BETWEEN e_ly - {_NW} AND e_ty GROUP BY retailer, store),
 tot AS (SELECT retailer, sum(ty) AS ty_all, sum(ly) AS ly_all FROM ps GROUP BY retailer),
 both_ AS (
-  SELECT ps.retailer, ps.store, 'All Stores' AS custom_total, ty_all AS t, ly_all AS l FROM ps JOIN tot USING (retailer)
+  SELECT ps.retailer, ps.store, 'All Stores' AS custom_total, ty_all AS t, ly_all AS l
+  FROM ps JOIN tot ON ps.retailer IS NOT DISTINCT FROM tot.retailer
   UNION ALL
   SELECT retailer, store, 'Filtered Stores', ty, ly FROM ps)""") + f"""
 SELECT retailer, store, custom_total, {S.dbl('t')} AS ty_sales, {S.dbl('l')} AS ly_sales,
@@ -190,50 +200,98 @@ SELECT store, CAST(ytd_ty AS DOUBLE) AS ytd_ty,
 FROM ps"""
 
 
-def _ssr_ytd(t: Tables, sel: M.Selection, level: str = "ssr") -> DataFrame:
+def _level_ytd(t: Tables, sel: M.Selection, level: str) -> DataFrame:
     wins = {"ytd_ty": M.ytd_window(sel), "ytd_ly": M.ytd_window(sel, last_year=True)}
     return M.with_change(M.window_sums(t, wins, [level]), "ytd_ty", "ytd_ly", "ytd", pct="ytd")
 
 
-@query("ssr_pct_rank")
+def level_pct_rank(spark: SparkSession, sf_dir: str, level: str, sel: M.Selection = SEL, rank_blank: bool = False) -> DataFrame:
+    """Dense rank of a level's members (a code table) by YTD % change."""
+    df = level_rank(_level_ytd(Tables(spark, sf_dir), sel, level), "ytd_pct", "pct_rank", rank_blank=rank_blank)
+    return M.as_double(df.select(level, "ytd_ty", "ytd_ly", "ytd_pct", "pct_rank"), ["ytd_ty", "ytd_ly"])
+
+
+def _level_sql(level: str) -> str:
+    column = {"ssr_name": "ssr", "smm_territory": "(CASE WHEN strpos(smm, 'Cov') > 0 THEN smm WHEN smm IS NOT NULL THEN 'Covered' END)"}
+    return _with(S.calendar_cte(), S.POS_FACT_CTE, _anchor_cte(), f"""lv AS (
+  SELECT {column.get(level, level)} AS {level}, sum(value) FILTER (WHERE sale_date BETWEEN ys_ty AND ye_ty) AS ytd_ty,
+         sum(value) FILTER (WHERE sale_date BETWEEN ys_ly AND ye_ly) AS ytd_ly
+  FROM pos, a WHERE sale_date BETWEEN ys_ly AND ye_ty GROUP BY 1)""",
+                 f"p AS (SELECT *, {S.ytd_pct('ytd_ty', 'ytd_ly')} AS ytd_pct FROM lv)")
+
+
+def _pct_rank_sql(level: str, rank_blank: bool = False) -> str:
+    rank = "CAST(dense_rank() OVER (ORDER BY ytd_pct DESC NULLS LAST) AS BIGINT)"
+    if not rank_blank:
+        rank = f"CASE WHEN ytd_pct IS NOT NULL THEN {rank} END"
+    return _level_sql(level) + f"""
+SELECT {level}, CAST(ytd_ty AS DOUBLE) AS ytd_ty, CAST(ytd_ly AS DOUBLE) AS ytd_ly, ytd_pct, {rank} AS pct_rank FROM p"""
+
+
+@query("ssr_pct_rank", _pct_rank_sql("ssr"))
 def ssr_pct_rank(spark: SparkSession, sf_dir: str, sel: M.Selection = SEL) -> DataFrame:
     """Dense rank of the SSRs by YTD % change."""
-    t = Tables(spark, sf_dir)
-    df = _ssr_ytd(t, sel)
-    df = global_rank(df, "ytd_pct", "pct_rank", method="dense")
-    return M.as_double(df.select("ssr", "ytd_ty", "ytd_ly", "ytd_pct", "pct_rank"), ["ytd_ty", "ytd_ly"])
+    return level_pct_rank(spark, sf_dir, "ssr", sel)
 
 
-_SSR_YTD_CTE = """lv AS (
-  SELECT ssr, sum(value) FILTER (WHERE sale_date BETWEEN ys_ty AND ye_ty) AS ytd_ty,
-         sum(value) FILTER (WHERE sale_date BETWEEN ys_ly AND ye_ly) AS ytd_ly
-  FROM pos, a WHERE sale_date BETWEEN ys_ly AND ye_ty GROUP BY ssr)"""
-ORACLE["ssr_pct_rank"] = _with(S.calendar_cte(), S.POS_FACT_CTE, _anchor_cte(), _SSR_YTD_CTE,
-                               f"p AS (SELECT *, {S.ytd_pct('ytd_ty', 'ytd_ly')} AS ytd_pct FROM lv)") + """
-SELECT ssr, CAST(ytd_ty AS DOUBLE) AS ytd_ty, CAST(ytd_ly AS DOUBLE) AS ytd_ly, ytd_pct,
-       CAST(dense_rank() OVER (ORDER BY ytd_pct DESC) AS BIGINT) AS pct_rank FROM p"""
+@query("smm_pct_rank", _pct_rank_sql("smm"))
+def smm_pct_rank(spark: SparkSession, sf_dir: str, sel: M.Selection = SEL) -> DataFrame:
+    """Dense rank of the SMMs by YTD % change."""
+    return level_pct_rank(spark, sf_dir, "smm", sel)
 
 
-@query("rank_dispatch")
-def rank_dispatch(spark: SparkSession, sf_dir: str, sel: M.Selection = SEL, level: str = "ssr") -> DataFrame:
+@query("ssr_name_pct_rank", _pct_rank_sql("ssr_name"))
+def ssr_name_pct_rank(spark: SparkSession, sf_dir: str, sel: M.Selection = SEL) -> DataFrame:
+    """Dense rank of the SSR names by YTD % change."""
+    return level_pct_rank(spark, sf_dir, "ssr_name", sel)
+
+
+@query("ssr_rank_with_blanks", _pct_rank_sql("ssr", True))
+def ssr_rank_with_blanks(spark: SparkSession, sf_dir: str, sel: M.Selection = SEL) -> DataFrame:
+    """Dense rank of all SSRs by YTD % change, blank changes ranked too."""
+    return level_pct_rank(spark, sf_dir, "ssr", sel, rank_blank=True)
+
+
+RANK_LEVELS = ("ssr", "smm", "ssr_name", "smm_territory")
+
+
+def rank_by_level(spark: SparkSession, sf_dir: str, level: str, sel: M.Selection = SEL) -> DataFrame:
     """Rank of each member at ``level``: by YTD TY sales when its LY is
     blank, otherwise by YTD % change (both dense, over all members)."""
-    t = Tables(spark, sf_dir)
-    df = _ssr_ytd(t, sel, level)
-    df = global_rank(df, "ytd_ty", "rank_ty", method="dense")
-    df = global_rank(df, "ytd_pct", "rank_pct", method="dense")
+    if level not in RANK_LEVELS:
+        raise ValueError(f"level {level!r} is not one of {RANK_LEVELS}")
+    df = _level_ytd(Tables(spark, sf_dir), sel, level)
+    df = level_rank(level_rank(df, "ytd_ty", "rank_ty"), "ytd_pct", "rank_pct")
     df = df.withColumn("ytd_rank", F.when(F.col("ytd_ly").isNull(), F.col("rank_ty")).otherwise(F.col("rank_pct")))
     return M.as_double(df.select(level, "ytd_ty", "ytd_ly", "ytd_rank"), ["ytd_ty", "ytd_ly"])
 
 
-ORACLE["rank_dispatch"] = _with(S.calendar_cte(), S.POS_FACT_CTE, _anchor_cte(), _SSR_YTD_CTE,
-                                f"p AS (SELECT *, {S.ytd_pct('ytd_ty', 'ytd_ly')} AS ytd_pct FROM lv)",
-                                """r AS (SELECT *, CASE WHEN ytd_ty IS NOT NULL THEN dense_rank() OVER (ORDER BY ytd_ty DESC) END AS rank_ty,
-                 dense_rank() OVER (ORDER BY ytd_pct DESC) AS rank_pct FROM p)""") + """
-SELECT ssr, CAST(ytd_ty AS DOUBLE) AS ytd_ty, CAST(ytd_ly AS DOUBLE) AS ytd_ly,
+def _dispatch_sql(level: str) -> str:
+    return _level_sql(level) + f""", r AS (
+  SELECT *, CASE WHEN ytd_ty IS NOT NULL THEN dense_rank() OVER (ORDER BY ytd_ty DESC NULLS LAST) END AS rank_ty,
+         dense_rank() OVER (ORDER BY ytd_pct DESC NULLS LAST) AS rank_pct FROM p)
+SELECT {level}, CAST(ytd_ty AS DOUBLE) AS ytd_ty, CAST(ytd_ly AS DOUBLE) AS ytd_ly,
        CAST(CASE WHEN ytd_ly IS NULL THEN rank_ty ELSE rank_pct END AS BIGINT) AS ytd_rank FROM r"""
 
 
+@query("rank_dispatch", _dispatch_sql("ssr"))
+def rank_dispatch(spark: SparkSession, sf_dir: str, sel: M.Selection = SEL, level: str = "ssr") -> DataFrame:
+    """Rank dispatch of the SSRs (or another level)."""
+    return rank_by_level(spark, sf_dir, level, sel)
+
+
+@query("rank_dispatch_smm_territory", _dispatch_sql("smm_territory"))
+def rank_dispatch_smm_territory(spark: SparkSession, sf_dir: str, sel: M.Selection = SEL) -> DataFrame:
+    """Rank dispatch of the SMM territories."""
+    return rank_by_level(spark, sf_dir, "smm_territory", sel)
+
+
+@query("rank_dispatch_smm", _dispatch_sql("smm"))
+def rank_dispatch_smm(spark: SparkSession, sf_dir: str, sel: M.Selection = SEL) -> DataFrame:
+    """Rank dispatch of the SMMs."""
+    return rank_by_level(spark, sf_dir, "smm", sel)
+
+
 def _retailer_product_ty(t: Tables, sel: M.Selection) -> DataFrame:
     return M.window_sums(t, {"ty_sales": M.weekly_window(sel, N_WEEKS)}, ["product", "retailer"])
 
@@ -249,27 +307,49 @@ def retailer_rank_by_product(spark: SparkSession, sf_dir: str, sel: M.Selection
 _RP_CTE = f"""rp AS (
   SELECT product, retailer, sum(value) AS ty_sales FROM pos, a
   WHERE sale_date BETWEEN e_ty - {_NW} AND e_ty GROUP BY product, retailer)"""
+_RK_CTE = "rk AS (SELECT *, rank() OVER (PARTITION BY product ORDER BY ty_sales DESC) AS r FROM rp)"
 ORACLE["retailer_rank_by_product"] = _with(S.calendar_cte(), S.POS_FACT_CTE, _anchor_cte(), _RP_CTE) + """
 SELECT product, retailer, CAST(ty_sales AS DOUBLE) AS ty_sales,
        CAST(rank() OVER (PARTITION BY product ORDER BY ty_sales DESC) AS BIGINT) AS retailer_rank FROM rp"""
 
 
+@query("retailer_total_rank", _with(S.POS_FACT_CTE) + """
+SELECT retailer, CAST(sum(value) AS DOUBLE) AS total_sales,
+       CAST(rank() OVER (ORDER BY sum(value) DESC NULLS LAST) AS BIGINT) AS total_rank FROM pos GROUP BY retailer""")
+def retailer_total_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Skip rank of the retailers by their total sales."""
+    t = Tables(spark, sf_dir)
+    per_store = R.sales_lines(t).groupBy("store").agg(F.sum("value").alias("v"))
+    df = R.attach_dims(per_store, t, ["retailer"]).groupBy("retailer").agg(F.sum("v").alias("total_sales"))
+    return M.as_double(level_rank(df, "total_sales", "total_rank", method="skip", rank_blank=True), ["total_sales"])
+
+
 @query("retailer_at_rank_k")
 def retailer_at_rank_k(spark: SparkSession, sf_dir: str, sel: M.Selection = SEL) -> DataFrame:
     """Per product and k = 1..6: the retailer ranked k (NULL on a tie or
-    when nobody holds rank k) and the 0/1 flag of the rank-k member."""
+    when nobody holds rank k)."""
     t = Tables(spark, sf_dir)
     ranked = group_rank(_retailer_product_ty(t, sel), ["product"], "ty_sales", "retailer_rank", method="skip")
     return member_at_rank(ranked, ["product"], "retailer_rank", "retailer", RANK_KS)
 
 
-ORACLE["retailer_at_rank_k"] = _with(S.calendar_cte(), S.POS_FACT_CTE, _anchor_cte(), _RP_CTE,
-                                     """rk AS (SELECT product, retailer, rank() OVER (PARTITION BY product ORDER BY ty_sales DESC) AS r FROM rp),
-ks AS (SELECT CAST(k AS BIGINT) AS k FROM (VALUES (1),(2),(3),(4),(5),(6)) v(k)),
+ORACLE["retailer_at_rank_k"] = _with(S.calendar_cte(), S.POS_FACT_CTE, _anchor_cte(), _RP_CTE, _RK_CTE,
+                                     """ks AS (SELECT CAST(k AS BIGINT) AS k FROM (VALUES (1),(2),(3),(4),(5),(6)) v(k)),
 g AS (SELECT DISTINCT product FROM rp),
 hits AS (SELECT product, r AS k, count(*) AS c, min(retailer) AS m FROM rk GROUP BY product, r)""") + """
 SELECT g.product, ks.k, CASE WHEN hits.c = 1 THEN hits.m END AS retailer_at_k
-FROM g CROSS JOIN ks LEFT JOIN hits ON hits.product = g.product AND hits.k = ks.k"""
+FROM g CROSS JOIN ks LEFT JOIN hits ON hits.product IS NOT DISTINCT FROM g.product AND hits.k = ks.k"""
+
+
+@query("retailer_rank_flags", _with(S.calendar_cte(), S.POS_FACT_CTE, _anchor_cte(), _RP_CTE, _RK_CTE) + f"""
+SELECT product, retailer, CAST(r AS BIGINT) AS retailer_rank,
+       {', '.join(f'CAST(CASE WHEN r = {k} THEN 1 END AS INTEGER) AS is_rank_{k}' for k in RANK_KS)} FROM rk""")
+def retailer_rank_flags(spark: SparkSession, sf_dir: str, sel: M.Selection = SEL) -> DataFrame:
+    """Per product and retailer: its rank and, for k = 1..6, 1 where it holds
+    rank k (blank elsewhere)."""
+    t = Tables(spark, sf_dir)
+    ranked = group_rank(_retailer_product_ty(t, sel), ["product"], "ty_sales", "retailer_rank", method="skip")
+    return rank_flags(ranked, "retailer_rank", RANK_KS).drop("ty_sales")
 
 
 # ------------------------------------------- selected retailer vs the rest
@@ -363,14 +443,14 @@ TOP_K = 10
 
 
 @query("top_stores_sql")
-def top_stores_sql(spark: SparkSession, sf_dir: str, k: int = TOP_K) -> DataFrame:
-    """Top-k stores by sales in calendar year 2000, written with the SQL
-    API over a temp view (the limit is the feature: a top-k report)."""
+def top_stores_sql(spark: SparkSession, sf_dir: str, k: int = TOP_K, year: int = SEL.year) -> DataFrame:
+    """Top-k stores by sales in a calendar year, written with the SQL API
+    over a temp view (the limit is the feature: a top-k report)."""
     Tables(spark, sf_dir).lineitem.createOrReplaceTempView("ll_lineitem")
     return spark.sql(f"""
         SELECT l_suppkey AS store, CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS sales
         FROM ll_lineitem
-        WHERE l_shipdate >= TIMESTAMP_NTZ '2000-01-01 00:00:00' AND l_shipdate < TIMESTAMP_NTZ '2001-01-01 00:00:00'
+        WHERE l_shipdate >= TIMESTAMP_NTZ '{int(year)}-01-01 00:00:00' AND l_shipdate < TIMESTAMP_NTZ '{int(year) + 1}-01-01 00:00:00'
         GROUP BY l_suppkey ORDER BY sales DESC, store LIMIT {k}""")
 
 
@@ -381,33 +461,46 @@ GROUP BY l_suppkey ORDER BY sales DESC, store LIMIT {TOP_K}"""
 
 # ------------------------------------------ last-N-months parameter sweep
 
-SWEEP_MAX = 13
+# First and last N of the parameter series.
+SWEEP = (1, 100)
 
 
 @query("last_n_months_sweep")
-def last_n_months_sweep(spark: SparkSession, sf_dir: str, sel: M.Selection = SEL) -> DataFrame:
-    """Sales in the last N months for every N of the parameter series
-    1..13 at once (one scan, one conditional sum per N)."""
+def last_n_months_sweep(spark: SparkSession, sf_dir: str, sel: M.Selection = SEL, series: tuple[int, int] = SWEEP) -> DataFrame:
+    """Sales in the last N months for every N of the parameter series: sums
+    per retailer and month, and one running sum over the months back (as
+    many rows per retailer as the series has values)."""
+    from pyspark.sql import Window
+
     from ..sources.params import number_series
     t = Tables(spark, sf_dir)
-    wins = {f"n_{n}": M.last_n_months_window(sel, n) for n in range(1, SWEEP_MAX + 1)}
-    wide = M.window_sums(t, wins, ["retailer"])
-    long = wide.unpivot(["retailer"], list(wins), "param", "sales").withColumn(
-        "n_months", F.regexp_extract("param", r"(\d+)", 1).cast("long")).drop("param")
-    series = F.broadcast(number_series(spark, 1, SWEEP_MAX, name="n_months"))   # 13 rows
-    return long.join(series, "n_months", "inner").select("retailer", "n_months",
-                                                         F.col("sales").cast("double").alias("sales"))
+    first, last = series
+    window = M.last_n_months_window(sel, last)
+    back = lambda d: ((F.lit(window.end.year) - F.year(d)) * 12 + F.lit(window.end.month) - F.month(d) + 1).cast("long")
+    monthly = (R.sales_lines(t, window).groupBy("store", back(F.col("sale_date")).alias("n_months")).agg(F.sum("value").alias("v")))
+    monthly = R.attach_dims(monthly, t, ["retailer"]).groupBy("retailer", "n_months").agg(F.sum("v").alias("v"))
+    # One row per retailer and N, the N without sales of their own included.
+    axis = monthly.select("retailer").distinct().select(
+        "retailer", F.explode(F.sequence(F.lit(1), F.lit(last)).cast("array<long>")).alias("n_months"), F.lit(None).cast("decimal(28,2)").alias("v"))
+    months = monthly.select("retailer", "n_months", F.col("v").cast("decimal(28,2)").alias("v")).unionByName(axis)
+    months = months.groupBy("retailer", "n_months").agg(F.sum("v").alias("v"))
+    w = Window.partitionBy("retailer").orderBy("n_months").rowsBetween(Window.unboundedPreceding, 0)
+    run = months.select("retailer", "n_months", F.sum("v").over(w).cast("double").alias("sales"))
+    values = F.broadcast(number_series(spark, first, last, name="n_months"))      # the parameter's own rows
+    return run.join(values, "n_months", "inner").select("retailer", "n_months", "sales")
 
 
 def _sweep_sql() -> str:
-    cols = ", ".join(
-        f"sum(value) FILTER (WHERE sale_date BETWEEN date_trunc('month', last_d - INTERVAL {n - 1} MONTH) AND last_d) AS n_{n}"
-        for n in range(1, SWEEP_MAX + 1))
-    rows = " UNION ALL ".join(f"SELECT retailer, CAST({n} AS BIGINT) AS n_months, CAST(n_{n} AS DOUBLE) AS sales FROM w"
-                              for n in range(1, SWEEP_MAX + 1))
-    return _with(S.calendar_cte(), S.POS_FACT_CTE, _anchor_cte(),
-                 f"w AS (SELECT retailer, {cols} FROM pos, a WHERE sale_date BETWEEN "
-                 f"date_trunc('month', last_d - INTERVAL {SWEEP_MAX - 1} MONTH) AND last_d GROUP BY retailer)") + rows
+    first, last = SWEEP
+    return _with(S.calendar_cte(), S.POS_FACT_CTE, _anchor_cte(), f"""n AS (SELECT CAST(range AS BIGINT) AS n_months FROM range({first}, {last + 1})),
+f AS (SELECT retailer, sale_date, value, last_d FROM pos, a
+      WHERE sale_date BETWEEN date_trunc('month', last_d - INTERVAL {last - 1} MONTH) AND last_d),
+m AS (SELECT retailer, CAST((year(any_value(last_d)) - year(date_trunc('month', sale_date))) * 12
+             + month(any_value(last_d)) - month(date_trunc('month', sale_date)) AS BIGINT) AS back, sum(value) AS v
+      FROM f GROUP BY retailer, date_trunc('month', sale_date)),
+r AS (SELECT DISTINCT retailer FROM f)""") + """
+SELECT r.retailer, n.n_months, CAST((SELECT sum(v) FROM m WHERE m.retailer IS NOT DISTINCT FROM r.retailer AND m.back < n.n_months) AS DOUBLE) AS sales
+FROM r, n"""
 
 
 ORACLE["last_n_months_sweep"] = _sweep_sql()
@@ -565,11 +658,15 @@ def weekly_ty_ly_by_week(spark: SparkSession, sf_dir: str, year: int = SEL.year,
     anchors = [a for _, ty, ly in sel for a in (ty, ly) if a is not None]
     sums = M.weekly_anchored_sums(Tables(spark, sf_dir), min(anchors), max(anchors), n_weeks, ["retailer"])
     # One row per week of the year: a parameter table of at most 54 rows.
-    axis = F.broadcast(spark.createDataFrame(sel, "week int, e_ty date, e_ly date"))
-    ty = axis.join(sums.withColumnRenamed("anchor", "e_ty").withColumnRenamed("sales", "ty_sales"), "e_ty")
-    ly = axis.join(sums.withColumnRenamed("anchor", "e_ly").withColumnRenamed("sales", "ly_sales"), "e_ly")
-    out = (ty.select("week", "retailer", "ty_sales")
-             .join(ly.select("week", "retailer", "ly_sales"), ["week", "retailer"], "full_outer"))
+    axis = spark.createDataFrame(sel, "week int, e_ty date, e_ly date")
+    # Each weekly sum serves one week as TY and another as LY; the two meet by
+    # grouping, so the blank retailer keeps one row.
+    ends = axis.select("week", F.explode(F.array(
+        F.struct(F.col("e_ty").alias("anchor"), F.lit(True).alias("is_ty")),
+        F.struct(F.col("e_ly").alias("anchor"), F.lit(False).alias("is_ty")))).alias("x")).select("week", "x.*")
+    out = (sums.join(F.broadcast(ends), "anchor").groupBy("week", "retailer")
+               .agg(F.sum(F.when(F.col("is_ty"), F.col("sales"))).alias("ty_sales"),
+                    F.sum(F.when(~F.col("is_ty"), F.col("sales"))).alias("ly_sales")))
     out = M.with_change(out, "ty_sales", "ly_sales", "wk", pct="weekly")
     return M.as_double(out, ["ty_sales", "ly_sales"])
 

@@ -8,12 +8,14 @@ Mapping (fixed for the whole library):
   product dim   part:      product = upper(trim(p_brand))
   store dim     supplier ⋈ nation ⋈ region: retailer (chain) = r_name,
                 retailer_order = r_regionkey + 1, smm = r_name,
-                ssr = n_name, store_name = s_name; a store is in the
+                ssr = ssr_name = n_name, smm_territory from smm,
+                store_name = s_name; a store is in the
                 coverage file when s_acctbal >= 0
   category fact orders ⋈ customer: category = c_mktsegment,
                 store = o_custkey, value = o_totalprice, date = o_orderdate
-  feeds         the POS lines split by (l_returnflag, l_linestatus); feeds
-                with l_linestatus = 'O' carry no inserted_date column
+  feeds         the POS lines tagged by (l_returnflag, l_linestatus), '?'
+                for a missing code; feeds with l_linestatus = 'O' carry no
+                inserted date
 
 Region and nation are fixed-size code tables (5 and 25 rows), so they are
 broadcast without a check; supplier, part and customer grow with the data,
@@ -70,16 +72,16 @@ def sales_lines(t: Tables, dates: DateRange | None = None) -> DataFrame:
 
 def write_fact_by_month(t: Tables, path: str, partitions: int | None = None) -> str:
     """Write the POS lines partitioned by sale month.  Range partitioning on
-    the date gives each task a contiguous slice of days, so each task writes
-    into few month folders and files stay large (no month lands in a
-    single task)."""
+    date, store and part gives each task a contiguous slice, so each task
+    writes into few month folders and files stay large, and neither a month
+    nor a peak day lands in a single task."""
     spark = t.spark
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     lines = (t.lineitem.select(F.col("l_partkey").alias("part_key"), F.col("l_suppkey").alias("store"),
                                F.to_date("l_shipdate").alias("sale_date"),
                                money(F.col("l_extendedprice")).alias("value"))
              .withColumn("sale_month", F.date_format("sale_date", "yyyy-MM")))
-    (lines.repartitionByRange(n, "sale_date").sortWithinPartitions("sale_date", "store")
+    (lines.repartitionByRange(n, "sale_date", "store", "part_key").sortWithinPartitions("sale_date", "store")
           .write.mode("error").partitionBy("sale_month").parquet(path))
     return path
 
@@ -136,7 +138,9 @@ def _store_dim(t: Tables) -> DataFrame:
     )
     return (sup.join(F.broadcast(geo), "nation_key", "left")
                .select("store", "store_name", "retailer", "retailer_order",
-                       F.col("retailer").alias("smm"), "ssr", "in_coverage"))
+                       F.col("retailer").alias("smm"), "ssr", "in_coverage",
+                       F.when(F.instr("retailer", "Cov") > 0, F.col("retailer")).when(F.col("retailer").isNotNull(), "Covered")
+                       .alias("smm_territory"), F.col("ssr").alias("ssr_name")))
 
 
 def product_dim(t: Tables) -> DataFrame:
@@ -144,7 +148,7 @@ def product_dim(t: Tables) -> DataFrame:
                          F.upper(F.trim(F.col("p_brand"))).alias("product")))
 
 
-STORE_ATTRS = ("store_name", "retailer", "retailer_order", "smm", "ssr", "in_coverage")
+STORE_ATTRS = ("store_name", "retailer", "retailer_order", "smm", "ssr", "in_coverage", "smm_territory", "ssr_name")
 PRODUCT_ATTRS = ("product",)
 
 
@@ -158,11 +162,6 @@ def attach_dims(df: DataFrame, t: Tables, cols) -> DataFrame:
     return df
 
 
-def pos_fact(t: Tables, dates: DateRange | None = None, cols=STORE_ATTRS + PRODUCT_ATTRS) -> DataFrame:
-    """Denormalised POS fact (lines with the requested dimension columns)."""
-    return attach_dims(sales_lines(t, dates), t, cols)
-
-
 def category_lines(t: Tables, dates: DateRange | None = None) -> DataFrame:
     """Category fact lines (orders) at their natural grain."""
     o = t.orders.where(ts_bounds("o_orderdate", dates)) if dates is not None else t.orders
@@ -174,28 +173,25 @@ def category_dim(t: Tables) -> DataFrame:
     return t.customer.select(F.col("c_custkey").alias("store"), F.col("c_mktsegment").alias("category"))
 
 
-def category_fact(t: Tables, dates: DateRange | None = None) -> DataFrame:
-    return join_dim(category_lines(t, dates), category_dim(t), "store")
+def category_store_dim(t: Tables) -> DataFrame:
+    """The category fact's stores (customers) with their retailer."""
+    nat = t.nation.select(F.col("n_nationkey").alias("nation_key"), F.col("n_regionkey").alias("region_key"))
+    geo = nat.join(F.broadcast(region_dim(t)), "region_key", "left").select("nation_key", "retailer")
+    cust = t.customer.select(F.col("c_custkey").alias("store"), F.col("c_nationkey").alias("nation_key"))
+    return cust.join(F.broadcast(geo), "nation_key", "left").select("store", "retailer")
 
 
-def feeds(t: Tables) -> list[DataFrame]:
-    """The POS lines delivered as separate feeds (one per
-    (l_returnflag, l_linestatus) pair); open-status feeds lack inserted_date."""
-    out = []
-    for flag in ("A", "N", "R"):
-        for status in ("F", "O"):
-            li = t.lineitem.where((F.col("l_returnflag") == flag) & (F.col("l_linestatus") == status))
-            cols = [
-                F.col("l_partkey").alias("part_key"),
-                F.col("l_suppkey").cast("string").alias("store_text"),
-                F.to_date("l_shipdate").alias("sale_date"),
-                money(F.col("l_extendedprice")).alias("value"),
-                F.lit(flag + status).alias("feed"),
-            ]
-            if status == "F":
-                cols.append(F.to_date("l_shipdate").alias("inserted_date"))
-            out.append(li.select(*cols))
-    return out
+def feed_lines(t: Tables) -> DataFrame:
+    """The POS lines of every feed in one scan, each with the feed it came
+    in (whatever codes there are; no line is left out). Rows of the open
+    feeds have no inserted date."""
+    code = lambda c: F.coalesce(F.col(c), F.lit("?"))
+    shipped = F.to_date("l_shipdate")
+    return t.lineitem.select(
+        F.col("l_partkey").alias("part_key"), F.col("l_suppkey").cast("string").alias("store_text"),
+        shipped.alias("sale_date"), money(F.col("l_extendedprice")).alias("value"),
+        F.concat(code("l_returnflag"), code("l_linestatus")).alias("feed"),
+        F.when(code("l_linestatus") != "O", shipped).alias("inserted_date"))
 
 
 def week_windows(spark: SparkSession) -> DataFrame:
@@ -204,8 +200,3 @@ def week_windows(spark: SparkSession) -> DataFrame:
     rows = [(1, 1, "1 Week"), (4, 2, "4 Weeks"), (13, 3, "13 Weeks"), (26, 4, "26 Weeks"),
             (52, 6, "52 Weeks"), (9999, 7, "YTD")]
     return spark.createDataFrame(rows, "weeks long, sort long, label string")
-
-
-def store_toggle(spark: SparkSession) -> DataFrame:
-    # Fixed values of the All/Filtered stores selector.
-    return spark.createDataFrame([("All Stores", 1), ("Filtered Stores", 2)], "custom_total string, sort long")

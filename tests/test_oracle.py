@@ -4,10 +4,12 @@
 import pytest
 
 import __spark_entry__ as E
+from ledgerlight.plans import registry
 from tools.check_oracle import check_one, duck_connection
 
 SF = "/root/testdata/sf0.001"
-NAMES = sorted(E.queries())
+registry.load_all()
+NAMES = sorted(registry.QUERIES)
 
 
 @pytest.fixture(scope="module")
@@ -16,13 +18,13 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    missing = set(E.queries()) - set(E.oracle_sql())
+    missing = set(registry.QUERIES) - set(registry.ORACLE)
     assert not missing, missing
 
 
 @pytest.mark.parametrize("name", NAMES)
 def test_query_matches_oracle(spark, con, name):
-    status, msg, _ = check_one(spark, con, SF, name, E.queries()[name], E.oracle_sql().get(name))
+    status, msg, _ = check_one(spark, con, SF, name, registry.QUERIES[name], registry.ORACLE.get(name))
     assert status == "OK", msg
 
 

@@ -5,7 +5,7 @@ import re
 
 import pytest
 
-import __spark_entry__ as E
+from ledgerlight.plans import registry
 
 SF = "/root/testdata/sf0.001"
 FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython")
@@ -15,15 +15,19 @@ def _plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+registry.load_all()
+QUERIES = registry.QUERIES
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_cross_products_or_python(spark, name):
-    plan = _plan(E.queries()[name](spark, SF))
+    plan = _plan(QUERIES[name](spark, SF))
     for op in FORBIDDEN:
         assert op not in plan, (name, op)
 
 
 def test_window_filter_pushed_and_columns_pruned(spark):
-    df = E.queries()["nweek_ty_ly_by_retailer"](spark, SF)
+    df = QUERIES["nweek_ty_ly_by_retailer"](spark, SF)
     df.write.format("noop").mode("overwrite").save()
     plan = _plan(df)
     assert re.search(r"PushedFilters: \[IsNotNull\(l_shipdate\), GreaterThanOrEqual\(l_shipdate,[^\]]*LessThan\(l_shipdate",
@@ -32,7 +36,7 @@ def test_window_filter_pushed_and_columns_pruned(spark):
 
 
 def test_partial_aggregate_before_shuffle(spark):
-    df = E.queries()["nweek_ty_ly_by_retailer"](spark, SF)
+    df = QUERIES["nweek_ty_ly_by_retailer"](spark, SF)
     plan = df._jdf.queryExecution().sparkPlan().toString()
     # The first aggregation of the fact is split into a partial step that
     # runs before the shuffle.
@@ -40,7 +44,7 @@ def test_partial_aggregate_before_shuffle(spark):
 
 
 def test_dimension_joined_after_reduction(spark):
-    df = E.queries()["nweek_ty_ly_by_retailer"](spark, SF)
+    df = QUERIES["nweek_ty_ly_by_retailer"](spark, SF)
     plan = df._jdf.queryExecution().sparkPlan().toString()
     join_at = plan.find("Join")
     agg_on_store = plan.find("keys=[store")
@@ -50,7 +54,7 @@ def test_dimension_joined_after_reduction(spark):
 def test_rank_consumers_share_materialised_ranges(spark):
     """Both rank consumers read the checkpointed ranges: the final plan has
     no range-partitioning exchange left (it ran once, in the checkpoint)."""
-    df = E.queries()["store_ytd_rank"](spark, SF)
+    df = QUERIES["store_ytd_rank"](spark, SF)
     df.write.format("noop").mode("overwrite").save()
     plan = _plan(df)
     assert "rangepartitioning" not in plan, plan
