@@ -79,7 +79,3 @@ def selected_value(c: Column) -> Column:
 def money(c: Column) -> Column:
     """Report money type used for every sum (exact, reproducible)."""
     return c.cast("decimal(18,2)")
-
-
-def to_double(c: Column) -> Column:
-    return c.cast("double")

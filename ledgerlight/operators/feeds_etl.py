@@ -42,6 +42,10 @@ def smm_territory(smm: F.Column) -> F.Column:
     return F.when(F.instr(smm, "Cov") > 0, smm).otherwise(F.lit("Covered"))
 
 
+# Coverage columns whose 'nan' text is blanked.
+NAN_COLUMNS = ("javelin_territory_id", "region", "division_group", "district")
+
+
 def coverage_pipeline(cov: DataFrame, retailer_order: DataFrame, first_smm=(), second_smm=()) -> DataFrame:
     """Coverage file -> cleaned store dimension keyed like the fact.
 
@@ -67,4 +71,7 @@ def coverage_pipeline(cov: DataFrame, retailer_order: DataFrame, first_smm=(), s
                                                                 X.DISTRICT_MANAGER_REPLACEMENTS))
     if "region" in cov.columns:
         j = j.withColumn("region_new", X.nan_to_null(F.col("region")))
+    for c in NAN_COLUMNS:
+        if c in cov.columns:
+            j = j.withColumn(c, X.nan_to_empty(F.col(c)))
     return rows_per_key(j, "join_key")

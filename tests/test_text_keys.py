@@ -69,6 +69,10 @@ def test_coverage_pipeline_cleanups_and_key_checks(spark):
         ("CVS Corp", None, "West", None, None)],
         "master_chain string, store_num_text string, smm string, district_manager string, region string")
     ro = spark.createDataFrame([("CVS", 1)], "retailer string, retailer_order long")
+    wide = cov.selectExpr("*", "region AS district", "concat('x', region) AS division_group", "region AS javelin_territory_id")
+    clean = FE.coverage_pipeline(wide, ro).select("region", "district", "division_group", "javelin_territory_id").collect()
+    assert sorted(map(str, map(tuple, clean))) == sorted(map(str, [
+        ("", "", "x", ""), ("North", "North", "xNorth", "North"), (None, None, None, None)]))
     out = FE.coverage_pipeline(cov, ro).orderBy("district_manager").collect()
     assert sorted(str(r.district_manager) for r in out) == ["", "Ann ", "None"]
     assert sorted(str(r.region_new) for r in out) == ["None", "None", "North"]
