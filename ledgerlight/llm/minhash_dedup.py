@@ -9,10 +9,11 @@
    probability that the similarity reaches the threshold is below ``MISS``,
    the pair is dropped. Survivors are verified on their full shingle sets.
 4. Links are joined to components. Buckets that still hold several components are
-   compared again across components, in blocks of ``BLOCK`` members: first the
-   ``TOP`` closest partners of each document, then, if components are still apart, every
-   surviving pair. So no partner is lost to a cap, and a large group of copies
-   costs a few links a document rather than all pairs.
+   compared again across components, in pairs of blocks of ``BLOCK`` members: the
+   tasks prune by signature, get the full sets of the members that still have a
+   partner, and verify within the task. Only links that join components leave it,
+   so no partner is lost to a cap and a large group of copies costs a few
+   links a document; its pairs are never rows.
 
 The chance to miss a pair at the threshold is that of sharing no band
 ((1 - t^4)^32: 6e-11 at 0.85, 5e-8 at 0.8) plus ``MISS`` per compared batch. Sets
@@ -20,7 +21,7 @@ are held as 64-bit hashes.
 
 Defined cases: null and blank texts have no shingles and are linked with
 nothing; a text with fewer words than a shingle is one shingle; rows of one
-``doc_id`` are one document (linked); all other columns are ignored; an empty table
+``doc_id`` are one document (linked), rows without one are kept; all other columns are ignored; an empty table
 gives an empty result.
 """
 
@@ -34,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import shingle_hashes, slices, word_hashes, word_spans, written
+from .common import shingle_hashes, slices, split_by_ids, word_hashes, word_spans, written
 from .components import components
 
 HASHES, ROWS = 128, 4
@@ -42,8 +43,6 @@ BANDS = HASHES // ROWS
 BATCH = 32                 # hashes compared between two looks at the posterior
 MISS = 1e-6
 BLOCK = 1024               # members of a bucket that meet in one comparison
-TOP = 3
-CELLS = 1 << 20            # of the broadcast pre-filter for texts to verify
 
 _rng = np.random.default_rng(41)
 _MUL = (_rng.integers(0, 2**31, HASHES, dtype=np.uint32) * np.uint32(2) + np.uint32(1))[:, None]
@@ -123,15 +122,18 @@ def _prune(num: int, den: int):
     return run
 
 
+def _alike(x: np.ndarray, y: np.ndarray, num: int, den: int) -> bool:
+    """Whether the Jaccard similarity of two sorted sets is at least num / den."""
+    both = int((x[np.minimum(np.searchsorted(x, y), len(x) - 1)] == y).sum())
+    return den * both >= num * (len(x) + len(y) - both)
+
+
 def _verify(num: int, den: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = []
             for x, y in zip(batch.column("set_a").to_pylist(), batch.column("set_b").to_pylist()):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                at = np.searchsorted(x, y)
-                both = int((x[np.minimum(at, len(x) - 1)] == y).sum())
-                keep.append(den * both >= num * (len(x) + len(y) - both))
+                keep.append(_alike(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), num, den))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
     return run
 
@@ -144,82 +146,130 @@ def _set_bytes(n: int):
     return run
 
 
+def _set_table(ids: DataFrame, docs: DataFrame, n: int) -> DataFrame:
+    """(doc_id, set) of the documents in ``ids`` (doc_id)."""
+    needed = written(ids.distinct(), "nd-needed")
+    some, _ = split_by_ids(docs, needed, "doc_id")        # most other texts stay out of the shuffle
+    texts = some.join(needed.hint("merge"), "doc_id", "left_semi")
+    return written(texts.mapInArrow(_set_bytes(n), "doc_id long, set binary").where("length(set) > 0"), "nd-sets")
+
+
 def _verified(pairs: DataFrame, docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
     """The pairs (a, b) whose full shingle sets are similar enough."""
     pairs = written(pairs, "nd-pairs")
-    needed = written(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "nd-needed")
-    # At most CELLS rows travel: they keep most texts that no pair needs out of the shuffle.
-    cell = F.pmod(F.xxhash64("doc_id"), F.lit(CELLS))
-    some = docs.select("doc_id", "text").withColumn("_cell", cell).join(
-        F.broadcast(needed.select(cell.alias("_cell")).distinct()), "_cell", "left_semi")
-    texts = some.select("doc_id", "text").join(needed.hint("merge"), "doc_id", "left_semi")
-    sets = written(texts.mapInArrow(_set_bytes(n), "doc_id long, set binary").where("length(set) > 0"), "nd-sets")
+    sets = _set_table(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")), docs, n)
     wide = (pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("set").alias("set_a")), "a")
             .join(sets.select(F.col("doc_id").alias("b"), F.col("set").alias("set_b")), "b"))
     return written(wide.mapInArrow(_verify(num, den), "a long, b long").distinct(), "nd-links")
 
 
-def _across(num: int, den: int, top: int | None):
-    """Pairs between different components of a bucket, from rows sorted by
-    bucket and block pair; each pair only in the first band it shares."""
-    least = min_matches(num, den)
-
-    def group(rows: pa.Table) -> pa.Table | None:
-        comp, rep, size = (rows.column(c).to_numpy() for c in ("comp", "rep", "n"))
-        blk, band = rows.column("blk").to_numpy(), rows.column("band")[0].as_py()
-        centre = rows.column("centre")[0].as_py()
-        split = rows.column("i")[0].as_py() != rows.column("j")[0].as_py()
-        sig = _matrix(rows.column("sig").combine_chunks())
-        names, counts = np.unique(comp, return_counts=True)
-        if len(names) < 2:
-            return None
-        bands = sig.view(np.uint64)
-        out_a, out_b = [], []
-        for x in np.flatnonzero(comp != names[counts.argmax()]):
-            if rep[x] == centre:
-                continue
-            other = (comp != comp[x]) & (rep != centre)
-            other &= den * np.minimum(size, size[x]) >= num * np.maximum(size, size[x])
-            if split:
-                other &= blk != blk[x]
-            y = np.flatnonzero(other)
-            y = y[(bands[y] == bands[x]).argmax(axis=1) == band]
-            if len(y):
-                left, hits = _alive(sig[y], np.broadcast_to(sig[x], (len(y), HASHES)), least)
-                if top is not None and len(left) > top:
-                    left = left[np.argsort(-hits, kind="stable")[:top]]
-                out_a.append(np.full(len(left), rep[x]))
-                out_b.append(rep[y[left]])
-        if not out_a:
-            return None
-        a, b = np.concatenate(out_a), np.concatenate(out_b)
-        return pa.table({"a": np.maximum(a, b), "b": np.minimum(a, b)})
+def _by_group(handle):
+    """Call ``handle`` on the rows of each (key, i, j); they come sorted by it."""
+    keys = ("key", "i", "j")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
         for batch in batches:
             if not batch.num_rows:
                 continue
-            keys = np.stack([batch.column(c).to_numpy() for c in ("key", "i", "j")])
-            cuts = (np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1).tolist()
-            if held and any(held[-1].column(c)[-1].as_py() != batch.column(c)[0].as_py() for c in ("key", "i", "j")):
+            values = np.stack([batch.column(c).to_numpy() for c in keys])
+            cuts = (np.flatnonzero((values[:, 1:] != values[:, :-1]).any(axis=0)) + 1).tolist()
+            if held and any(held[-1].column(c)[-1].as_py() != batch.column(c)[0].as_py() for c in keys):
                 cuts.insert(0, 0)
             at = 0
             for cut in cuts:
                 if cut > at:
                     held.append(batch.slice(at, cut - at))
-                found = group(pa.Table.from_batches(held))
-                if found is not None:
-                    yield from found.to_batches()
+                yield from handle(pa.Table.from_batches(held).combine_chunks())
                 held, at = [], cut
             held.append(batch.slice(at))
-        found = group(pa.Table.from_batches(held)) if held else None
-        if found is not None:
-            yield from found.to_batches()
+        if held:
+            yield from handle(pa.Table.from_batches(held).combine_chunks())
 
     return run
 
 
+def _partners(rows: pa.Table, num: int, den: int) -> Iterator[tuple[int, np.ndarray]]:
+    """For members of a block pair: (row, rows of other components that no
+    batch of hashes prunes), each pair in one direction and only in the first
+    band that the two share. Pairs with the bucket's centre are decided already."""
+    least = min_matches(num, den)
+    comp, rep, size, blk = (rows.column(c).to_numpy() for c in ("comp", "rep", "n", "blk"))
+    band, centre = rows.column("band")[0].as_py(), rows.column("centre")[0].as_py()
+    split = rows.column("i")[0].as_py() != rows.column("j")[0].as_py()
+    names, counts = np.unique(comp, return_counts=True)
+    if len(names) < 2:
+        return
+    sig = _matrix(rows.column("sig"))
+    bands = sig.view(np.uint64)
+    largest = comp == names[counts.argmax()]
+    for x in np.flatnonzero(~largest & (rep != centre)):
+        other = (comp != comp[x]) & (rep != centre) & (largest | (rep > rep[x]))
+        other &= den * np.minimum(size, size[x]) >= num * np.maximum(size, size[x])
+        if split:
+            other &= blk != blk[x]
+        y = np.flatnonzero(other)
+        y = y[(bands[y] == bands[x]).argmax(axis=1) == band]
+        if len(y):
+            left, _ = _alive(sig[y], np.broadcast_to(sig[x], (len(y), HASHES)), least)
+            if len(left):
+                yield x, y[left]
+
+
+def _with_partners(num: int, den: int):
+    def handle(rows: pa.Table) -> Iterator[pa.RecordBatch]:
+        some = np.zeros(len(rows), bool)
+        for x, y in _partners(rows, num, den):
+            some[x] = some[y] = True
+        if some.any():
+            yield from rows.filter(pa.array(some)).to_batches()
+    return _by_group(handle)
+
+
+def _joining_links(num: int, den: int):
+    """Verified links between components, as few as join them within the rows."""
+    def handle(rows: pa.Table) -> Iterator[pa.RecordBatch]:
+        rep, comp = rows.column("rep").to_numpy(), rows.column("comp").to_numpy()
+        sets: dict[int, np.ndarray] = {}
+        parent = {c: c for c in comp.tolist()}
+
+        def root(c: int) -> int:
+            while parent[c] != c:
+                parent[c] = c = parent[parent[c]]
+            return c
+
+        def members(row: int) -> np.ndarray:
+            if row not in sets:
+                sets[row] = np.frombuffer(rows.column("set")[row].as_py(), np.uint64)
+            return sets[row]
+
+        out = []
+        for x, partners in _partners(rows, num, den):
+            for y in partners.tolist():
+                a, b = root(int(comp[x])), root(int(comp[y]))
+                if a != b and _alike(members(int(x)), members(y), num, den):
+                    parent[max(a, b)] = min(a, b)
+                    out.append((int(rep[x]), int(rep[y])))
+        if out:
+            yield pa.RecordBatch.from_pydict({"a": pa.array([p[0] for p in out], pa.int64()), "b": pa.array([p[1] for p in out], pa.int64())})
+    return _by_group(handle)
+
+
+def _rest(members: DataFrame, reps: DataFrame, found: DataFrame, docs: DataFrame, n: int, num: int, den: int) -> DataFrame | None:
+    """Links between components that share a bucket without a link to its
+    centre. ``found``: the components so far."""
+    blocks = _blocks(members, reps, found)
+    if blocks.isEmpty():
+        return None
+    group = ("key", "i", "j")
+    some = written(blocks.repartition(*group).sortWithinPartitions(*group).mapInArrow(_with_partners(num, den), blocks.schema), "nd-partners")
+    if some.isEmpty():
+        return None
+    sets = _set_table(some.select(F.col("rep").alias("doc_id")), docs, n)
+    wide = some.join(sets.withColumnRenamed("doc_id", "rep"), "rep").repartition(*group).sortWithinPartitions(*group, "rep")
+    return written(wide.mapInArrow(_joining_links(num, den), "a long, b long").distinct(), "nd-links")
+
+
 def near_duplicates(docs: DataFrame, shingle: int = 3, similarity: tuple[int, int] = (85, 100)) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for every row of ``docs``
     (doc_id long, text). Documents whose sets have a Jaccard similarity of at least
@@ -248,25 +298,16 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, similarity: tuple[int, in
     stars = members.where("rep <> centre").select(F.col("rep").alias("a"), F.col("centre").alias("b")).distinct()
     links = _verified(pruned(stars), docs, shingle, num, den)
     found = written(components(links), "nd-components")
-    for top in (TOP, None):
-        rest = _blocks(members, reps, found)
-        if rest.isEmpty():
-            break
-        pairs = (rest.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
-                 .mapInArrow(_across(num, den, top), "a long, b long").distinct())
-        more = _verified(pairs, docs, shingle, num, den)
-        if more.isEmpty():
-            if top is None:
-                break
-            continue
-        links = links.unionByName(more)
-        found = written(components(links), "nd-components")
+    more = _rest(members, reps, found, docs, shingle, num, den)
+    if more is not None and not more.isEmpty():
+        found = written(components(links.unionByName(more)), "nd-components")
 
     named = written(classes.join(found, classes.rep == found.node, "left")
                     .select(*key, F.coalesce("component", "rep").alias("component_id")), "nd-named")
     return (features.select("doc_id", *key).join(named, key, "left")
             .withColumn("component_id", F.coalesce("component_id", "doc_id"))
-            .select("doc_id", "n_shingles", "component_id", (F.col("doc_id") == F.col("component_id")).alias("kept")))
+            .select("doc_id", "n_shingles", "component_id",
+                    F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept")))
 
 
 def _blocks(members: DataFrame, reps: DataFrame, found: DataFrame) -> DataFrame:
@@ -285,3 +326,20 @@ def _blocks(members: DataFrame, reps: DataFrame, found: DataFrame) -> DataFrame:
     return written(blocked.withColumn("_o", other).select(
         "key", F.least("blk", "_o").alias("i"), F.greatest("blk", "_o").alias("j"), "blk", "band", "rep", "n", "comp", "centre", "sig"),
         "nd-blocks")
+
+
+def one_of_each(docs: DataFrame, shingle: int = 5, similarity: tuple[int, int] = (8, 10)) -> DataFrame:
+    """``docs`` with one document, that of the smallest id, of every
+    near-duplicate component; rows of one id are one document."""
+    judged = written(near_duplicates(docs, shingle, similarity), "nd-judged")
+    gone = judged.where("not kept").select("doc_id").distinct()
+    repeated = judged.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("doc_id")
+    special = written(gone.withColumn("gone", F.lit(True)).join(repeated, "doc_id", "full").select("doc_id", F.coalesce("gone", F.lit(False)).alias("gone")),
+                      "nd-special")
+    some, plain = split_by_ids(docs, special, "doc_id")
+    some = some.join(special.hint("merge"), "doc_id", "left").where("gone is null or not gone")
+    once = [c for c in docs.columns if c != "doc_id"]
+    single = some.where("gone is null").select(*docs.columns)
+    merged = (some.where("gone is not null").groupBy("doc_id").agg(F.min(F.struct(*once)).alias("_row")).select("doc_id", "_row.*")
+              .select(*docs.columns))
+    return plain.unionByName(single).unionByName(merged)
