@@ -55,19 +55,21 @@ def parse(formatted: Column) -> Column:
     points, from 0) of the escaped text. A text that breaks the grammar is null."""
     pieces = F.split(formatted, r"(?<!\\)</turn>\n", -1)
     pieces = F.slice(pieces, 1, F.size(pieces) - 1)
-    ends = F.aggregate(
+    starts = F.aggregate(
         pieces, F.array(F.lit(0)),
-        lambda acc, p: F.concat(acc, F.array(F.element_at(acc, -1) + F.length(p) + F.lit(len(TAIL) + 1))))
+        lambda acc, p: F.concat(acc, F.array(F.element_at(acc, -1) + F.length(p) + F.lit(len(TAIL) + 1))),
+        lambda acc: F.slice(acc, 1, F.size(acc) - 1))
 
-    def turn(piece: Column, i: Column) -> Column:
+    def turn(piece: Column, start: Column) -> Column:
         line = F.substring_index(piece, "\n", 1)
         role = F.substring(line, F.lit(len(HEAD) + 1), F.length(line) - F.lit(len(HEAD) + 1))
         body = F.substring(piece, F.length(line) + 2, F.length(piece) - F.length(line) - 2)
         good = line.startswith(HEAD) & line.endswith(":") & ~F.rlike(body, F.lit(_BARE))
         return F.struct(_role_in(role).alias("role"), F.when(good, _unescape(body)).alias("text"),
-                        (F.get(ends, i) + F.length(line) + 1).alias("start"), F.length(body).alias("length"))
+                        (start + F.length(line) + 1).alias("start"), F.length(body).alias("length"))
 
-    return F.transform(pieces, turn)
+    # Both arrays are evaluated once; a lambda that refers to them would do so for every turn.
+    return F.zip_with(pieces, starts, turn)
 
 
 def format_conversations(turns: DataFrame) -> DataFrame:
@@ -99,16 +101,15 @@ def format_conversations(turns: DataFrame) -> DataFrame:
     return done.select("conv_id", checked.alias("formatted"), "turns")
 
 
-def loss_text(formatted: Column, turns: Column, role: str = LOSS_ROLE) -> Column:
-    """Text under the loss mask: the spans of ``role``'s turns, unescaped, in order."""
-    spans = F.filter(turns, lambda t: t["role"] == F.lit(role))
-    return F.array_join(F.transform(spans, lambda t: _unescape(F.substring(formatted, t["start"] + 1, t["length"]))), "")
+def loss_text(turns: Column, role: str = LOSS_ROLE) -> Column:
+    """Text under the loss mask: the parsed spans of ``role``'s turns, unescaped, in order."""
+    return F.array_join(F.transform(F.filter(turns, lambda t: t["role"] == F.lit(role)), lambda t: t["text"]), "")
 
 
 def digests(formatted: DataFrame) -> DataFrame:
     """What the query returns, read back from the formatted texts."""
     line = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
-    loss = loss_text(F.col("formatted"), F.col("turns"))
+    loss = loss_text(F.col("turns"))
     return formatted.select(
         "conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(line, 256).alias("turns_sha256"),
         F.length(loss).cast("long").alias("loss_chars"), F.sha2(loss, 256).alias("loss_sha256"),
