@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlight.llm import decontam, minhash_dedup, mixing, pii, quality
-from ledgerlight.llm.common import table, written
+from ledgerlight.llm.common import reach_workers, table, written
 
 #: A stage rejects below a plain majority of the weighted votes: clean documents near the border stay.
 KEEP_SCORE = 0.5
@@ -21,6 +21,7 @@ KEEP_SCORE = 0.5
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier does not reject."""
+    reach_workers(spark)
     model = quality.fit(docs, table(spark, sf_dir, "labels", "doc_id", "quality"), F.lit(True))
     scored = quality.scored(docs, model, KEEP_SCORE)
     return scored.where("quality_pred = 1").select(*docs.columns)
@@ -28,22 +29,26 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of every near-duplicate group (5-word shingles, similarity 0.8)."""
+    reach_workers(spark)
     return minhash_dedup.one_of_each(docs, 5, (8, 10))
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no test item."""
+    reach_workers(spark)
     return decontam.clean(docs, table(spark, sf_dir, "benchmark", "item_id", "text"))
 
 
 def replace_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, personal data and secrets replaced; n_chars follows the text."""
+    reach_workers(spark)
     out = pii.pseudonymise(docs)
     return out.withColumn("n_chars", F.coalesce(F.length("text").cast("long"), F.col("n_chars"))).select(*docs.columns)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the mix takes, with how often (mix_copies)."""
+    reach_workers(spark)
     return mixing.mix_sources(docs).where("mix_copies > 0")
 
 

@@ -18,6 +18,19 @@ U64 = np.uint64
 SLICE_BYTES = 2 << 20
 
 
+#: The folder that holds the package.
+ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+
+def reach_workers(spark: SparkSession) -> None:
+    """Let Python workers import this package when the session was started
+    elsewhere: its folder goes on their path (executors must have it there)."""
+    env = spark.sparkContext.environment
+    path = env.get("PYTHONPATH", "")
+    if ROOT not in path.split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(p for p in (ROOT, path) if p)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
     return df.select(*cols) if cols else df
