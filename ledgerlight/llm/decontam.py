@@ -19,6 +19,11 @@ Document frequencies of terms are those of the whole benchmark. The index is
 broadcast in shards of at most about ``MAX_POSTINGS`` postings; a larger benchmark takes
 more scans, with the same result. Documents are not shuffled.
 
+Words are compared without regard to case, by Unicode (upper-cased, then
+case-folded: ``ß`` is ``SS``, ``É`` is ``é``), and without the punctuation, symbols and
+Unicode spaces at their edges (a word of nothing else stays); accents count. op9's
+contract (A-Z only, punctuation kept) holds for op9 alone.
+
 Defined cases: null or blank texts hold nothing; items without words match
 nothing; repeated items count once, different texts of one id are parts of one item; repeated documents are judged row by row; an item of
 one sentence is all question; empty tables give empty results.
@@ -27,8 +32,11 @@ one sentence is all question; empty tables give empty results.
 from __future__ import annotations
 
 import re
+import sys
+import unicodedata
 from collections import defaultdict
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -46,10 +54,34 @@ GRAM = 3
 K1, B = 1.2, 0.75
 MAX_POSTINGS = 1_000_000
 CHUNK_UNITS = 1024
+_WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+@lru_cache
+def _edges() -> str:
+    """Punctuation, symbols and Unicode spaces."""
+    return "".join(c for c in map(chr, range(sys.maxunicode + 1)) if unicodedata.category(c)[0] in "PSZ")
+
+
+def _trim(word: str) -> str:
+    return word if word[0].isalnum() and word[-1].isalnum() else word.strip(_edges()) or word
+
+
+def fold(text: bytes) -> bytes:
+    """UTF-8 with as many words, in one case and without punctuation at their edges."""
+    chars = text.decode("utf-8", "surrogateescape")
+    chars = chars.lower() if text.isascii() else chars.upper().casefold()
+    return " ".join(map(_trim, _WORD.findall(chars))).encode("utf-8", "surrogateescape")
+
+
+def folded(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Bytes and offsets of the folded texts."""
+    texts = [fold(data[a:b].tobytes()) for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist())]
+    return np.frombuffer(b"".join(texts), np.uint8), np.cumsum([0, *map(len, texts)])
 
 
 def hashed_words(text: str | None) -> np.ndarray:
-    data = np.frombuffer((text or "").encode("utf-8", "surrogatepass"), np.uint8)
+    data = np.frombuffer(fold((text or "").encode("utf-8", "surrogatepass")), np.uint8)
     starts, ends, _ = word_spans(data, np.array([0, len(data)]))
     return word_hashes(data, starts, ends)
 
@@ -169,6 +201,7 @@ class Index:
     def matches(self, data: np.ndarray, offsets: np.ndarray) -> dict[tuple[int, int], tuple[float, float, float, int]]:
         """(text, item) to (score, question overlap, answer overlap, first word of
         the passage), the best passage of each pair."""
+        data, offsets = folded(data, offsets)
         starts, ends, first = word_spans(data, offsets)
         words = word_hashes(data, starts, ends)
         size = np.diff(first)

@@ -162,3 +162,40 @@ def test_decontamination_empty(spark):
     items = spark.createDataFrame(ITEMS[2:4], "item_id long, text string")
     assert decontam.contaminated(docs, items).count() == 0 and decontam.clean(docs, items).count() == 1
     assert decontam.contaminated(docs.limit(0), spark.createDataFrame(ITEMS[:1], "item_id long, text string")).count() == 0
+
+
+FOREIGN = [(1, "¿Cuál es la montaña más alta de la región? Está en Ávila, según señalan Íñigo y Óscar."),
+           (2, "À l'été, où était né l'élève âgé ? Près d'Évian, à côté du château, là où coule l'Ève."),
+           (3, "Wofür müssen Käufer größere Äpfel während der Übergangszeit prüfen? Für übliche Fäule, natürlich außen.")]
+
+
+def plain_words(text):
+    """Words by str.lower (capitals of ß are SS), without punctuation at their edges."""
+    out = []
+    for w in text.lower().replace("ß", "ss").split():
+        while len(w) > 1 and not w[0].isalnum():
+            w = w[1:]
+        while len(w) > 1 and not w[-1].isalnum():
+            w = w[:-1]
+        out.append(w)
+    return out
+
+
+def test_decontamination_folds_case_and_edges_of_all_letters(spark):
+    pad = " ".join(f"füller{i}" for i in range(100))
+    texts = [f(t) for _, t in FOREIGN for f in (str, str.upper, str.title, lambda t: " ".join(f"«{w.strip('.,?¿')}»…" for w in t.split()))]
+    docs = [(i, f"{pad} {t}\n{pad}") for i, t in enumerate(texts)] + [(100, pad.upper()), (101, None)]
+    held = lambda t, item: f" {' '.join(plain_words(item))} " in f" {' '.join(plain_words(t or ''))} "
+    want = {(i, n) for i, t in docs for n, item in FOREIGN if held(t, item)}
+    assert {(4 * k + f, k + 1) for k in range(3) for f in (0, 1, 2)} <= want
+    df, items = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(FOREIGN, "item_id long, text string")
+    got = decontam.contaminated(df, items).collect()
+    assert {(r.doc_id, r.item_id) for r in got} == want | {(3, 1), (7, 2), (11, 3)}
+    assert all(r.score > 0.9 for r in got)
+    assert {r.doc_id for r in decontam.clean(df, items).collect()} == {100, 101}
+
+
+def test_decontamination_words_keep_their_number_and_accents():
+    fold = lambda t: decontam.fold(t.encode()).decode()
+    assert fold("ÉTÉ ! (Straße) — l'Œuvre, x_y C++ ... ") == "été strasse — l'œuvre x_y c ..."
+    assert fold("Ete") != fold("Été") and decontam.fold(b"\xff A\xc3") == b"\xff a\xc3"
