@@ -4,8 +4,10 @@ penalties, then calibrated by a temperature.
 
 Document frequencies come from all documents, pre-aggregated per task. The
 model is fitted on a hash sample of labelled rows, at most about
-``PER_LANGUAGE`` a language and ``MAX_TRAIN`` in all; a fifth of it is kept
-out of training to fit the temperature. Every document is then scored whole in
+``PER_LANGUAGE`` a language and ``MAX_TRAIN`` in all: with more than
+``MAX_TRAIN / PER_LANGUAGE`` languages each gives fewer, all down to the same number,
+and about ``LEAST`` each at least, even if the whole is more then. A fifth of it is
+kept out of training to fit the temperature. Every document is then scored whole in
 one scan without a shuffle: texts are featurised chunk by chunk, so memory is that of
 ``CHUNK_CHARS`` characters (or of one longer text).
 
@@ -25,10 +27,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import written
+
 DIM = 1 << 14
 ORDERS = (1, 2, 3)
 CHUNK_DOCS, CHUNK_CHARS = 128, 1 << 20
 PER_LANGUAGE, MAX_TRAIN = 300, 6000
+LEAST = 20
 ALPHA, BETA, L1, L2, EPOCHS = 0.5, 1.0, 0.02, 0.02, 4
 UNKNOWN = "und"
 _ODD = (np.uint32(0x9E3779B1), np.uint32(0x85EBCA6B), np.uint32(0xC2B2AE35))
@@ -118,8 +123,8 @@ def _sparse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             counts += np.split(n.astype(np.int32), cuts)
             some += has.tolist()
         yield pa.RecordBatch.from_arrays(
-            [batch.column("lang"), batch.column("h"), pa.array(grams, pa.list_(pa.int32())), pa.array(counts, pa.list_(pa.int32()))],
-            names=["lang", "h", "grams", "counts"]).filter(pa.array(some, pa.bool_()))
+            [batch.column("lang"), batch.column("h"), batch.column("rank"), pa.array(grams, pa.list_(pa.int32())), pa.array(counts, pa.list_(pa.int32()))],
+            names=["lang", "h", "rank", "grams", "counts"]).filter(pa.array(some, pa.bool_()))
 
 
 def _softmax(z: np.ndarray) -> np.ndarray:
@@ -185,13 +190,16 @@ def fit(docs: DataFrame, learn: Column, per_language: int = PER_LANGUAGE, max_tr
     """Fit on ``docs`` (doc_id, text, lang); only rows for which ``learn`` holds and
     lang is known are learned from. None if there are none with a letter."""
     labelled = docs.where(learn & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    sizes = labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("_rows"))
+    sizes = written(labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("_rows")), "li-sizes")
+    most = max(max_train, LEAST * sizes.count())
     h = F.shiftrightunsigned(F.xxhash64("doc_id", F.lit(23)), 11) / F.lit(float(1 << 53))
-    # The per-language rate thins every language alike over its ids; languages are few.
+    # The per-language rate thins every language over its ids to as many rows as any other,
+    # and the limit cuts by the place in the language, so it shortens all alike; languages are few.
     sample = (labelled.join(F.broadcast(sizes), "lang").withColumn("h", h)
-              .where(F.col("h") * F.col("_rows") < per_language).select("lang", "h", "text")
-              .mapInArrow(_sparse, "lang string, h double, grams array<int>, counts array<int>")
-              .orderBy("h", "lang").limit(max_train).collect())
+              .withColumn("rank", F.col("h") * F.col("_rows")).where(F.col("rank") < per_language).select("lang", "h", "rank", "text")
+              .mapInArrow(_sparse, "lang string, h double, rank double, grams array<int>, counts array<int>")
+              .orderBy("rank", "h", "lang").limit(most).collect())
+    sample.sort(key=lambda r: (r["h"], r["lang"].encode()))
     if not sample:
         return None
     idf = idf_of(docs)
@@ -203,6 +211,8 @@ def fit(docs: DataFrame, learn: Column, per_language: int = PER_LANGUAGE, max_tr
     held, kept = rows[::5], [r for i, r in enumerate(rows) if i % 5]
     if len(rows) < 5 * len(names):
         held, kept = [], rows
+    learned = {y for *_, y in kept}
+    kept = kept + [r for r in held if r[2] not in learned]         # no language is only held out
     w, b = train_ftrl(kept, len(names))
     heat = temperature(np.array([x @ w[g] + b for g, x, _ in held]), np.array([y for *_, y in held], int)) if held else 1.0
     return Model(names, idf, w, b, heat)

@@ -118,3 +118,23 @@ def test_langid_edges(spark):
     got = [(r.doc_id, r.lang_pred, r.score) for r in langid.identify(docs, model).collect()]
     assert len(got) == 7 and {(d, p) for d, p, _ in got if d in (1, 2, 3, 4)} == {(1, "aa"), (2, "bb"), (3, "und"), (4, "und")}
     assert all(s == 0 for d, p, s in got if p == "und") and langid.identify(docs.limit(0), model).count() == 0
+
+
+def test_langid_limit_shortens_all_languages_alike(spark, monkeypatch):
+    """20 languages of 600 rows, 9 of 20 and one of 1, where the limit holds a third of the thinned rows."""
+    size = {chr(0x430 + k): 600 if k < 20 else 20 if k < 29 else 1 for k in range(30)}
+    texts = [(c * 3 + " " + c * (1 + i % 5), c) for c, n in size.items() for i in range(n)]
+    docs = spark.createDataFrame([(i, t, c) for i, (t, c) in enumerate(texts)], "doc_id long, text string, lang string")
+    real, seen = langid.train_ftrl, []
+    monkeypatch.setattr(langid, "train_ftrl", lambda rows, classes: seen.append(rows) or real(rows, classes))
+    monkeypatch.setattr(langid, "LEAST", 2, raising=False)
+    model = langid.fit(docs, F.lit(True), per_language=30, max_train=300)
+    learned = np.bincount([y for *_, y in seen[0]], minlength=30)
+    assert model.names == sorted(size) and 240 <= len(seen[0]) <= 260
+    assert learned[29] == 1 and learned[:29].min() >= 3 and learned[20:29].mean() > 0.7 * learned[:20].mean()
+    got = langid.identify(docs.select("doc_id", "text"), model).join(docs, "doc_id").select("lang", "lang_pred").distinct().collect()
+    # One row is learned from, but too few to be told apart for certain.
+    assert {(r.lang, r.lang_pred) for r in got if size[r.lang] > 1} == {(c, c) for c in size if size[c] > 1}
+    # Many languages: the limit gives way, every language is learned.
+    monkeypatch.setattr(langid, "LEAST", 10)
+    assert langid.fit(docs, F.lit(True), per_language=30, max_train=20).names == sorted(size)
