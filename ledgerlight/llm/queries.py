@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, decontam, langid, minhash_dedup, mixing, pii, quality, topk_search, url_filter, warc
+from . import chat_format, context_tree, decontam, importance, infill, langid, minhash_dedup, mixing, pii, quality, topk_search, url_filter, warc
 from .common import reach_workers, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -178,3 +178,66 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents with surrogates for personal data and secrets."""
     return pii.pseudonymise(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+@query("op11_context_tree")
+def op11_context_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's score by context-tree weighting, and by single words."""
+    rest = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5
+    scored = context_tree.score_documents(table(spark, sf_dir, "documents", "doc_id", "text"), rest != 1)
+    return scored.select("doc_id", F.coalesce(rest == 1, F.lit(False)).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+@query("op12_importance", r"""
+WITH e AS (SELECT list(list_reduce(list_prepend(i, [0, 0, 0, 0, 0, 0, 0, 0]),
+             lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS t
+           FROM (SELECT unnest(range(256)) AS i)),
+w AS MATERIALIZED (
+  SELECT 'd' AS side, rid, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                  '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS w
+  FROM (SELECT row_number() OVER () AS rid, text FROM documents)
+  UNION ALL
+  SELECT 'b', 0, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) FROM benchmark),
+c AS MATERIALIZED (
+  SELECT w, xor(list_reduce(list_prepend(4294967295, list_transform(range(CAST(octet_length(encode(w)) AS BIGINT)),
+                  lambda i: CAST('0x' || substr(hex(encode(w)), CAST(2 * i + 1 AS BIGINT), 2) AS BIGINT))),
+                lambda a, b: xor(a >> 8, t[1 + (xor(a, b) & 255)])), 4294967295) % 10000 AS bucket
+  FROM (SELECT DISTINCT w FROM w), e),
+n AS (SELECT bucket, count(*) FILTER (side = 'd') AS s, count(*) FILTER (side = 'b') AS t FROM w JOIN c USING (w) GROUP BY bucket),
+a AS (SELECT CAST(coalesce(sum(s), 0) AS BIGINT) AS s_all, CAST(coalesce(sum(t), 0) AS BIGINT) AS t_all FROM n),
+g AS (SELECT bucket, CAST(floor(1000 * ln(CAST((t + 1) * (s_all + 10000) AS DOUBLE) / CAST((s + 1) * (t_all + 10000) AS DOUBLE))) AS BIGINT) AS gain FROM n, a),
+f AS (SELECT rid, count(*) AS n, CAST(sum(gain) AS BIGINT) AS weight FROM w JOIN c USING (w) JOIN g USING (bucket) WHERE side = 'd' GROUP BY rid),
+d AS (
+  SELECT rid, doc_id, coalesce(n, 0) AS n_features, coalesce(weight, 0) AS weight,
+         coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln((CAST(CAST('0x' || substr(sha256('2024:' || doc_id), 1, 8) AS BIGINT) AS DOUBLE) + 0.5) / 4294967296))) AS BIGINT) AS score
+  FROM (SELECT row_number() OVER () AS rid, doc_id FROM documents) LEFT JOIN f USING (rid)),
+r AS (SELECT rid, row_number() OVER (ORDER BY score DESC, doc_id, n_features) AS place, count(*) OVER () AS many
+      FROM d WHERE n_features >= 20 AND doc_id IS NOT NULL)
+SELECT doc_id, n_features, weight, score, CASE WHEN place <= 10 * many // 100 THEN place END AS rank FROM d LEFT JOIN r USING (rid)""")
+def op12_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents weighed towards the benchmark's texts, a tenth of the longer ones drawn."""
+    return importance.resample(table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "benchmark", "text"))
+
+
+@query("op13_infill", r"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS u,
+         list_transform(range(4), lambda i: CAST('0x' || substr(sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')), CAST(8 * i + 1 AS BIGINT), 8) AS BIGINT)) AS h
+  FROM documents),
+k AS (
+  SELECT *, CAST(len(u) AS BIGINT) AS n, least(h[1] % (len(u) + 1), h[2] % (len(u) + 1)) AS i, greatest(h[1] % (len(u) + 1), h[2] % (len(u) + 1)) AS j,
+         CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h[3] % 100 >= 90 THEN 'plain'
+              WHEN h[4] % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+  FROM d),
+p AS (SELECT *, array_to_string(u[1:i], '') AS pre, array_to_string(u[i + 1:j], '') AS mid, array_to_string(u[j + 1:], '') AS suf FROM k)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN CAST(length(pre) AS BIGINT) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN CAST(length(mid) AS BIGINT) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid
+                        ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256, sha256(text) AS restored_sha256
+FROM p""")
+def op13_infill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents cut for filling in the middle, and read back."""
+    made = infill.fill_in_middle(table(spark, sf_dir, "documents", "doc_id", "text"))
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+                       F.sha2("restored", 256).alias("restored_sha256"))
