@@ -44,6 +44,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -341,7 +342,7 @@ def _dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows with the number of their block: so many bytes of one task's rows."""
     task, done = TaskContext.get().partitionId() << 32, 0
     for batch in batches:
-        size = pa.compute.fill_null(pa.compute.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False).astype(np.int64) + 64
+        size = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False).astype(np.int64) + 64
         block = task + (done + np.cumsum(size) - size) // BLOCK_BYTES
         done += int(size.sum())
         yield pa.RecordBatch.from_arrays([pa.array(block), *batch.columns], names=["block", *batch.schema.names])
