@@ -15,7 +15,7 @@ A-Z are lower-cased, for tokens and bytes alike. A text is preceded by and ends
 
 How it runs, with nothing whole in one place:
 
-1. Documents go to the shared folder in blocks of about ``BLOCK_BYTES`` of text.
+1. Documents go to the shared folder in blocks of about ``BLOCK_BYTES`` of text, compressed.
 2. Each block sends the byte strings of ``DEPTH`` + 1 that occur in it and its words, with
    how often they do in learned texts (0 for texts only scored). They are summed over blocks.
 3. The trees are weighed from the longest contexts up. Byte strings meet by their last
@@ -44,17 +44,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import U64, scratch, slices, word_hashes, word_spans, written
+from .common import U64, slices, word_hashes, word_spans, written
 
 #: Bytes of context (3 to 7), and how many of them the deep groups share.
 DEPTH, NEAR = 5, 3
 BLOCK_BYTES = 64 << 20
-SLICE = 4 << 20
+#: Bytes of text that are packed into one row of a block.
+PACK_BYTES = 1 << 20
 MERGE_ROWS = 1 << 22
 #: Rows of whole groups that are weighed at a time.
 GROUP_ROWS = 1 << 19
@@ -338,25 +338,35 @@ def log_probabilities(counts: DataFrame, depth: int = DEPTH, near: int = NEAR) -
 
 # --- documents -----------------------------------------------------------------------
 
+def _packed(rows: pa.RecordBatch) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, rows.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+        out.write_batch(rows)
+    return sink.getvalue().to_pybytes()
+
+
+def _unpacked(packs: pa.Array) -> Iterator[pa.RecordBatch]:
+    for pack in packs:
+        yield from pa.ipc.open_stream(pack.as_buffer())
+
+
 def _dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows with the number of their block: so many bytes of one task's rows."""
+    """Compressed packs of rows, with the number of their block: so many bytes of one task's rows."""
     task, done = TaskContext.get().partitionId() << 32, 0
     for batch in batches:
-        size = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False).astype(np.int64) + 64
-        block = task + (done + np.cumsum(size) - size) // BLOCK_BYTES
-        done += int(size.sum())
-        yield pa.RecordBatch.from_arrays([pa.array(block), *batch.columns], names=["block", *batch.schema.names])
+        for a, b, data, _ in slices(batch.column("text"), PACK_BYTES):
+            block = task + done // BLOCK_BYTES
+            done += len(data) + 64 * (b - a)
+            yield pa.RecordBatch.from_arrays([pa.array([block]), pa.array([_packed(batch.slice(a, b - a))], pa.binary())], names=["block", "pack"])
 
 
-def in_blocks(docs: DataFrame, learn: Column) -> DataFrame:
-    """block, doc_id, text and learn of all rows, in the shared folder."""
-    kind = dict(docs.dtypes)["doc_id"]
+def in_blocks(docs: DataFrame, learn: Column) -> tuple[DataFrame, int]:
+    """(block, pack) of all rows, in the shared folder, and how many are learned from."""
     picked = docs.select("doc_id", "text", F.coalesce(learn, F.lit(False)).alias("learn"))
-    size = docs.agg(F.sum(F.octet_length("text") + 64)).first()[0] or 0
-    path = scratch(docs.sparkSession, "ct-blocks")
-    few = picked.coalesce(max(1, round(size / BLOCK_BYTES)))           # a task writes about one block
-    few.mapInArrow(_dealt, f"block long, doc_id {kind}, text string, learn boolean").write.option("compression", "zstd").parquet(path)
-    return docs.sparkSession.read.schema(f"block long, doc_id {kind}, text string, learn boolean").parquet(path)
+    size, learned = picked.agg(F.sum(F.octet_length("text") + 64), F.count_if("learn")).first()
+    # A task writes about one block.
+    packs = picked.coalesce(max(1, round((size or 0) / BLOCK_BYTES))).mapInArrow(_dealt, "block long, pack binary")
+    return written(packs, "ct-blocks"), learned
 
 
 def _strings(depth: int):
@@ -370,15 +380,12 @@ def _strings(depth: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, counter = None, Counter()
         for batch in batches:
-            blocks = batch.column("block").to_numpy()
-            cuts = np.concatenate([[0], np.flatnonzero(blocks[1:] != blocks[:-1]) + 1, [len(blocks)]]) if len(blocks) else np.zeros(1, int)
-            for lo, hi in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
-                if last is not None and blocks[lo] != last:
+            for block, rows_of in zip(batch.column("block").to_pylist(), _unpacked(batch.column("pack"))):
+                if last is not None and block != last:
                     yield from rows(last, counter)
                     counter = Counter()
-                last = int(blocks[lo])
-                learn = batch.column("learn")[lo:hi].to_numpy(zero_copy_only=False)
-                for a, b, data, offsets in slices(batch.column("text")[lo:hi], SLICE):
+                last, learn = block, rows_of.column("learn").to_numpy(zero_copy_only=False)
+                for a, b, data, offsets in slices(rows_of.column("text")):
                     keys, first = string_keys(data, offsets, depth)
                     words, of = word_keys(data, offsets)
                     for k, size in ((keys, np.diff(np.append(first, len(keys)))), (words, np.diff(of))):
@@ -420,17 +427,17 @@ def _score(depth: int, total: int, distinct: int, ends: int):
         find_string = Lookup(keys[cut:], values[cut:])
         scale = np.log10(total + 0.5 * (distinct + 1))
         out = []
-        left = left.combine_chunks()
-        for a, b, data, offsets in slices(left.column("text"), SLICE):
-            keys, first = string_keys(data, offsets, depth)
-            score = np.add.reduceat(find_string(keys), first)
-            words, of = word_keys(data, offsets)
-            text = np.repeat(np.arange(b - a), np.diff(of))
-            c = find_word(words) if len(words) else np.zeros(0)
-            known = np.bincount(text[c > 0], minlength=b - a) + (ends > 0)
-            base = np.bincount(text, np.log10(c + 0.5) - scale, minlength=b - a) + (np.log10(ends + 0.5) - scale)
-            out.append(pa.table({"doc_id": left.column("doc_id")[a:b], "n_tokens": pa.array(np.diff(of) + 1), "n_known": pa.array(known.astype(np.int64)),
-                                 "base_score": pa.array(base), "score": pa.array(score)}))
+        for rows in _unpacked(left.column("pack")):
+            for a, b, data, offsets in slices(rows.column("text")):
+                keys, first = string_keys(data, offsets, depth)
+                score = np.add.reduceat(find_string(keys), first)
+                words, of = word_keys(data, offsets)
+                text = np.repeat(np.arange(b - a), np.diff(of))
+                c = find_word(words) if len(words) else np.zeros(0)
+                known = np.bincount(text[c > 0], minlength=b - a) + (ends > 0)
+                base = np.bincount(text, np.log10(c + 0.5) - scale, minlength=b - a) + (np.log10(ends + 0.5) - scale)
+                out.append(pa.table({"doc_id": rows.column("doc_id")[a:b], "n_tokens": pa.array(np.diff(of) + 1), "n_known": pa.array(known.astype(np.int64)),
+                                     "base_score": pa.array(base), "score": pa.array(score)}))
         return pa.concat_tables(out)
 
     return run
@@ -439,16 +446,15 @@ def _score(depth: int, total: int, distinct: int, ends: int):
 def score_documents(docs: DataFrame, learn: Column, depth: int = DEPTH, near: int = NEAR) -> DataFrame:
     """doc_id, n_tokens, n_known, train_tokens, base_score and score of every row of
     ``docs`` (doc_id, text); the model learns from the rows for which ``learn`` holds."""
-    blocks = in_blocks(docs, learn)
+    blocks, ends = in_blocks(docs, learn)
     held = written(blocks.mapInArrow(_strings(depth), "block long, key long, n long"), "ct-strings")
     counts = written(held.groupBy("key").agg(F.sum("n").alias("n")), "ct-counts")
     words, strings = counts.where("key < 0"), counts.where("key >= 0")
-    ends = blocks.where("learn").count()
     row = words.agg(F.sum("n"), F.count(F.when(F.col("n") > 0, 1))).first()
     total, distinct = (row[0] or 0) + ends, row[1] + (ends > 0)
     values = words.select("key", F.col("n").cast("double").alias("value")).unionByName(log_probabilities(strings, depth, near))
     sent = held.select("block", "key").join(values, "key").select("block", "key", "value")
     kind = dict(docs.dtypes)["doc_id"]
-    scored = (blocks.select("block", "doc_id", "text").groupBy("block").cogroup(sent.groupBy("block"))
+    scored = (blocks.groupBy("block").cogroup(sent.groupBy("block"))
               .applyInArrow(_score(depth, total, distinct, ends), f"doc_id {kind}, n_tokens long, n_known long, base_score double, score double"))
     return scored.select("doc_id", "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"), "base_score", "score")
