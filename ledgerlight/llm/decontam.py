@@ -74,16 +74,48 @@ def fold(text: bytes) -> bytes:
     return " ".join(map(_trim, _WORD.findall(chars))).encode("utf-8", "surrogateescape")
 
 
-def folded(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Bytes and offsets of the folded texts."""
-    texts = [fold(data[a:b].tobytes()) for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist())]
-    return np.frombuffer(b"".join(texts), np.uint8), np.cumsum([0, *map(len, texts)])
+_EDGE = np.zeros(256, bool)
+_EDGE[[b for b in range(33, 127) if not chr(b).isalnum()]] = True
+
+
+def folded_words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The hash of every word as ``fold`` leaves it, and per text the index of its first
+    word. ASCII and the letters U+00C0 to U+00FF but for U+00DF are folded and trimmed as
+    bytes; each other distinct word goes through ``fold`` once."""
+    starts, ends, first = word_spans(data, offsets)
+    if not len(starts):
+        return np.zeros(0, np.uint64), first
+    # The letters with two bytes, of which the first is C3; 97 and B7 are the signs for times and divided, 9F has no single capital.
+    lead = data == 0xC3
+    after = np.zeros(len(data), bool)
+    after[1:] = lead[:-1]
+    plain = after & (data >= 0x80) & (data <= 0xBF) & (data != 0x97) & (data != 0x9F) & (data != 0xB7)
+    other = (data >= 0x80) & ~lead & ~plain
+    other[:-1] |= lead[:-1] & ~plain[1:]
+    other[-1] |= lead[-1]
+    before = np.zeros(len(data) + 1, np.int32)
+    np.cumsum(other, out=before[1:])
+    odd = before[ends] > before[starts]
+    lower = data + np.where(plain & (data <= 0x9E), np.uint8(0x20), np.uint8(0))
+    # Without the punctuation at its edges, unless it is nothing else.
+    solid = ~_EDGE[data]
+    np.cumsum(solid, out=before[1:])
+    at = np.append(np.flatnonzero(solid), 0)
+    some = before[ends] > before[starts]
+    a, b = np.where(some, at[before[starts]], starts), np.where(some, at[before[ends] - 1] + 1, ends)
+    out = word_hashes(lower, a, b)
+    if odd.any():
+        at = np.flatnonzero(odd)
+        _, one, which = np.unique(word_hashes(data, starts[at], ends[at]), return_index=True, return_inverse=True)
+        words = [fold(data[x:y].tobytes()) for x, y in zip(starts[at[one]].tolist(), ends[at[one]].tolist())]
+        stops = np.cumsum([len(w) for w in words])
+        out[at] = word_hashes(np.frombuffer(b"".join(words), np.uint8), np.append(0, stops[:-1]), stops)[which]
+    return out, first
 
 
 def hashed_words(text: str | None) -> np.ndarray:
-    data = np.frombuffer(fold((text or "").encode("utf-8", "surrogatepass")), np.uint8)
-    starts, ends, _ = word_spans(data, np.array([0, len(data)]))
-    return word_hashes(data, starts, ends)
+    data = np.frombuffer((text or "").encode("utf-8", "surrogatepass"), np.uint8)
+    return folded_words(data, np.array([0, len(data)]))[0]
 
 
 def split_item(text: str | None) -> tuple[str, str]:
@@ -201,9 +233,7 @@ class Index:
     def matches(self, data: np.ndarray, offsets: np.ndarray) -> dict[tuple[int, int], tuple[float, float, float, int]]:
         """(text, item) to (score, question overlap, answer overlap, first word of
         the passage), the best passage of each pair."""
-        data, offsets = folded(data, offsets)
-        starts, ends, first = word_spans(data, offsets)
-        words = word_hashes(data, starts, ends)
+        words, first = folded_words(data, offsets)
         size = np.diff(first)
         # Units of UNIT words per text; a passage is a unit and the next one of its text.
         units = np.maximum(-(-size // UNIT), 0)

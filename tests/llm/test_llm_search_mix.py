@@ -199,3 +199,20 @@ def test_decontamination_words_keep_their_number_and_accents():
     fold = lambda t: decontam.fold(t.encode()).decode()
     assert fold("ÉTÉ ! (Straße) — l'Œuvre, x_y C++ ... ") == "été strasse — l'œuvre x_y c ..."
     assert fold("Ete") != fold("Été") and decontam.fold(b"\xff A\xc3") == b"\xff a\xc3"
+
+
+def test_word_folding_by_bytes_equals_folding_by_characters():
+    import random
+
+    import pyarrow as pa
+
+    from ledgerlight.llm.common import slices, word_hashes, word_spans
+    rng = random.Random(3)
+    pool = "aZé É÷×ßçÀÿŸ—…  .,!?-'\"()_~$ \t\n0٣Kıİŉ\u0301œŒ\U0001F600\x01\x7fÃ\u0085ñΣς"
+    texts = ["".join(rng.choice(pool) for _ in range(rng.randint(0, 60))) for _ in range(3000)] + [None, "", " ", "..."]
+    for _, _, data, offsets in slices(pa.array(texts), 1 << 12):
+        got, first = decontam.folded_words(data, offsets)
+        whole = [decontam.fold(data[a:b].tobytes()) for a, b in zip(offsets[:-1], offsets[1:])]
+        joined, cuts = np.frombuffer(b"".join(whole), np.uint8), np.cumsum([0, *map(len, whole)])
+        starts, ends, of = word_spans(joined, cuts)
+        assert (first == of).all() and (got == word_hashes(joined, starts, ends)).all()
