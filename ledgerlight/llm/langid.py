@@ -2,8 +2,8 @@
 character n-grams, trained by follow-the-regularised-leader with elastic-net
 penalties, then calibrated by a temperature.
 
-Document frequencies come from all documents, pre-aggregated per task. The
-model is fitted on a hash sample of labelled rows, at most about
+Document frequencies come from all rows that may be learned from (text and language
+known), pre-aggregated per task. The model is fitted on a hash sample of labelled rows, at most about
 ``PER_LANGUAGE`` a language and ``MAX_TRAIN`` in all: with more than
 ``MAX_TRAIN / PER_LANGUAGE`` languages each gives fewer, all down to the same number,
 and about ``LEAST`` each at least, even if the whole is more then. A fifth of it is
@@ -106,7 +106,7 @@ def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def idf_of(docs: DataFrame) -> np.ndarray:
-    """Inverse document frequency of the ``DIM`` n-gram indexes over all documents."""
+    """Inverse document frequency of the ``DIM`` n-gram indexes over all of ``docs``."""
     rows = (docs.select("text").mapInArrow(_frequencies, "gram long, df long").groupBy("gram").agg(F.sum("df").alias("df")).collect())
     found = {r["gram"]: r["df"] for r in rows}
     df = np.array([found.get(i, 0) for i in range(DIM)], float)
@@ -202,7 +202,7 @@ def fit(docs: DataFrame, learn: Column, per_language: int = PER_LANGUAGE, max_tr
     sample.sort(key=lambda r: (r["h"], r["lang"].encode()))
     if not sample:
         return None
-    idf = idf_of(docs)
+    idf = idf_of(labelled)
     names = sorted({r["lang"] for r in sample}, key=str.encode)
     rows = []
     for r in sample:

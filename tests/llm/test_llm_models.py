@@ -138,3 +138,14 @@ def test_langid_limit_shortens_all_languages_alike(spark, monkeypatch):
     # Many languages: the limit gives way, every language is learned.
     monkeypatch.setattr(langid, "LEAST", 10)
     assert langid.fit(docs, F.lit(True), per_language=30, max_train=20).names == sorted(size)
+
+
+def test_language_model_learns_nothing_from_held_out_rows(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text", "lang")
+    held = F.col("doc_id") % 3 == 0
+    changed = docs.withColumn("text", F.when(held, F.lit("zzz qqq")).otherwise(F.col("text"))).withColumn(
+        "lang", F.when(F.col("doc_id") % 7 == 1, F.lit(None)).otherwise(F.col("lang")))
+    same = docs.withColumn("lang", F.when(F.col("doc_id") % 7 == 1, F.lit(None)).otherwise(F.col("lang")))
+    a, b = langid.fit(same, ~held), langid.fit(changed, ~held)
+    assert a.names == b.names and a.heat == b.heat
+    assert (a.weights == b.weights).all() and (a.bias == b.bias).all() and (a.idf == b.idf).all()
