@@ -135,8 +135,8 @@ d AS (
       1 + CAST((CAST('0x' || substr(hex, CAST(1 + 5 * (i // 4) AS BIGINT), 5) AS BIGINT) >> CAST(15 - 5 * (i % 4) AS INTEGER)) & 31 AS BIGINT), 1)), '') AS payload_digest
   FROM h)
 SELECT page_id, payload_bytes, payload_digest,
-       CASE WHEN page_id = min(page_id) OVER w THEN 'response' ELSE 'revisit' END AS record_type,
-       CASE WHEN page_id <> min(page_id) OVER w THEN min(page_id) OVER w END AS refers_to
+       CASE WHEN page_id IS NOT DISTINCT FROM min(page_id) OVER w THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id IS DISTINCT FROM min(page_id) OVER w THEN min(page_id) OVER w END AS refers_to
 FROM d WINDOW w AS (PARTITION BY payload_digest)""")
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All pages as legacy archives, converted to WARC and read back."""

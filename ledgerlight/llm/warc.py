@@ -14,8 +14,9 @@ separator closes a record, to the shared folder, and read as binary files of
 about ``FILE_BYTES``: a task's memory does not grow with the input.
 
 Defined cases: null html is empty; null urls are written as ``unknown:``, and blanks in urls as ``%20``
-(the header line is split on them); rows without page_id have no record; rows of one page_id
-are all kept, and of those with one payload all are responses; an empty table
+(the header line is split on them); rows without page_id have the key ``-`` in the archives: they
+revisit a row with an id and their payload, and are responses where there is none; rows of
+one page_id are all kept, and of those with one payload all are responses; an empty table
 gives an empty result.
 """
 
@@ -41,6 +42,8 @@ FIELDS = {
     2: "URL IP-address Archive-date Content-type Result-code Checksum Location Offset Filename Archive-length",
 }
 _RECORD = "record string"
+#: Stands for a missing key.
+NO_KEY = "-"
 
 
 # --- ARC ------------------------------------------------------------------------------
@@ -111,13 +114,13 @@ def _archived(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for content in files["content"]:
             rows = []
             for r in parse_arc(gzip.decompress(content)):
-                key, sha = int(r["ip"]), digest(r["body"])
+                key, sha = None if r["ip"] == NO_KEY else int(r["ip"]), digest(r["body"])
                 rows.append((key, r["url"], iso_date(r["date"]), r["type"], r["status"], len(r["body"]), sha,
                              record_id(r["url"], r["date"], str(key), sha), r["body"].decode("utf-8")))
                 if len(rows) == 500:
-                    yield pd.DataFrame(rows, columns=_ARCHIVED)
+                    yield pd.DataFrame(rows, columns=_ARCHIVED).astype({"key": "Int64"})
                     rows = []
-            yield pd.DataFrame(rows, columns=_ARCHIVED)
+            yield pd.DataFrame(rows, columns=_ARCHIVED).astype({"key": "Int64"})
 
 
 _ARCHIVED = ["key", "url", "date", "type", "status", "bytes", "sha", "id", "body"]
@@ -127,14 +130,14 @@ def _warc_record() -> Column:
     """A WARC/1.1 record without its last newline, which the writer adds. A revisit
     has no block; its payload's length stands in an extension field."""
     line = lambda name, value: F.concat(F.lit(name + ": "), value, F.lit("\r\n"))
-    revisit = F.col("first") != F.col("key")
+    revisit = F.col("first").isNotNull() & ~F.col("first").eqNullSafe(F.col("key"))
     status = F.concat(F.lit("HTTP/1.0 "), F.col("status").cast("string"), F.lit(" OK\r\nContent-Type: "), F.col("type"), F.lit("\r\n\r\n"))
     block = F.when(revisit, status).otherwise(F.concat(status, F.col("body")))
     return F.concat(
         F.lit("WARC/1.1\r\n"), line("WARC-Type", F.when(revisit, F.lit("revisit")).otherwise(F.lit("response"))),
         line("WARC-Record-ID", F.concat(F.lit("<"), F.col("id"), F.lit(">"))), line("WARC-Date", F.col("date")),
         line("WARC-Target-URI", F.col("url")), line("Content-Type", F.lit("application/http; msgtype=response")),
-        line("WARC-Payload-Digest", F.concat(F.lit("sha1:"), F.col("sha"))), line("X-Source-Key", F.col("key").cast("string")),
+        line("WARC-Payload-Digest", F.concat(F.lit("sha1:"), F.col("sha"))), line("X-Source-Key", F.coalesce(F.col("key").cast("string"), F.lit(NO_KEY))),
         line("X-Payload-Length", F.col("bytes").cast("string")),
         F.when(revisit, F.concat(line("WARC-Profile", F.lit("http://netpreserve.org/warc/1.1/revisit/identical-payload-digest")),
                                  line("WARC-Refers-To", F.concat(F.lit("<"), F.col("first_id"), F.lit(">"))),
@@ -170,9 +173,10 @@ def _read_back(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                     payload = block[block.index(b"\r\n\r\n") + 4:]
                     if digest(payload) != sha or len(payload) != size:
                         raise ValueError(f"payload of {fields['WARC-Record-ID']} does not match its digest")
-                rows.append((int(fields["X-Source-Key"]), size, sha, kind, int(fields["X-Refers-To-Key"]) if kind == "revisit" else None))
+                key = fields["X-Source-Key"]
+                rows.append((None if key == NO_KEY else int(key), size, sha, kind, int(fields["X-Refers-To-Key"]) if kind == "revisit" else None))
             out = pd.DataFrame(rows, columns=["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"])
-            yield out.astype({"refers_to": "Int64"})
+            yield out.astype({"page_id": "Int64", "refers_to": "Int64"})
 
 
 # --- files ----------------------------------------------------------------------------
@@ -210,7 +214,7 @@ def write_arc(pages: DataFrame, path: str, version: int = 1, date: str = "202402
     """``pages`` (page_id, url, html) as ARC files, each with its version block."""
     url = F.regexp_replace(F.coalesce("url", F.lit("unknown:")), r"\s", "%20")
     body = F.coalesce("html", F.lit(""))
-    record = _arc_record(F.lit(version), url, F.lit(date), body, F.col("page_id").cast("string"))
+    record = _arc_record(F.lit(version), url, F.lit(date), body, F.coalesce(F.col("page_id").cast("string"), F.lit(NO_KEY)))
     _write(pages.select(record.alias("record")), arc_header(version, "pages.arc", date),
            *_sizes(pages, F.octet_length(body) + 120), path)
 
@@ -219,7 +223,7 @@ def convert(spark: SparkSession, arc_path: str, warc_path: str) -> None:
     """ARC files below ``arc_path`` to WARC files below ``warc_path``."""
     rows = _files(spark, arc_path).mapInPandas(
         _archived, "key long, url string, date string, type string, status int, bytes long, sha string, id string, body string")
-    several = written(rows.groupBy("sha").agg(F.min(F.struct("key", "id")).alias("f"), F.count(F.lit(1)).alias("n"), F.sum("bytes").alias("b")),
+    several = written(rows.groupBy("sha").agg(F.min(F.when(F.col("key").isNotNull(), F.struct("key", "id"))).alias("f"), F.count(F.lit(1)).alias("n"), F.sum("bytes").alias("b")),
                       "warc-payloads")
     n_bytes, n_records = several.agg(F.sum(F.col("b") + 700 * F.col("n")), F.sum("n")).first()
     copied = several.where("n > 1").select("sha", F.col("f.key").alias("first"), F.col("f.id").alias("first_id"))
@@ -241,7 +245,7 @@ def page_records(pages: DataFrame, version: int = 1) -> DataFrame:
     page_id, payload_bytes, payload_digest, record_type, refers_to."""
     spark = pages.sparkSession
     arcs, warcs = scratch(spark, "arc"), scratch(spark, "warc")
-    write_arc(pages.where("page_id is not null"), arcs, version)
+    write_arc(pages, arcs, version)
     convert(spark, arcs, warcs)
     remove(spark, arcs)
     return _files(spark, warcs).mapInPandas(

@@ -106,6 +106,14 @@ def test_pages_through_both_archives(spark, version):
         assert (r.record_type, r.refers_to) == (("response", None) if to == i else ("revisit", to))
 
 
+def test_pages_without_id(spark):
+    pages = spark.createDataFrame([(None, "http://a/", "x"), (4, "http://b/", "x"), (7, None, "x"), (None, None, "y"), (None, "http://c/", "y")],
+                                  "page_id long, url string, html string").repartition(2)
+    got = [(r.page_id, r.payload_digest == warc.digest(b"x"), r.record_type, r.refers_to) for r in warc.page_records(pages).collect()]
+    assert sorted(got, key=str) == sorted([(None, True, "revisit", 4), (4, True, "response", None), (7, True, "revisit", 4),
+                                           (None, False, "response", None), (None, False, "response", None)], key=str)
+
+
 def test_archive_files(spark):
     pages = spark.createDataFrame([(1, "http://a/", "x"), (2, "http://b/", "x")], "page_id long, url string, html string").coalesce(1)
     arcs, warcs = scratch(spark, "arc-test"), scratch(spark, "warc-test")
