@@ -48,14 +48,14 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import U64, slices, word_hashes, word_spans, written
+from .common import U64, mix, slices, word_spans, written
 
 #: Bytes of context (3 to 7), and how many of them the deep groups share.
 DEPTH, NEAR = 5, 3
 BLOCK_BYTES = 64 << 20
 #: Bytes of text that are packed into one row of a block.
-PACK_BYTES = 1 << 20
-MERGE_ROWS = 1 << 22
+PACK_BYTES = 1 << 18
+MERGE_ROWS = 1 << 19
 #: Rows of whole groups that are weighed at a time.
 GROUP_ROWS = 1 << 19
 END = 0xFF
@@ -121,10 +121,24 @@ def string_keys(data: np.ndarray, offsets: np.ndarray, depth: int = DEPTH) -> tu
     return keys[np.arange(first[-1]) + gap], first[:-1]
 
 
+_rng = np.random.default_rng(11)
+_BYTE = _rng.integers(1, 2 ** 63, 256, dtype=np.uint64) * U64(2) + U64(1)
+_BYTE[ord("A"):ord("Z") + 1] = _BYTE[ord("a"):ord("z") + 1]
+
+
 def word_keys(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """A negative key per word, and per text the index of its first word."""
+    """A negative key per word, a hash of its bytes, and per text the index of its first word."""
     starts, ends, first = word_spans(data, offsets)
-    return (word_hashes(data, starts, ends) | U64(1 << 63)).view(np.int64), first
+    if not len(starts):
+        return np.zeros(0, np.int64), first
+    size = ends - starts
+    before = np.cumsum(size) - size
+    place = np.arange(before[-1] + size[-1]) - np.repeat(before, size)
+    power = np.full(int(size.max()), 0x9E3779B97F4A7C15, np.uint64)
+    power[0] = 1
+    power = np.cumprod(power, dtype=np.uint64)
+    total = np.add.reduceat(_BYTE[data[np.repeat(starts, size) + place]] * power[place], before)
+    return (mix(total + size.astype(np.uint64)) | U64(1 << 63)).view(np.int64), first
 
 
 def summed(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -376,6 +390,7 @@ def _strings(depth: int):
         for a in range(0, len(keys), 1 << 16):
             part = keys[a:a + (1 << 16)]
             yield pa.RecordBatch.from_arrays([pa.array(np.full(len(part), block)), pa.array(part), pa.array(n[a:a + len(part)])], names=["block", "key", "n"])
+        pa.default_memory_pool().release_unused()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, counter = None, Counter()
@@ -398,42 +413,20 @@ def _strings(depth: int):
     return run
 
 
-class Lookup:
-    """Values by sorted key: one probe of a hash table, then a search for keys that lost their slot."""
-
-    def __init__(self, keys: np.ndarray, values: np.ndarray):
-        self.keys, self.values = keys, values
-        self.shift = U64(64 - max(8, int(4 * len(keys)).bit_length()))
-        self.slot = np.zeros(1 << int(64 - self.shift), np.int32)
-        self.slot[self._hash(keys)] = np.arange(len(keys), dtype=np.int32)
-
-    def _hash(self, keys: np.ndarray) -> np.ndarray:
-        return (keys.view(np.uint64) * U64(0x9E3779B97F4A7C15)) >> self.shift
-
-    def __call__(self, keys: np.ndarray) -> np.ndarray:
-        at = self.slot[self._hash(keys)]
-        lost = np.flatnonzero(self.keys[at] != keys)
-        if len(lost):
-            at[lost] = np.searchsorted(self.keys, keys[lost])
-        return self.values[at]
-
-
 def _score(depth: int, total: int, distinct: int, ends: int):
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        keys, first = np.unique(right.column("key").to_numpy(), return_index=True)       # a block that two tasks read sends its strings twice
+        # A block that two tasks read sends its strings twice. Every string and word of the block is among them.
+        names, first = np.unique(right.column("key").to_numpy(), return_index=True)
         values = right.column("value").to_numpy()[first]
-        cut = int(np.searchsorted(keys, 0))
-        find_word = Lookup(keys[:cut], values[:cut]) if cut else None
-        find_string = Lookup(keys[cut:], values[cut:])
         scale = np.log10(total + 0.5 * (distinct + 1))
         out = []
         for rows in _unpacked(left.column("pack")):
             for a, b, data, offsets in slices(rows.column("text")):
                 keys, first = string_keys(data, offsets, depth)
-                score = np.add.reduceat(find_string(keys), first)
+                score = np.add.reduceat(values[np.searchsorted(names, keys)], first)
                 words, of = word_keys(data, offsets)
                 text = np.repeat(np.arange(b - a), np.diff(of))
-                c = find_word(words) if len(words) else np.zeros(0)
+                c = values[np.searchsorted(names, words)]
                 known = np.bincount(text[c > 0], minlength=b - a) + (ends > 0)
                 base = np.bincount(text, np.log10(c + 0.5) - scale, minlength=b - a) + (np.log10(ends + 0.5) - scale)
                 out.append(pa.table({"doc_id": rows.column("doc_id")[a:b], "n_tokens": pa.array(np.diff(of) + 1), "n_known": pa.array(known.astype(np.int64)),
