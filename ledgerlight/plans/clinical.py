@@ -378,6 +378,25 @@ _OUTCOME_SQL = f"""outc AS (
 ORACLE["log_merge"] = Q.with_(Q.resolve_ctes(_BATCH_WHERE) + [_PREV_LOG_SQL, _OUTCOME_SQL]) + _merge_sql("outc")
 
 
+LOG_FILES = 16
+
+
+@query("log_merge_files", ORACLE["log_merge"])
+def log_merge_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same MERGE into a log kept as versions of files ranged by visit: only files
+    that hold a visit of the batch are written anew, the list carries the others on, and
+    the batch, merged again, changes nothing."""
+    from ..session import scratch_path
+    from ..sources import versions as V
+    t = Tables(spark, sf_dir)
+    root = scratch_path(spark, "log-versions")
+    V.overwrite(spark, root, earlier_log(t).repartitionByRange(LOG_FILES, "visit_instance_id", "subjectKey"), "earlier run")
+    batch = materialised(RV.outcome_rows(resolved_batch(t), C.ntz_literal(RUN_TIME)))
+    for _ in range(2):
+        V.merge(spark, root, batch, LOG_KEYS, LOG_UPDATES, f"run {RUN_TIME}", close_on=VISIT_KEYS)
+    return V.read(spark, root)
+
+
 @query("sync_visits_log")
 def sync_visits_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The incremental sync: retry the failed visits of the log, then the

@@ -188,3 +188,75 @@ SELECT 'i_' || studyKey AS table_name, * FROM env""")
 def bronze_visits_full(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The visits reloaded in full: every landed row, whatever the watermark."""
     return envelope_explode(spark, sf_dir).withColumn("table_name", F.concat(F.lit("i_"), F.col("studyKey")))
+
+
+# --------------------------------------------------- damaged and absent pages
+
+FAULT_PAGE = 50
+FAULT_FIELDS = ["event_id", "user_id", "props"]
+#: What happens to a page on its way (0 of 11: never landed, 2: cut short, 5: not JSON).
+_FATE_SQL = "(p * 7 + length({study})) % 11"
+
+
+def landed_with_faults(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events as numbered pages of 50, some of them absent or damaged, read back."""
+    t = Tables(spark, sf_dir)
+    rows = t.events.select("event_type", F.floor(F.col("event_id") / FAULT_PAGE).alias("p"), *FAULT_FIELDS)
+    fate = F.expr(_FATE_SQL.format(study="event_type"))
+    out = scratch_path(spark, "landed-faults")
+    L.land_numbered_pages(rows, "event_type", "p", FAULT_FIELDS, out, absent=fate.isin(0, 1), cut_short=fate == 2, garbled=fate == 5)
+    return L.read_checked(spark, out, FAULT_FIELDS)
+
+
+_FAULT_CTES = f"""WITH pg AS (SELECT DISTINCT event_type AS study, event_id // {FAULT_PAGE} AS p FROM events),
+tot AS (SELECT study, max(p) + 1 AS total FROM pg GROUP BY study),
+f AS (SELECT study, p, {_FATE_SQL.format(study='study')} AS fate FROM pg),
+told AS (SELECT study, total FROM tot WHERE study IN (SELECT study FROM f WHERE fate NOT IN (0, 1, 5)))"""
+
+
+@query("page_faults", _FAULT_CTES + """,
+every AS (SELECT study, unnest(range(total)) AS p FROM told),
+miss AS (SELECT study, p FROM every WHERE (study, p) NOT IN (SELECT (study, p) FROM f WHERE fate NOT IN (0, 1, 5))),
+bad AS (SELECT study, 'missing' AS kind, p FROM miss UNION ALL SELECT study, 'damaged', p FROM f WHERE fate = 2),
+isle AS (SELECT *, p - row_number() OVER (PARTITION BY study, kind ORDER BY p) AS g FROM bad)
+SELECT study AS "studyKey", kind, CAST(min(p) AS INTEGER) AS first_page, CAST(max(p) AS INTEGER) AS last_page, count(*) AS n_pages FROM isle GROUP BY study, kind, g
+UNION ALL SELECT study, 'damaged', NULL, NULL, count(*) FROM f WHERE fate = 5 GROUP BY study""")
+def page_faults(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of missing and of damaged pages per study, over landed pages of which
+    some are absent, some cut short and some no JSON."""
+    return L.page_faults(landed_with_faults(spark, sf_dir))
+
+
+@query("whole_page_rows", _FAULT_CTES + f"""
+SELECT e.event_type AS "studyKey", CAST(f.p AS INTEGER) AS page, count(*) AS n_rows, count(DISTINCT e.event_id) AS n_events,
+       min(e.event_id) AS first_event, max(CAST(e.user_id AS BIGINT)) AS last_user
+FROM events e JOIN f ON f.study = e.event_type AND f.p = e.event_id // {FAULT_PAGE} WHERE fate NOT IN (0, 1, 2, 5) GROUP BY ALL""")
+def whole_page_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of the pages that landed whole, summarised by page."""
+    rows = L.whole_rows(landed_with_faults(spark, sf_dir))
+    return rows.groupBy("studyKey", "page").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_distinct("event_id").alias("n_events"),
+        F.min(F.col("event_id").cast("long")).alias("first_event"), F.max(F.col("user_id").cast("long")).alias("last_user"))
+
+
+# --------------------------------------------------------- evolving versions
+
+@query("evolved_events", """
+SELECT event_id, ts, event_type, user_id, CASE WHEN event_type IN ('signup', 'error') THEN NULL ELSE value END AS value,
+       CAST(CASE WHEN event_type NOT IN ('click') THEN length(event_type) END AS BIGINT) AS type_chars,
+       CASE WHEN event_type IN ('signup', 'error') THEN props END AS props
+FROM events""")
+def evolved_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events appended in three commits of differing columns (an added one, a
+    missing one, one whose type widens) and read as the table's current version;
+    the last commit is replayed, which changes nothing."""
+    from ..sources import versions as V
+    events = Tables(spark, sf_dir).events
+    kind = F.coalesce(F.col("event_type"), F.lit(""))
+    first = events.where(kind == "click").select("event_id", "ts", "event_type", "user_id", "value")
+    second = events.where(~kind.isin("click", "signup", "error")).withColumn("type_chars", F.length("event_type").cast("int")).drop("props")
+    third = events.where(kind.isin("signup", "error")).withColumn("type_chars", F.length("event_type").cast("long")).drop("value")
+    root = scratch_path(spark, "events-versions")
+    for batch, rows in (("clicks", first), ("others", second), ("faults", third), ("faults", third)):
+        V.append(spark, root, rows, batch)
+    return V.read(spark, root)

@@ -53,7 +53,7 @@ BRONZE = {
         f"""SELECT event_type AS studyKey, {_PAGE.format("event_id")}, CAST(user_id AS STRING) AS subjectId, 'OID-' || CAST(user_id AS STRING) AS subjectOid,
         'Query' AS annotationType, 'Q-' || CAST(event_id AS STRING) AS annotationId, CASE WHEN event_id % 8 = 0 THEN 'Manual' ELSE 'Auto' END AS type,
         props AS description, CAST(event_id AS STRING) AS recordId, 'value' AS variable, {_KEY} AS subjectKey, ts AS dateCreated, ts AS dateModified,
-        CASE WHEN event_id % 12 = 0 THEN 'checked' END AS queryComments FROM {{events}} WHERE event_id % 4 = 0"""),
+        CASE WHEN event_id % 12 = 0 THEN 'checked' END AS queryComments FROM {{events}}"""),
     "records": BronzeTable(
         ("siteId", "subjectId", "formId", "formKey", "recordId", "recordType", "recordStatus", "deleted", "dateModified", "dateCreated", "intervalId",
          "subjectKey", "visitId", "parentRecordId"),
