@@ -17,6 +17,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .grouping import grouped_by_sets
+
 BUCKET = "_bucket"
 
 
@@ -39,13 +41,8 @@ def merged(bitmaps: DataFrame, sets, names, level: str = "level") -> DataFrame:
     """The bitmaps of every grouping set in ``sets`` (lists of columns, the first
     being number 0), OR-ed; ``level`` is the set's number.  A column that a set
     leaves out is NULL."""
-    every = list(dict.fromkeys(c for s in sets for c in s))
     aggs = [a for n in names for a in (F.bitmap_or_agg(n).alias(n), F.max(f"{n}__blank").alias(f"{n}__blank"))]
-    grouped = bitmaps.groupingSets([[F.col(c) for c in (*s, BUCKET)] for s in sets], *[F.col(c) for c in every], F.col(BUCKET))
-    out = grouped.agg(F.grouping_id(*every, BUCKET).alias("_gid"), *aggs)
-    number = {sum(1 << (len(every) - i) for i, c in enumerate(every) if c not in s): k for k, s in enumerate(sets)}
-    return out.withColumn(level, F.element_at(F.create_map(*[F.lit(x).cast(kind) for g, k in number.items() for x, kind in ((g, "long"), (k, "int"))]),
-                                              F.col("_gid"))).drop("_gid")
+    return grouped_by_sets(bitmaps, sets, aggs, always=(BUCKET,), level=level)
 
 
 def counts(bitmaps: DataFrame, groups, names) -> DataFrame:

@@ -536,6 +536,29 @@ SELECT study_key, visitid_instanceid, external_id, responsestatus FROM res
 ORDER BY study_key, CAST(visitid_instanceid AS BIGINT) LIMIT {PAGE_LIMIT} OFFSET {PAGE_OFFSET}"""
 
 
+#: Offsets of the pages that are sought; the last lies beyond the listing.
+SEEK_OFFSETS = (0, PAGE_OFFSET, 777, 10 ** 9)
+
+
+@query("visit_pages_by_seek", Q.with_(Q.resolve_ctes(_BATCH_WHERE) + [
+    "listing AS (SELECT study_key, visitid_instanceid, external_id, responsestatus, "
+    "row_number() OVER (ORDER BY study_key, CAST(visitid_instanceid AS BIGINT)) - 1 AS place FROM res)",
+    "o AS (SELECT unnest([" + ", ".join(str(x) for x in SEEK_OFFSETS) + "]) AS page_offset)"]) + f"""
+SELECT CAST(page_offset AS BIGINT) AS page_offset, place, study_key, visitid_instanceid, external_id, responsestatus
+FROM o JOIN listing ON place >= page_offset AND place < page_offset + {PAGE_LIMIT}""")
+def visit_pages_by_seek(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Several pages of the resolved batch's listing, ordered and written once; each page
+    reads only the ranges that it lies in."""
+    from ..operators.paging import write_paged
+    r = resolved_batch(Tables(spark, sf_dir)).select("study_key", "visitid_instanceid", "external_id", "responsestatus")
+    paged = write_paged(r, ["study_key", F.col("visitid_instanceid").cast("long")])
+    pages = [paged.page(PAGE_LIMIT, o, at="place").withColumn("page_offset", F.lit(o).cast("long")) for o in SEEK_OFFSETS]
+    out = pages[0]
+    for p in pages[1:]:
+        out = out.unionByName(p)
+    return out.select("page_offset", "place", "study_key", "visitid_instanceid", "external_id", "responsestatus")
+
+
 @query("visit_date_parse")
 def visit_date_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Visit-date text in either accepted layout -> ISO date; empty or

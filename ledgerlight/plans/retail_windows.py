@@ -12,6 +12,7 @@ from ..functions import calendar as C
 from ..functions.calendar import DateRange
 from ..operators import bitmaps as BM
 from ..operators import cumulative as CU
+from ..operators import lattice as LT
 from ..operators import measures as M
 from ..sources import retail as R
 from ..sources.tables import Tables
@@ -131,3 +132,49 @@ def store_counts_every_level(spark: SparkSession, sf_dir: str, sel: M.Selection
     name = F.element_at(F.array(*[F.lit(n) for n in LEVEL_NAMES]), F.col("level") + 1)
     long = found.select(name.alias("level"), *every, F.explode(F.array(*[F.struct(F.lit(n).alias("window"), F.col(n).alias("n_stores")) for n in wins])).alias("x"))
     return long.select("level", *every, "x.*").where("n_stores > 0")
+
+
+# ------------------------------------- filter removal at any axis, from a lattice
+
+LATTICE_SETS = (("retailer", "ssr", "store"), ("retailer", "ssr", "product"), ("retailer", "ssr"), ("retailer", "product"), ("retailer",), ("product",), ())
+#: Axis name: the columns of the report, and those whose filter is removed.
+TOGGLES = {"store": (("retailer", "ssr", "store"), ("store",)), "ssr": (("retailer", "ssr"), ("ssr",)), "ssr_store": (("retailer", "store"), ("store",)),
+           "product_in_ssr": (("retailer", "ssr", "product"), ("product",)), "product": (("product",), ("product",)),
+           "retailer_of_product": (("retailer", "product"), ("retailer",)), "ssr_of_product": (("ssr", "product"), ("ssr",)),
+           "everything": (("retailer", "ssr", "product"), ("retailer", "ssr", "product"))}
+_AXES = ("retailer", "ssr", "product", "store")
+
+
+def toggle_windows(sel: M.Selection) -> dict[str, DateRange]:
+    return {"ty": M.weekly_window(sel, 4), "ly": M.weekly_window(sel, 4, last_year=True), "ytd": M.ytd_window(sel), "mtd": M.mtd_window(sel)}
+
+
+def _toggles_sql(sel: M.Selection) -> str:
+    wins = toggle_windows(sel)
+    days = C.envelope(wins.values())
+    sums = ", ".join(f"CAST(sum(value) FILTER (WHERE {r.sql('sale_date')}) AS DOUBLE) AS {n}" for n, r in wins.items())
+    parts = []
+    for axis, (by, removed) in TOGGLES.items():
+        kept = [c for c in by if c not in removed]
+        on = " AND ".join(f"a.{c} IS NOT DISTINCT FROM b.{c}" for c in kept) or "TRUE"
+        cols = ", ".join(f"a.{c}" if c in by else f"NULL AS {c}" for c in _AXES)
+        parts.append(f"SELECT '{axis}' AS axis, {cols}, {', '.join(f'a.{n}' for n in wins)}, {', '.join(f'b.{n} AS {n}_all' for n in wins)} "
+                     f"FROM (SELECT {', '.join(by)}, {sums} FROM pp GROUP BY ALL) a LEFT JOIN (SELECT {', '.join([*kept, sums])} FROM pp {'GROUP BY ALL' if kept else ''}) b ON {on}")
+    return _with(S.POS_FACT_CTE, f"pp AS (SELECT * FROM pos WHERE {days.sql('sale_date')})") + " UNION ALL ".join(parts)
+
+
+@query("toggles_every_axis", _toggles_sql(SEL))
+def toggles_every_axis(spark: SparkSession, sf_dir: str, sel: M.Selection = SEL) -> DataFrame:
+    """Weekly, year-to-week and month-to-date sales as filtered and with the filter on
+    stores, SSRs, products, retailers or everything removed, for every axis of the report,
+    all from one lattice of sums."""
+    sums = LT.build(Tables(spark, sf_dir), toggle_windows(sel), LATTICE_SETS)
+    kinds = {"retailer": "string", "ssr": "string", "product": "string", "store": "long"}
+    out = None
+    for axis, (by, removed) in TOGGLES.items():
+        rows = sums.toggle(by, removed)
+        measures = [c for c in rows.columns if c not in by]
+        rows = rows.select(F.lit(axis).alias("axis"), *[F.col(c) if c in by else F.lit(None).cast(kinds[c]).alias(c) for c in _AXES],
+                           *[F.col(m).cast("double").alias(m) for m in measures])
+        out = rows if out is None else out.unionByName(rows)
+    return out
