@@ -5,7 +5,7 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import resolve as RV
@@ -408,12 +408,14 @@ def sync_visits_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ST.merge_upsert(log, outcomes, LOG_KEYS, LOG_UPDATES, close_on=VISIT_KEYS)
 
 
-def sync_batch(t: Tables, log: DataFrame) -> DataFrame:
+def sync_batch(t: Tables, log: DataFrame, successes: Observation | None = None) -> DataFrame:
     """The retried and the changed visits through one resolution (it is row
-    by row independent), materialised; ``_seq`` 0 and 1."""
+    by row independent), materialised; ``_seq`` 0 and 1.  ``successes`` takes the
+    number of visits that went through, from the same job."""
     retry = retry_source(t, log).withColumn("_seq", F.lit(0))
     batch = changed_batch(t).withColumn("_seq", F.lit(1))
-    return materialised(resolve(t, retry.unionByName(batch)))
+    resolved = resolve(t, retry.unionByName(batch))
+    return materialised(resolved.observe(successes, success_count()) if successes is not None else resolved)
 
 
 def _sync_outcomes(t: Tables, log: DataFrame, resolved: DataFrame, run) -> DataFrame:
@@ -428,13 +430,23 @@ def _sync_outcomes(t: Tables, log: DataFrame, resolved: DataFrame, run) -> DataF
 def watermark_advance(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Advance one table's watermark to the batch's last modification,
     only when the batch had at least one successful visit."""
+    from ..sources import sinks as K
     t = Tables(spark, sf_dir)
-    r = resolved_batch(t)
-    stats = r.agg(F.count(F.when(F.col("responsestatus") == "SUCCESSFUL", F.lit(1))).alias("ok")).first()
-    last = (C.visits(t).where(ST.changed_since(F.col("dateCreated"), F.col("dateModified"), _since(t)))
-            .agg(F.date_format(F.max("dateModified"), "yyyy-MM-dd HH:mm:ss").alias("m")).first()["m"])
-    return ST.advance_table_watermark(C.table_watermarks(t), ADVANCED_TABLE, F.lit(last),
-                                      success_count=F.lit(int(stats["ok"])))
+    dims = C.reference_versions(t, _since(t))
+    # The counts come with the write of the batch's outcomes; nothing is read again for them.
+    last, done = Observation("last change"), Observation("successes")
+    changed = (C.visits(t).where(ST.changed_since(F.col("dateCreated"), F.col("dateModified"), _since(t)))
+               .observe(last, F.date_format(F.max("dateModified"), "yyyy-MM-dd HH:mm:ss").alias("m")))
+    batch = RV.enrich_site(RV.extract_changed_visits(changed), dims[0])
+    outcomes = RV.outcome_rows(resolve(t, batch), C.ntz_literal(RUN_TIME)).observe(done, success_count())
+    K.write_version(outcomes, spark, "batch-outcomes")
+    return ST.advance_table_watermark(C.table_watermarks(t), ADVANCED_TABLE, F.lit(last.get["m"]),
+                                      success_count=F.lit(int(done.get["ok"])))
+
+
+def success_count() -> Column:
+    """Visits that went through (an aggregate, to observe)."""
+    return F.count(F.when(F.col("responsestatus") == "SUCCESSFUL", F.lit(1))).alias("ok")
 
 
 ORACLE["watermark_advance"] = Q.with_(Q.resolve_ctes(_BATCH_WHERE) + ["""cfg AS (
@@ -588,12 +600,13 @@ def run_sync(spark: SparkSession, sf_dir: str, run_time: _dt.datetime = RUN_TIME
     t = Tables(spark, sf_dir)
     log = earlier_log(t)
     run = C.ntz_literal(run_time)
-    # Resolved once, used by four writes and one count.
-    resolved = sync_batch(t, log)
+    # Resolved once, used by four writes; the job that does it counts the successes.
+    successes = Observation("successes")
+    resolved = sync_batch(t, log, successes)
     payloads = K.write_payloads(RV.insert_payload(resolved), RV.update_payload(resolved), spark)
     merged = ST.merge_upsert(log, _sync_outcomes(t, log, resolved, run), LOG_KEYS, LOG_UPDATES, close_on=VISIT_KEYS)
     log_path = K.write_version(merged, spark, "outcome-log")
-    ok = resolved.where(F.col("responsestatus") == "SUCCESSFUL").count()
+    ok = int(successes.get["ok"])
     nxt = ST.advance_sync_watermark(C.sync_watermark(t), SYNC_NAME, run, F.lit(ok))
     wm_path = K.write_version(nxt, spark, "last-sync")
     return {"payloads": payloads, "log": log_path, "last_sync": wm_path, "successes": ok}

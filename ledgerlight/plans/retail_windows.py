@@ -13,7 +13,9 @@ from ..functions.calendar import DateRange
 from ..operators import bitmaps as BM
 from ..operators import cumulative as CU
 from ..operators import lattice as LT
+from ..operators import layout as LY
 from ..operators import measures as M
+from ..session import scratch_path
 from ..sources import retail as R
 from ..sources.tables import Tables
 from . import sqlkit as S
@@ -178,3 +180,39 @@ def toggles_every_axis(spark: SparkSession, sf_dir: str, sel: M.Selection = SEL)
                            *[F.col(m).cast("double").alias(m) for m in measures])
         out = rows if out is None else out.unionByName(rows)
     return out
+
+
+# --------------------------------------------- a layout for filters on any column
+
+LAYOUT_COLUMNS = ("sale_date", "store", "part_key")
+
+
+def write_clustered_fact(t: Tables, path: str | None = None, files: int | None = None) -> str:
+    """The POS lines clustered by date, store and product together."""
+    path = path or scratch_path(t.spark, "clustered-fact")
+    LY.write_clustered(R.sales_lines(t), LAYOUT_COLUMNS, path, files or int(t.spark.conf.get("spark.sql.shuffle.partitions")))
+    return path
+
+
+_PICKED = """picked AS (SELECT (SELECT min(s_suppkey) FROM supplier) AS store, (SELECT min(p_partkey) FROM part) AS part, DATE '2000-06-01' AS a, DATE '2000-06-30' AS z)"""
+
+
+@query("clustered_selections", f"""WITH pos AS (SELECT l_partkey, l_suppkey, CAST(l_shipdate AS DATE) AS d, CAST(l_extendedprice AS DECIMAL(18,2)) AS v FROM lineitem),
+{_PICKED},
+s AS (SELECT 'store' AS selection, v FROM pos, picked WHERE l_suppkey = store UNION ALL SELECT 'dates', v FROM pos, picked WHERE d BETWEEN a AND z
+      UNION ALL SELECT 'product', v FROM pos, picked WHERE l_partkey = part UNION ALL SELECT 'store and dates', v FROM pos, picked WHERE l_suppkey = store AND d BETWEEN a AND z)
+SELECT selection, count(*) AS n_lines, CAST(sum(v) AS DOUBLE) AS sales FROM s GROUP BY selection""")
+def clustered_selections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines and sales of one store, of one month, of one product, and of the store in the
+    month, each from the clustered copy of the fact, whose files cut on every column."""
+    t = Tables(spark, sf_dir)
+    path = write_clustered_fact(t)
+    lines = spark.read.schema(R.sales_lines(t).schema).parquet(path)
+    store, part = t.supplier.agg(F.min("s_suppkey")).first()[0], t.part.agg(F.min("p_partkey")).first()[0]
+    days = DateRange(_dt.date(2000, 6, 1), _dt.date(2000, 6, 30)).contains(F.col("sale_date"))
+    out = None
+    for name, cond in (("store", F.col("store") == store), ("dates", days), ("product", F.col("part_key") == part),
+                       ("store and dates", (F.col("store") == store) & days)):
+        rows = lines.where(cond).groupBy(F.lit(name).alias("selection")).agg(F.count(F.lit(1)).alias("n_lines"), F.sum("value").cast("double").alias("sales"))
+        out = rows if out is None else out.unionByName(rows)
+    return out
