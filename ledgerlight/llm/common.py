@@ -6,7 +6,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import wraps
 
 import numpy as np
 import pyarrow as pa
@@ -75,6 +76,32 @@ def split_by_ids(df: DataFrame, ids: DataFrame, key: str) -> tuple[DataFrame, Da
     return (marked.join(cells, "_cell", "left_semi").drop("_cell"), marked.join(cells, "_cell", "left_anti").drop("_cell"))
 
 
+#: The columns of ``documents``, which operators know by name.
+DOCUMENT_COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+_EXTRA = "_extra_column_"
+
+
+def apart(fn: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """For functions of a table of documents (their first argument that is a table):
+    its other columns travel under names of their own, so that none clashes with a working
+    column, and come back under theirs. One named like a column that the function adds
+    gives way to it. A table of ``DOCUMENT_COLUMNS`` alone goes in as it is."""
+    @wraps(fn)
+    def run(*args, **kwargs) -> DataFrame:
+        at = next(i for i, a in enumerate(args) if isinstance(a, DataFrame))
+        names = args[at].columns
+        inside = [c if c in DOCUMENT_COLUMNS else f"{_EXTRA}{i}" for i, c in enumerate(names)]
+        if inside == names:
+            return fn(*args, **kwargs)
+        if kwargs.get("keep"):
+            kwargs = kwargs | {"keep": [dict(zip(names, inside))[c] for c in kwargs["keep"]]}
+        out = fn(*args[:at], args[at].toDF(*inside), *args[at + 1:], **kwargs)
+        back = {a: b for a, b in zip(inside, names) if a != b}
+        added = {c.lower() for c in out.columns if c not in back}
+        return out.select(*[F.col(c).alias(back.get(c, c)) for c in out.columns if back.get(c, "").lower() not in added])
+    return run
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a scratch folder, in whatever store it is."""
     hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import shingle_hashes, slices, split_by_ids, word_hashes, word_spans, written
+from .common import apart, shingle_hashes, slices, split_by_ids, word_hashes, word_spans, written
 from .components import components
 
 HASHES, ROWS = 128, 4
@@ -328,6 +328,7 @@ def _blocks(members: DataFrame, reps: DataFrame, found: DataFrame) -> DataFrame:
         "nd-blocks")
 
 
+@apart
 def one_of_each(docs: DataFrame, shingle: int = 5, similarity: tuple[int, int] = (8, 10)) -> DataFrame:
     """``docs`` with one document, that of the smallest id, of every
     near-duplicate component; rows of one id are one document."""

@@ -28,7 +28,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import apart, written
 
 WEIGHTS = (1, 2, 3)
 MAX_REPEATS = 3
@@ -115,6 +115,7 @@ def _plan(group: pd.DataFrame) -> pd.DataFrame:
     return group[["_known", "_src", "size", "n", "mix_source_size", "mix_target", "passes", "extra"]]
 
 
+@apart
 def mix_sources(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, max_repeats: int = MAX_REPEATS,
                 seed: int = SEED) -> DataFrame:
     """One row per document: its columns and mix_size, mix_source_size,

@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import apart, written
 
 KEY = "surrogate-key"
 MAX_ATTEMPTS = 40
@@ -261,6 +261,7 @@ def _retries(known: DataFrame, key: str) -> DataFrame:
     raise RuntimeError("surrogates still collide; use a longer format")
 
 
+@apart
 def pseudonymise(docs: DataFrame, key: str = KEY) -> DataFrame:
     """``docs`` with the entities of ``text`` replaced by surrogates."""
     marked = docs.withColumn("_rows", described(entities(F.col("text"))))

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import U64, mix, slices, word_hashes, word_spans
+from .common import U64, apart, mix, slices, word_hashes, word_spans
 
 DIM, SHAPES = 1 << 13, 1 << 10
 SAMPLE, RANK, NEIGHBOURS = 2400, 64, 15
@@ -174,6 +174,7 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, sample: int = SAMPLE)
     return Model(idf, space, _unit(matrix @ space), np.array([r["label"] for r in rows]), float(np.mean(wordless)) if wordless else 0.0)
 
 
+@apart
 def scored(docs: DataFrame, model: Model | None, accept: float = ACCEPT, keep: list[str] | None = None) -> DataFrame:
     """``docs`` with ``quality_score`` and ``quality_pred`` (1 if the score is
     at least ``accept``); of its columns only ``keep``, if given."""
