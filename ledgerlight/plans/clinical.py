@@ -516,6 +516,25 @@ SELECT subjectKey, study_key, site_name, responsestatus, method, error_message,
        TIMESTAMP '{RUN_TIME}' AS inserted_date, 'SubjectVisit' AS type, visitid_instanceid AS visit_instance_id FROM res"""
 
 
+@query("streaming_visit_sync_replayed", ORACLE["streaming_visit_sync"])
+def streaming_visit_sync_replayed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same stream over events that are landed twice, the second time in another order
+    and file: state drops the replays, so each event is in the log once."""
+    from ..session import scratch_path
+    from ..streaming.visit_sync import read_sync_log, start_visit_sync
+    t = Tables(spark, sf_dir)
+    landed, out = scratch_path(spark, "landed-events"), scratch_path(spark, "visit-sync-out")
+    t.events.write.parquet(f"{landed}/first")
+    t.events.sortWithinPartitions(F.col("event_id").desc()).write.parquet(f"{landed}/again")
+    # A span that holds the whole history: all of it is replayed.
+    q = start_visit_sync(spark, f"{landed}/*", sf_dir, out, scratch_path(spark, "visit-sync-ckpt"), RUN_TIME, pushed_before=_watermark(t),
+                         file_glob="*.parquet", max_files_per_trigger=1, lateness="3650 days")
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+    return read_sync_log(spark, out).drop("epoch")
+
+
 # ------------------------------------------- delete by predicate, paging
 
 PURGED_STUDY = "error"
