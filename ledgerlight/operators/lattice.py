@@ -14,6 +14,7 @@ product in two different sets, the product of both is never written.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -59,13 +60,15 @@ class Lattice:
         """The measures by ``by`` and, as ``<measure>_all``, with the filter on the
         columns ``removed`` taken away; blank members meet their blank totals."""
         by, kept = list(by), [c for c in by if c not in set(removed)]
-        own = self.answer(by)
-        total = self.answer(kept).select(*[F.col(c).alias(f"_k_{c}") for c in kept], *[F.col(m).alias(f"{m}_all") for m in self.measures])
-        on = F.lit(True)
-        for c in kept:
-            on = on & F.col(c).eqNullSafe(F.col(f"_k_{c}"))
-        # Without a column left there is one total: a single row.
-        joined = own.join(total, on, "left") if kept else own.join(F.broadcast(total), F.lit(True), "left")
+        own, total = self.answer(by), self.answer(kept)
+        if not kept:
+            # One total: a single row, as constants.
+            one = total.first()
+            kinds = dict(total.dtypes)
+            return own.select(*by, *self.measures, *[F.lit(one[m] if one else None).cast(kinds[m]).alias(f"{m}_all") for m in self.measures])
+        total = total.select(*[F.col(c).alias(f"_k_{c}") for c in kept], *[F.col(m).alias(f"{m}_all") for m in self.measures])
+        on = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in kept])
+        joined = own.join(total, on, "left")
         return joined.select(*by, *self.measures, *[f"{m}_all" for m in self.measures])
 
 
