@@ -2,9 +2,9 @@
 
 1. One pass over the texts gives every document the hashes of its distinct word
    shingles, a 128-bit key of that set, and a MinHash signature. Documents of
-   equal sets form a class; only a class's smallest id goes on.
+   equal sets form a class; classes are numbered, and only one number a class goes on.
 2. Signatures are cut into bands; equal bands make buckets. Every member of a
-   bucket is paired with the bucket's smallest id, never with all others.
+   bucket is paired with the bucket's smallest number, never with all others.
 3. Pairs are compared signature batch by batch: as soon as the posterior
    probability that the similarity reaches the threshold is below ``MISS``,
    the pair is dropped. Survivors are verified on their full shingle sets.
@@ -20,15 +20,18 @@ The chance to miss a pair at the threshold is that of sharing no band
 are held as 64-bit hashes.
 
 Defined cases: null and blank texts have no shingles and are linked with
-nothing; a text with fewer words than a shingle is one shingle; rows of one
-``doc_id`` are one document (linked), rows without one are kept; all other columns are ignored; an empty table
-gives an empty result.
+nothing; a text with fewer words than a shingle is one shingle; an empty table
+gives an empty result. Rows of one ``doc_id`` with different texts are judged text by text:
+``near_duplicates`` then links those that have shingles, as they are one document, and
+``one_of_each`` does not, so a text goes only where one that is like it stays. Rows without
+``doc_id`` are kept, and take no part in links unless a row with an id has the same set.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -67,21 +70,36 @@ def signature(shingles: np.ndarray) -> np.ndarray:
     return low.astype(np.uint16)
 
 
-def _features(n: int):
+#: What tells a shingle set apart: its size and 128 bits of its hashes.
+KEY = ["n_shingles", "k1", "k2"]
+_KEY_TYPES = "n_shingles long, k1 long, k2 long"
+
+
+def _key(s: np.ndarray) -> tuple[int, int, int]:
+    if not len(s):
+        return 0, 0, 0
+    spread = (s ^ (s >> np.uint64(29))) * np.uint64(0xD6E8FEB86659FD93)
+    return len(s), int(s.sum(dtype=np.uint64).astype(np.int64)), int(np.bitwise_xor.reduce(spread).astype(np.int64))
+
+
+def _keyed(n: int, keep: list[str], more: str | None = None, value=None):
+    """The columns ``keep`` of the rows, the keys of their texts' sets, and ``value`` of the sets as ``more``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes, k1, k2, sigs = [], [], [], []
+            keys, values = [], []
             for s in _sets(batch.column("text"), n):
-                sizes.append(len(s))
-                k1.append(s.sum(dtype=np.uint64).astype(np.int64) if len(s) else 0)
-                k2.append(np.bitwise_xor.reduce((s ^ (s >> np.uint64(29))) * np.uint64(0xD6E8FEB86659FD93)).astype(np.int64) if len(s) else 0)
-                sigs.append(signature(s).tobytes() if len(s) else None)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(k1, pa.int64()), pa.array(k2, pa.int64()),
-                 pa.array(sigs, pa.binary())], names=["doc_id", "n_shingles", "k1", "k2", "sig"])
+                keys.append(_key(s))
+                if value:
+                    values.append(value(s))
+            columns = [batch.column(c) for c in keep] + [pa.array([k[i] for k in keys], pa.int64()) for i in range(3)]
+            yield pa.RecordBatch.from_arrays(columns + ([pa.array(values, pa.binary())] if value else []), names=keep + KEY + ([more] if value else []))
     return run
 
 
+def _signature_bytes(s: np.ndarray) -> bytes | None:
+    return signature(s).tobytes() if len(s) else None
+
+
 @lru_cache
 def min_matches(num: int, den: int, miss: float = MISS) -> tuple[int, ...]:
     """For 32, 64, ... compared hashes: the fewest matches at which the similarity
@@ -138,28 +156,28 @@ def _verify(num: int, den: int):
     return run
 
 
-def _set_bytes(n: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sets = pa.array([s.tobytes() for s in _sets(batch.column("text"), n)], pa.binary())
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), sets], names=["doc_id", "set"])
-    return run
-
-
-def _set_table(ids: DataFrame, docs: DataFrame, n: int) -> DataFrame:
-    """(doc_id, set) of the documents in ``ids`` (doc_id)."""
-    needed = written(ids.distinct(), "nd-needed")
+def _set_table(nodes: DataFrame, classes: DataFrame, repeated: DataFrame | None, docs: DataFrame, n: int) -> DataFrame:
+    """(rep, set) of the classes ``nodes`` (rep), from the texts of their smallest ids. An id of
+    ``repeated`` may have several texts: there the row is found by its set's key too."""
+    needed = written(nodes.distinct().join(classes, "rep"), "nd-needed")
     some, _ = split_by_ids(docs, needed, "doc_id")        # most other texts stay out of the shuffle
-    texts = some.join(needed.hint("merge"), "doc_id", "left_semi")
-    return written(texts.mapInArrow(_set_bytes(n), "doc_id long, set binary").where("length(set) > 0"), "nd-sets")
-
-
-def _verified(pairs: DataFrame, docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
+    once = needed if repeated is None else needed.join(repeated, "doc_id", "left_anti")
+    texts = some.join(once.select("rep", "doc_id").hint("merge"), "doc_id")
+    sets = texts.mapInArrow(_keyed(n, ["rep"], "set", np.ndarray.tobytes), f"rep long, {_KEY_TYPES}, set binary").select("rep", "set")
+    if repeated is not None:
+        rows = some.join(repeated.hint("merge"), "doc_id", "left_semi")
+        rows = rows.mapInArrow(_keyed(n, ["doc_id"], "set", np.ndarray.tobytes), f"doc_id long, {_KEY_TYPES}, set binary")
+        rows = rows.groupBy("doc_id", *KEY).agg(F.any_value("set").alias("set"))
+        sets = sets.unionByName(rows.join(needed, ["doc_id", *KEY]).select("rep", "set"))
+    return written(sets, "nd-sets")
+
+
+def _verified(pairs: DataFrame, sets_of: Callable[[DataFrame], DataFrame], num: int, den: int) -> DataFrame:
     """The pairs (a, b) whose full shingle sets are similar enough."""
     pairs = written(pairs, "nd-pairs")
-    sets = _set_table(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")), docs, n)
-    wide = (pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("set").alias("set_a")), "a")
-            .join(sets.select(F.col("doc_id").alias("b"), F.col("set").alias("set_b")), "b"))
+    sets = sets_of(pairs.select(F.explode(F.array("a", "b")).alias("rep")))
+    wide = (pairs.join(sets.select(F.col("rep").alias("a"), F.col("set").alias("set_a")), "a")
+            .join(sets.select(F.col("rep").alias("b"), F.col("set").alias("set_b")), "b"))
     return written(wide.mapInArrow(_verify(num, den), "a long, b long").distinct(), "nd-links")
 
 
@@ -255,7 +273,8 @@ def _joining_links(num: int, den: int):
     return _by_group(handle)
 
 
-def _rest(members: DataFrame, reps: DataFrame, found: DataFrame, docs: DataFrame, n: int, num: int, den: int) -> DataFrame | None:
+def _rest(members: DataFrame, reps: DataFrame, found: DataFrame, sets_of: Callable[[DataFrame], DataFrame],
+          num: int, den: int) -> DataFrame | None:
     """Links between components that share a bucket without a link to its
     centre. ``found``: the components so far."""
     blocks = _blocks(members, reps, found)
@@ -265,22 +284,33 @@ def _rest(members: DataFrame, reps: DataFrame, found: DataFrame, docs: DataFrame
     some = written(blocks.repartition(*group).sortWithinPartitions(*group).mapInArrow(_with_partners(num, den), blocks.schema), "nd-partners")
     if some.isEmpty():
         return None
-    sets = _set_table(some.select(F.col("rep").alias("doc_id")), docs, n)
-    wide = some.join(sets.withColumnRenamed("doc_id", "rep"), "rep").repartition(*group).sortWithinPartitions(*group, "rep")
+    wide = some.join(sets_of(some.select("rep")), "rep").repartition(*group).sortWithinPartitions(*group, "rep")
     return written(wide.mapInArrow(_joining_links(num, den), "a long, b long").distinct(), "nd-links")
 
 
-def near_duplicates(docs: DataFrame, shingle: int = 3, similarity: tuple[int, int] = (85, 100)) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) for every row of ``docs``
-    (doc_id long, text). Documents whose sets have a Jaccard similarity of at least
-    similarity[0] / similarity[1] are linked; a component goes by its smallest id."""
+class _Judged(NamedTuple):
+    features: DataFrame            # doc_id and the key of every row
+    classes: DataFrame             # rep, doc_id (smallest) and key of every class with an id
+    links: DataFrame               # a, b: similar classes, as few as join the components
+    found: DataFrame               # node, component: the classes that have links
+    repeated: DataFrame | None     # doc_id: those of several rows
+
+
+def _judge(docs: DataFrame, shingle: int, similarity: tuple[int, int]) -> _Judged:
     num, den = similarity
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    key = ["n_shingles", "k1", "k2"]
-    features = written(docs.mapInArrow(_features(shingle), "doc_id long, n_shingles long, k1 long, k2 long, sig binary"), "nd-features")
-    classes = written(features.where("n_shingles > 0").groupBy(*key).agg(F.min("doc_id").alias("rep")), "nd-classes")
-    reps = written(features.join(classes, key).where("doc_id = rep")
-                   .select("rep", F.col("n_shingles").alias("n"), "sig").dropDuplicates(["rep", "n"]), "nd-reps")
+    features = written(docs.mapInArrow(_keyed(shingle, ["doc_id"], "sig", _signature_bytes), f"doc_id long, {_KEY_TYPES}, sig binary"), "nd-features")
+    repeated = written(features.where("doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias("times")).where("times > 1").select("doc_id"),
+                       "nd-repeated")
+    repeated = None if repeated.isEmpty() else repeated
+    # Written, so that a class has one number for good.
+    classes = written(features.where("n_shingles > 0").groupBy(*KEY).agg(F.min("doc_id").alias("doc_id")).where("doc_id is not null")
+                      .withColumn("rep", F.monotonically_increasing_id()), "nd-classes")
+    reps = written(features.join(classes, ["doc_id", *KEY])
+                   .select("rep", F.col("n_shingles").alias("n"), "sig").dropDuplicates(["rep"]), "nd-reps")
+
+    def sets_of(nodes: DataFrame) -> DataFrame:
+        return _set_table(nodes, classes, repeated, docs, shingle)
 
     bands = reps.select("rep", F.posexplode(F.transform(
         F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda i: F.substring("sig", i * (2 * ROWS) + 1, F.lit(2 * ROWS)))).alias("band", "_v"))
@@ -296,15 +326,36 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, similarity: tuple[int, in
         return wide.select("a", "b", "sig_a", "sig_b").mapInArrow(_prune(num, den), "a long, b long")
 
     stars = members.where("rep <> centre").select(F.col("rep").alias("a"), F.col("centre").alias("b")).distinct()
-    links = _verified(pruned(stars), docs, shingle, num, den)
+    links = _verified(pruned(stars), sets_of, num, den)
     found = written(components(links), "nd-components")
-    more = _rest(members, reps, found, docs, shingle, num, den)
+    more = _rest(members, reps, found, sets_of, num, den)
     if more is not None and not more.isEmpty():
-        found = written(components(links.unionByName(more)), "nd-components")
+        links = links.unionByName(more)
+        found = written(components(links), "nd-components")
+    return _Judged(features.drop("sig"), classes, links, found, repeated)
+
 
-    named = written(classes.join(found, classes.rep == found.node, "left")
-                    .select(*key, F.coalesce("component", "rep").alias("component_id")), "nd-named")
-    return (features.select("doc_id", *key).join(named, key, "left")
+def _named(classes: DataFrame, found: DataFrame) -> DataFrame:
+    """(key, component_id): the smallest id of every class's component."""
+    linked = classes.select("rep", "doc_id").join(found, F.col("rep") == F.col("node"))
+    least = linked.groupBy("component").agg(F.min("doc_id").alias("least"))
+    least = linked.select("rep", "component").join(least, "component").select("rep", "least")
+    return written(classes.join(least, "rep", "left").select(*KEY, F.coalesce("least", "doc_id").alias("component_id")), "nd-named")
+
+
+def near_duplicates(docs: DataFrame, shingle: int = 3, similarity: tuple[int, int] = (85, 100)) -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept) for every row of ``docs``
+    (doc_id long, text). Documents whose sets have a Jaccard similarity of at least
+    similarity[0] / similarity[1] are linked; a component goes by its smallest id."""
+    judged = _judge(docs, shingle, similarity)
+    found = judged.found
+    if judged.repeated is not None:
+        # The texts of one id hang on one of them.
+        texts = (judged.features.join(judged.repeated, "doc_id", "left_semi").join(judged.classes.drop("doc_id"), KEY)
+                 .select("doc_id", F.col("rep").alias("a")).distinct())
+        same = texts.join(texts.groupBy("doc_id").agg(F.min("a").alias("b")), "doc_id").where("a <> b").select("a", "b")
+        found = written(components(judged.links.unionByName(same)), "nd-components")
+    return (judged.features.join(_named(judged.classes, found), KEY, "left")
             .withColumn("component_id", F.coalesce("component_id", "doc_id"))
             .select("doc_id", "n_shingles", "component_id",
                     F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept")))
@@ -330,17 +381,31 @@ def _blocks(members: DataFrame, reps: DataFrame, found: DataFrame) -> DataFrame:
 
 @apart
 def one_of_each(docs: DataFrame, shingle: int = 5, similarity: tuple[int, int] = (8, 10)) -> DataFrame:
-    """``docs`` with one document, that of the smallest id, of every
-    near-duplicate component; rows of one id are one document."""
-    judged = written(near_duplicates(docs, shingle, similarity), "nd-judged")
-    gone = judged.where("not kept").select("doc_id").distinct()
-    repeated = judged.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("doc_id")
-    special = written(gone.withColumn("gone", F.lit(True)).join(repeated, "doc_id", "full").select("doc_id", F.coalesce("gone", F.lit(False)).alias("gone")),
+    """``docs`` with one row, of the smallest id, of every near-duplicate component of texts.
+    Where that id has several such rows, the smallest of them by its columns stays;
+    of the rows of one id without shingles one stays too."""
+    judged = _judge(docs, shingle, similarity)
+    named = _named(judged.classes, judged.found)
+    gone = written(judged.features.join(named, KEY).where("doc_id <> component_id").select("doc_id").distinct(), "nd-gone")
+    if judged.repeated is None:
+        some, plain = split_by_ids(docs, gone, "doc_id")
+        return plain.unionByName(some.join(gone.hint("merge"), "doc_id", "left_anti").select(*docs.columns))
+    special = written(gone.select("doc_id", F.lit(True).alias("_gone")).join(judged.repeated.withColumn("_again", F.lit(True)), "doc_id", "full"),
                       "nd-special")
     some, plain = split_by_ids(docs, special, "doc_id")
-    some = some.join(special.hint("merge"), "doc_id", "left").where("gone is null or not gone")
-    once = [c for c in docs.columns if c != "doc_id"]
-    single = some.where("gone is null").select(*docs.columns)
-    merged = (some.where("gone is not null").groupBy("doc_id").agg(F.min(F.struct(*once)).alias("_row")).select("doc_id", "_row.*")
-              .select(*docs.columns))
-    return plain.unionByName(single).unionByName(merged)
+    some = some.join(special.hint("merge"), "doc_id", "left")
+    single = some.where("_gone is null and _again is null").select(*docs.columns)
+    # Rows of a repeated id are judged by their own texts.
+    types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
+    again = (some.where("_again").select(*docs.columns).mapInArrow(_keyed(shingle, docs.columns), f"{types}, {_KEY_TYPES}")
+             .join(named.hint("merge"), KEY, "left").where("component_id is null or doc_id = component_id"))
+    rest = [c for c in docs.columns if c != "doc_id"]
+    # A class has its component's id; the component has several classes of that id only if its texts differ.
+    merged = again.join(_component_of(judged), KEY, "left").groupBy("doc_id", "component").agg(F.min(F.struct(*rest)).alias("_row"))
+    return plain.unionByName(single).unionByName(merged.select("doc_id", "_row.*").select(*docs.columns))
+
+
+def _component_of(judged: _Judged) -> DataFrame:
+    """(key, component): the number of every class's component."""
+    return (judged.classes.join(judged.found, F.col("rep") == F.col("node"), "left")
+            .select(*KEY, F.coalesce("component", "rep").alias("component")))

@@ -102,3 +102,32 @@ def test_components(spark, edges):
             if a != b:
                 want[a] = want[b] = min(want[a], want[b])
     assert got == want
+
+
+def test_repeated_ids_with_different_texts(spark):
+    """Texts of one id are one document to ``near_duplicates``; ``one_of_each`` loses no text."""
+    a, b, c = (" ".join(f"{x}{k}" for k in range(40)) for x in "abc")
+    rows = [(3, a), (5, a), (5, b), (7, b + " more"), (9, c), (9, None), (9, ""), (None, a), (None, "only here it is said"), (5, b), (11, a.upper())]
+    df = spark.createDataFrame([(i, t, "z") for i, t in rows], "doc_id long, text string, rep string").repartition(3)
+    got = {(r.doc_id, r.n_shingles, r.component_id, r.kept) for r in minhash_dedup.near_duplicates(df).collect()}
+    assert got == {(3, 38, 3, True), (5, 38, 3, False), (7, 39, 3, False), (9, 38, 9, True), (9, 0, 9, True), (None, 38, 3, True),
+                   (None, 3, None, True), (11, 38, 3, False)}
+    kept = sorted(((r.doc_id, r.text) for r in minhash_dedup.one_of_each(df).collect()), key=str)
+    assert kept == sorted([(3, a), (5, b), (9, c), (9, None), (None, a), (None, "only here it is said")], key=str)
+
+
+def test_one_of_each_against_brute_force_with_repeated_ids(spark):
+    rng = random.Random(11)
+    rows = [(rng.randrange(40), t) for _, t in corpus(5)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    near, sets = brute(rows, 3, 85, 100)
+    got = minhash_dedup.near_duplicates(df).collect()
+    assert {r.doc_id: r.component_id for r in got if r.n_shingles} == {i: c for i, c in near.items() if any(j == i and shingles(t, 3) for j, t in rows)}
+    texts = list(enumerate(t for _, t in rows if shingles(t, 5)))
+    alike, _ = brute(texts, 5, 8, 10)                                 # components of texts, whatever their ids
+    groups: dict = {}
+    for k, t in texts:
+        groups.setdefault(alike[k], set()).add(t)
+    kept = [(r.doc_id, r.text) for r in minhash_dedup.one_of_each(df).collect() if shingles(r.text, 5)]
+    assert len(kept) == len(groups) and all(sum(t in g for _, t in kept) == 1 for g in groups.values())
+    assert all(i == min(j for j, u in rows if u in g) for g in groups.values() for i, t in kept if t in g)
