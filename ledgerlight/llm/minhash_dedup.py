@@ -400,7 +400,7 @@ def one_of_each(docs: DataFrame, shingle: int = 5, similarity: tuple[int, int] =
     again = (some.where("_again").select(*docs.columns).mapInArrow(_keyed(shingle, docs.columns), f"{types}, {_KEY_TYPES}")
              .join(named.hint("merge"), KEY, "left").where("component_id is null or doc_id = component_id"))
     rest = [c for c in docs.columns if c != "doc_id"]
-    # A class has its component's id; the component has several classes of that id only if its texts differ.
+    # Several texts of that id may be like each other: one of them stays.
     merged = again.join(_component_of(judged), KEY, "left").groupBy("doc_id", "component").agg(F.min(F.struct(*rest)).alias("_row"))
     return plain.unionByName(single).unionByName(merged.select("doc_id", "_row.*").select(*docs.columns))
 

@@ -91,7 +91,7 @@ def test_chat_parser_refuses_bare_controls(spark):
 
 @pytest.mark.parametrize("version", [1, 2])
 def test_pages_through_both_archives(spark, version):
-    html = ["", None, "a\nb", "http://x 1 2 text/html 5\nWARC/1.1\r\n\r\n", "a\nb", "é" * 9000, "", "\n\n"]
+    html = ["", None, "a\nb", "http://x 1 2 text/html 5\nWARC/1.1\r\n\r\n", "a\nb", "é" * 9000, "", "\n\n", "HTTP/1.1 404 x\r\n\r\nin the page", "#page-id=3 "]
     rows = [(10 - i, "http://a b/" if i == 2 else None, h, "x") for i, h in enumerate(html)]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string, record string").repartition(3)
     got = {r.page_id: r for r in warc.page_records(pages, version).collect()}
@@ -128,13 +128,55 @@ def test_archive_files(spark):
     assert arc.startswith(b"filedesc://pages.arc 0.0.0.0 20240229120000 text/plain 200 - - 0 pages.arc ")
 
 
-def test_arc_parser_errors():
+def test_arc_parser_reports_damage_and_goes_on():
     head = warc.arc_header(1, "f", "2024").encode()
     assert [r["body"] for r in warc.parse_arc(head + b"\nhttp://u 1 1996 text/html 3\nabc\n")] == [b"abc"]
-    with pytest.raises(ValueError, match="cut short"):
-        list(warc.parse_arc(head + b"\nhttp://u 1 1996 text/html 9\nabc\n"))
+    good = b"http://v/ 10.0.0.1 19961231 text/html 2\nok\n"
+    for bad, why in [(b"http://u 1 1996 text/html 9999\nabc\n", "body cut short"), (b"http://u 1 1996 text/html x\n", "without a length"),
+                     (b"http://u 1996 text/html 3\nabc\n", "without all fields"), (b"http://u 1 19961399 text/html 3\nabc\n", "without a date")]:
+        records = list(warc.parse_arc(head + b"\n" + bad + good))
+        assert why in records[0]["error"] and records[0]["offset"] == len(head) + 1
+        assert [(r["url"], r["body"]) for r in records[1:]] == [("http://v/", b"ok")]
+    assert "version block" in list(warc.parse_arc(b"filedesc://f 0 1996 text/plain 500\n1 0 x\n"))[0]["error"]
     assert warc.iso_date("1996") == "1996-01-01T00:00:00Z" and warc.iso_date("199612") == "1996-12-01T00:00:00Z"
 
 
+def test_compressed_members():
+    a, b = gzip.compress(b"one "), gzip.compress(b"two")
+    assert warc.unpacked(a + b) == (b"one two", None) and warc.unpacked(b"plain") == (b"plain", None)
+    data, stop = warc.unpacked(a + b[:-9])
+    assert data.startswith(b"one ") and "cut short" in stop
+    assert "bytes after" in warc.unpacked(a + b"junk")[1] and "damaged" in warc.unpacked(a + b[:10] + b"\xff" * 30)[1]
+
+
+@pytest.mark.parametrize("version", [1, 2])
+def test_archives_as_crawlers_wrote_them(spark, version, tmp_path):
+    """Addresses, archived HTTP headers, bodies that are no text, records without HTTP, and damage."""
+    page = "caf\xe9 <p>".encode("latin-1") + bytes(range(256))
+    moved = b"HTTP/1.1 404 Not Found\r\nServer: x\r\n\r\n"
+    bodies = [("http://a/x", "127.0.0.1", "19970102030405", moved + page), ("dns:a", "10.0.0.2", "19970102030400", b"a. 1 IN A 127.0.0.1\n"),
+              ("http://b/y z", "10.1.1.1", "19970101", b"HTTP/1.0 200 OK\n\n" + page), ("http://c/", "10.1.1.2", "1999", moved)]
+    more = "404 - - 0 f.arc " if version == 2 else ""
+    members = [warc.arc_header(version, "f.arc", "1997").encode()]
+    members += [f"{u} {ip} {d} text/html {more}{len(b)}\n".encode() + b + b"\n" for u, ip, d, b in bodies]
+    members.insert(3, b"http://lost/ 1.1.1.1 1997 text/html " + more.encode() + b"99999999\nshort\n")
+    arcs, warcs = tmp_path / "arcs", str(tmp_path / "warcs")
+    arcs.mkdir()
+    (arcs / "part-1.arc.gz").write_bytes(b"".join(gzip.compress(m) for m in members))
+    damaged = warc.convert(spark, str(arcs), warcs).collect()
+    assert [(r.file, r.error) for r in damaged] == [("part-1.arc.gz", "body cut short")]
+    found = {}
+    for f in warc._files(spark, warcs).collect():
+        found |= {h["WARC-Target-URI"]: (h, block) for h, block in warc.parse_warc(gzip.decompress(bytes(f.content))) if h["WARC-Type"] != "warcinfo"}
+    assert set(found) == {u for u, _, _, _ in bodies}
+    assert found["http://b/y z"][1] == bodies[2][3] and found["http://c/"][1] == moved and found["dns:a"][1] == bodies[1][3]
+    kinds = {u: h["WARC-Type"] for u, (h, _) in found.items()}
+    assert kinds == {"http://a/x": "revisit", "dns:a": "resource", "http://b/y z": "response", "http://c/": "response"}   # the earlier one stays
+    later, earlier = found["http://a/x"], found["http://b/y z"][0]
+    assert later[1] == moved and later[0]["WARC-Refers-To"] == earlier["WARC-Record-ID"] and later[0]["WARC-Refers-To-Date"] == "1997-01-01T00:00:00Z"
+    assert later[0]["WARC-Payload-Digest"] == "sha1:" + warc.digest(page) and later[0]["WARC-IP-Address"] == "127.0.0.1"
+    assert len({h["WARC-Record-ID"] for h, _ in found.values()}) == 4
+
+
 def test_no_pages(spark):
     assert warc.page_records(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
