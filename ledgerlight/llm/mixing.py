@@ -2,11 +2,13 @@
 
 1. Documents are counted by (source, exact word count) with map-side combine.
 2. Each source gets a target in words; what exceeds ``max_repeats`` times its
-   size goes to the others by weight until no target is above its limit.
+   size goes to the others by weight until no target is above its limit. Sources stay a
+   table (there may be one for every host): each round is one sum over it.
 3. Whole passes over a source fill most of a target above its size. For the
    rest every length gives the same share of its documents, and a
    bounded-knapsack dynamic programme over length counts closes the remaining
-   budget, to the word wherever the lengths allow it.
+   budget, to the word wherever the lengths allow it. It keeps, for every sum, the first piece
+   that reaches it, so its memory is one number a word of the budget.
 4. The chosen number of documents of every (source, length) is taken in the
    order of a seeded hash of the id. Hash cells are counted first, so a length that
    a third of all rows share is not sorted in one task: whole cells are taken
@@ -28,6 +30,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..operators.rank import global_row_number
 from .common import apart, written
 
 WEIGHTS = (1, 2, 3)
@@ -46,20 +49,20 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
 
 
-def targets(sizes: dict, weights: dict, max_repeats: float = MAX_REPEATS) -> dict:
-    """Words for each source: 100 % of all words by weight, none above its limit."""
-    out, open_, left = {}, sorted(sizes, key=lambda s: (s is None, s or "")), float(sum(sizes.values()))
-    while open_:
-        total = sum(weights[s] for s in open_)
-        over = [s for s in open_ if left * weights[s] / total > max_repeats * sizes[s]]
-        if not over:
-            out.update({s: left * weights[s] / total for s in open_})
-            break
-        for s in over:
-            out[s] = float(max_repeats * sizes[s])
-            left -= out[s]
-            open_.remove(s)
-    return out
+def targets(sources: DataFrame, max_repeats: float = MAX_REPEATS) -> DataFrame:
+    """``sources`` (mix_source_size, _weight) with mix_target, the words for each: 100 % of all
+    words by weight, none above its limit."""
+    limit, target = F.lit(float(max_repeats)) * F.col("mix_source_size"), None
+    capped, n_capped = F.lit(False), -1
+    while True:
+        at = sources.agg(F.sum("mix_source_size").alias("words"), F.sum(F.when(~capped, F.col("_weight"))).alias("weight"),
+                         F.sum(F.when(capped, limit)).alias("taken"), F.count_if(capped).alias("n")).first()
+        if at["n"] == n_capped or not at["weight"]:       # no further source is above its limit, or none is left
+            return sources.withColumn("mix_target", limit if target is None else F.when(capped, limit).otherwise(target))
+        n_capped = at["n"]
+        # As others are capped a share only grows, so who is above stays above.
+        target = F.lit(float(at["words"]) - float(at["taken"] or 0)) * F.col("_weight") / F.lit(at["weight"])
+        capped = target > limit
 
 
 def fit_counts(lengths: np.ndarray, counts: np.ndarray, budget: int, dp_words: int = DP_WORDS) -> np.ndarray:
@@ -81,27 +84,29 @@ def fit_counts(lengths: np.ndarray, counts: np.ndarray, budget: int, dp_words: i
         if more > 0:
             take[i] += more
             left -= more * int(lengths[i])
-    # Bounded knapsack: sums[j] has bit w set if the first j pieces can make w words.
-    pieces, mask = [], (1 << (left + 1)) - 1
-    sums = [1]
+    # Bounded knapsack: first[w] is the first piece with which w words can be made.
+    pieces, first = [], np.full(left + 1, -1, np.int32)
+    reached = np.zeros(left + 1, bool)
+    reached[0] = True
     for i in np.argsort(lengths):
         length, spare = int(lengths[i]), int(counts[i] - take[i])
         spare = min(spare, left // length) if length else 0
         k = 1
         while spare > 0:                                                    # 1, 2, 4, ... and the rest
             k = min(k, spare)
+            new = reached[:left + 1 - k * length] & ~reached[k * length:]
+            first[k * length:][new] = len(pieces)
+            reached[k * length:] |= new
             pieces.append((i, k, k * length))
-            sums.append((sums[-1] | sums[-1] << (k * length)) & mask)
             spare -= k
             k *= 2
-        if sums[-1] >> left & 1:
+        if reached[left]:
             break
-    at = sums[-1].bit_length() - 1
-    for j in range(len(pieces) - 1, -1, -1):
-        if not sums[j] >> at & 1:
-            i, k, words = pieces[j]
-            take[i] += k
-            at -= words
+    at = int(np.flatnonzero(reached)[-1])
+    while at:
+        i, k, words = pieces[first[at]]
+        take[i] += k
+        at -= words
     return take
 
 
@@ -129,16 +134,13 @@ def mix_sources(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, max_repea
 
     narrow = written(key(docs.select("doc_id", "source", "text")).select(*group, "_h"), "mix-sizes")
     histogram = narrow.groupBy(*group).agg(F.count(F.lit(1)).alias("n"))
-    # One row per source; the sources are the mix's parameters and so few.
-    per_source = {r["_src"] if r["_known"] else None: int(r["w"]) for r in
-                  histogram.groupBy("_known", "_src").agg(F.sum(F.col("_size") * F.col("n")).alias("w")).collect()}
-    names = sorted(per_source, key=lambda s: (s is None, (s or "").encode()))
-    goal = targets(per_source, {s: weights[i % len(weights)] for i, s in enumerate(names)}, max_repeats)
-    source_rows = docs.sparkSession.createDataFrame(
-        [(s is not None, s or "", per_source[s], goal[s]) for s in names],
-        "_known boolean, _src string, mix_source_size long, mix_target double")
+    sources = (histogram.groupBy("_known", "_src").agg(F.sum(F.col("_size") * F.col("n")).alias("mix_source_size"))
+               .withColumn("_order", F.when(F.col("_known"), F.col("_src"))))
+    of_place = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), (F.pmod(F.col("_no") - 1, F.lit(len(weights))) + 1).cast("int"))
+    numbered = written(global_row_number(sources, ["_order"], "_no").withColumn("_weight", of_place), "mix-sources")
+    goal = targets(numbered, max_repeats).select("_known", "_src", "mix_source_size", "mix_target")
     plan = written(
-        histogram.withColumnRenamed("_size", "size").join(F.broadcast(source_rows), ["_known", "_src"])
+        histogram.withColumnRenamed("_size", "size").join(goal, ["_known", "_src"])
         .groupBy("_known", "_src").applyInPandas(
             _plan, "_known boolean, _src string, size long, n long, mix_source_size long, mix_target double, passes int, extra long")
         .withColumnRenamed("size", "_size"), "mix-plan")

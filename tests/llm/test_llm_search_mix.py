@@ -46,6 +46,49 @@ def test_topk_large_numbers_and_few_rows(spark):
     assert topk_search.search(df.limit(0), F.lit(True)).count() == 0
 
 
+@pytest.mark.parametrize("small", [False, True])
+def test_topk_outliers_long_vectors_and_the_ends_of_doubles(spark, small, monkeypatch):
+    """A few rows beyond 2^53 leave the others to the blocks; a long one widens no others."""
+    if small:
+        monkeypatch.setattr(topk_search, "RANGE", (16, 16))
+        monkeypatch.setattr(topk_search, "CHUNK", (4, 4))
+        monkeypatch.setattr(topk_search, "BOUNDS", 5)
+        monkeypatch.setattr(topk_search._Ends, "most", 3)
+    rng = np.random.default_rng(2)
+    rows = [(i, [float(x) for x in rng.standard_normal(4)]) for i in range(150)]
+    rows += [(150 + i, [float(x) for x in rng.standard_normal(4) * 10.0 ** (3 + i)]) for i in range(16)]
+    rows += [(170 + i, [2.0 ** 40, 1.0 + i % 2, 2.0 ** -6 * i, -(2.0 ** 40)]) for i in range(24)]       # sums that doubles round
+    rows += [(200, [1e300, 1.0, 0.0, 0.0]), (201, [-1e300, 1e300, 1e300, 0.0]), (205, [2.0] * 700), (206, [1.0] * 3000)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    def clipped(q, v):
+        return max(-(2 ** 63 - 1), min(2 ** 63 - 1, sum(int(a) * int(b) for a, b in zip(q, v))))
+
+    good = [(i, [math.floor(64 * x) for x in v]) for i, v in rows]
+    want = []
+    for qi, q in good:
+        if qi % 5 == 0:
+            hits = sorted((-clipped(q, v), i) for i, v in good if i != qi)[:7]
+            want += [(qi, n + 1, i, -s) for n, (s, i) in enumerate(hits)]
+    got = sorted(map(tuple, topk_search.search(df, F.col("vec_id") % 5 == 0, 7).collect()))
+    assert got == sorted(want)
+    # Beyond the doubles after the 64-fold: the largest double, no crash.
+    far = spark.createDataFrame([(0, [1e307, 1.0]), (5, [-1e308, 0.0]), (6, [1.0, 1.0]), (7, [1.0, 2.0])], "vec_id long, embedding array<double>")
+    got = sorted(map(tuple, topk_search.search(far, F.col("vec_id") % 5 == 0, 2).collect()))
+    assert got == [(0, 1, 6, 2 ** 63 - 1), (0, 2, 7, 2 ** 63 - 1), (5, 1, 0, -(2 ** 63 - 1)), (5, 2, 6, -(2 ** 63 - 1))]
+
+
+def test_careful_scores_few_rows_again(monkeypatch):
+    """One outlier query against many rows: integers only where doubles leave it open."""
+    rng = np.random.default_rng(3)
+    vectors = np.floor(rng.standard_normal((5000, 8)) * 64)
+    query = np.floor(rng.standard_normal(8) * 2.0 ** 55)
+    calls, exact = [], topk_search._exact
+    monkeypatch.setattr(topk_search, "_exact", lambda i, q, v: calls.append(len(v)) or exact(i, q, v))
+    ids, scores = topk_search._careful(np.arange(5000), vectors, -1, query, 20)
+    want = sorted((-s, i) for i, s in enumerate(exact(None, query, vectors)))[:20]
+    assert [(-int(s), int(i)) for i, s in zip(ids, scores)] == want and sum(calls) <= 40
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.tuples(st.integers(1, 40), st.integers(1, 6)), min_size=1, max_size=6, unique_by=lambda x: x[0]), st.integers(0, 300))
 def test_budget_fit_is_the_best_subset_sum(pieces, budget):
@@ -65,11 +108,35 @@ def test_budget_fit_is_the_best_subset_sum(pieces, budget):
         assert left - max(s for s in sums if s <= left) == budget - int((take * lengths).sum())
 
 
-def test_targets_share_the_excess():
-    sizes = {"a": 100, "b": 100, "c": 10, None: 40}
-    t = mixing.targets(sizes, {"a": 1, "b": 2, "c": 3, None: 1})
+def test_targets_share_the_excess(spark):
+    def targets(rows, **kw):
+        df = spark.createDataFrame(rows, "s string, mix_source_size long, _weight double")
+        return {r.s: r.mix_target for r in mixing.targets(df, **kw).collect()}
+
+    t = targets([("a", 100, 1.0), ("b", 100, 2.0), ("c", 10, 3.0), (None, 40, 1.0)])
     assert t["c"] == 30 and abs(sum(t.values()) - 250) < 1e-9 and abs(t["b"] - 2 * t["a"]) < 1e-9 and abs(t["a"] - t[None]) < 1e-9
-    assert mixing.targets({}, {}) == {}
+    assert targets([]) == {} and targets([("a", 0, 1.0)]) == {"a": 0.0}
+    assert targets([("a", 10, 1.0), ("b", 20, 5.0)], max_repeats=0.5) == {"a": 5.0, "b": 10.0}       # all at their limit
+    # Round after round another source reaches its limit: thousands of them, as of hosts.
+    rng = np.random.default_rng(4)
+    sizes = {f"h{i}": int(x) for i, x in enumerate(rng.pareto(0.6, 3000) * 10 + 1)}
+    weights = {s: i % 3 + 1 for i, s in enumerate(sizes)}
+    t, want = targets([(s, n, float(weights[s])) for s, n in sizes.items()]), exact_targets(sizes, weights)
+    assert all(abs(t[s] - float(want[s])) <= 1e-6 * float(want[s]) for s in sizes)
+
+
+def test_budget_fit_holds_one_number_a_word():
+    """Long documents of many lengths: what is held does not grow with their number."""
+    import tracemalloc
+    lengths, counts = np.arange(10_001, 200_001, 97) * 2, np.full(1959, 3)
+    tracemalloc.start()
+    take = mixing.fit_counts(lengths, counts, 700_001)                      # odd: out of reach, so every piece is tried
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    sums = 1
+    for length in np.repeat(lengths, 3).tolist():
+        sums |= sums << length & (1 << 700_002) - 1
+    assert (take * lengths).sum() == sums.bit_length() - 1 and peak < 40e6
 
 
 def exact_targets(sizes, weights):
