@@ -3,30 +3,42 @@
 Detected entities (email, phone, card, IPv4, social security number, IBAN,
 secret, titled person names) are replaced by keyed surrogates of their type and
 format: digits stay digits, letters keep case and script, separators and
-prefixes stay; cards keep their issuer digit and a valid Luhn sum, names the gender of
-their title or given name. A surrogate depends only on key, type and the normalised
-entity, so one entity has one surrogate in the whole corpus (coreference),
-however it is written.
+prefixes stay; cards keep their issuer digit and a valid Luhn sum. A surrogate depends
+only on type, normalised entity and key (HMAC-SHA-256 of the first two under the third,
+which the caller must give), so one entity has one surrogate in the whole corpus
+(coreference), however it is written.
+
+Names: a given name (the first of two) takes the gender of its title, and where the title
+tells none (Dr, Prof) that of the list of given names. Where neither tells it, a person
+is the one of equal name that other texts name with a title of one gender; if they use
+titles of both genders, it is a third person. A name of one part is taken for a surname,
+whose surrogate is the same for all genders (listed given names excepted).
 
 Distinctness is checked over all documents: distinct entities are collected by
 aggregation, and an entity whose surrogate is another's, or is an entity of the corpus itself,
-is derived anew with the next attempt number until all differ. Only such entities
-(few: the spaces are large) come as a table; only documents that hold one are
-joined with it, all others are rewritten in one scan without a shuffle.
+is derived anew with the next attempt number until all differ. Surrogates of names, emails and
+secrets get longer from the third attempt on, so their space grows; the other types keep their
+length, and a corpus with more distinct entities than their format holds is refused.
+Only entities told by other texts or derived anew (few: the spaces are large) come as a
+table; only documents that hold one are joined with it, all others are rewritten in one
+scan without a shuffle. Entities are extracted once and written with their documents.
 
 Defined cases: null texts stay null, empty ones empty; repeated rows are
 rewritten alike; other columns pass through unchanged; texts without entities come back
-as they are; an empty table gives an empty result.
+as they are; an empty table gives an empty result; an empty key is refused.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import hashlib
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import apart, written
 
-KEY = "surrogate-key"
+#: The session setting that holds the key, and the key of trials without one (no secret).
+KEY_SETTING, TRIAL_KEY = "spark.ledgerlight.surrogate.key", "trial"
 MAX_ATTEMPTS = 40
 
 # Titles by gender (f, m, none), and given names that tell a gender.
@@ -51,6 +63,8 @@ _PERSON = rf"(?<![\p{{L}}])(?:{_TITLE})\.? {_NAME}(?: {_NAME})?(?![\p{{L}}])"
 #: In this order an entity's type is told.
 TYPES = (("email", _EMAIL), ("secret", _SECRET), ("iban", _IBAN), ("card", _CARD), ("ssn", _SSN), ("phone", _PHONE), ("ip", _IP), ("name", _PERSON))
 _ANY = "|".join(f"(?:{p})" for _, p in TYPES)
+#: Stands between a given name and its gender in a normalised name.
+_TELLS = "\x1d"
 #: A cheap test that every entity passes: an @, a digit pair, a secret's word or a title.
 _MAYBE = rf"@|[0-9][^\p{{L}}]{{0,3}}[0-9]|(?i:password|passwd|pwd|secret|token|key)|AKIA|ASIA|sk-|ghp_|(?:{_TITLE})\.? \p{{Lu}}"
 
@@ -69,7 +83,16 @@ def _secret_prefix(entity: Column) -> Column:
 
 
 def _name_parts(entity: Column) -> Column:
-    return F.slice(F.split(entity, " "), 2, 9)
+    """The parts after the title; the first of two with its gender, if one is told."""
+    parts = F.slice(F.split(entity, " "), 2, 9)
+    title = F.regexp_replace(F.substring_index(entity, " ", 1), r"\.$", "")
+    given = F.get(parts, F.lit(0))
+    gender = F.when(title.isin(*TITLES["f"]), "f").when(title.isin(*TITLES["m"]), "m").otherwise(_gender_of_name(given))
+    return F.transform(parts, lambda p, i: F.when((i == 0) & (F.size(parts) > 1) & (gender != ""), F.concat(p, F.lit(_TELLS), gender)).otherwise(p))
+
+
+def _without_gender(norm: Column) -> Column:
+    return F.regexp_replace(norm, f"{_TELLS}[fm]", "")
 
 
 def normal(entity: Column, kind: Column) -> Column:
@@ -89,8 +112,12 @@ def _extend(rows: Column, name: str, value) -> Column:
 
 
 def _stream(key: str, kind: Column, norm: Column, attempt: Column) -> Column:
-    """64 hex digits from key, type, entity and attempt."""
-    return F.sha2(F.concat_ws("\x1f", F.lit(key), kind, norm, attempt.cast("string")), 256)
+    """64 hex digits: HMAC-SHA-256, under the key, of type, entity and attempt."""
+    secret = key.encode()
+    secret = (secret if len(secret) <= 64 else hashlib.sha256(secret).digest()).ljust(64, b"\0")
+    inner, outer = (F.lit(bytes(b ^ pad for b in secret)) for pad in (0x36, 0x5C))
+    message = F.encode(F.concat_ws("\x1f", kind, norm, attempt.cast("string")), "UTF-8")
+    return F.sha2(F.concat(outer, F.unhex(F.sha2(F.concat(inner, message), 256))), 256)
 
 
 _DIGITS = ("abcdef", "279415")
@@ -156,7 +183,7 @@ _ENDS = {"Latin": {"f": "na", "m": "rt", "": "l"}, "Cyrillic": {"f": "на", "m"
 
 def _word_name(stream: Column, script: str, n: int) -> Column:
     table = F.array(*[F.lit(s) for s in _SYLLABLES[script]])
-    pick = [F.element_at(table, (F.pmod(F.conv(F.substring(stream, 1 + 4 * i, 4), 16, 10).cast("int"), F.lit(32)) + 1).cast("int")) for i in range(n)]
+    pick = [F.element_at(table, (F.pmod(F.conv(F.substring(stream, 1 + 4 * i, 4), 16, 10).cast("int"), F.lit(len(_SYLLABLES[script]))) + 1).cast("int")) for i in range(n)]
     return F.concat(*pick)
 
 
@@ -165,7 +192,8 @@ def _one_name(part: Column, key: str, gender: Column, attempt: Column) -> Column
 
     def made(script: str) -> Column:
         end = F.when(gender == "f", _ENDS[script]["f"]).when(gender == "m", _ENDS[script]["m"]).otherwise(_ENDS[script][""])
-        return F.initcap(F.concat(_word_name(stream, script, 4), end))
+        stem = F.when(attempt > 2, _word_name(stream, script, 4 + 8)).otherwise(_word_name(stream, script, 4))
+        return F.initcap(F.concat(stem, end))
 
     return F.when(F.rlike(part, F.lit(r"\p{IsCyrillic}")), made("Cyrillic")).otherwise(made("Latin"))
 
@@ -176,10 +204,14 @@ def _gender_of_name(part: Column) -> Column:
 
 def _name(norm: Column, key: str, attempt: Column) -> Column:
     """Each part of the name: the same part has the same surrogate in every
-    name; parts that tell a gender keep it. Only attempts after the first depend on the whole name."""
-    whole = F.when(attempt > 0, norm).otherwise(F.lit(""))
-    return F.array_join(F.transform(F.split(norm, " "), lambda p: _one_name(
-        F.concat(p, F.when(whole != "", F.concat(F.lit("\x1e"), whole)).otherwise(F.lit(""))), key, _gender_of_name(p), attempt)), " ")
+    name but for the ending that tells its gender. Only attempts after the first depend on the whole name."""
+    whole = F.when(attempt > 0, F.concat(F.lit("\x1e"), norm)).otherwise(F.lit(""))
+
+    def part(p: Column) -> Column:
+        plain, told = F.substring_index(p, _TELLS, 1), F.contains(p, F.lit(_TELLS))
+        return _one_name(F.concat(plain, whole), key, F.when(told, F.substring(p, -1, 1)).otherwise(_gender_of_name(plain)), attempt)
+
+    return F.array_join(F.transform(F.split(norm, " "), part), " ")
 
 
 def surrogates(rows: Column, key: str) -> Column:
@@ -228,19 +260,25 @@ def described(found: Column) -> Column:
     return _extend(rows, "norm", lambda r: normal(r["entity"], r["kind"]))
 
 
-def _rewritten(text: Column, rows: Column, attempts: Column | None, key: str) -> Column:
-    """``text`` with each of its entities replaced. ``attempts``: map of type
-    and entity to the attempt, where it is not the first."""
-    def attempt(r: Column) -> Column:
-        if attempts is None:
-            return F.lit(0)
-        return F.coalesce(F.try_element_at(attempts, F.concat_ws("\x1f", r["kind"], r["norm"])), F.lit(0))
+def _rewritten(text: Column, rows: Column, changes: Column | None, key: str) -> Column:
+    """``text`` with each of its entities replaced. ``changes``: map of type
+    and entity to the entity it stands for and the attempt, where it is not itself or not the first."""
+    def changed(r: Column) -> Column:
+        at = F.lit(None).cast("struct<to:string,attempt:int>") if changes is None else F.try_element_at(changes, F.concat_ws("\x1f", r["kind"], r["norm"]))
+        return r.withField("attempt", F.coalesce(at["attempt"], F.lit(0))).withField("norm", F.coalesce(at["to"], r["norm"]))
 
-    parts = F.transform(surrogates(_extend(rows, "attempt", attempt), key), written_like)
+    parts = F.transform(surrogates(F.transform(rows, changed), key), written_like)
     both = F.zip_with(F.split(text, _ANY, -1), parts, lambda a, b: F.concat(a, F.coalesce(b, F.lit(""))))
     return F.when(F.size(rows) > 0, F.array_join(both, "")).otherwise(text)
 
 
+def _told_elsewhere(known: DataFrame) -> DataFrame:
+    """(type, entity, to) of the names without gender whose like other texts name with one gender."""
+    names = known.where("kind = 'name'").withColumn("plain", _without_gender(F.col("norm")))
+    told = names.where("norm <> plain").groupBy("plain").agg(F.min("norm").alias("to"), F.max("norm").alias("last")).where("to = last")
+    return names.where("norm = plain").join(told.select("plain", "to"), "plain").select("kind", "norm", "to")
+
+
 def _retries(known: DataFrame, key: str) -> DataFrame:
     """(type, entity, attempt) of the entities whose first surrogate is taken."""
     def derived() -> Column:
@@ -252,7 +290,7 @@ def _retries(known: DataFrame, key: str) -> DataFrame:
         owners = written(now.groupBy("kind", "new").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("attempt", "norm")).alias("first"))
                          .where("n > 1").select("kind", "new", F.col("first.norm").alias("owner")), "pii-owners")
         shared = now.join(owners, ["kind", "new"]).where("owner <> norm").select("kind", "norm")
-        real = now.join(known.select("kind", F.col("norm").alias("new")), ["kind", "new"], "left_semi").select("kind", "norm")
+        real = now.join(known.select("kind", _without_gender(F.col("norm")).alias("new")), ["kind", "new"], "left_semi").select("kind", "norm")
         lost = written(shared.unionByName(real).distinct().withColumn("lost", F.lit(1)), "pii-lost")
         if lost.isEmpty():
             return now.where("attempt > 0").select("kind", "norm", "attempt")
@@ -261,23 +299,34 @@ def _retries(known: DataFrame, key: str) -> DataFrame:
     raise RuntimeError("surrogates still collide; use a longer format")
 
 
+def session_key(spark: SparkSession) -> str:
+    """The key of the session's setting; for trials without one ``TRIAL_KEY``, which anyone can read."""
+    return spark.conf.get(KEY_SETTING, None) or TRIAL_KEY
+
+
 @apart
-def pseudonymise(docs: DataFrame, key: str = KEY) -> DataFrame:
-    """``docs`` with the entities of ``text`` replaced by surrogates."""
-    marked = docs.withColumn("_rows", described(entities(F.col("text"))))
-    known = written(marked.select(F.explode("_rows").alias("r")).select("r.kind", "r.norm").distinct(), "pii-entities")
-    retries = _retries(known, key)
-    if retries.isEmpty():
+def pseudonymise(docs: DataFrame, key: str) -> DataFrame:
+    """``docs`` with the entities of ``text`` replaced by surrogates under ``key``."""
+    if not key:
+        raise ValueError("surrogates need a key")
+    marked = written(docs.withColumn("_rows", described(entities(F.col("text")))), "pii-marked")
+    held = marked.where(F.size("_rows") > 0)
+    known = written(held.select(F.explode("_rows").alias("r")).select("r.kind", "r.norm").distinct(), "pii-entities")
+    told = written(_told_elsewhere(known), "pii-told")
+    retries = _retries(known.join(told, ["kind", "norm"], "left_anti"), key)
+    changes = retries.withColumn("to", F.col("norm")).select("kind", "norm", "to", "attempt").unionByName(
+        told.join(retries.select("kind", F.col("norm").alias("to"), "attempt"), ["kind", "to"], "left")
+        .select("kind", "norm", "to", F.coalesce("attempt", F.lit(0)).alias("attempt")))
+    if changes.isEmpty():
         return marked.withColumn("text", _rewritten(F.col("text"), F.col("_rows"), None, key)).drop("_rows")
-    # Documents that hold a retried entity get its attempt by a join on the text's hash:
-    # that side is as small as the retried entities' documents, and Spark broadcasts or
+    # Documents that hold a changed entity get its change by a join on the text's hash:
+    # that side is as small as the changed entities' documents, and Spark broadcasts or
     # shuffles it by its size.
     hash_of = F.when(F.size("_rows") > 0, F.xxhash64("text"))
-    held = (marked.where(F.size("_rows") > 0).select(hash_of.alias("_hash"), F.explode("_rows").alias("r"))
-            .select("_hash", "r.kind", "r.norm").join(retries, ["kind", "norm"])
-            .select("_hash", F.concat_ws("\x1f", "kind", "norm").alias("name"), "attempt").distinct())
-    maps = written(held.groupBy("_hash").agg(F.map_from_entries(F.collect_list(F.struct("name", "attempt"))).alias("_attempts")), "pii-maps")
-    joined = marked.withColumn("_hash", hash_of).join(maps, "_hash", "left")
-    empty = F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<int>"))
-    out = joined.withColumn("text", _rewritten(F.col("text"), F.col("_rows"), F.coalesce("_attempts", empty), key))
+    found = (held.select(hash_of.alias("_hash"), F.explode("_rows").alias("r"))
+             .select("_hash", "r.kind", "r.norm").join(changes, ["kind", "norm"])
+             .select("_hash", F.concat_ws("\x1f", "kind", "norm").alias("name"), F.struct("to", "attempt").alias("change")).distinct())
+    maps = written(found.groupBy("_hash").agg(F.map_from_entries(F.collect_list(F.struct("name", "change"))).alias("_changes")), "pii-maps")
+    out = marked.withColumn("_hash", hash_of).join(maps, "_hash", "left").withColumn(
+        "text", _rewritten(F.col("text"), F.col("_rows"), F.col("_changes"), key))
     return out.select(*docs.columns)

@@ -177,7 +177,7 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_pii")
 def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents with surrogates for personal data and secrets."""
-    return pii.pseudonymise(table(spark, sf_dir, "documents", "doc_id", "text"))
+    return pii.pseudonymise(table(spark, sf_dir, "documents", "doc_id", "text"), pii.session_key(spark))
 
 
 @query("op11_context_tree")

@@ -38,8 +38,8 @@ def test_operators_take_wide_tables(spark, wide):
     model, kinds = quality.fit(plain, labels, F.lit(True)), langid.fit(plain, F.lit(True))
     for run in (lambda d: mixing.mix_sources(d).select("doc_id", "mix_size", "mix_copies"), lambda d: quality.scored(d, model).select("doc_id", "quality_pred"),
                 lambda d: quality.scored(d, model, keep=["doc_id"]), lambda d: minhash_dedup.one_of_each(d).select("doc_id"),
-                lambda d: minhash_dedup.near_duplicates(d), lambda d: pii.pseudonymise(d).select("doc_id", "text"),
+                lambda d: minhash_dedup.near_duplicates(d), lambda d: pii.pseudonymise(d, "k").select("doc_id", "text"),
                 lambda d: decontam.contaminated(d, items), lambda d: langid.identify(d, kinds), lambda d: infill.fill_in_middle(d),
                 lambda d: importance.resample(d, items), lambda d: context_tree.score_documents(d, ids).select("doc_id", "n_known", F.round("score", 6))):
         assert sorted(map(str, run(wide).collect())) == sorted(map(str, run(plain).collect()))
-    assert minhash_dedup.one_of_each(wide).columns == wide.columns == pii.pseudonymise(wide).columns
+    assert minhash_dedup.one_of_each(wide).columns == wide.columns == pii.pseudonymise(wide, "k").columns

@@ -1,5 +1,7 @@
 """Surrogates: what goes, what stays, distinctness and coreference."""
 
+import hashlib
+import hmac
 import re
 
 import pytest
@@ -19,9 +21,12 @@ TEXTS = [
 ]
 
 
-def run(spark, texts, **kw):
+KEY = "k" * 70      # longer than a block of the hash
+
+
+def run(spark, texts, key=KEY):
     df = spark.createDataFrame([(i, t, "keep") for i, t in enumerate(texts)], "doc_id long, text string, e string").repartition(3)
-    out = pii.pseudonymise(df, **kw)
+    out = pii.pseudonymise(df, key)
     assert out.columns == df.columns
     return [r.text for r in sorted(out.collect(), key=lambda r: r.doc_id)]
 
@@ -66,7 +71,7 @@ def test_distinct_entities_stay_distinct(spark):
 
 def test_no_entity_survives_on_the_tables(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
-    out = pii.pseudonymise(docs)
+    out = pii.pseudonymise(docs, KEY)
     both = docs.select("doc_id", F.col("text").alias("old")).join(out.select("doc_id", "text"), "doc_id").collect()
     # An independent look: patterns of the personal data that the tables hold.
     look = re.compile(r"[\w.]+@[\w.]+\.\w+|\+1 \(\d{3}\) \d{3}-\d{4}|\b\d{16}\b|\b\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}\b|AKIA\w{16}|\"[0-9a-fA-F]{40}\"")
@@ -84,15 +89,84 @@ def test_no_entity_survives_on_the_tables(spark):
 
 
 def test_main_path_is_native(spark):
-    plan = pii.pseudonymise(spark.read.parquet("/root/testdata/sf0.001/documents.parquet"))._jdf.queryExecution().executedPlan().toString()
+    plan = pii.pseudonymise(spark.read.parquet("/root/testdata/sf0.001/documents.parquet"), KEY)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
 
 
 @pytest.mark.parametrize("text", ["a" * 200000, "a." * 100000 + "@", "@" * 50000, "1 " * 100000, "A1 " * 60000, "x@" + "a." * 80000 + "com", "+1 " * 50000])
 def test_very_long_texts(spark, text):
     df = spark.createDataFrame([(1, text)], "doc_id long, text string")
-    assert pii.pseudonymise(df).first().text is not None
+    assert pii.pseudonymise(df, KEY).first().text is not None
 
 
 def test_empty_table(spark):
-    assert pii.pseudonymise(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+    assert pii.pseudonymise(spark.createDataFrame([], "doc_id long, text string"), KEY).count() == 0
+
+
+def names(text):
+    return re.findall(r"(?:Frau|Herr|Mr|Mrs|Dr) (\w+)(?: (\w+))?", text)
+
+
+def test_gender_comes_from_title_then_list_then_other_texts(spark):
+    out = run(spark, ["Frau Petra Weber", "Mr Erik Jones", "Dr Petra Weber", "Dr Kim Lee", "Herr Kim Lee and Frau Kim Lee",
+                      "Prof Anna Lee", "Frau Weber, Herr Weber", "Dr Erik Smith"])
+    (petra, weber), = names(out[0])
+    assert petra.endswith("na") and names(out[1])[0][0].endswith("rt")
+    assert names(out[2]) == [(petra, weber)]                                # told by the first text
+    (kim, lee), = names(out[3])
+    (he, lee_m), (she, lee_f) = names(out[4])
+    assert kim.endswith("l") and he.endswith("rt") and she.endswith("na")   # titles of both: a third person
+    assert lee == lee_m == lee_f and len({kim, he, she}) == 3
+    assert re.fullmatch(r"Prof \w+na " + lee, out[5])
+    assert names(out[6]) == [(weber, ""), (weber, "")]                      # surnames tell no gender
+    assert names(out[7])[0][0].endswith("l")                                # another person than Erik Jones
+
+
+def test_a_key_is_required(spark):
+    df = spark.createDataFrame([(1, "Mr Smith")], "doc_id long, text string")
+    with pytest.raises(TypeError):
+        pii.pseudonymise(df)
+    with pytest.raises(ValueError):
+        pii.pseudonymise(df, "")
+
+
+def test_more_names_than_the_first_space_holds(spark, monkeypatch):
+    """Two syllables make 16 surrogates for 60 names: later ones are longer, and all differ."""
+    monkeypatch.setitem(pii._SYLLABLES, "Latin", ["ba", "do"])
+    people = [f"Mr {a}{b}s" for a in "BCDFGHJKLM" for b in "aeioua"[:5]] + [f"Mr {a}ix" for a in "BCDFGHJKLM"]
+    out = run(spark, people + ["again " + people[7]])
+    assert len(set(out[:60])) == 60 and not set(out[:60]) & set(people) and out[60] == "again " + out[7]
+
+
+def test_surrogates_recomputed(spark):
+    """Surrogates by Python's own HMAC, for entities whose first attempt is free."""
+    def stream(kind, norm):
+        return hmac.new(KEY.encode(), f"{kind}\x1f{norm}\x1f0".encode(), hashlib.sha256).hexdigest()
+
+    def like(text, kind, norm):
+        h = stream(kind, norm)
+        digits, lower = h.translate(str.maketrans("abcdef", "279415")), h.translate(str.maketrans("0123456789", "kqzvbxwjhm"))
+        pick = lambda c, i: digits[i % 64] if c.isdigit() else lower[i % 64] if c.islower() else lower[i % 64].upper() if c.isupper() else c
+        return "".join(pick(c, i) for i, c in enumerate(text))
+
+    def name(part, end):
+        h = stream("name", part)
+        table = pii._SYLLABLES["Latin"]
+        return ("".join(table[int(h[4 * i:4 * i + 4], 16) % 32] for i in range(4)) + end).capitalize()
+
+    out = run(spark, ["bob.ray7@site.example.org", "SSN 078-05-1120", "IBAN DE89 3704 0044 0532 0130 00", "Mrs Petra Weber", "password=hunter22x",
+                      "host 42.144.35.254", "call (212) 555-0147", "token=deadbeef01"])
+    site = stream("domain", "site.example.org").translate(str.maketrans("0123456789", "kqzvbxwjhm"))[:8]
+    assert out[0] == like("bob.ray7", "email", "bob.ray7@site.example.org") + f"@{site}.example.org"
+    d = like("078051120", "ssn", "078051120")
+    assert out[1] == f"SSN {d[:3]}-{d[3:5]}-{d[5:]}"
+    iban = "DE" + like("89370400440532013000", "iban", "DE89370400440532013000")
+    assert out[2] == "IBAN " + " ".join(iban[i:i + 4] for i in range(0, 22, 4))
+    assert out[3] == f"Mrs {name('Petra', 'na')} {name('Weber', 'l')}"
+    assert out[4] == "password=" + like("hunter22x", "secret", "hunter22x")
+    h = stream("ip", "42.144.35.254")
+    assert out[5] == "host " + ".".join(str(low + int(h[6 * i:6 * i + 6], 16) % n) for i, (low, n) in enumerate([(1, 223), (0, 256), (0, 256), (1, 254)]))
+    d = like("2125550147", "phone", "2125550147")
+    d = {"0": "3", "1": "8"}.get(d[0], d[0]) + d[1:]
+    assert out[6] == f"call ({d[:3]}) {d[3:6]}-{d[6:]}"
+    assert out[7] == "token=" + stream("secret", "deadbeef01")[:10]
