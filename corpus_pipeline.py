@@ -47,7 +47,7 @@ def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def replace_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, personal data and secrets replaced; n_chars follows the text."""
     reach_workers(spark)
-    out = pii.pseudonymise(docs)
+    out = pii.pseudonymise(docs, pii.session_key(spark))
     return out.withColumn("n_chars", F.coalesce(F.length("text").cast("long"), F.col("n_chars"))).select(*docs.columns)
 
 
