@@ -72,8 +72,9 @@ def distinct_with_blank(c: Column) -> Column:
 
 
 def selected_value(c: Column) -> Column:
-    """The single visible value, else BLANK (aggregate expression)."""
-    return F.when(F.count_distinct(c) == 1, F.min(c))
+    """The single visible value, else BLANK (aggregate expression): the least
+    is the greatest, so no distinct values are shuffled."""
+    return F.when(F.min(c) == F.max(c), F.min(c))
 
 
 def money(c: Column) -> Column:

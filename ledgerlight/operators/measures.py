@@ -65,6 +65,16 @@ def selected_week_window(sel: Selection) -> DateRange:
     return DateRange(first, last)
 
 
+def sole_choice(selected, default):
+    """A parameter's value: the only one selected, else the default."""
+    return next(iter(selected)) if len(set(selected)) == 1 else default
+
+
+def greatest_choice(selected, choices):
+    """A parameter's greatest value in sight; without a selection all are."""
+    return max(selected or choices)
+
+
 def weekly_window(sel: Selection, n_weeks: int, last_year: bool = False) -> DateRange:
     """N weeks ending on the selected week's week-ending (TY) or on the same
     week of the previous year (LY).  9999 means year-to-week."""

@@ -25,4 +25,4 @@ def query(name: str, sql: str | None = None):
 
 def load_all() -> None:
     """Import every plan module so their queries register."""
-    from . import retail, retail_more, retail_reports, retail_windows, feeds, clinical, ingest  # noqa: F401
+    from . import retail, retail_choices, retail_more, retail_reports, retail_windows, feeds, clinical, ingest  # noqa: F401
