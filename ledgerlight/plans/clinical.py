@@ -606,6 +606,65 @@ SELECT studyKey AS study_key, visitid_instanceid, visitDate AS visit_date,
 FROM visits"""
 
 
+# ------------------------------------------- the sync's own tables
+
+EMPTIED = "emptied"
+
+
+def state_history(spark: SparkSession, marks: str, logs: str, outcomes: DataFrame, run: _dt.datetime) -> None:
+    """One run on the sync's two tables of versions: the single-row watermark, created with its
+    default on first use and advanced only if a visit of ``outcomes`` went through, and the
+    outcome log, created by its first append. Successes are counted while the log is written.
+    Each step is a version named after its batch: a run repeated adds none."""
+    from ..sources import versions as V
+    if V.current(spark, marks) is None:
+        default = spark.range(1).select(F.lit(SYNC_NAME).alias("table_name"), C.ntz_literal(C.DEFAULT_WATERMARK).alias("last_sync"))
+        V.overwrite(spark, marks, default, "default")
+    if V.holding(spark, marks, f"run {run}") is None:
+        done = Observation("successes of the run")
+        if V.holding(spark, logs, f"run {run}") is None:
+            V.append(spark, logs, outcomes.observe(done, success_count()), f"run {run}")
+            ok = int(done.get["ok"])
+        else:       # ended between the log and the watermark
+            ok = V.read(spark, logs, V.holding(spark, logs, f"run {run}")).agg(success_count()).first()["ok"]
+        V.overwrite(spark, marks, ST.advance_sync_watermark(V.read(spark, marks), SYNC_NAME, C.ntz_literal(run), F.lit(ok)), f"run {run}")
+
+
+@query("sync_state_history")
+def sync_state_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every version of the sync's two tables over a first run, a run without a success, and
+    the emptying of the log: rows, successes and latest time, all read from the versions."""
+    from functools import reduce
+
+    from ..session import scratch_path
+    from ..sources import versions as V
+    log = earlier_log(Tables(spark, sf_dir))
+    marks, logs = scratch_path(spark, "last-sync"), scratch_path(spark, "outcome-log")
+    for _ in range(2):                                               # repeated, it changes nothing
+        state_history(spark, marks, logs, log, PREVIOUS_RUN)
+    state_history(spark, marks, logs, log.where("responsestatus = 'FAILURE'"), RUN_TIME)
+    V.overwrite(spark, logs, ST.truncate(V.read(spark, logs)), EMPTIED)
+
+    def rows(table: str, root: str, ok, latest: str) -> list[DataFrame]:
+        found = [V.version(spark, root, n) for n in V.versions(spark, root)]
+        return [V.read(spark, root, v).agg(F.count(F.lit(1)).alias("n_rows"), ok, F.max(latest).alias("latest"))
+                .select(F.lit(table).alias("state"), F.lit(v.number).alias("version"), F.lit(v.batch).alias("batch"), "*") for v in found]
+
+    return reduce(DataFrame.unionByName, rows(SYNC_NAME, marks, F.lit(None).cast("long").alias("ok"), "last_sync") +
+                  rows("outcome_log", logs, success_count(), "inserted_date"))
+
+
+ORACLE["sync_state_history"] = Q.with_([Q.VISITS, Q.SUBJECT_DIM, _PREV_LOG_SQL, """n AS (
+  SELECT count(*) AS n, count(*) FILTER (WHERE responsestatus = 'SUCCESSFUL') AS ok, count(*) FILTER (WHERE responsestatus = 'FAILURE') AS bad,
+         max(inserted_date) AS latest FROM plog)"""]) + f"""
+SELECT '{SYNC_NAME}' AS state, 1 AS version, 'default' AS batch, 1 AS n_rows, CAST(NULL AS BIGINT) AS ok, TIMESTAMP '{C.DEFAULT_WATERMARK}' AS latest
+UNION ALL SELECT '{SYNC_NAME}', 2, 'run {PREVIOUS_RUN}', 1, NULL, CASE WHEN ok >= 1 THEN TIMESTAMP '{PREVIOUS_RUN}' ELSE TIMESTAMP '{C.DEFAULT_WATERMARK}' END FROM n
+UNION ALL SELECT '{SYNC_NAME}', 3, 'run {RUN_TIME}', 1, NULL, CASE WHEN ok >= 1 THEN TIMESTAMP '{PREVIOUS_RUN}' ELSE TIMESTAMP '{C.DEFAULT_WATERMARK}' END FROM n
+UNION ALL SELECT 'outcome_log', 1, 'run {PREVIOUS_RUN}', n, ok, latest FROM n
+UNION ALL SELECT 'outcome_log', 2, 'run {RUN_TIME}', n + bad, ok, latest FROM n
+UNION ALL SELECT 'outcome_log', 3, '{EMPTIED}', 0, 0, NULL"""
+
+
 # ----------------------------------------------------- the sync as a job
 
 def run_sync(spark: SparkSession, sf_dir: str, run_time: _dt.datetime = RUN_TIME) -> dict:
