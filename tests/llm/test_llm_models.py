@@ -1,5 +1,8 @@
 """Quality and language classifiers: held-out accuracy, brute force, edge rows."""
 
+import math
+from collections import Counter, defaultdict
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
@@ -149,3 +152,83 @@ def test_language_model_learns_nothing_from_held_out_rows(spark):
     a, b = langid.fit(same, ~held), langid.fit(changed, ~held)
     assert a.names == b.names and a.heat == b.heat
     assert (a.weights == b.weights).all() and (a.bias == b.bias).all() and (a.idf == b.idf).all()
+
+
+def plain_grams(text):
+    """Hashed 1- to 3-grams of a text and their counts, one character after another."""
+    out, points = Counter(), []
+    for c in text.lower():
+        if c.isalpha():
+            points.append(ord(c))
+        elif points and points[-1] != 32:
+            points.append(32)
+    for i in range(len(points)):
+        h = 0
+        for n, odd in enumerate((0x9E3779B1, 0x85EBCA6B, 0xC2B2AE35)):
+            if i + n == len(points):
+                break
+            h = (h + points[i + n]) * odd % 2 ** 32
+            bits = (h ^ h >> 15) * 0x2C1B3C6D % 2 ** 32
+            out[(bits ^ bits >> 13) % langid.DIM] += 1
+    return out
+
+
+def plain_tfidf(text, idf):
+    w = {g: (1 + math.log(n)) * idf(g) for g, n in plain_grams(text).items()}
+    norm = math.sqrt(sum(x * x for x in w.values()))
+    return {g: x / norm for g, x in w.items()}
+
+
+def softmax(z):
+    e = [math.exp(x - max(z)) for x in z]
+    return [x / sum(e) for x in e]
+
+
+def plain_ftrl(rows, classes):
+    """One weight at a time: (gram, class) to z and n; the bias is gram None."""
+    z, n = defaultdict(float), defaultdict(float)
+
+    def weight(k):
+        return 0.0 if abs(z[k]) <= langid.L1 else -(z[k] - math.copysign(langid.L1, z[k])) / ((langid.BETA + math.sqrt(n[k])) / langid.ALPHA + langid.L2)
+
+    order = np.random.default_rng(5)
+    for _ in range(langid.EPOCHS):
+        for i in order.permutation(len(rows)):
+            x, y = rows[i]
+            x = x | {None: 1.0}
+            w = {(g, c): weight((g, c)) for g in x for c in range(classes)}
+            p = softmax([sum(v * w[g, c] for g, v in x.items()) for c in range(classes)])
+            for (g, c), old in w.items():
+                grad = x[g] * (p[c] - (c == y))
+                z[g, c] += grad - (math.sqrt(n[g, c] + grad * grad) - math.sqrt(n[g, c])) / langid.ALPHA * old
+                n[g, c] += grad * grad
+    return weight
+
+
+def test_langid_training_and_prediction_against_brute_force(spark):
+    """Frequencies, sample order, training, temperature and predictions, each computed without the operator."""
+    rng = np.random.default_rng(8)
+    words = {"aa": ["der", "und", "nicht", "ÜBER"], "bb": ["the", "and", "over", "not"], "cc": ["это", "и", "не", "the"]}
+    rows = [(i, " ".join(rng.choice(words[g], 5)) + ["", ". ", " 12!"][i % 3], g) for i, g in enumerate(rng.choice(list(words), 90).tolist())]
+    docs = spark.createDataFrame(rows + [(200, "12 3", "aa"), (201, "der and", None), (202, None, None), (203, "и и the", None)],
+                                 "doc_id long, text string, lang string").repartition(4)
+    model = langid.fit(docs, F.lit(True))
+    got = {r.doc_id: r for r in langid.identify(docs, model).collect()}
+
+    labelled = rows + [(200, "12 3", "aa")]
+    df = Counter(g for _, t, _ in labelled for g in plain_grams(t))
+    idf = lambda g: math.log((1 + len(labelled)) / (1 + df[g])) + 1
+    place = {r.doc_id: r.h for r in docs.select("doc_id", F.expr("shiftrightunsigned(xxhash64(doc_id, 23), 11)").alias("h")).collect()}
+    data = [(plain_tfidf(t, idf), sorted(words).index(g)) for i, t, g in sorted(rows, key=lambda r: place[r[0]])]
+    held, kept = data[::5], [d for i, d in enumerate(data) if i % 5]
+    weight = plain_ftrl(kept, 3)
+    logits = lambda x: [weight((None, c)) + sum(v * weight((g, c)) for g, v in x.items()) for c in range(3)]
+    for g in {g for x, _ in data for g in x}:
+        assert np.allclose(model.weights[g], [weight((g, c)) for c in range(3)], atol=1e-5)
+    assert np.allclose(model.bias, [weight((None, c)) for c in range(3)], atol=1e-5)
+    loss = [-sum(math.log(softmax([v / t for v in logits(x)])[y]) for x, y in held) for t in np.geomspace(0.05, 5, 120)]
+    assert abs(model.heat - np.geomspace(0.05, 5, 120)[int(np.argmin(loss))]) < 1e-9
+    for i, text, _ in rows + [(201, "der and", None), (203, "и и the", None)]:
+        p = softmax([v / model.heat for v in logits(plain_tfidf(text, idf))])
+        assert got[i].lang_pred == sorted(words)[int(np.argmax(p))] and abs(got[i].score - max(p)) < 1e-4
+    assert {(got[i].lang_pred, got[i].score) for i in (200, 202)} == {("und", 0.0)}
