@@ -6,14 +6,16 @@ Document frequencies come from all documents. A bounded, balanced sample of
 labelled rows (``SAMPLE``) gives a TF-IDF matrix whose leading ``RANK`` singular
 directions are the latent space; the sample's vectors, ``SAMPLE`` x ``RANK`` numbers,
 are broadcast. Every document is mapped to that space and compared with all of
-them by exact cosine products, block by block; its ``NEIGHBOURS`` nearest vote with
-their similarity. One scan, no shuffle.
+them by exact cosine products, block by block; its ``NEIGHBOURS`` nearest vote with the
+fourth power of their similarity (0 if it is negative). One scan, no shuffle.
 
 Defined cases: a text without words (null too) gets the mean label of the learned
 texts without words, or 0 if there are none; a text that is orthogonal to every
 labelled one gets the sample's mean label; without labels every score is 0.5; several
 labels of one document are averaged; null labels and rows without ``doc_id`` are not learned
-from; ``documents`` rows of one id are scored one by one; an empty table gives an empty result.
+from; ``documents`` rows of one id are scored one by one; of labelled rows equally near at the
+last place a selection votes that the sample's order settles, the same for equal texts; an empty
+table gives an empty result.
 """
 
 from __future__ import annotations
