@@ -1,13 +1,10 @@
 """Join helpers with a size check before any broadcast.
 
 ``broadcast()`` overrides Spark's own size estimate, so the hint is only
-applied when the small side is proven small:
-
-* ``bounded=True``: a fixed code table (five regions, 25 nations, a literal
-  parameter table) -- small by construction;
-* ``max_rows=n``: a bounded count (``limit(n + 1).count()``) shows at most
-  n rows.  Worth it only for plain scans, where the count stops early; for
-  a derived (aggregated) side it would compute the side twice.
+applied when the small side is proven small: with ``max_rows=n`` a bounded
+count (``limit(n + 1).count()``) shows at most n rows.  Worth it only for
+plain scans, where the count stops early; for a derived (aggregated) side it
+would compute the side twice.
 
 Every other dimension join carries no hint: the planner broadcasts it when
 its statistics are under ``spark.sql.autoBroadcastJoinThreshold``, and AQE
@@ -28,17 +25,17 @@ def has_at_most(df: DataFrame, max_rows: int) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
-def maybe_broadcast(df: DataFrame, max_rows: int | None = None, bounded: bool = False) -> DataFrame:
-    if bounded or (max_rows is not None and has_at_most(df, max_rows)):
+def maybe_broadcast(df: DataFrame, max_rows: int | None = None) -> DataFrame:
+    if max_rows is not None and has_at_most(df, max_rows):
         return F.broadcast(df)
     return df
 
 
 def join_dim(fact: DataFrame, dim: DataFrame, on, how: str = "left",
-             max_rows: int | None = None, bounded: bool = False) -> DataFrame:
+             max_rows: int | None = None) -> DataFrame:
     """Many-to-one join of a fact to a dimension (left by default, so fact
     rows without a dimension match keep a blank member)."""
-    return fact.join(maybe_broadcast(dim, max_rows, bounded), on, how)
+    return fact.join(maybe_broadcast(dim, max_rows), on, how)
 
 
 def first_per_key(df: DataFrame, keys, order_cols, latest: bool = False) -> DataFrame:

@@ -55,7 +55,7 @@ def change_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = Tables(spark, sf_dir)
     win = _windows(t).select("table_name", "min_ts", "max_ts", "filter")
     v = C.visits(t).withColumn("table_name", F.concat(F.lit("i_"), F.col("studyKey")))
-    j = join_dim(v, win, "table_name", "inner", bounded=True)      # config: one row per source table
+    j = join_dim(v, win, "table_name", "inner")      # a row per source table: small or not, the planner sees
     j = j.where(ST.in_change_window(F.col("dateCreated"), F.col("dateModified"), F.col("min_ts"), F.col("max_ts")))
     return j.groupBy("table_name", "filter").agg(
         F.count(F.lit(1)).alias("n_changed"), F.min("dateCreated").alias("first_created"),
@@ -88,7 +88,7 @@ def change_window_excl(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = Tables(spark, sf_dir)
     win = _windows(t).select("table_name", "min_ts", "max_ts")
     r = C.records(t).withColumn("table_name", F.concat(F.lit("i_"), F.col("studyKey")))
-    j = join_dim(r, win, "table_name", "inner", bounded=True)      # config: one row per source table
+    j = join_dim(r, win, "table_name", "inner")      # a row per source table: small or not, the planner sees
     keep = (ST.in_change_window(F.col("dateCreated"), F.col("dateModified"), F.col("min_ts"), F.col("max_ts"))
             & ~F.col("recordType").eqNullSafe(F.lit("CATALOG"))
             & ~F.col("recordStatus").eqNullSafe(F.lit("New Record")))
