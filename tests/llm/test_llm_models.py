@@ -1,7 +1,9 @@
 """Quality and language classifiers: held-out accuracy, brute force, edge rows."""
 
 import math
+import re
 from collections import Counter, defaultdict
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -232,3 +234,60 @@ def test_langid_training_and_prediction_against_brute_force(spark):
         p = softmax([v / model.heat for v in logits(plain_tfidf(text, idf))])
         assert got[i].lang_pred == sorted(words)[int(np.argmax(p))] and abs(got[i].score - max(p)) < 1e-4
     assert {(got[i].lang_pred, got[i].score) for i in (200, 202)} == {("und", 0.0)}
+
+
+def plain_terms(text):
+    """Hashed words, word shapes and repeats of a text and their counts, byte by byte."""
+    from ledgerlight.llm.common import _BASE, _BYTE
+    full, terms, last = 2 ** 64, Counter(), None
+
+    def spread(h):
+        h = (h ^ h >> 30) * 0xBF58476D1CE4E5B9 % full
+        h = (h ^ h >> 27) * 0x94D049BB133111EB % full
+        return h ^ h >> 31
+
+    def kind(b):
+        c = chr(b)
+        return 1 if "A" <= c <= "Z" else 2 if "a" <= c <= "z" or b >= 0x80 else 3 if c.isdigit() else b + 16
+
+    for word in re.findall(rb"[^\x20\x09-\x0D]+", (text or "").encode()):
+        low = bytes(b + 32 if 65 <= b <= 90 else b for b in word)
+        h = spread((sum(int(_BYTE[b]) * pow(_BASE, i, full) for i, b in enumerate(low)) + len(low)) % full)
+        shape = 0
+        for k, _ in list(groupby(map(kind, word)))[:8]:
+            shape = (shape * 257 + k) % full
+        terms[h % (quality.DIM - quality.SHAPES)] += 1
+        terms[quality.DIM - quality.SHAPES + 1 + spread(shape) % (quality.SHAPES - 1)] += 1
+        terms[quality.DIM - quality.SHAPES] += low == last
+        last = low
+    return +terms
+
+
+def test_quality_against_brute_force(spark):
+    """Terms, frequencies, the sample's space, cosines and votes, each computed without the operator."""
+    rng = np.random.default_rng(6)
+    words = ["alpha", "Beta", "GAMMA", "d3lta", "über", "###", "Über", "x-1", "foo.bar", "alpha,", "42"]
+    texts = [" ".join(rng.choice(words, int(rng.integers(3, 25)))) + ["", " \n", " beta beta"][i % 3] for i in range(70)]
+    docs = spark.createDataFrame([*enumerate(texts), (100, None), (101, " ")], "doc_id long, text string").repartition(3)
+    labels = {i: int(rng.integers(0, 2)) for i in range(0, 50, 2)}
+    model = quality.fit(docs, spark.createDataFrame([*labels.items(), (101, 1)], "doc_id long, quality int"), F.lit(True))
+    got = {r.doc_id: r.quality_score for r in quality.scored(docs, model).collect()}
+
+    df = Counter(t for text in texts for t in plain_terms(text))
+
+    def tfidf(text):
+        x = np.zeros(quality.DIM)
+        for t, n in plain_terms(text).items():
+            x[t] = (1 + math.log(n)) * (math.log((1 + len(texts) + 2) / (1 + df[t])) + 1)
+        return x / np.linalg.norm(x)
+
+    sample = np.array([tfidf(texts[i]) for i in labels])
+    _, s, v = np.linalg.svd(sample, full_matrices=False)           # fewer rows than directions: the whole space of the sample
+    space = v[s > 1e-9].T
+    unit = lambda x: x / np.linalg.norm(x, axis=-1, keepdims=True)
+    near, y = unit(np.array([tfidf(t) for t in texts]) @ space) @ unit(sample @ space).T, np.array(list(labels.values()))
+    for i in range(len(texts)):
+        best = sorted(range(len(y)), key=lambda j: -near[i, j])[:quality.NEIGHBOURS]
+        w = [max(near[i, j], 0) ** 4 for j in best]
+        assert abs(got[i] - sum(a * y[j] for a, j in zip(w, best)) / sum(w)) < 2e-3, i
+    assert got[100] == got[101] == 1                               # the learned text without words
