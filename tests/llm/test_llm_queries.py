@@ -23,6 +23,17 @@ def test_every_operator_has_one_query():
     assert sorted(n.split("_")[0] for n in QUERIES) == sorted(f"op{i}" for i in range(1, 14))
 
 
+@pytest.mark.parametrize("name", ["op4_chat_format", "op7_pii"])
+def test_native_queries_start_no_python_worker(spark, name, monkeypatch):
+    """Neither the result's plan nor that of any table written on the way."""
+    from pyspark.sql import DataFrameWriter
+    plans, parquet = [], DataFrameWriter.parquet
+    plan_of = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    monkeypatch.setattr(DataFrameWriter, "parquet", lambda w, *a, **k: plans.append(plan_of(w._df)) or parquet(w, *a, **k))
+    plans.append(plan_of(QUERIES[name](spark, SF)))
+    assert (len(plans) > 1) == (name == "op7_pii") and not any(re.search("Python|Pandas|Arrow", p) for p in plans)
+
+
 def one_of_each(texts):
     """The smallest id of every group of texts that share 8 in 10 of their 5-word shingles: all pairs with a common one."""
     sets, holders = {}, defaultdict(list)
