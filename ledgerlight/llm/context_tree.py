@@ -56,8 +56,12 @@ BLOCK_BYTES = 64 << 20
 #: Bytes of text that are packed into one row of a block.
 PACK_BYTES = 1 << 18
 MERGE_ROWS = 1 << 19
+#: Rows of the longest run that are merged with the others at a time.
+RANGE_ROWS = 1 << 17
+#: Bytes of words that are hashed at a time (a longer single word is hashed alone).
+WORD_BYTES = 1 << 18
 #: Rows of whole groups that are weighed at a time.
-GROUP_ROWS = 1 << 19
+GROUP_ROWS = 1 << 17
 END = 0xFF
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A"):ord("Z") + 1] += 32
@@ -107,18 +111,19 @@ def string_keys(data: np.ndarray, offsets: np.ndarray, depth: int = DEPTH) -> tu
     """The key of every byte of every text and of its end, and the first of each text."""
     n = len(offsets) - 1
     out = np.full(len(data) + depth * (n + 1), END, np.uint8)
-    place = np.arange(len(data)) + np.repeat(depth * np.arange(1, n + 1), np.diff(offsets))
-    out[place] = _LOWER[data]
-    wide = out.astype(np.int64)
+    taken = np.ones(len(out), bool)
+    gaps = offsets + depth * np.arange(n + 1)
+    for i in range(depth):
+        taken[gaps + i] = False
+    out[taken] = _LOWER[data]
+    # In place: eight bytes a byte of text, once.
     keys = np.zeros(len(out) - depth, np.int64)
-    for back in range(1, depth + 1):
-        keys = (keys << 8) | wide[depth - back:len(out) - back]
-    keys = (keys << 8) | wide[depth:]
+    for back in [*range(1, depth + 1), 0]:
+        keys <<= 8
+        keys |= out[depth - back:len(out) - back]
     # Of the bytes between two texts only the first is an end.
-    size = np.diff(offsets) + 1
-    first = np.concatenate([[0], np.cumsum(size)])
-    gap = np.repeat((depth - 1) * np.arange(n), size)
-    return keys[np.arange(first[-1]) + gap], first[:-1]
+    taken[gaps[1:]] = True
+    return keys[taken[depth:]], np.cumsum(np.diff(offsets) + 1) - np.diff(offsets) - 1
 
 
 _rng = np.random.default_rng(11)
@@ -132,12 +137,17 @@ def word_keys(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nda
     if not len(starts):
         return np.zeros(0, np.int64), first
     size = ends - starts
-    before = np.cumsum(size) - size
-    place = np.arange(before[-1] + size[-1]) - np.repeat(before, size)
+    after = np.cumsum(size)
     power = np.full(int(size.max()), 0x9E3779B97F4A7C15, np.uint64)
     power[0] = 1
     power = np.cumprod(power, dtype=np.uint64)
-    total = np.add.reduceat(_BYTE[data[np.repeat(starts, size) + place]] * power[place], before)
+    total, a = np.empty(len(size), np.uint64), 0
+    while a < len(size):
+        b = max(a + 1, int(np.searchsorted(after, after[a] - size[a] + WORD_BYTES, "right")))
+        before = after[a:b] - size[a:b] - (after[a] - size[a])
+        place = np.arange(before[-1] + size[b - 1]) - np.repeat(before, size[a:b])
+        total[a:b] = np.add.reduceat(_BYTE[data[np.repeat(starts[a:b], size[a:b]) + place]] * power[place], before)
+        a = b
     return (mix(total + size.astype(np.uint64)) | U64(1 << 63)).view(np.int64), first
 
 
@@ -149,6 +159,20 @@ def summed(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return keys[at], np.add.reduceat(n, at) if len(at) else n
 
 
+def merged(runs: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """``summed`` over runs of sorted distinct keys, one range of keys after the other."""
+    longest = max((k for k, _ in runs), key=len)
+    cuts = longest[RANGE_ROWS::RANGE_ROWS]
+    at = [np.concatenate([[0], np.searchsorted(k, cuts), [len(k)]]) for k, _ in runs]
+    rows, size = sum(len(k) for k, _ in runs), 0
+    keys, n = np.empty(rows, np.int64), np.empty(rows, np.int64)
+    for i in range(len(cuts) + 1):
+        k, m = summed(*(np.concatenate([run[j][a[i]:a[i + 1]] for run, a in zip(runs, at)]) for j in (0, 1)))
+        keys[size:size + len(k)], n[size:size + len(k)] = k, m
+        size += len(k)
+    return keys[:size].copy(), n[:size].copy()
+
+
 class Counter:
     """Sums by key, merged whenever ``MERGE_ROWS`` rows have come together."""
 
@@ -156,7 +180,8 @@ class Counter:
         self.held, self.rows = [], 0
 
     def add(self, keys: np.ndarray, counted: bool) -> None:
-        keys = np.sort(keys)
+        """``keys`` are sorted in place."""
+        keys.sort()
         at = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])[:len(keys)])
         n = np.diff(np.append(at, len(keys))) if counted else np.zeros(len(at), np.int64)
         self.held.append((keys[at], n))
@@ -168,7 +193,7 @@ class Counter:
     def merged(self) -> tuple[np.ndarray, np.ndarray]:
         if not self.held:
             return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        return summed(np.concatenate([k for k, _ in self.held]), np.concatenate([n for _, n in self.held]))
+        return merged(self.held)
 
 
 # --- weighing ------------------------------------------------------------------------
@@ -185,7 +210,8 @@ class Level:
     key's bit) and ``seen`` (whether learned texts hold the node)."""
 
     def __init__(self, keys: np.ndarray, n: np.ndarray, longer: tuple[np.ndarray, np.ndarray] | None):
-        self.share, self.bit, self.seen, nodes, weighted = [], [], [], [], []
+        self.share, self.bit, self.seen = np.empty((8, len(keys))), np.empty((8, len(keys))), np.empty((8, len(keys)), bool)
+        nodes, weighted = [], []
         for k in range(8):
             prefix = keys >> (8 - k)
             new = np.concatenate([[True], prefix[1:] != prefix[:-1]])[:len(keys)]
@@ -200,12 +226,11 @@ class Level:
                 place = np.minimum(np.searchsorted(longer[0], name), len(longer[0]) - 1)
                 log_w = np.logaddexp(own, np.where(longer[0][place] == name, longer[1][place], 0.0)) - LOG2
                 share = np.exp(np.minimum(own - LOG2 - log_w, 0.0))
-            self.share.append(share[node])
-            self.bit.append((np.where(one == 1, ones[node], (both - ones)[node]) + 0.5) / (both[node] + 1.0))
-            self.seen.append(both[node] > 0)
+            self.share[k] = share[node]
+            self.bit[k] = (np.where(one == 1, ones[node], (both - ones)[node]) + 0.5) / (both[node] + 1.0)
+            self.seen[k] = both[node] > 0
             nodes.append(name)
             weighted.append(log_w)
-        self.share, self.bit, self.seen = np.array(self.share), np.array(self.bit), np.array(self.seen)
         self.nodes, self.weighted = np.concatenate(nodes), np.concatenate(weighted)
 
     def above(self) -> tuple[np.ndarray, np.ndarray]:
@@ -415,9 +440,12 @@ def _strings(depth: int):
 
 def _score(depth: int, total: int, distinct: int, ends: int):
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        # A block that two tasks read sends its strings twice. Every string and word of the block is among them.
-        names, first = np.unique(right.column("key").to_numpy(), return_index=True)
-        values = right.column("value").to_numpy()[first]
+        # A block that two tasks read sends its strings twice, with the same value: the first is found. Every
+        # string and word of the block is among them.
+        names = right.column("key").to_numpy()
+        order = np.argsort(names, kind="stable")
+        names, values = names[order], right.column("value").to_numpy()[order]
+        del order
         scale = np.log10(total + 0.5 * (distinct + 1))
         out = []
         for rows in _unpacked(left.column("pack")):

@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -213,3 +214,33 @@ def test_unit_marks_rank_and_select():
                 want.append(at - 1)
         n = int(marks.rank(offsets)[-1])
         assert n == len(want) and (not n or marks.select(np.arange(1, n + 1)).tolist() == want)
+
+
+def peak_bytes(fn):
+    tracemalloc.start()
+    try:
+        fn()
+        return tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+
+
+def test_keys_of_bytes_and_words_take_little_memory():
+    words = random.Random(5).choices(["of", "the", "measure", "weighing"], k=300_000)
+    data = np.frombuffer(" ".join(words).encode(), np.uint8)
+    offsets = np.linspace(0, len(data), 301).astype(np.int64)
+    assert peak_bytes(lambda: context_tree.string_keys(data, offsets)) < 24 * len(data)
+    assert peak_bytes(lambda: context_tree.word_keys(data, offsets)) < 16 * len(data)
+
+
+def test_merged_runs_take_one_more_copy_at_most():
+    rng = np.random.default_rng(7)
+    runs = [(np.unique(rng.integers(0, 1 << 40, 1_500_000)), None), *((np.unique(rng.integers(0, 1 << 40, 90_000)), None) for _ in range(5))]
+    runs = [(k, np.arange(len(k))) for k, _ in runs]
+    rows = sum(len(k) for k, _ in runs)
+    counter = context_tree.Counter()
+    counter.held = runs
+    assert peak_bytes(counter.merged) < 44 * rows
+    keys, n = counter.merged()
+    want_keys, want_n = context_tree.summed(np.concatenate([k for k, _ in runs]), np.concatenate([m for _, m in runs]))
+    assert np.array_equal(keys, want_keys) and np.array_equal(n, want_n)
