@@ -526,9 +526,11 @@ def streaming_visit_sync_replayed(spark: SparkSession, sf_dir: str) -> DataFrame
     landed, out = scratch_path(spark, "landed-events"), scratch_path(spark, "visit-sync-out")
     t.events.write.parquet(f"{landed}/first")
     t.events.sortWithinPartitions(F.col("event_id").desc()).write.parquet(f"{landed}/again")
+    # Each landing is one micro-batch, however many files it has: the reference tables are joined once a batch.
+    files = max(1, len(spark.read.parquet(f"{landed}/first").inputFiles()))
     # A span that holds the whole history: all of it is replayed.
     q = start_visit_sync(spark, f"{landed}/*", sf_dir, out, scratch_path(spark, "visit-sync-ckpt"), RUN_TIME, pushed_before=_watermark(t),
-                         file_glob="*.parquet", max_files_per_trigger=1, lateness="3650 days")
+                         file_glob="*.parquet", max_files_per_trigger=files, lateness="3650 days")
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))

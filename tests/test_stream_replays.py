@@ -92,3 +92,22 @@ def test_failures_are_taken_up_again(spark, tmp_path):
     assert mended
     pending = {r.visitid_instanceid for r in latest(spark, out + "/out/pending").collect()}
     assert pending == {k[2] for k, s in want.items() if s == {"FAILURE"}}
+
+
+def test_each_landing_is_one_micro_batch(spark, tmp_path, monkeypatch):
+    import os
+
+    from ledgerlight import session
+    from ledgerlight.plans.clinical import streaming_visit_sync_replayed
+    (tmp_path / "refs").mkdir()
+    refs = refs_without(spark, tmp_path / "refs", 10**9)
+    os.remove(f"{refs}/events.parquet")
+    events = spark.read.parquet(f"{SF}/events.parquet")
+    events.repartition(6, "event_id").write.parquet(f"{refs}/events.parquet")
+    made = session.scratch_path
+    monkeypatch.setattr(session, "scratch_path", lambda s, name: f"{tmp_path}/{name}" if name in ("landed-events", "visit-sync-out") else made(s, name))
+    log = streaming_visit_sync_replayed(spark, refs)
+    assert sum(n.endswith(".parquet") for n in os.listdir(f"{tmp_path}/landed-events/first")) > 2
+    # The watermark may take a micro-batch of its own, without events.
+    assert len([n for n in os.listdir(f"{tmp_path}/visit-sync-out") if n.startswith("epoch=")]) <= 3
+    assert log.count() == events.count() == log.select("visit_instance_id").distinct().count()
