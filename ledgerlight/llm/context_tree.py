@@ -24,7 +24,8 @@ How it runs, with nothing whole in one place:
    them meet by their last byte (256 groups of at most 65,536 rows each); the 255 nodes
    without context come to the driver.
 4. Each byte string's log probability and each word's count are joined to the blocks that hold
-   it, and go back to their block's documents, which are scored whole.
+   it, and go back to their block's documents, which are scored whole. A block's strings come sorted, in
+   small batches, with its packs among them.
 
 So rows between the stages grow with the number of blocks times the distinct strings of a block; a
 string that all texts hold is a row a block, never a row an occurrence.
@@ -389,22 +390,28 @@ def _unpacked(packs: pa.Array) -> Iterator[pa.RecordBatch]:
         yield from pa.ipc.open_stream(pack.as_buffer())
 
 
-def _dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Compressed packs of rows, with the number of their block: so many bytes of one task's rows."""
-    task, done = TaskContext.get().partitionId() << 32, 0
-    for batch in batches:
-        for a, b, data, _ in slices(batch.column("text"), PACK_BYTES):
-            block = task + done // BLOCK_BYTES
-            done += len(data) + 64 * (b - a)
-            yield pa.RecordBatch.from_arrays([pa.array([block]), pa.array([_packed(batch.slice(a, b - a))], pa.binary())], names=["block", "pack"])
+def _dealt(depth: int):
+    """Compressed packs of rows, with the number of their block (so many bytes of one task's rows) and a
+    byte string of each: its place among its block's strings."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task, done = TaskContext.get().partitionId() << 32, 0
+        for batch in batches:
+            for a, b, data, _ in slices(batch.column("text"), PACK_BYTES):
+                block = task + done // BLOCK_BYTES
+                done += len(data) + 64 * (b - a)
+                middle = data[len(data) // 2:][:depth + 1]
+                place = string_keys(middle, np.array([0, len(middle)]), depth)[0][len(middle) - 1]
+                yield pa.RecordBatch.from_arrays([pa.array([block]), pa.array([place]), pa.array([_packed(batch.slice(a, b - a))], pa.binary())], names=["block", "key", "pack"])
+
+    return run
 
 
-def in_blocks(docs: DataFrame, learn: Column) -> tuple[DataFrame, int]:
-    """(block, pack) of all rows, in the shared folder, and how many are learned from."""
+def in_blocks(docs: DataFrame, learn: Column, depth: int) -> tuple[DataFrame, int]:
+    """(block, key, pack) of all rows, in the shared folder, and how many are learned from."""
     picked = docs.select("doc_id", "text", F.coalesce(learn, F.lit(False)).alias("learn"))
     size, learned = picked.agg(F.sum(F.octet_length("text") + 64), F.count_if("learn")).first()
     # A task writes about one block.
-    packs = picked.coalesce(max(1, round((size or 0) / BLOCK_BYTES))).mapInArrow(_dealt, "block long, pack binary")
+    packs = picked.coalesce(max(1, round((size or 0) / BLOCK_BYTES))).mapInArrow(_dealt(depth), "block long, key long, pack binary")
     return written(packs, "ct-blocks"), learned
 
 
@@ -439,27 +446,48 @@ def _strings(depth: int):
 
 
 def _score(depth: int, total: int, distinct: int, ends: int):
-    def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        # A block that two tasks read sends its strings twice, with the same value: the first is found. Every
-        # string and word of the block is among them.
-        names = right.column("key").to_numpy()
-        order = np.argsort(names, kind="stable")
-        names, values = names[order], right.column("value").to_numpy()[order]
-        del order
-        scale = np.log10(total + 0.5 * (distinct + 1))
-        out = []
-        for rows in _unpacked(left.column("pack")):
-            for a, b, data, offsets in slices(rows.column("text")):
-                keys, first = string_keys(data, offsets, depth)
-                score = np.add.reduceat(values[np.searchsorted(names, keys)], first)
-                words, of = word_keys(data, offsets)
-                text = np.repeat(np.arange(b - a), np.diff(of))
-                c = values[np.searchsorted(names, words)]
-                known = np.bincount(text[c > 0], minlength=b - a) + (ends > 0)
-                base = np.bincount(text, np.log10(c + 0.5) - scale, minlength=b - a) + (np.log10(ends + 0.5) - scale)
-                out.append(pa.table({"doc_id": rows.column("doc_id")[a:b], "n_tokens": pa.array(np.diff(of) + 1), "n_known": pa.array(known.astype(np.int64)),
-                                     "base_score": pa.array(base), "score": pa.array(score)}))
-        return pa.concat_tables(out)
+    """Whole blocks, one after the other: their strings and words by key, and their packs among them."""
+    scale = np.log10(total + 0.5 * (distinct + 1))
+
+    def scored(names: list[np.ndarray], values: list[np.ndarray], packs: list[pa.Array]) -> Iterator[pa.RecordBatch]:
+        # The lists are emptied: a block's strings are held once. A block that two tasks read sends its strings
+        # twice, with the same value: the first is found. Every string and word of the block is among them.
+        names[:] = [np.concatenate(names)]
+        values[:] = [np.concatenate(values)]
+        (name,), (value,) = names, values
+        for pack in packs:
+            for rows in _unpacked(pack):
+                for a, b, data, offsets in slices(rows.column("text")):
+                    keys, first = string_keys(data, offsets, depth)
+                    score = np.add.reduceat(value[np.searchsorted(name, keys)], first)
+                    words, of = word_keys(data, offsets)
+                    text = np.repeat(np.arange(b - a), np.diff(of))
+                    c = value[np.searchsorted(name, words)]
+                    known = np.bincount(text[c > 0], minlength=b - a) + (ends > 0)
+                    base = np.bincount(text, np.log10(c + 0.5) - scale, minlength=b - a) + (np.log10(ends + 0.5) - scale)
+                    yield pa.RecordBatch.from_arrays(
+                        [rows.column("doc_id")[a:b], pa.array(np.diff(of) + 1), pa.array(known.astype(np.int64)), pa.array(base), pa.array(score)],
+                        names=["doc_id", "n_tokens", "n_known", "base_score", "score"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, names, values, packs = None, [], [], []
+        for batch in batches:
+            block = batch.column("block").to_numpy()
+            cuts = np.concatenate([[0], np.flatnonzero(block[1:] != block[:-1]) + 1, [len(block)]])
+            for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+                if a == b:
+                    continue
+                if last is not None and block[a] != last:
+                    yield from scored(names, values, packs)
+                    names, values, packs = [], [], []
+                last, part = block[a], batch.slice(a, b - a)
+                string = part.column("pack").is_null().to_numpy(zero_copy_only=False)
+                names.append(part.column("key").to_numpy()[string])
+                values.append(part.column("value").to_numpy(zero_copy_only=False)[string])
+                if not string.all():
+                    packs.append(part.column("pack").drop_null())
+        if last is not None:
+            yield from scored(names, values, packs)
 
     return run
 
@@ -467,8 +495,8 @@ def _score(depth: int, total: int, distinct: int, ends: int):
 def score_documents(docs: DataFrame, learn: Column, depth: int = DEPTH, near: int = NEAR) -> DataFrame:
     """doc_id, n_tokens, n_known, train_tokens, base_score and score of every row of
     ``docs`` (doc_id, text); the model learns from the rows for which ``learn`` holds."""
-    blocks, ends = in_blocks(docs, learn)
-    held = written(blocks.mapInArrow(_strings(depth), "block long, key long, n long"), "ct-strings")
+    blocks, ends = in_blocks(docs, learn, depth)
+    held = written(blocks.select("block", "pack").mapInArrow(_strings(depth), "block long, key long, n long"), "ct-strings")
     counts = written(held.groupBy("key").agg(F.sum("n").alias("n")), "ct-counts")
     words, strings = counts.where("key < 0"), counts.where("key >= 0")
     row = words.agg(F.sum("n"), F.count(F.when(F.col("n") > 0, 1))).first()
@@ -476,6 +504,8 @@ def score_documents(docs: DataFrame, learn: Column, depth: int = DEPTH, near: in
     values = words.select("key", F.col("n").cast("double").alias("value")).unionByName(log_probabilities(strings, depth, near))
     sent = held.select("block", "key").join(values, "key").select("block", "key", "value")
     kind = dict(docs.dtypes)["doc_id"]
-    scored = (blocks.groupBy("block").cogroup(sent.groupBy("block"))
-              .applyInArrow(_score(depth, total, distinct, ends), f"doc_id {kind}, n_tokens long, n_known long, base_score double, score double"))
+    # Packs lie among the strings, so that a batch of rows is small: a group of a cogroup goes to Python in one buffer.
+    rows = sent.withColumn("pack", F.lit(None).cast("binary")).unionByName(blocks.withColumn("value", F.lit(None).cast("double")))
+    scored = (rows.repartition("block").sortWithinPartitions("block", "key")
+              .mapInArrow(_score(depth, total, distinct, ends), f"doc_id {kind}, n_tokens long, n_known long, base_score double, score double"))
     return scored.select("doc_id", "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"), "base_score", "score")

@@ -99,6 +99,44 @@ def test_context_tree_against_brute_force(spark, depth, near, block, monkeypatch
     assert sorted(have, key=str) == sorted(want, key=str)
 
 
+def test_context_tree_blocks_go_to_python_in_small_batches(spark, monkeypatch):
+    monkeypatch.setattr(context_tree, "PACK_BYTES", 1000)
+    rng = random.Random(4)
+    docs = spark.createDataFrame([(i, " ".join("".join(rng.choices("abcdefghij", k=5)) for _ in range(100))) for i in range(60)], "doc_id long, text string").coalesce(1)
+    scored = context_tree.score_documents(docs, F.lit(True))
+    assert "FlatMapCoGroups" not in scored._jdf.queryExecution().executedPlan().toString()      # a group is one buffer there
+    blocks, _ = context_tree.in_blocks(docs, F.lit(True), context_tree.DEPTH)
+    strings = blocks.select("block", "pack").mapInArrow(context_tree._strings(context_tree.DEPTH), "block long, key long, n long")
+    rows = sorted([(r.key, 1) for r in blocks.collect()] + [(r.key, 0) for r in strings.collect()])
+    packs = [pack for _, pack in rows]
+    assert sum(packs) == 60 and max(sum(packs[i:i + 1000]) for i in range(0, len(packs), 1000)) < 20
+
+
+def test_context_tree_scoring_holds_a_blocks_strings_once():
+    texts, keys, rows = ["ab abc", "", "zz"], [], 1 << 19
+    table = pa.table({"doc_id": [1, 2, 3], "text": texts})
+    for _, _, data, offsets in slices(table.column("text")):
+        keys += [*context_tree.string_keys(data, offsets)[0].tolist(), *context_tree.word_keys(data, offsets)[0].tolist()]
+    places = np.unique(np.concatenate([np.arange(rows - len(keys)), keys]))
+    pack = context_tree._packed(table.combine_chunks().to_batches()[0])
+
+    def batches():
+        for block in (1, 2):
+            for a in range(0, len(places), 10_000):
+                key = places[a:a + 10_000]
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(key) + 1, block)), pa.array(np.append(key, key[-1])),
+                                                  pa.array([float(block)] * len(key) + [None]), pa.array([None] * len(key) + [pack if a == 20_000 else b""], pa.binary(), mask=np.array([True] * len(key) + [a != 20_000]))],
+                                                 names=["block", "key", "value", "pack"])
+
+    tracemalloc.start()
+    got = pa.Table.from_batches(context_tree._score(5, 9, 3, 4)(batches())).to_pylist()
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert [(r["doc_id"], r["n_tokens"], r["n_known"], r["score"]) for r in got] == [
+        (i, n, n, block * (len(t) + 1.0)) for block in (1, 2) for i, n, t in zip((1, 2, 3), (3, 1, 2), texts)]
+    assert peak < 32 * rows                            # key and value are 16 bytes a row
+
+
 def test_context_tree_without_learned_or_any_texts(spark):
     docs = spark.createDataFrame([(1, "ab"), (2, None)], "doc_id long, text string")
     got = {r.doc_id: r for r in context_tree.score_documents(docs, F.lit(None).cast("boolean")).collect()}
